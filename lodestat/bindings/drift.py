@@ -157,7 +157,7 @@ def drift_inject(spark, sf):
     return d.inject_drift(df, ["o_orderkey"], plan)
 
 
-_DAYS = """base AS (SELECT "column", value, count(*) AS n FROM (
+DAYS = """base AS (SELECT "column", value, count(*) AS n FROM (
     SELECT 'event_type' AS "column", event_type AS value FROM events WHERE ts < '2024-01-08'::TIMESTAMP
     UNION ALL SELECT 'user_group', (user_id % 12)::VARCHAR FROM events WHERE ts < '2024-01-08'::TIMESTAMP) GROUP BY 1, 2),
 days AS (SELECT day, "column", value, count(*) AS n FROM (
@@ -182,7 +182,7 @@ def event_sides(spark, sf):
     return baseline, current
 
 
-@query("psi_by_day", with_ctes(_DAYS) + """SELECT day::VARCHAR AS day, "column", round(sum((a - e) * ln(a / e)), 6) AS psi
+@query("psi_by_day", with_ctes(DAYS) + """SELECT day::VARCHAR AS day, "column", round(sum((a - e) * ln(a / e)), 6) AS psi
   FROM shares GROUP BY 1, 2""")
 def psi_by_day(spark, sf):
     baseline, current = event_sides(spark, sf)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestat.bindings.registry import FEATURES, NUMERIC, ORDERS_FEAT, PRIORITIES, orders_feat, query, r6, table, with_ctes
+from lodestat.bindings.registry import NUMERIC, ORDERS_FEAT, PRIORITIES, orders_feat, query, r6, table, with_ctes
 from lodestat.operators import encoding, sampling
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -66,14 +66,16 @@ def preprocess_pca(spark, sf):
     return out.select("o_orderkey", "PC1", "PC2", "PC3")
 
 
-@query("one_hot_vector")
+@query("one_hot_vector", """SELECT doc_id, (CASE WHEN doc_id % 6 <> 0 AND lang IS NOT NULL THEN 1.0 ELSE 0.0 END
+  + CASE WHEN source IS NOT NULL THEN 1.0 ELSE 0.0 END)::DOUBLE AS n_set FROM documents""")
 def one_hot_vector(spark, sf):
-    """The sparse training vector, as the number of set flags per row."""
+    """The sparse training vector, as the number of set flags per row; a missing value sets none."""
     from pyspark.ml.functions import vector_to_array
 
-    df = orders_feat(spark, sf)
-    shown = encoding.feature_model(df, FEATURES).transform(df)
-    return shown.select("o_orderkey", F.aggregate(
+    df = table(spark, sf, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 6 != 0, F.col("lang")).alias("lang"), "source")
+    shown = encoding.feature_model(df, ["lang", "source"]).transform(df)
+    return shown.select("doc_id", F.aggregate(
         vector_to_array("features"), F.lit(0.0), lambda a, x: a + x).alias("n_set"))
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestat.bindings.drift import event_sides
-from lodestat.bindings.registry import FEATURES, NUMERIC, PRIORITIES, docs_labeled, orders_feat, query, r6, table
-from lodestat.bindings.validation import RULES, records
+from lodestat.bindings.drift import DAYS, event_sides
+from lodestat.bindings.registry import (
+    FEATURES, NUMERIC, ORDERS_FEAT, PRIORITIES, docs_labeled, orders_feat, query, r6, table, union_all, with_ctes,
+)
+from lodestat.bindings.validation import ERRORS, RECORD_COLUMNS, RULES, records
 from lodestat.operators import training as m
 from lodestat.operators.drift import Draw, DriftPlan, Force, inject_drift
 from lodestat.operators.evaluation import class_report
@@ -57,6 +59,52 @@ def rf_ordinal(spark, sf):
     return metrics
 
 
+# A single tree with one split and without resampling has an exact answer: the
+# flag with the largest gain, and class shares or means on its two sides.
+_FLAGS = "flags AS (" + union_all([
+    f"SELECT o_orderkey, o_orderstatus, o_orderpriority, '{c}' || {c} AS flag_name, {c} AS value, '{c}' AS col FROM orders_feat"
+    for c in ("c_mktsegment", "o_orderpriority")]) + ")"
+_STUMP = ORDERS_FEAT + ", " + _FLAGS + """,
+total AS (SELECT o_orderstatus AS y, count(*)::DOUBLE AS n FROM orders_feat GROUP BY 1),
+sides AS (SELECT f.flag_name, t.y, count(o_orderkey)::DOUBLE AS a, any_value(t.n) - count(o_orderkey) AS b
+  FROM (SELECT DISTINCT flag_name FROM flags) f CROSS JOIN total t
+  LEFT JOIN flags ON flags.flag_name = f.flag_name AND flags.o_orderstatus = t.y GROUP BY 1, 2),
+gains AS (SELECT flag_name, sum(a * a) / sum(a) + sum(b * b) / sum(b) AS purity FROM sides GROUP BY 1),
+best AS (SELECT flag_name FROM gains ORDER BY purity DESC LIMIT 1),
+leaves AS (SELECT true AS has, y, a / sum(a) OVER () AS p FROM sides JOIN best USING (flag_name)
+  UNION ALL SELECT false, y, b / sum(b) OVER () FROM sides JOIN best USING (flag_name)),
+winners AS (SELECT has, max_by(y, p) AS predicted, max(p) AS confidence, sum(p) AS total FROM leaves GROUP BY has),
+marked AS (SELECT o_orderkey, bool_or(flag_name = (SELECT flag_name FROM best)) AS has FROM flags GROUP BY 1)"""
+
+
+@query("tree_scoring", with_ctes(_STUMP) + """SELECT o_orderkey, predicted, round(confidence, 6) AS confidence,
+  round(total, 6) AS total FROM marked JOIN winners USING (has)""")
+def tree_scoring(spark, sf):
+    """Fit one split, then score every row with class, probability and probability map."""
+    df = orders_feat(spark, sf)
+    one = m.forest(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all")
+    fitted = m.fit_classifier(df, "o_orderstatus", ["c_mktsegment", "o_orderpriority"], [], one)
+    scored = score(df, fitted, ["o_orderkey"])
+    total = F.aggregate(F.map_values("all_probabilities"), F.lit(0.0), lambda a, x: a + x)
+    return scored.select("o_orderkey", "predicted", r6("confidence").alias("confidence"), r6(total).alias("total"))
+
+
+@query("tree_ordinal", with_ctes(ORDERS_FEAT) + """, coded AS (
+  SELECT o_orderkey, c_mktsegment, 5 - substr(o_orderpriority, 1, 1)::INT AS y FROM orders_feat),
+gains AS (SELECT s.v, sum(y) FILTER (c_mktsegment = s.v) ** 2::DOUBLE / count(*) FILTER (c_mktsegment = s.v)
+    + sum(y) FILTER (c_mktsegment <> s.v) ** 2::DOUBLE / count(*) FILTER (c_mktsegment <> s.v) AS purity
+  FROM coded CROSS JOIN (SELECT DISTINCT c_mktsegment AS v FROM coded) s GROUP BY 1),
+best AS (SELECT v FROM gains ORDER BY purity DESC LIMIT 1)
+SELECT o_orderkey, round(avg(y) OVER (PARTITION BY c_mktsegment = (SELECT v FROM best)), 6) AS prediction FROM coded""")
+def tree_ordinal(spark, sf):
+    """One regression split on the ordinal label, applied to every row."""
+    df = orders_feat(spark, sf)
+    one = m.ordinal_forest(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all")
+    order = [p.lower() for p in reversed(PRIORITIES)]
+    fitted = m.fit_ordinal(df, "o_orderpriority", order, ["c_mktsegment"], [], one)
+    return fitted.predict(df).select("o_orderkey", r6("prediction").alias("prediction"))
+
+
 @query("gbt_classifier")
 def gbt_classifier(spark, sf):
     df = docs_labeled(spark, sf).filter("quality IS NOT NULL").withColumn("target", F.col("quality").cast("string"))
@@ -127,25 +175,37 @@ def event_stream(spark, sf):
     return spark.readStream.schema(source.schema).parquet(f"{sf}/events.parquet*")
 
 
-@query("stream_scoring")
-def stream_scoring(spark, sf):
+def _run_scoring(spark, sf) -> str:
     """Events validated and scored batch by batch; the model is fitted on the table."""
-    shown = records(spark, sf).join(table(spark, sf, "events").select("event_id", "value"), "event_id")
-    fitted = m.fit_classifier(
-        shown.filter(F.col("kind").isNotNull()), "kind", [], ["user_id", "value"], m.forest(numTrees=3, maxDepth=3))
-    stream = event_stream(spark, sf).selectExpr(
-        "event_id", "user_id", "value", "CASE WHEN event_id % 19 = 0 THEN NULL ELSE event_type END AS kind",
-        """CASE WHEN event_id % 23 = 0 THEN '    ' WHEN event_id % 29 = 0 THEN 'x'
-                WHEN event_id % 31 = 0 THEN NULL ELSE concat('  ', props) END AS note""")
+    rows = records(spark, sf).filter(F.col("kind").isNotNull()).withColumn("size", F.char_length("note")).fillna(0, ["size"])
+    fitted = m.fit_classifier(rows, "kind", [], ["user_id", "size"], m.forest(numTrees=3, maxDepth=3))
+    stream = event_stream(spark, sf).selectExpr(*RECORD_COLUMNS).withColumn("size", F.char_length("note"))
     out = scratch_path(spark, "scored")
     score_stream(stream, RULES, fitted, out, scratch_path(spark, "stream"), ["event_id", "kind", "note"]).awaitTermination()
-    scored = spark.read.parquet(f"{out}/scored").select("event_id", F.lit("scored").alias("sink"), "predicted")
-    rejected = spark.read.parquet(f"{out}/quarantine").select(
-        "event_id", F.lit("quarantine").alias("sink"), F.lit(None).cast("string").alias("predicted"))
-    return scored.unionByName(rejected)
+    return out
+
+
+@query("stream_scoring")
+def stream_scoring(spark, sf):
+    return spark.read.parquet(f"{_run_scoring(spark, sf)}/scored").select("event_id", "kind", "predicted", "confidence")
+
+
+@query("stream_routing", with_ctes(ERRORS) + """SELECT sink, kind, count(*) AS n, sum(n_errors)::BIGINT AS n_errors FROM (
+  SELECT event_id, CASE WHEN n IS NULL THEN 'scored' ELSE 'quarantine' END AS sink, kind, coalesce(n, 0) AS n_errors
+  FROM records LEFT JOIN (SELECT event_id, count(*) AS n FROM errors GROUP BY 1) USING (event_id)) GROUP BY 1, 2""")
+def stream_routing(spark, sf):
+    """How the scoring stream divides the events between its two sinks."""
+    out = _run_scoring(spark, sf)
+    sinks = spark.read.parquet(f"{out}/scored").select(
+        F.lit("scored").alias("sink"), "kind", F.lit(0).alias("e")
+    ).unionByName(spark.read.parquet(f"{out}/quarantine").select(
+        F.lit("quarantine").alias("sink"), "kind", F.size("errors").alias("e")))
+    return sinks.groupBy("sink", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("n_errors"))
 
 
-@query("stream_psi_by_day")
+@query("stream_psi_by_day", with_ctes(DAYS) + """SELECT day::VARCHAR AS day, "column", round(sum((a - e) * ln(a / e)), 6) AS psi
+  FROM shares WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events
+    WHERE NOT (event_type = 'error' AND day(ts) % 3 = 0)) - INTERVAL 1 DAY GROUP BY 1, 2""")
 def stream_psi_by_day(spark, sf):
     """Closed days of the event stream against the first week."""
     baseline, _ = event_sides(spark, sf)

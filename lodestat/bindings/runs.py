@@ -133,7 +133,7 @@ def safe_names(spark, sf):
 
 # ---------------------------------------------------------------- grid results
 _FOLDS = """folds AS (SELECT user_id AS combo_id, event_type AS scorer, (event_id % 3)::INT AS fold,
-  sum(value::DECIMAL(18,2))::DOUBLE / count(*) / 100 AS score FROM events GROUP BY ALL),
+  sum(value::DECIMAL(18,2))::DOUBLE / count(*) / 97 AS score FROM events GROUP BY ALL),
 summary AS (SELECT combo_id, scorer, avg(score) AS mean, stddev_pop(score) AS std, count(score) AS folds FROM folds GROUP BY ALL)"""
 
 
@@ -142,7 +142,7 @@ def fold_scores(spark, sf):
     return table(spark, sf, "events").groupBy(
         F.col("user_id").alias("combo_id"), F.col("event_type").alias("scorer"),
         (F.col("event_id") % 3).cast("int").alias("fold"),
-    ).agg((F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)) / 100).alias("score"))
+    ).agg((F.sum(F.col("value").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)) / 97).alias("score"))
 
 
 @query("cv_summary", with_ctes(_FOLDS) + """SELECT combo_id, scorer, round(mean, 6) AS mean, round(std, 6) AS std, folds

@@ -11,13 +11,17 @@ KINDS = ["click", "purchase", "view"]
 RULES = [v.Required("kind"), v.OneOf("kind", KINDS), v.Required("note"), v.Text("note", 2, 12)]
 
 
+RECORD_COLUMNS = [
+    "event_id", "user_id",
+    "CASE WHEN event_id % 19 = 0 THEN NULL ELSE event_type END AS kind",
+    """CASE WHEN event_id % 23 = 0 THEN '    ' WHEN event_id % 29 = 0 THEN 'x'
+            WHEN event_id % 31 = 0 THEN NULL ELSE concat('  ', props) END AS note""",
+]
+
+
 def records(spark, sf):
     """Events as submitted records: some without a kind, some with a bad note."""
-    return table(spark, sf, "events").selectExpr(
-        "event_id", "user_id",
-        "CASE WHEN event_id % 19 = 0 THEN NULL ELSE event_type END AS kind",
-        """CASE WHEN event_id % 23 = 0 THEN '    ' WHEN event_id % 29 = 0 THEN 'x'
-                WHEN event_id % 31 = 0 THEN NULL ELSE concat('  ', props) END AS note""")
+    return table(spark, sf, "events").selectExpr(*RECORD_COLUMNS)
 
 
 RECORDS = """records AS (SELECT event_id, user_id, CASE WHEN event_id % 19 = 0 THEN NULL ELSE event_type END AS kind,

@@ -15,7 +15,8 @@ from lodestat.operators.cleaning import text_columns
 from lodestat.operators.counts import long_values
 from lodestat.operators.fitted import join_fitted, quoted
 from lodestat.operators.imputing import fit_modes
-from lodestat.operators.sampling import _fraction, sample_ranks, within
+from lodestat.operators.ranking import hash_order_of
+from lodestat.operators.sampling import exact_share, sample_ranks, within
 from lodestat.operators.typing import small_cardinalities
 
 # Share given to a category that one side lacks, and thresholds.
@@ -29,14 +30,16 @@ def side_counts(
     current: DataFrame,
     columns: Sequence[str],
     null_as_category: bool = False,
+    digest: bool = False,
 ) -> DataFrame:
     """``(column, value, n_e, n_a)`` with both sides counted in one grouping.
 
     The side is a flag on the cell, so there is no join between the two tables;
-    a dominating category is summed up before the shuffle.
+    a dominating category is summed up before the shuffle.  ``digest`` replaces
+    long texts where only their identity matters.
     """
-    cells = long_values(baseline, columns, [F.lit(0).alias("side")]).unionByName(
-        long_values(current, columns, [F.lit(1).alias("side")])
+    cells = long_values(baseline, columns, [F.lit(0).alias("side")], digest).unionByName(
+        long_values(current, columns, [F.lit(1).alias("side")], digest)
     )
     if not null_as_category:
         cells = cells.filter(F.col("value").isNotNull())
@@ -110,7 +113,7 @@ def psi(
 ) -> DataFrame:
     """``(column, psi)`` for the text columns; a column without values on both sides gives NULL."""
     names = list(columns) if columns is not None else [c for c in text_columns(baseline) if c in current.columns]
-    found = psi_of(side_counts(baseline, current, names, null_as_category=null_as_category))
+    found = psi_of(side_counts(baseline, current, names, null_as_category, digest=True))
     listed = baseline.sparkSession.createDataFrame([(c,) for c in names], "column string")
     return listed.join(F.broadcast(found), "column", "left")  # one row per schema column
 
@@ -215,19 +218,19 @@ def inject_drift(df: DataFrame, key_cols: Sequence[str], plan: DriftPlan, seed:
     applies to a stretch of them.  Every column without a change of its own, the
     target and keys aside, is set to its mode on all picked rows.
     """
-    n_rows = df.count()
-    n_drift = math.floor(n_rows * _fraction(plan.share))
+    order = hash_order_of(df, key_cols, seed)
+    n_drift = math.floor(order.total() * exact_share(plan.share))
     bounds = sorted({n_drift, *[
-        math.floor(n_drift * _fraction(x)) for c in plan.changes for x in (c.start, c.end)
+        math.floor(n_drift * exact_share(x)) for c in plan.changes for x in (c.start, c.end)
     ]} - {0})
-    at = dict(zip(bounds, sample_ranks(df, key_cols, bounds, seed), strict=True)) if bounds else {}
+    at = dict(zip(bounds, sample_ranks(order, bounds), strict=True)) if bounds else {}
 
     def first(count: int) -> Column:
         return within(key_cols, seed, at.get(count))
 
     def stretch(change: Force | Draw) -> Column:
-        low = math.floor(n_drift * _fraction(change.start))
-        high = math.floor(n_drift * _fraction(change.end))
+        low = math.floor(n_drift * exact_share(change.start))
+        high = math.floor(n_drift * exact_share(change.end))
         return first(high) & ~first(low) if low else first(high)
 
     changed = {c.column: c for c in plan.changes if c.column in df.columns}
@@ -269,7 +272,7 @@ def windowed_psi(
     """Index per time window of ``current`` against the whole fixed baseline."""
     window_start = F.window(quoted(ts).cast("timestamp"), width)["start"].alias("window_start")
     counted = (
-        long_values(current, columns, [window_start])
+        long_values(current, columns, [window_start], digest=True)
         .filter(F.col("value").isNotNull())
         .groupBy("window_start", "column", "value").agg(F.count(F.lit(1)).alias("n_a"))
     )
@@ -277,7 +280,7 @@ def windowed_psi(
 
 
 def baseline_counts(baseline: DataFrame, columns: Sequence[str]) -> DataFrame:
-    cells = long_values(baseline, columns).filter(F.col("value").isNotNull())
+    cells = long_values(baseline, columns, digest=True).filter(F.col("value").isNotNull())
     return cells.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_e"))
 
 

@@ -145,14 +145,24 @@ def table_bytes(df: DataFrame) -> Column:
 def table_summary(df: DataFrame, roles: Roles | None = None) -> DataFrame:
     """Size, roles, missing share, duplicates and mean cardinality in one row."""
     roles = roles or split_num_cat(df)
-    nulls = null_profile(df).agg(F.avg("null_percent"))
+    width = len(df.columns)
+    filled = F.lit(0)
+    for c in df.columns:
+        filled = filled + _value(df, c).isNotNull().cast("int")
     distinct = cardinality(df).agg(F.avg("n_distinct"))
-    return df.agg(F.count(F.lit(1)).alias("rows"), table_bytes(df).alias("bytes")).select(
+    sums = df.agg(
+        F.count(F.lit(1)).alias("rows"), table_bytes(df).alias("bytes"),
+        F.coalesce(F.sum(filled), F.lit(0)).alias("filled"),
+    )
+    cells = F.col("rows") * width
+    return sums.select(
         "rows",
-        F.lit(len(df.columns)).alias("cols"),
+        F.lit(width).alias("cols"),
         F.lit(len(roles.numeric)).alias("n_numeric"),
         F.lit(len(roles.categorical)).alias("n_categorical"),
-        F.bround(nulls.scalar(), 2).alias("null_percent_mean"),
+        # Every column has as many rows, so the mean of shares is the share of all cells.
+        F.bround(F.when(cells > 0, (cells - F.col("filled")) * 100 / F.nullif(cells, F.lit(0))).otherwise(F.lit(0.0)), 2)
+        .alias("null_percent_mean"),
         duplicate_rows(df).scalar().alias("duplicates"),
         F.bround(F.col("bytes") / F.lit(1e6), 2).alias("size_mb"),
         F.bround(distinct.scalar(), 2).alias("cardinality_mean"),
@@ -193,7 +203,8 @@ def _plain(name: str) -> Column:
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
     """Count and percent per class, a missing class included."""
     counts = df.groupBy(quoted(target).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    # The total reads the same exchanged counts again, not the table.
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select("class", "n", F.bround(F.col("n") * 100 / total, 2).alias("percent"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from lodestat.functions.hashing import hash_bucket, hash_order
 from lodestat.functions.numbers import present
-from lodestat.operators.fitted import pin, quoted
+from lodestat.operators.fitted import PIN_ROWS, quoted, settle
 
 # Ranges are cut so that one ranking task sorts about this many rows.
 ROWS_PER_RANGE = 500_000
@@ -34,17 +34,19 @@ def global_rank(
 ) -> DataFrame:
     """Add the 1-based position of every row in a total order.
 
-    The rows are cut into ranges of the full sort key, ties included, so equal
-    leading values spread over several tasks.  Each range is ranked on its own
+    A small table is ranked as it is.  Otherwise it is written once and its rows
+    are cut into ranges of the full sort key, ties included, so equal leading
+    values spread over several tasks.  Each range is ranked on its own
     and shifted by the sizes of the ranges before it.  The cut points are chosen
     from a fixed-size sample and become literals: a poor sample costs balance,
     never the result, and a retried task cuts the same way.
     """
-    total = df.count()
-    ranges = math.ceil(total / rows_per_range) if total else 1
     order = [k.ordering() for k in keys]
-    if ranges <= 1:
-        return df.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    table, small = settle(df, "ranked", min(PIN_ROWS, rows_per_range))
+    ranges = 1 if small else math.ceil(table.count() / rows_per_range)
+    if ranges == 1:
+        return table.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    df = table
     cuts = _cut_points(df, keys, ranges)
     ranged = df.withColumn("__range", _range_of(keys, cuts, df.schema))
     sizes = {r["__range"]: r["n"] for r in ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -95,47 +97,62 @@ def _range_of(keys: Sequence[SortKey], cuts: Sequence[tuple], schema: T.StructTy
     return search(0, len(cuts)).cast("int")
 
 
-def hash_thresholds(
-    df: DataFrame,
-    key_cols: Sequence[str],
-    seed: int | str,
-    targets: DataFrame,
-    group_col: str | None = None,
-    hex_digits: int = 4,
-) -> DataFrame:
-    """Find which hash value stands at given ranks of the seeded hash order.
-
-    ``targets`` holds ``(grp, slot, rank)``: per group (a constant when
-    ``group_col`` is None) the wanted 1-based ranks.  Returns
-    ``(grp, slot, threshold)``.  Two narrow passes: rows per hash bucket, then
-    the rows of the one bucket that holds each rank.  With four hex digits a
-    bucket holds 1/65536 of its group whatever the group's size, so no task
-    ranks a whole group, and taking the first ``rank`` rows of a group
-    afterwards is the comparison ``hash <= threshold``.
+@dataclass(frozen=True)
+class HashOrder:
+    """The seeded hash order of a table's rows, optionally per group.
+
+    ``buckets`` holds ``(grp, bucket, n)``: rows per leading hash digits, at most
+    ``16 ** hex_digits`` per group whatever the size of the group.
     """
+
+    hashed: DataFrame
+    buckets: DataFrame
+
+    def sizes(self) -> DataFrame:
+        """``(grp, n)``: rows per group, summed from the buckets."""
+        return self.buckets.groupBy("grp").agg(F.sum("n").alias("n"))
+
+    def total(self) -> int:
+        return self.buckets.agg(F.sum("n")).first()[0] or 0
+
+
+def hash_order_of(
+    df: DataFrame, key_cols: Sequence[str], seed: int | str, group_col: str | None = None, hex_digits: int = 4
+) -> HashOrder:
     group = quoted(group_col) if group_col else F.lit(0)
     hashed = df.select(group.alias("grp"), hash_order(key_cols, seed).alias("h")).withColumn(
         "bucket", hash_bucket(F.col("h"), hex_digits)
     )
-    sizes = hashed.groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    # Bounded windows: at most 16**hex_digits buckets per group.
-    running = sizes.withColumn(
+    counted = hashed.groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return HashOrder(hashed, settle(counted, "buckets")[0])
+
+
+def hash_thresholds(order: HashOrder, targets: DataFrame) -> DataFrame:
+    """Find which hash value stands at given ranks of the hash order.
+
+    ``targets`` holds ``(grp, slot, rank)``: per group (the constant 0 without
+    groups) the wanted 1-based ranks.  Returns ``(grp, slot, threshold)``.  The
+    bucket that holds each rank is known from the bucket sizes; only the rows of
+    those buckets are ranked.  With four hex digits that is 1/65536 of a group,
+    so no task ranks a whole group, and taking the first ``rank`` rows of a
+    group afterwards is the comparison ``hash <= threshold``.
+    """
+    running = order.buckets.withColumn(
         "through", F.sum("n").over(Window.partitionBy("grp").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
     )
-    wanted = targets.filter(F.col("rank") >= 1)
+    wanted = targets.filter(F.col("rank") >= 1).select(F.col("grp").alias("g"), "slot", "rank")
     holding = (
-        running.join(wanted, F.equal_null(running["grp"], wanted["grp"]))
+        running.join(wanted, F.equal_null(F.col("grp"), F.col("g")))
         .filter((F.col("rank") <= F.col("through")) & (F.col("rank") > F.col("through") - F.col("n")))
         .select(
-            running["grp"].alias("g"), F.col("bucket").alias("b"), "slot",
-            (F.col("rank") - F.col("through") + F.col("n")).alias("inner_rank"),
+            "g", F.col("bucket").alias("b"), "slot", (F.col("rank") - F.col("through") + F.col("n")).alias("inner_rank")
         )
     )
-    holding, pinned = pin(holding)
-    if pinned:
+    holding, small = settle(holding, "holding")
+    if small:
         holding = F.broadcast(holding)
     here = F.equal_null(F.col("grp"), F.col("g")) & (F.col("bucket") == F.col("b"))
-    near = hashed.join(holding, here, "left_semi")
+    near = order.hashed.join(holding, here, "left_semi")
     ranked = near.withColumn("rn", F.row_number().over(Window.partitionBy("grp", "bucket").orderBy("h")))
     return ranked.join(holding, here & (F.col("rn") == F.col("inner_rank"))).select(
         "grp", "slot", F.col("h").alias("threshold")

@@ -15,34 +15,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.functions.hashing import hash_order
-from lodestat.operators.fitted import join_fitted, quoted
-from lodestat.operators.ranking import SortKey, global_rank, hash_thresholds
+from lodestat.operators.fitted import join_fitted, quoted, settle
+from lodestat.operators.ranking import HashOrder, SortKey, global_rank, hash_order_of, hash_thresholds
 
 
-def _fraction(share: float) -> Fraction:
+def exact_share(share: float) -> Fraction:
     # 0.2 means one fifth, not its nearest double.
     return Fraction(str(share))
 
 
-def class_quotas(df: DataFrame, label: str, test_share: float = 0.2) -> DataFrame:
-    """``(grp, n, quota)``: test rows per class by largest remainder.
+def class_quotas(sizes: DataFrame, test_share: float = 0.2) -> DataFrame:
+    """``(grp, n, quota)`` from ``(grp, n)``: test rows per class by largest remainder.
 
     The test size is the rounded-up share of all rows.  Each class first gets
     the whole part of its proportional size; the rows still missing go to the
     largest remainders, ties to the smaller label.
     """
-    sizes = df.groupBy(quoted(label).alias("grp")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    share = _fraction(test_share)
-    n_test = math.ceil(total * share)
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    n_test = math.ceil(total * exact_share(test_share))
     # Proportional size n * n_test / total in whole numbers: no rounding noise.
-    exact = F.col("n").cast("decimal(38,0)") * F.lit(n_test).cast("decimal(18,0)")
-    parts = sizes.select(
-        "grp", "n",
-        F.floor(exact / F.lit(max(total, 1))).cast("bigint").alias("base"),
-        F.expr(f"cast(cast(n as decimal(19,0)) * {n_test} % {max(total, 1)} as bigint)").alias("remainder"),
+    product = f"cast(n AS decimal(19,0)) * {n_test}"
+    parts = sizes.selectExpr(
+        "grp", "n", f"({product}) div {max(total, 1)} AS base",
+        f"cast(({product}) % {max(total, 1)} AS bigint) AS remainder",
     )
-    assigned = parts.agg(F.sum("base").alias("s")).first()["s"] or 0
+    parts, _ = settle(parts, "quotas")
+    assigned = parts.agg(F.sum("base")).first()[0] or 0
     ordered = global_rank(parts, [SortKey("remainder", descending=True), SortKey("grp")], "place")
     return ordered.select(
         "grp", "n", (F.col("base") + (F.col("place") <= F.lit(n_test - assigned)).cast("bigint")).alias("quota")
@@ -60,18 +58,22 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split_col`` = ``train`` / ``test`` with class shares kept.
 
-    A class with a single row cannot be on both sides: ``rare="raise"`` refuses
-    it, ``rare="train"`` keeps such classes in the training part.
+    Reads the table three times, label and key only but for the last: rows per
+    class and hash bucket, the rows of the buckets at a class's quota, and the
+    projection itself.  A class with a single row cannot be on both sides:
+    ``rare="raise"`` refuses it, ``rare="train"`` keeps such classes in the
+    training part.
     """
-    quotas = class_quotas(df, label, test_share)
+    if rare not in ("raise", "train"):
+        raise ValueError(f"unknown rare option: {rare}")
+    order = hash_order_of(df, key_cols, seed, label)
+    quotas = class_quotas(settle(order.sizes(), "sizes")[0], test_share)
     if rare == "raise":
         lonely = [r["grp"] for r in quotas.filter("n < 2").orderBy("grp").limit(10).collect()]
         if lonely:
             raise ValueError(f"classes with fewer than 2 rows cannot be split: {lonely}")
-    elif rare != "train":
-        raise ValueError(f"unknown rare option: {rare}")
     targets = quotas.filter("n >= 2").select("grp", F.lit(0).alias("slot"), F.col("quota").alias("rank"))
-    limits = hash_thresholds(df, key_cols, seed, targets, label).select(
+    limits = hash_thresholds(order, targets).select(
         F.col("grp").alias("__grp"), F.col("threshold").alias("__threshold")
     )
     joined = join_fitted(df, limits, F.equal_null(quoted(label), F.col("__grp")))
@@ -95,14 +97,14 @@ def stratified_folds(
     Folds are consecutive stretches of the hash order, larger ones first, so a
     fold is found by comparing with ``k - 1`` thresholds per class.
     """
-    sizes = df.groupBy(quoted(label).alias("grp")).agg(F.count(F.lit(1)).alias("n"))
-    ends = sizes.select(
+    order = hash_order_of(df, key_cols, seed, label)
+    ends = order.sizes().select(
         "grp",
         F.posexplode(F.transform(F.sequence(F.lit(1), F.lit(k - 1)), lambda i: (
             i * F.floor(F.col("n") / F.lit(k)) + F.least(i, F.pmod(F.col("n"), F.lit(k)))
         ).cast("bigint"))).alias("slot", "rank"),
     )
-    found = hash_thresholds(df, key_cols, seed, ends, label)
+    found = hash_thresholds(order, ends)
     limits = found.groupBy(F.col("grp").alias("__grp")).agg(
         F.array_sort(F.collect_list("threshold")).alias("__limits")  # at most k - 1 per class
     )
@@ -112,11 +114,11 @@ def stratified_folds(
     return joined.select(*[quoted(c) for c in df.columns], passed.alias(fold_col))
 
 
-def sample_ranks(df: DataFrame, key_cols: Sequence[str], cuts: Sequence[int], seed: int | str = 42) -> list[str | None]:
+def sample_ranks(order: HashOrder, cuts: Sequence[int]) -> list[str | None]:
     """Thresholds of the first ``c`` rows of the hash order, per cut ``c``."""
-    spark = df.sparkSession
+    spark = order.hashed.sparkSession
     targets = spark.createDataFrame([(0, i, int(c)) for i, c in enumerate(cuts)], "grp int, slot int, rank bigint")
-    found = {r["slot"]: r["threshold"] for r in hash_thresholds(df, key_cols, seed, targets).collect()}
+    found = {r["slot"]: r["threshold"] for r in hash_thresholds(order, targets).collect()}
     return [found.get(i) for i in range(len(cuts))]
 
 
@@ -127,8 +129,8 @@ def within(key_cols: Sequence[str], seed: int | str, threshold: str | None) -> C
 
 def seeded_sample(df: DataFrame, key_cols: Sequence[str], share: float, seed: int | str = 42) -> DataFrame:
     """Exactly ``floor(n * share)`` rows without replacement."""
-    n = math.floor(df.count() * _fraction(share))
-    (threshold,) = sample_ranks(df, key_cols, [n], seed)
+    order = hash_order_of(df, key_cols, seed)
+    (threshold,) = sample_ranks(order, [math.floor(order.total() * exact_share(share))])
     return df.filter(within(key_cols, seed, threshold))
 
 

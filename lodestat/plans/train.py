@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from lodestat.operators.cleaning import drop_invalid_features, drop_missing_target
 from lodestat.operators.encoding import encode_ordinal, fit_categories, one_hot_stages
 from lodestat.operators.evaluation import confusion_counts, ordinal_metrics, summary_metrics
+from lodestat.operators.fitted import quoted
 from lodestat.operators.runs import cv_summary, top_models
 from lodestat.operators.sampling import stratified_split
 from lodestat.operators.training import (
     Classifier, fit_classifier, fit_ordinal, forest, grid_search, index_labels, ordinal_forest, prepare, score_rows,
 )
+from lodestat.session import materialize
 
 
 @dataclass(frozen=True)
@@ -26,6 +28,11 @@ class Training:
     metrics: DataFrame
 
 
+def _needed(df: DataFrame, *groups: Sequence[str] | str) -> DataFrame:
+    names = [c for g in groups for c in ([g] if isinstance(g, str) else g)]
+    return df.select(*[quoted(c) for c in dict.fromkeys(names)])
+
+
 def holdout_counts(classifier: Classifier, rows: DataFrame) -> DataFrame:
     names = F.array(*[F.lit(x) for x in classifier.labels])
     coded = index_labels(rows, classifier.label_col, classifier.labels)
@@ -41,8 +48,10 @@ def train(
     estimator: Estimator | None = None, seed: int = 42, clean: bool = False,
 ) -> Training:
     """Split, fit on the training part, evaluate on the test part."""
-    rows = drop_invalid_features(drop_missing_target(df, label), label) if clean else df
-    split = stratified_split(rows, key_cols, label, seed=seed)
+    rows = _needed(drop_invalid_features(drop_missing_target(df, label), label) if clean else df,
+                   key_cols, label, categorical, numeric)
+    # Fitting passes over the rows many times: the split table is written once.
+    split = materialize(stratified_split(rows, key_cols, label, seed=seed), "split")
     classifier = fit_classifier(split.filter("split = 'train'"), label, categorical, numeric, estimator or forest())
     counts = holdout_counts(classifier, split.filter("split = 'test'"))
     return Training(classifier, counts, summary_metrics(counts))
@@ -53,7 +62,8 @@ def train_ordinal(
     numeric: Sequence[str] = (), estimator: Estimator | None = None, seed: int = 42,
 ) -> tuple[Classifier, DataFrame]:
     """The ordinal variant: continuous prediction, MAE and rounded class metrics."""
-    split = stratified_split(df, key_cols, label, seed=seed)
+    split = materialize(
+        stratified_split(_needed(df, key_cols, label, categorical, numeric), key_cols, label, seed=seed), "split")
     classifier = fit_ordinal(
         split.filter("split = 'train'"), label, ordered, categorical, numeric, estimator or ordinal_forest()
     )
@@ -67,6 +77,7 @@ def search(
     parallelism: int = 4, seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
     """Cross-validated search: ``(summary per combination and scorer, ranked best)``."""
+    df = materialize(_needed(df, key_cols, label, categorical, numeric), "search")
     labels = fit_categories(df, [label])[label]
     coded = index_labels(df, label, labels, "label_id")
     data = prepare(coded, key_cols, "label_id", one_hot_stages(df, categorical, numeric), folds, seed)
@@ -81,6 +92,7 @@ def search_ordinal(
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
     """The ordinal search: combinations ranked by the smallest mean absolute error."""
+    df = materialize(_needed(df, key_cols, label, categorical, numeric), "search")
     coded = encode_ordinal(df, label, ordered, "label_id")
     data = prepare(coded, key_cols, "label_id", one_hot_stages(df, categorical, numeric), folds, seed)
     scores = grid_search(data, ordinal_forest, combos, folds, n_classes=len(ordered), parallelism=parallelism)

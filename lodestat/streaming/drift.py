@@ -24,7 +24,7 @@ def count_windows(
     """
     stamped = records.select(quoted(ts).cast("timestamp").alias("__ts"), *[quoted(c) for c in columns])
     watched = stamped.withWatermark("__ts", late)
-    cells = long_values(watched, columns, [F.col("__ts")]).filter(F.col("value").isNotNull())
+    cells = long_values(watched, columns, [F.col("__ts")], digest=True).filter(F.col("value").isNotNull())
     counts = cells.groupBy(F.window("__ts", width).alias("w"), "column", "value").agg(
         F.count(F.lit(1)).alias("n_a")
     ).select(F.col("w.start").alias("window_start"), "column", "value", "n_a")
