@@ -99,7 +99,7 @@ def target_balance(spark, sf):
     return p.target_balance(docs_labeled(spark, sf), "quality").withColumn("top_share", r6("top_share"))
 
 
-_SMALL = ["l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+_SMALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 _COUNTS = "counted AS (" + union_all([
     f"""SELECT '{c}' AS "column", {c}::VARCHAR AS value, count(*) AS n FROM lineitem GROUP BY {c}
     HAVING (SELECT count(DISTINCT {c}) FROM lineitem) BETWEEN 2 AND 20""" for c in _SMALL]) + ")"
