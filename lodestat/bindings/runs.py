@@ -87,7 +87,7 @@ def global_rank(spark, sf):
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey", "l_returnflag")
     keys = [SortKey("l_returnflag", True), SortKey("l_extendedprice", True), SortKey("l_orderkey"), SortKey("l_partkey"),
             SortKey("l_suppkey"), SortKey("l_linenumber")]
-    return rank(df, keys, rows_per_range=10_000).drop("l_returnflag")
+    return rank(df, keys, small_rows=10_000).drop("l_returnflag")
 
 
 @query("latest_run", with_ctes(EVENT_RUNS) + """SELECT experiment_id, run_id, end_time FROM runs

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Symbols removed before a numeric parse.
-NUMERIC_SYMBOLS = "[,%$]"
+NUMERIC_SYMBOLS = ",%$"
 # Texts that mean "missing" before typing.
 TYPING_NULLS = ("", "nan", "None")
 # Texts that mean "missing" when rows are filtered (lower case).
@@ -22,9 +22,12 @@ CSV_NULLS = (
     "nan", "null",
 )
 
-# Unicode white space plus the four separator controls that text trimming in the
-# original data treats as blank.
-_BLANK = r"[\s\x1c-\x1f]"
+# Every character that text trimming treats as blank.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 INTEGER_LITERAL = r"^[+-]?[0-9]+$"
 NUMBER_LITERAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -32,16 +35,17 @@ INFINITE_LITERAL = r"(?i)^[+-]?inf(inity)?$"
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def collapse_blanks(col: Column) -> Column:
-    return F.regexp_replace(col, f"(?U){_BLANK}+", " ")
+    """Every run of blanks as one space; the pattern then has a single character."""
+    return F.regexp_replace(F.translate(col, BLANKS, " " * len(BLANKS)), " {2,}", " ")
 
 
 def strip_symbols(col: Column) -> Column:
     """Remove thousands separators, percent and currency signs, then trim."""
-    return strip(F.regexp_replace(col, NUMERIC_SYMBOLS, ""))
+    return strip(F.translate(col, NUMERIC_SYMBOLS, ""))
 
 
 def null_if_token(col: Column, tokens: tuple[str, ...] = TYPING_NULLS) -> Column:

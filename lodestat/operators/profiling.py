@@ -324,22 +324,54 @@ def numeric_notes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(i, j, column_a, column_b, r)`` for every pair ``i < j``; missing values drop pairwise.
 
-    One aggregation with a fixed-size buffer per pair.  Fewer than two columns
-    give no rows.
+    A first pass finds means and gaps.  Pairs of complete columns then need one
+    sum of centred products each, which stays small generated code however many
+    pairs there are; pairs with gaps use the correlation aggregate.  A constant
+    column has no correlation.  Fewer than two columns give no rows.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     pairs = list(combinations(range(len(names)), 2))
     schema = "i int, j int, column_a string, column_b string, r double"
     if not pairs:
         return df.sparkSession.createDataFrame([], schema)
-    values = [_value(df, c).cast("double") for c in names]
-    row = df.agg(*[F.corr(values[i], values[j]).alias(f"r{i}_{j}") for i, j in pairs])
+    wide = df.select(*[_value(df, c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    first = wide.agg(F.count(F.lit(1)).alias("n"), *[
+        f(F.col(f"x{i}")).alias(f"{kind}{i}") for i in range(len(names))
+        for kind, f in (("count", F.count), ("mean", F.avg), ("low", F.min), ("high", F.max))
+    ]).first()
+    n = first["n"]
+    complete = [first[f"count{i}"] == n for i in range(len(names))]
+    constant = [first[f"low{i}"] == first[f"high{i}"] for i in range(len(names))]
+    centred = wide.select(*[
+        (F.col(f"x{i}") - F.lit(first[f"mean{i}"])).alias(f"d{i}") if complete[i] else F.col(f"x{i}").alias(f"d{i}")
+        for i in range(len(names))
+    ])
+    sums = [F.lit(0).alias("none")]
+    for i in range(len(names)):
+        if complete[i]:
+            sums += [F.sum(f"d{i}").alias(f"s{i}"), F.sum(F.col(f"d{i}") * F.col(f"d{i}")).alias(f"q{i}")]
+    for i, j in pairs:
+        both = F.sum(F.col(f"d{i}") * F.col(f"d{j}")) if complete[i] and complete[j] else F.corr(f"d{i}", f"d{j}")
+        sums.append(both.alias(f"p{i}_{j}"))
+
+    def spread(i: int) -> Column:
+        # The rest of the mean's rounding is taken out as well.
+        return F.col(f"q{i}") - F.col(f"s{i}") * F.col(f"s{i}") / F.lit(n)
+
+    def r(i: int, j: int) -> Column:
+        if constant[i] or constant[j]:
+            return F.lit(None).cast("double")
+        if not (complete[i] and complete[j]):
+            return F.col(f"p{i}_{j}")
+        cross = F.col(f"p{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}") / F.lit(n)
+        return F.greatest(F.least(cross / F.sqrt(spread(i) * spread(j)), F.lit(1.0)), F.lit(-1.0))
+
     structs = [
         F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(names[i]).alias("column_a"),
-                 F.lit(names[j]).alias("column_b"), F.col(f"r{i}_{j}").alias("r"))
+                 F.lit(names[j]).alias("column_b"), r(i, j).alias("r"))
         for i, j in pairs
     ]
-    return row.select(F.inline(F.array(*structs)))
+    return centred.agg(*sums).select(F.inline(F.array(*structs)))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -8,16 +8,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodestat.functions.hashing import hash_bucket, hash_order
 from lodestat.functions.numbers import present
-from lodestat.operators.fitted import PIN_ROWS, quoted, settle
-
-# Ranges are cut so that one ranking task sorts about this many rows.
-ROWS_PER_RANGE = 500_000
-SAMPLE_PER_RANGE = 16
-
+from lodestat.operators.fitted import PIN_ROWS, join_fitted, pin, quoted, settle
+from lodestat.session import materialize
 
 @dataclass(frozen=True)
 class SortKey:
@@ -29,72 +24,39 @@ class SortKey:
         return col.desc_nulls_last() if self.descending else col.asc_nulls_last()
 
 
+# Position within a partition in the generated row ids: the low 33 bits.
+_POSITION = (1 << 33) - 1
+
+
 def global_rank(
-    df: DataFrame, keys: Sequence[SortKey], rank_col: str = "rank", rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, keys: Sequence[SortKey], rank_col: str = "rank", small_rows: int = PIN_ROWS
 ) -> DataFrame:
     """Add the 1-based position of every row in a total order.
 
-    A small table is ranked as it is.  Otherwise it is written once and its rows
-    are cut into ranges of the full sort key, ties included, so equal leading
-    values spread over several tasks.  Each range is ranked on its own
-    and shifted by the sizes of the ranges before it.  The cut points are chosen
-    from a fixed-size sample and become literals: a poor sample costs balance,
-    never the result, and a retried task cuts the same way.
+    A small table is ranked as it is.  Otherwise the rows are range-partitioned
+    on the full sort key, ties included, so equal leading values spread over
+    several tasks, and sorted within each range.  They are written once with
+    range and position; adding the sizes of the ranges before it completes the
+    rank.  The rows are shuffled once and no task sees more than its range.
     """
     order = [k.ordering() for k in keys]
-    table, small = settle(df, "ranked", min(PIN_ROWS, rows_per_range))
-    ranges = 1 if small else math.ceil(table.count() / rows_per_range)
-    if ranges == 1:
+    table, small = pin(df, small_rows)
+    if small:
         return table.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    df = table
-    cuts = _cut_points(df, keys, ranges)
-    ranged = df.withColumn("__range", _range_of(keys, cuts, df.schema))
-    sizes = {r["__range"]: r["n"] for r in ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, offsets = 0, []
-    for i in range(len(cuts) + 1):
-        offsets.append(before)
-        before += sizes.get(i, 0)
-    shift = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("__range") + 1)
-    in_range = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    return ranged.withColumn(rank_col, in_range + shift).drop("__range")
-
-
-def _cut_points(df: DataFrame, keys: Sequence[SortKey], ranges: int) -> list[tuple]:
-    columns = [quoted(k.name) for k in keys]
-    sample_size = ranges * SAMPLE_PER_RANGE
-    sample = (
-        df.select(*columns)
-        .orderBy(F.xxhash64(*columns))
-        .limit(sample_size)
-        .orderBy(*[k.ordering() for k in keys])
-        .collect()
-    )
-    picked = [tuple(sample[i]) for i in range(SAMPLE_PER_RANGE, len(sample), SAMPLE_PER_RANGE)]
-    return list(dict.fromkeys(picked))
-
-
-def _range_of(keys: Sequence[SortKey], cuts: Sequence[tuple], schema: T.StructType) -> Column:
-    """Number of cut points at or before the row, found by halving."""
-
-    def after(cut: tuple) -> Column:
-        # Row comes at or after the cut point in the sort order.
-        result: Column = F.lit(True)
-        for key, value in reversed(list(zip(keys, cut, strict=True))):
-            col, literal = quoted(key.name), F.lit(value).cast(schema[key.name].dataType)
-            if value is None:  # nulls come last
-                result = col.isNull() & result
-                continue
-            beyond = (col < literal) if key.descending else (col > literal)
-            result = col.isNull() | beyond | ((col == literal) & result)
-        return result
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(after(cuts[middle]), search(middle + 1, high)).otherwise(search(low, middle))
-
-    return search(0, len(cuts)).cast("int")
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(
+        df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn(
+            "__place", F.monotonically_increasing_id()),
+        "ranked",
+    ).withColumn("__range", F.shiftright("__place", 33))
+    # One row per range: a window over at most as many rows as partitions.
+    sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("__range", F.coalesce(
+        F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    ).alias("__before"))
+    joined = join_fitted(placed, offsets, "__range", "inner")
+    rank = F.col("__before") + F.col("__place").bitwiseAND(F.lit(_POSITION)) + 1
+    return joined.select(*[quoted(c) for c in df.columns], rank.alias(rank_col))
 
 
 @dataclass(frozen=True)
@@ -124,7 +86,7 @@ def hash_order_of(
         "bucket", hash_bucket(F.col("h"), hex_digits)
     )
     counted = hashed.groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    return HashOrder(hashed, settle(counted, "buckets")[0])
+    return HashOrder(hashed, materialize(counted, "buckets"))
 
 
 def hash_thresholds(order: HashOrder, targets: DataFrame) -> DataFrame:
@@ -170,136 +132,142 @@ def exact_quantiles(
     """Exact interpolated quantiles of several columns.
 
     A single exact percentile aggregate keeps every distinct value of the table
-    in one task.  Here each pass brackets the wanted rank between two sketch
+    in one task.  Here each pass brackets the wanted ranks between two sketch
     quantiles with a guaranteed rank error, counts the rows below the bracket,
     and repeats inside it until few rows are left; those are counted by value.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    values = {c: present(c, types[c]).cast("double") for c in columns}
     if not columns:
         return {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    values = {c: present(c, types[c]).cast("double") for c in columns}
     counts = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    wanted: dict[tuple[str, int], float | None] = {}
-    plan: dict[str, dict[float, tuple[int, int, float]]] = {}
+    out: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probabilities) for c in columns}
+    wanted: dict[tuple[str, int, int], _Bracket] = {}
+    places = {}
     for i, c in enumerate(columns):
         n = counts[f"n{i}"]
-        plan[c] = {}
-        for p in probabilities:
-            if n:
-                at = p * (n - 1)
-                low, high = math.floor(at), math.ceil(at)
-                plan[c][p] = (low, high, at - low)
-                wanted[(c, low)] = wanted[(c, high)] = None
-    # (column, rank) -> open bracket: lowest value, highest value, rows before it, rows in it
-    n_of = {c: counts[f"n{i}"] for i, c in enumerate(columns)}
-    brackets = {k: (None, None, 0, n_of[k[0]]) for k in wanted}
+        for p in probabilities if n else ():
+            at = p * (n - 1)
+            places[(c, p)] = (c, math.floor(at), math.ceil(at)), at - math.floor(at)
+            wanted[places[(c, p)][0]] = _Bracket(None, None, 0, n)
     while True:
-        wide = {k: b for k, b in brackets.items() if b[3] > finish_rows and (b[0] is None or b[0] != b[1])}
+        wide = {k: b for k, b in wanted.items() if b.rows > finish_rows and (b.low is None or b.low != b.high)}
         if not wide:
             break
-        brackets.update(_narrow(df, values, wide))
-    for (c, rank), value in _finish(df, values, brackets).items():
-        wanted[(c, rank)] = value
-    out: dict[str, dict[float, float | None]] = {}
-    for c in columns:
-        out[c] = {}
-        for p in probabilities:
-            if p not in plan[c]:
-                out[c][p] = None
-                continue
-            low, high, part = plan[c][p]
-            a, b = wanted[(c, low)], wanted[(c, high)]
-            out[c][p] = a if low == high else a + (b - a) * part
+        wanted.update(_narrow(df, values, wide))
+    ends = _finish(df, values, wanted)
+    for (c, p), (key, part) in places.items():
+        low, high = ends[key]
+        out[c][p] = low if low == high else low + (high - low) * part
     return out
 
 
-def _inside(value: Column, low: float | None, high: float | None) -> Column:
-    return F.when((value >= F.lit(low)) & (value <= F.lit(high)), value) if low is not None else value
+@dataclass(frozen=True)
+class _Bracket:
+    """Values from ``low`` to ``high`` (all when None): rows before them, rows in them."""
+
+    low: float | None
+    high: float | None
+    before: int
+    rows: int
+
+    def keep(self, value: Column) -> Column:
+        if self.low is None:
+            return value
+        return F.when((value >= F.lit(self.low)) & (value <= F.lit(self.high)), value)
+
+    def holds(self, first: int, last: int) -> bool:
+        return self.before <= first and last < self.before + self.rows
 
 
 def _narrow(df: DataFrame, values: dict[str, Column], wide: dict) -> dict:
-    keys = list(wide)
+    # One sketch per distinct bracket, asked for the ends of all its ranks.
+    shared: dict[tuple[str, _Bracket], list] = {}
+    for key, bracket in wide.items():
+        shared.setdefault((key[0], bracket), []).append(key)
+    margin = 2.0 / _ACCURACY
     sketches = []
-    for i, (c, rank) in enumerate(keys):
-        low, high, before, n = wide[(c, rank)]
-        p = (rank - before + 0.5) / n
-        margin = 2.0 / _ACCURACY
-        ends = [max(p - margin, 0.0), min(p + margin, 1.0)]
-        sketches.append(F.percentile_approx(_inside(values[c], low, high), ends, _ACCURACY).alias(f"s{i}"))
+    for i, ((c, b), keys) in enumerate(shared.items()):
+        ends = []
+        for _, first, last in keys:
+            ends += [max((first - b.before) / b.rows - margin, 0.0), min((last - b.before + 1) / b.rows + margin, 1.0)]
+        sketches.append(F.percentile_approx(b.keep(values[c]), ends, _ACCURACY).alias(f"s{i}"))
     found = df.agg(*sketches).first()
+    tight: dict = {}
     counters = []
-    for i, (c, rank) in enumerate(keys):
-        a, b = found[f"s{i}"]
-        counters += [
-            F.count_if(values[c] < F.lit(a)).alias(f"below{i}"),
-            F.count_if((values[c] >= F.lit(a)) & (values[c] <= F.lit(b))).alias(f"in{i}"),
-        ]
+    for i, ((c, _), keys) in enumerate(shared.items()):
+        for j, key in enumerate(keys):
+            low, high = found[f"s{i}"][2 * j : 2 * j + 2]
+            at = len(tight)
+            tight[key] = (low, high)
+            value = values[c]
+            counters += [
+                F.count_if(value < F.lit(low)).alias(f"b{at}"),
+                F.count_if((value >= F.lit(low)) & (value <= F.lit(high))).alias(f"i{at}"),
+            ]
     row = df.agg(*counters).first()
     result = {}
-    for i, (c, rank) in enumerate(keys):
-        a, b = found[f"s{i}"]
-        low, high, before, n = wide[(c, rank)]
-        below, inside = row[f"below{i}"], row[f"in{i}"]
-        if below <= rank < below + inside and inside < n:
-            result[(c, rank)] = (a, b, below, inside)
-        elif below > rank:  # outside the bracket: keep the part below it
-            result[(c, rank)] = (low if low is not None else float("-inf"), _just_below(a), before, below - before)
-        elif rank >= below + inside:
-            top = high if high is not None else float("inf")
-            result[(c, rank)] = (_just_above(b), top, below + inside, before + n - below - inside)
-        else:
-            # The sketch did not narrow: halve the value range instead.
-            result[(c, rank)] = _halve(df, values[c], rank, a, b, below, inside)
+    for at, (key, (low, high)) in enumerate(tight.items()):
+        candidate = _Bracket(low, high, row[f"b{at}"], row[f"i{at}"])
+        if candidate.holds(key[1], key[2]) and (candidate.rows < wide[key].rows or low == high):
+            result[key] = candidate
+        else:  # no progress by rank: halve the value range
+            result[key] = _halve(df, values[key[0]], key, wide[key])
     return result
 
 
-def _just_below(x: float) -> float:
-    return math.nextafter(x, -math.inf)
-
+def _halve(df: DataFrame, value: Column, key: tuple[str, int, int], bracket: _Bracket) -> _Bracket:
+    if bracket.low is None:
+        ends = df.agg(F.min(value).alias("a"), F.max(value).alias("b")).first()
+        return _Bracket(ends["a"], ends["b"], 0, bracket.rows)
+    middle = bracket.low / 2 + bracket.high / 2
+    middle = min(max(middle, bracket.low), math.nextafter(bracket.high, -math.inf))
+    low_part = (value >= F.lit(bracket.low)) & (value <= F.lit(middle))
+    row = df.agg(F.count_if(low_part).alias("n"), F.max(F.when(low_part, value)).alias("a"),
+                 F.min(F.when((value > F.lit(middle)) & (value <= F.lit(bracket.high)), value)).alias("b")).first()
+    lower = _Bracket(bracket.low, row["a"], bracket.before, row["n"])
+    upper = _Bracket(row["b"], bracket.high, bracket.before + row["n"], bracket.rows - row["n"])
+    if lower.rows and lower.holds(key[1], key[2]):
+        return lower
+    if upper.rows and upper.holds(key[1], key[2]):
+        return upper
+    # The two ranks lie on either side of the middle: only their values matter.
+    return _Bracket(row["a"], row["b"], *_between(df, value, row["a"], row["b"]))
 
-def _just_above(x: float) -> float:
-    return math.nextafter(x, math.inf)
 
-
-def _halve(df: DataFrame, value: Column, rank: int, low: float, high: float, below: int, inside: int):
-    if math.isinf(low) or math.isinf(high):
-        middle = 0.0 if low < 0 < high else (1e300 if high > 0 else -1e300)
-        middle = min(max(middle, _just_above(low) if math.isinf(low) else low), high)
-    else:
-        middle = low + (high - low) / 2
-    middle = min(middle, _just_below(high))
-    in_low = df.agg(F.count_if((value >= F.lit(low)) & (value <= F.lit(middle))).alias("n")).first()["n"]
-    if rank < below + in_low:
-        return (low, middle, below, in_low)
-    return (_just_above(middle), high, below + in_low, inside - in_low)
+def _between(df: DataFrame, value: Column, low: float, high: float) -> tuple[int, int]:
+    row = df.agg(F.count_if(value < F.lit(low)).alias("b"),
+                 F.count_if((value >= F.lit(low)) & (value <= F.lit(high))).alias("i")).first()
+    return row["b"], row["i"]
 
 
 def _finish(df: DataFrame, values: dict[str, Column], brackets: dict) -> dict:
-    result = {k: b[0] for k, b in brackets.items() if b[0] is not None and b[0] == b[1]}
+    """``{key: (value at the first rank, value at the last rank)}``."""
+    result = {k: (b.low, b.low) for k, b in brackets.items() if b.low is not None and b.low == b.high}
     open_keys = [k for k in brackets if k not in result]
     if not open_keys:
         return result
-    distinct = list({(c, brackets[(c, r)][0], brackets[(c, r)][1]) for c, r in open_keys})
-    slot_of = {b: i for i, b in enumerate(distinct)}
-    cells = [
-        F.struct(F.lit(i).alias("slot"), _inside(values[c], low, high).alias("value"))
-        for i, (c, low, high) in enumerate(distinct)
-    ]
+    slots: dict[tuple[str, float | None, float | None], int] = {}
+    for k in open_keys:
+        slots.setdefault((k[0], brackets[k].low, brackets[k].high), len(slots))
+    cells = []
+    for (c, low, high), slot in slots.items():
+        cells.append(F.struct(F.lit(slot).alias("slot"), _Bracket(low, high, 0, 0).keep(values[c]).alias("value")))
     counted = (
         df.select(F.inline(F.array(*cells)))
         .filter(F.col("value").isNotNull())
         .groupBy("slot", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # At most finish_rows rows per slot by construction.
-    running = counted.withColumn(
-        "through", F.sum("n").over(Window.partitionBy("slot").orderBy("value"))
-    )
+    # At most FINISH_ROWS rows per slot, or two values, by construction.
+    running = counted.withColumn("through", F.sum("n").over(Window.partitionBy("slot").orderBy("value")))
     picks = []
-    for j, (c, rank) in enumerate(open_keys):
-        low, high, before, _ = brackets[(c, rank)]
-        hit = (F.col("slot") == slot_of[(c, low, high)]) & (F.col("through") > rank - before)
-        picks.append(F.min(F.when(hit, F.col("value"))).alias(f"v{j}"))
+    for j, k in enumerate(open_keys):
+        b = brackets[k]
+        here = F.col("slot") == slots[(k[0], b.low, b.high)]
+        for side, rank in enumerate(k[1:]):
+            hit = here & (F.col("through") > rank - b.before)
+            picks.append(F.min(F.when(hit, F.col("value"))).alias(f"v{j}_{side}"))
     row = running.agg(*picks).first()
-    result.update({k: row[f"v{j}"] for j, k in enumerate(open_keys)})
+    result.update({k: (row[f"v{j}_0"], row[f"v{j}_1"]) for j, k in enumerate(open_keys)})
     return result

@@ -37,15 +37,17 @@ def fit_typing(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str,
     names = _text_columns(df, columns)
     if not names:
         return {}
+    # Cleaned once per cell, then tested; columns by position, whatever their names.
+    cleaned = df.select(*[text.clean_numeric_text(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)])
     flags: list[Column] = []
-    for i, name in enumerate(names):
-        cleaned = text.clean_numeric_text(quoted(name))
+    for i in range(len(names)):
+        cell = F.col(f"c{i}")
         flags += [
-            F.count(cleaned).alias(f"n{i}"),
-            F.bool_and(cleaned.isNull() | text.is_number_text(cleaned)).alias(f"number{i}"),
-            F.bool_and(cleaned.isNull() | text.is_integer_text(cleaned)).alias(f"integer{i}"),
+            F.count(cell).alias(f"n{i}"),
+            F.bool_and(cell.isNull() | text.is_number_text(cell)).alias(f"number{i}"),
+            F.bool_and(cell.isNull() | text.is_integer_text(cell)).alias(f"integer{i}"),
         ]
-    row = df.agg(*flags).first()
+    row = cleaned.agg(*flags).first()
     decided = {}
     for i, name in enumerate(names):
         if row[f"number{i}"] is None:  # zero rows: nothing to decide

@@ -106,6 +106,17 @@ def test_correlation(spark):
     assert p.correlation_matrix(df).count() == 16
 
 
+def test_correlation_of_large_offsets_constants_and_single_rows(spark):
+    df = spark.range(200).select(
+        (F.lit(1e9) + F.col("id") / 7).alias("a"), (F.lit(1e9) + F.pmod(F.xxhash64("id"), F.lit(97)) / 3).alias("b"),
+        F.lit(0.1).alias("flat"))
+    frame = df.toPandas()
+    found = {(r["column_a"], r["column_b"]): r["r"] for r in p.correlation(df).collect()}
+    assert found[("a", "b")] == pytest.approx(frame["a"].corr(frame["b"]), abs=1e-9)
+    assert found[("a", "flat")] is None
+    assert p.correlation(df.limit(1)).first()["r"] is None
+
+
 def test_variance_and_columns(spark):
     df = spark.range(50).select(F.col("id").alias("PC1"), (F.col("id") * 3).alias("wide"), F.col("id").alias("mid"),
                                 F.lit(1).alias("mixed_type_col_2"))

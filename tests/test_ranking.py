@@ -12,7 +12,7 @@ from lodestat.operators.ranking import SortKey, exact_quantiles, global_rank
 
 def test_global_rank_spreads_a_hot_value(spark):
     df = skewed(spark).select("key", "label", "x")
-    ranked = global_rank(df, [SortKey("label", True), SortKey("x"), SortKey("key")], rows_per_range=1000)
+    ranked = global_rank(df, [SortKey("label", True), SortKey("x"), SortKey("key")], small_rows=1000)
     rows = ranked.toPandas()
     expected = rows.sort_values(["label", "x", "key"], ascending=[False, True, True])
     assert expected["rank"].tolist() == list(range(1, 30_001))
@@ -21,16 +21,15 @@ def test_global_rank_spreads_a_hot_value(spark):
 
 def test_ranges_stay_balanced_under_skew(spark):
     df = skewed(spark).select("key", "label")
-    keys = [SortKey("label"), SortKey("key")]
-    cuts = ranking._cut_points(df, keys, 30)
-    sizes = df.groupBy(ranking._range_of(keys, cuts, df.schema).alias("r")).count().toPandas()["count"]
-    assert sizes.max() < 30_000 / 30 * 3  # the hot third is spread over many ranges
+    order = [SortKey("label").ordering(), SortKey("key").ordering()]
+    sizes = df.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.max() < 30_000 / 8 * 2  # the hot third is spread over several ranges
 
 
 def test_global_rank_with_nulls(spark):
     df = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 != 0, F.col("id") % 11).alias("v"))
-    rows = global_rank(df, [SortKey("v", True), SortKey("id")], rows_per_range=200).toPandas().sort_values("rank")
+    rows = global_rank(df, [SortKey("v", True), SortKey("id")], small_rows=200).toPandas().sort_values("rank")
     assert rows["rank"].tolist() == list(range(1, 3001))
     assert rows["v"].tail(1000).isna().all()
     top = rows.head(2000)
