@@ -10,6 +10,7 @@ from lodestat.bindings.registry import (
 )
 from lodestat.operators import drift as d
 from lodestat.operators.evaluation import confusion_counts, summary_metrics
+from lodestat.session import materialize
 
 CATEGORIES = ["o_orderpriority", *FEATURES]
 
@@ -152,8 +153,9 @@ def drift_inject(spark, sf):
         d.Draw("c_mktsegment", 0.4, 0.7, smallest=2),
         d.Draw("r_name", 0.0, 0.5, preferred=("ASIA", "EUROPE")),
     ))
-    df = orders_feat(spark, sf).select(
-        "o_orderkey", "o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name", "n_name", "o_totalprice")
+    # Several statistics passes follow: the joined table is written once.
+    df = materialize(orders_feat(spark, sf).select(
+        "o_orderkey", "o_orderpriority", "o_orderstatus", "c_mktsegment", "r_name", "n_name", "o_totalprice"), "feat")
     return d.inject_drift(df, ["o_orderkey"], plan)
 
 

@@ -107,7 +107,7 @@ def ordinal_encode(spark, sf):
 
 
 # ---------------------------------------------------------------- splits
-SPLIT = ORDERS_FEAT + """, sizes AS (SELECT o_orderpriority AS grp, count(*) AS n FROM orders_feat GROUP BY 1),
+SPLIT = """sizes AS (SELECT o_orderpriority AS grp, count(*) AS n FROM orders GROUP BY 1),
 total AS (SELECT sum(n)::BIGINT AS n, ceil(sum(n) * 2 / 10.0)::BIGINT AS n_test FROM sizes),
 parts AS (SELECT grp, s.n * n_test // total.n AS base, s.n * n_test % total.n AS rest
   FROM sizes s, total),
@@ -115,30 +115,30 @@ placed AS (SELECT *, row_number() OVER (ORDER BY rest DESC, grp) AS place FROM p
 quotas AS (SELECT grp, base + CASE WHEN place <= (SELECT n_test FROM total) - (SELECT sum(base) FROM parts)
   THEN 1 ELSE 0 END AS quota FROM placed),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority
-  ORDER BY md5(o_orderkey::VARCHAR || '|42')) AS rn FROM orders_feat),
+  ORDER BY md5(o_orderkey::VARCHAR || '|42')) AS rn FROM orders),
 split AS (SELECT ranked.*, CASE WHEN rn <= quota THEN 'test' ELSE 'train' END AS split
   FROM ranked JOIN quotas ON grp = o_orderpriority)"""
 
 
 @query("stratified_split", with_ctes(SPLIT) + "SELECT o_orderkey, o_orderpriority, split FROM split")
 def stratified_split(spark, sf):
-    df = orders_feat(spark, sf).select("o_orderkey", "o_orderpriority")
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     return sampling.stratified_split(df, ["o_orderkey"], "o_orderpriority")
 
 
 @query("holdout_semi_join", with_ctes(SPLIT) + """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
   WHERE o_orderkey IN (SELECT o_orderkey FROM split WHERE split = 'test')""")
 def holdout_semi_join(spark, sf):
-    df = orders_feat(spark, sf).select("o_orderkey", "o_orderpriority")
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     split = sampling.stratified_split(df, ["o_orderkey"], "o_orderpriority")
     other = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     return sampling.holdout_rows(other, split, ["o_orderkey"])
 
 
-@query("kfold_assign", with_ctes(ORDERS_FEAT) + """SELECT o_orderkey, o_orderpriority, (ntile(5) OVER (
-  PARTITION BY o_orderpriority ORDER BY md5(o_orderkey::VARCHAR || '|42')) - 1)::INT AS fold FROM orders_feat""")
+@query("kfold_assign", """SELECT o_orderkey, o_orderpriority, (ntile(5) OVER (
+  PARTITION BY o_orderpriority ORDER BY md5(o_orderkey::VARCHAR || '|42')) - 1)::INT AS fold FROM orders""")
 def kfold_assign(spark, sf):
-    df = orders_feat(spark, sf).select("o_orderkey", "o_orderpriority")
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     return sampling.stratified_folds(df, ["o_orderkey"], "o_orderpriority", 5)
 
 
@@ -155,6 +155,6 @@ def seeded_sample(spark, sf):
 @query("split_shares", with_ctes(SPLIT) + """SELECT split, o_orderpriority AS class, count(*) AS n,
   round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY split), 6) AS share FROM split GROUP BY 1, 2""")
 def split_shares(spark, sf):
-    df = orders_feat(spark, sf).select("o_orderkey", "o_orderpriority")
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
     split = sampling.stratified_split(df, ["o_orderkey"], "o_orderpriority")
     return sampling.split_shares(split, "split", "o_orderpriority").withColumn("share", r6("share"))

@@ -14,8 +14,8 @@ from lodestat.operators.drift import Draw, DriftPlan, Force, inject_drift
 from lodestat.operators.evaluation import class_report
 from lodestat.operators.scoring import evaluate, score
 from lodestat.plans.drift import drift_report
-from lodestat.plans.train import search, search_ordinal, train, train_ordinal
-from lodestat.session import scratch_path
+from lodestat.plans.train import refit, search, search_ordinal, train, train_ordinal
+from lodestat.session import materialize, scratch_path
 from lodestat.sources.models import choose_classifier, load_classifier, save_classifier
 from lodestat.streaming.drift import count_windows, monitor
 from lodestat.streaming.scoring import score_stream
@@ -32,8 +32,7 @@ def vectors(spark, sf):
                      *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)]), names
 
 
-def _status_model(spark, sf):
-    df = orders_feat(spark, sf)
+def _status_model(df):
     names = ["o_orderpriority", "c_mktsegment", "r_name"]
     return m.fit_classifier(df, "o_orderstatus", names, NUMERIC, m.forest(**SMALL_FOREST))
 
@@ -124,6 +123,14 @@ def grid_search(spark, sf):
     return summary
 
 
+@query("refit_combinations")
+def refit_combinations(spark, sf):
+    """Boosting grid compared on the holdout, each combination refitted on all training rows."""
+    df = docs_labeled(spark, sf).filter("quality IS NOT NULL").withColumn("target", F.col("quality").cast("string"))
+    combos = m.combinations_of({"stepSize": [0.1, 0.2], "maxIter": [2]})
+    return refit(df, ["doc_id"], "target", ["lang", "source"], ["n_chars"], combos, m.boosting)
+
+
 @query("grid_search_ordinal")
 def grid_search_ordinal(spark, sf):
     combos = m.combinations_of({"numTrees": [3], "maxDepth": [3, 5]})
@@ -134,21 +141,21 @@ def grid_search_ordinal(spark, sf):
 
 @query("batch_scoring")
 def batch_scoring(spark, sf):
-    scored = score(orders_feat(spark, sf), _status_model(spark, sf), ["o_orderkey"])
+    scored = score(orders_feat(spark, sf), _status_model(orders_feat(spark, sf)), ["o_orderkey"])
     total = F.aggregate(F.map_values("all_probabilities"), F.lit(0.0), lambda a, x: a + x)
     return scored.select("o_orderkey", "predicted", r6("confidence").alias("confidence"), r6(total).alias("total"))
 
 
 @query("saved_model_accuracy")
 def saved_model_accuracy(spark, sf):
-    path = save_classifier(_status_model(spark, sf), scratch_path(spark, "model"))
+    path = save_classifier(_status_model(orders_feat(spark, sf)), scratch_path(spark, "model"))
     return evaluate(orders_feat(spark, sf), load_classifier(spark, path))
 
 
 @query("model_choice")
 def model_choice(spark, sf):
     """No model at the local path: the newest run with a model is loaded and scores the table."""
-    path = save_classifier(_status_model(spark, sf), scratch_path(spark, "run-model"))
+    path = save_classifier(_status_model(orders_feat(spark, sf)), scratch_path(spark, "run-model"))
     runs = table(spark, sf, "events").groupBy(F.col("event_type").alias("experiment"), F.col("user_id").cast("string").alias(
         "run_id")).agg(F.max("event_id").alias("end_time")).withColumn("has_model", F.lit(True)).withColumn(
         "model_path", F.lit(path))
@@ -159,13 +166,13 @@ def model_choice(spark, sf):
 @query("drift_report")
 def drift_report_query(spark, sf):
     """A perturbed copy of the table against the original, with a fitted model."""
-    df = orders_feat(spark, sf)
+    df = materialize(orders_feat(spark, sf), "feat")
     plan = DriftPlan("o_orderstatus", (
         Force("c_mktsegment", "BUILDING", 0.0, 0.4), Draw("r_name", 0.4, 0.7, smallest=2),
         Draw("o_orderpriority", 0.0, 0.5, preferred=("1-URGENT",)),
     ))
     changed = inject_drift(df.drop("o_orderdate"), ["o_orderkey"], plan)
-    return drift_report(_status_model(spark, sf), df.drop("o_orderdate"), changed, ["o_orderkey"])[0]
+    return drift_report(_status_model(df), df.drop("o_orderdate"), changed, ["o_orderkey"])[0]
 
 
 # ---------------------------------------------------------------- streams

@@ -10,6 +10,8 @@ from lodestat.bindings.registry import (
 )
 from lodestat.operators import runs as t
 from lodestat.operators.evaluation import confusion_counts, summary_metrics
+from lodestat.session import scratch_path
+from lodestat.sources.runstore import write_by_experiment
 
 NAMES = ["click", "error", "purchase", "signup", "view"]
 NAMED = EVENT_EXPERIMENTS + ", " + EVENT_RUNS + """, named AS (
@@ -75,6 +77,23 @@ def model_ranking(spark, sf):
         "model", r6("test_f1_weighted").alias("test_f1_weighted"), "rank", "medal")
 
 
+@query("experiment_rankings", with_ctes(EVENT_RUNS, EVENT_EXPERIMENTS) + """SELECT
+  translate(experiment, ' /\\', '___') AS experiment_safe, model, run_id,
+  row_number() OVER (PARTITION BY experiment ORDER BY f1_weighted DESC, model) AS rank FROM (
+    SELECT experiment, coalesce(run_name, 'unknown') AS model, run_id, f1_weighted
+    FROM runs JOIN experiments USING (experiment_id)
+    QUALIFY row_number() OVER (PARTITION BY experiment, coalesce(run_name, 'unknown') ORDER BY f1_weighted DESC, run_id) = 1)""")
+def experiment_rankings(spark, sf):
+    """One ranking per experiment, written to one folder each and read back."""
+    runs = event_runs(spark, sf).join(event_experiments(spark, sf), "experiment_id")
+    named = t.model_names(runs, None, combined=False)
+    # The same model name in two experiments is two models here.
+    keyed = named.withColumn("pair", F.struct("experiment", "model"))
+    best = t.best_run_per_model(keyed.drop("model"), "f1_weighted", "pair").select("pair.model", "run_id", "f1_weighted", "experiment")
+    path = write_by_experiment(t.rank_models(best, within="experiment"), scratch_path(spark, "rankings"))
+    return spark.read.parquet(path).select("experiment_safe", "model", "run_id", "rank")
+
+
 @query("global_rank", """SELECT l_orderkey, l_linenumber, l_extendedprice, l_partkey, l_suppkey,
   row_number() OVER (ORDER BY l_returnflag DESC, l_extendedprice DESC, l_orderkey, l_partkey, l_suppkey, l_linenumber) AS rank
   FROM lineitem""")

@@ -62,13 +62,13 @@ def is_number_text(col: Column) -> Column:
 
 
 def is_integer_text(col: Column) -> Column:
-    return col.rlike(INTEGER_LITERAL) & col.try_cast("bigint").isNotNull()
+    # The pattern comes first: a failing cast costs an exception per value.
+    return F.when(col.rlike(INTEGER_LITERAL), col.try_cast("bigint").isNotNull()).otherwise(F.lit(False))
 
 
 def number_from_text(col: Column) -> Column:
-    """Parse a text accepted by :func:`is_number_text` to double."""
-    infinite = F.when(col.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(col.rlike(INFINITE_LITERAL), infinite).otherwise(col.try_cast("double"))
+    """Parse a text accepted by :func:`is_number_text` to double, infinities included."""
+    return col.try_cast("double")
 
 
 def normalize_category(col: Column, null_token: str | None = None) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.functions.numbers import half_even_class, ratio
-from lodestat.operators.fitted import quoted
+from lodestat.operators.fitted import quoted, settle
 
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -121,7 +121,7 @@ def ordinal_metrics(df: DataFrame, label: str, prediction: str, n_classes: int)
     """MAE of the continuous prediction and class metrics after rounding.
 
     The absolute errors are summed inside the confusion count, so the rows are
-    read once.
+    read once; everything else works on at most classes squared rows.
     """
     error = F.abs(quoted(label) - quoted(prediction))
     cells = (
@@ -130,6 +130,7 @@ def ordinal_metrics(df: DataFrame, label: str, prediction: str, n_classes: int)
                  half_even_class(quoted(prediction), n_classes).alias("prediction"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(error).alias("error"))
     )
+    cells, _ = settle(cells, "cells")
     mae = cells.agg(ratio(F.sum("error"), F.sum("n")).alias("mae"))
     return summary_metrics(cells.select("label", "prediction", "n")).select(
         mae.scalar().alias("mae"), "accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "n"

@@ -14,7 +14,7 @@ from lodestat.functions.numbers import corrected_skewness, present
 from lodestat.operators.counts import position_of, value_counts, value_text
 from lodestat.operators.fitted import quoted
 from lodestat.operators.ranking import exact_quantiles
-from lodestat.operators.typing import Roles, small_cardinalities, split_num_cat
+from lodestat.operators.typing import Roles, small_cardinalities, small_value_counts, split_num_cat
 
 # Names taken as the target, in order of preference.
 TARGET_NAMES = ("Performance", "performance", "target", "label", "Target", "Label")
@@ -222,12 +222,13 @@ def category_counts(
 ) -> DataFrame:
     """Counts per value of the categorical columns with 2 to ``max_values`` values, NULL included.
 
-    Columns beyond the limit are found by the screening pass and never counted.
+    Columns beyond the limit are found by the screening pass and never counted;
+    the others are counted in one pass.
     """
     names = list(columns) if columns is not None else split_num_cat(df).categorical
-    few = small_cardinalities(df, names, max_values)
-    shown = [c for c in names if c in few and 2 <= few[c][0] + (few[c][1] > 0) <= max_values]
-    return value_counts(df, shown)
+    counts, found = small_value_counts(df, names, max_values)
+    shown = [c for c in names if c in found and 2 <= found[c][0] + (found[c][1] > 0) <= max_values]
+    return counts.filter(F.col("column").isin(shown))
 
 
 def category_notes(counts: DataFrame) -> DataFrame:

@@ -59,6 +59,19 @@ def global_rank(
     return joined.select(*[quoted(c) for c in df.columns], rank.alias(rank_col))
 
 
+def rank_within(
+    df: DataFrame, group: str, keys: Sequence[SortKey], rank_col: str = "rank", small_rows: int = PIN_ROWS
+) -> DataFrame:
+    """Rank inside each group: the global rank by group and keys, counted from the group's first row.
+
+    A group with most of the rows is ranked by several tasks.
+    """
+    ranked = global_rank(df, [SortKey(group), *keys], "__global", small_rows)
+    first = ranked.groupBy(quoted(group).alias("__group")).agg(F.min("__global").alias("__first"))
+    joined = join_fitted(ranked, first, F.equal_null(quoted(group), F.col("__group")), "inner")
+    return joined.select(*[quoted(c) for c in df.columns], (F.col("__global") - F.col("__first") + 1).alias(rank_col))
+
+
 @dataclass(frozen=True)
 class HashOrder:
     """The seeded hash order of a table's rows, optionally per group.

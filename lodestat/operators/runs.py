@@ -7,8 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.operators.fitted import join_fitted, quoted
-from lodestat.operators.ranking import SortKey, global_rank
+from lodestat.operators.fitted import join_fitted, quoted, settle
+from lodestat.operators.ranking import SortKey, global_rank, rank_within
 
 # Names under which a metric may have been logged, best first.
 METRIC_ALIASES: Mapping[str, Sequence[str]] = {
@@ -51,7 +51,7 @@ def runs_per_experiment(experiments: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def model_names(runs: DataFrame, experiments: DataFrame, combined: bool = True) -> DataFrame:
+def model_names(runs: DataFrame, experiments: DataFrame | None, combined: bool = True) -> DataFrame:
     """Add ``model``: the run name, prefixed by its experiment when several are combined."""
     base = F.coalesce("run_name", F.lit("unknown"))
     if not combined:
@@ -86,9 +86,13 @@ def _score_column(df: DataFrame) -> str:
     return next((c for c in ("test_f1_weighted", "f1_weighted") if c in df.columns), df.columns[1])
 
 
-def rank_models(runs: DataFrame, model: str = "model") -> DataFrame:
-    """Rank by the first available F1 column, descending, with a medal for the first three."""
-    ranked = global_rank(runs, [SortKey(_score_column(runs), descending=True), SortKey(model)])
+def rank_models(runs: DataFrame, model: str = "model", within: str | None = None) -> DataFrame:
+    """Rank by the first available F1 column, descending, with a medal for the first three.
+
+    ``within`` ranks inside each value of that column, one report per experiment.
+    """
+    keys = [SortKey(_score_column(runs), descending=True), SortKey(model)]
+    ranked = rank_within(runs, within, keys) if within else global_rank(runs, keys)
     medal = F.lit("")
     for place, sign in MEDALS.items():
         medal = F.when(F.col("rank") == place, sign).otherwise(medal)
@@ -121,6 +125,7 @@ def top_models(results: DataFrame, score: str, combo: str = "combo_id", n: int =
 
 def flag_best(results: DataFrame, score: str) -> DataFrame:
     """Flag every row that reaches the best score."""
+    results, _ = settle(results, "results")
     best = results.agg(F.max(quoted(score))).scalar()
     return results.withColumn("is_best", quoted(score) == best)
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from lodestat.functions import text
 from lodestat.functions.numbers import is_numeric, present
 from lodestat.operators.counts import value_counts
-from lodestat.operators.fitted import quoted
+from lodestat.operators.fitted import quoted, settle
 
 # Fixed value: columns with at most this many distinct values are categories.
 CATEGORY_MAX = 30
@@ -118,17 +118,30 @@ def small_cardinalities(df: DataFrame, columns: Sequence[str], cap: int = CATEGO
     candidates = _screen(df, columns, cap)
     if not candidates:
         return {}
-    rows = (
-        value_counts(df, candidates, digest=True)
-        .groupBy("column")
-        .agg(F.count("value").alias("distinct"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls"))
-        .collect()
-    )
-    found = {r["column"]: (r["distinct"], r["nulls"] or 0) for r in rows}
+    found = _distinct_and_nulls(value_counts(df, candidates, digest=True))
     # A zero-row table has no cells at all: every column has zero values.
     return {c: found.get(c, (0, 0)) for c in candidates if found.get(c, (0, 0))[0] <= cap}
 
 
+def _distinct_and_nulls(counts: DataFrame) -> dict[str, tuple[int, int]]:
+    rows = counts.groupBy("column").agg(
+        F.count("value").alias("distinct"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls")
+    ).collect()
+    return {r["column"]: (r["distinct"], r["nulls"] or 0) for r in rows}
+
+
+def small_value_counts(
+    df: DataFrame, columns: Sequence[str], cap: int
+) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+    """Value counts of the columns that may be within the cap, computed once.
+
+    Returns the counts and, per column found, its distinct values and rows with
+    null; columns that turn out to be above the cap are still among them.
+    """
+    counts, _ = settle(value_counts(df, _screen(df, columns, cap)), "counts")
+    return counts, _distinct_and_nulls(counts)
+
+
 @dataclass(frozen=True)
 class Roles:
     numeric: list[str]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,3 +99,23 @@ def search_ordinal(
     negative = scores.withColumn("neg_mae", -F.col("mae"))
     summary = cv_summary(score_rows(negative, ["neg_mae"]))
     return summary, top_models(summary, "mean", n=top)
+
+
+def refit(
+    df: DataFrame, key_cols: Sequence[str], label: str, categorical: Sequence[str], numeric: Sequence[str],
+    combos: Sequence[Mapping], build: Callable[..., Estimator] = forest, parallelism: int = 4, seed: int = 42,
+) -> DataFrame:
+    """Fit every given combination on the whole training part and score it on the holdout.
+
+    Returns ``(combo_id, <metrics>)``; used for the winners of a search and for
+    grids that compare all combinations on the test rows.
+    """
+    labels = fit_categories(df, [label])[label]
+    split = stratified_split(_needed(df, key_cols, label, categorical, numeric), key_cols, label, seed=seed)
+    coded = index_labels(split, label, labels, "label_id")
+    stages = one_hot_stages(df, categorical, numeric)
+    data = Pipeline(stages=stages).fit(coded).transform(coded).select(
+        "features", F.col("label_id").alias("label"), F.when(F.col("split") == "test", 0).otherwise(1).alias("fold"))
+    # Only the fit that leaves the test rows out is needed.
+    scores = grid_search(data, build, combos, 1, parallelism=parallelism)
+    return scores.filter("part = 'test'").drop("fold", "part")

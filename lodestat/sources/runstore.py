@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RECORD = "experiment_id string, run_id string, kind string, name string, value string, run_date date"
+from lodestat.operators.fitted import join_fitted
+from lodestat.operators.runs import safe_name
+
+RECORD = (
+    "experiment_id string, run_id string, kind string, name string, value string, ts timestamp, run_date date"
+)
 
 
 def _part(position_from_end: int) -> Column:
@@ -57,15 +62,28 @@ def read_experiments(spark: SparkSession, root: str) -> DataFrame:
 
 
 def append_records(records: DataFrame, path: str) -> None:
-    """Append report or run rows ``(experiment_id, run_id, kind, name, value)`` under today's date."""
-    dated = records if "run_date" in records.columns else records.withColumn("run_date", F.current_date())
-    dated.write.mode("append").partitionBy("run_date").parquet(path)
+    """Append report or run rows ``(experiment_id, run_id, kind, name, value)``, stamped and kept by day."""
+    stamped = records if "ts" in records.columns else records.withColumn("ts", F.current_timestamp())
+    stamped.withColumn("run_date", F.to_date("ts")).write.mode("append").partitionBy("run_date").parquet(path)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD).parquet(path)
 
 
+def latest_records(records: DataFrame) -> DataFrame:
+    """The rows of the newest run of every experiment; on equal times the larger run id."""
+    newest = records.groupBy("experiment_id").agg(F.max_by("run_id", F.struct("ts", "run_id")).alias("run_id"))
+    return join_fitted(records, newest, ["experiment_id", "run_id"], "left_semi")
+
+
+def write_by_experiment(df: DataFrame, path: str, experiment: str = "experiment") -> str:
+    """One output folder per experiment, its name made safe for a path."""
+    named = df.withColumn("experiment_safe", safe_name(F.col(experiment)))
+    named.write.mode("overwrite").partitionBy("experiment_safe").parquet(path)
+    return path
+
+
 def metric_records(metrics: DataFrame, experiment_id: str, run_id: str, kind: str = "metric") -> DataFrame:
     """A one-row metric frame as long records."""
     names = metrics.columns

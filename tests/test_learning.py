@@ -6,7 +6,7 @@ from lodestat.operators.runs import latest_model_run
 from lodestat.operators.scoring import evaluate, score
 from lodestat.operators.validation import OneOf, Required
 from lodestat.plans.drift import drift_report
-from lodestat.plans.train import search, search_ordinal, train, train_ordinal
+from lodestat.plans.train import refit, search, search_ordinal, train, train_ordinal
 from lodestat.sources.models import choose_classifier, load_classifier, save_classifier
 from lodestat.streaming.drift import count_windows, monitor
 from lodestat.streaming.scoring import score_stream
@@ -91,6 +91,13 @@ def test_ordinal_search(rows):
     assert summary.count() == 2 and best.orderBy("rank").first()["mean"] <= 0
 
 
+def test_refit_scores_the_holdout(rows):
+    out = refit(rows, ["key"], "Performance", ["time"], ["hours"], m.combinations_of({"numTrees": [2], "maxDepth": [1, 4]}))
+    found = {r["combo_id"]: r for r in out.collect()}
+    assert set(found) == {0, 1} and all(r["n"] == 180 for r in found.values())
+    assert found[1]["accuracy"] > 0.8
+
+
 def test_grid_sizes():
     assert m.grid_size(m.FOREST_GRID) == 60
     assert m.grid_size({"a": [1, 2], "b": [1, 2, 3]}, 3) == 18

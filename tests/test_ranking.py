@@ -19,6 +19,14 @@ def test_global_rank_spreads_a_hot_value(spark):
     assert len(rows) == 30_000
 
 
+def test_rank_within_a_hot_group(spark):
+    df = skewed(spark).select("key", "label", "x")
+    rows = ranking.rank_within(df, "label", [SortKey("x", True), SortKey("key")], small_rows=1000).toPandas()
+    for _, part in rows.groupby("label"):
+        ordered = part.sort_values(["x", "key"], ascending=[False, True])
+        assert ordered["rank"].tolist() == list(range(1, len(part) + 1))
+
+
 def test_ranges_stay_balanced_under_skew(spark):
     df = skewed(spark).select("key", "label")
     order = [SortKey("label").ordering(), SortKey("key").ordering()]

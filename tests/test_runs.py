@@ -82,6 +82,20 @@ def test_records_append(spark, tmp_path):
     assert back.count() == 4 and back.filter("run_id = 'r2' and name = 'f1'").first()["value"] == "0.25"
 
 
+def test_latest_records_and_output_per_experiment(spark, tmp_path):
+    rows = [("e 1", "r1", "metric", "f1", "0.1", "2024-01-01 00:00:00"), ("e 1", "r2", "metric", "f1", "0.2", "2024-01-02 00:00:00"),
+            ("e/2", "r3", "metric", "f1", "0.3", "2023-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, "experiment_id string, run_id string, kind string, name string, value string, ts string")
+    df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+    path = str(tmp_path / "records")
+    runstore.append_records(df, path)
+    newest = runstore.latest_records(runstore.read_records(spark, path))
+    assert {r["run_id"] for r in newest.collect()} == {"r2", "r3"}
+    out = runstore.write_by_experiment(df, str(tmp_path / "out"), "experiment_id")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["experiment_safe=e_1", "experiment_safe=e_2"]
+    assert spark.read.parquet(out).count() == 3
+
+
 def test_grid(spark):
     seed = spark.range(1).select(F.array(F.lit(1), F.lit(2)).alias("a"), F.array(F.lit("x"), F.lit("y"), F.lit("z")).alias("b"))
     grid = t.parameter_grid(seed, {"a": F.col("a"), "b": F.col("b")})
