@@ -20,11 +20,6 @@ def hash_order(key_cols: Sequence[str], seed: int | str) -> Column:
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
-def hash_bucket(hashed: Column, hex_digits: int = 4) -> Column:
-    """Leading hex digits as a number: an order-preserving bucket of the hash."""
-    return F.conv(F.substring(hashed, 1, hex_digits), 16, 10).cast("int")
-
-
 def hash_choice(hashed: Column, n: int) -> Column:
     """0-based pseudo-random choice among ``n`` values."""
     return F.pmod(F.conv(F.substring(hashed, 17, 12), 16, 10).cast("bigint"), F.lit(n)).cast("int")
@@ -47,4 +42,4 @@ def row_digest(schema: T.StructType, columns: Sequence[str] | None = None) -> Co
             field.dataType, (T.ArrayType, T.MapType, T.StructType)
         ) else value.cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+    return F.unhex(F.sha2(F.concat(*parts), 256))

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestat.functions.hashing import hash_bucket, hash_order
+from lodestat.functions.hashing import hash_order
 from lodestat.functions.numbers import present
 from lodestat.operators.fitted import PIN_ROWS, join_fitted, pin, quoted, settle
 from lodestat.session import materialize
@@ -72,65 +72,84 @@ def rank_within(
     return joined.select(*[quoted(c) for c in df.columns], (F.col("__global") - F.col("__first") + 1).alias(rank_col))
 
 
+# Leading hash digits counted first, and digits added while a prefix holds more
+# rows than one task should rank.
+FIRST_DIGITS, MORE_DIGITS, RANKED_ROWS = 3, 4, 1_000_000
+
+
 @dataclass(frozen=True)
 class HashOrder:
     """The seeded hash order of a table's rows, optionally per group.
 
-    ``buckets`` holds ``(grp, bucket, n)``: rows per leading hash digits, at most
-    ``16 ** hex_digits`` per group whatever the size of the group.
+    ``prefixes`` holds ``(grp, prefix, n)``: rows per leading hash digits, at
+    most 4,096 per group whatever the size of the group.
     """
 
     hashed: DataFrame
-    buckets: DataFrame
+    prefixes: DataFrame
 
     def sizes(self) -> DataFrame:
-        """``(grp, n)``: rows per group, summed from the buckets."""
-        return self.buckets.groupBy("grp").agg(F.sum("n").alias("n"))
+        """``(grp, n)``: rows per group, summed from the prefixes."""
+        return self.prefixes.groupBy("grp").agg(F.sum("n").alias("n"))
 
     def total(self) -> int:
-        return self.buckets.agg(F.sum("n")).first()[0] or 0
+        return self.prefixes.agg(F.sum("n")).first()[0] or 0
 
 
 def hash_order_of(
-    df: DataFrame, key_cols: Sequence[str], seed: int | str, group_col: str | None = None, hex_digits: int = 4
+    df: DataFrame, key_cols: Sequence[str], seed: int | str, group_col: str | None = None
 ) -> HashOrder:
     group = quoted(group_col) if group_col else F.lit(0)
-    hashed = df.select(group.alias("grp"), hash_order(key_cols, seed).alias("h")).withColumn(
-        "bucket", hash_bucket(F.col("h"), hex_digits)
-    )
-    counted = hashed.groupBy("grp", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    return HashOrder(hashed, materialize(counted, "buckets"))
+    hashed = df.select(group.alias("grp"), hash_order(key_cols, seed).alias("h"))
+    counted = hashed.groupBy("grp", F.substring("h", 1, FIRST_DIGITS).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+    return HashOrder(hashed, materialize(counted, "prefixes"))
 
 
-def hash_thresholds(order: HashOrder, targets: DataFrame) -> DataFrame:
+def hash_thresholds(order: HashOrder, targets: DataFrame, ranked_rows: int = RANKED_ROWS) -> DataFrame:
     """Find which hash value stands at given ranks of the hash order.
 
     ``targets`` holds ``(grp, slot, rank)``: per group (the constant 0 without
     groups) the wanted 1-based ranks.  Returns ``(grp, slot, threshold)``.  The
-    bucket that holds each rank is known from the bucket sizes; only the rows of
-    those buckets are ranked.  With four hex digits that is 1/65536 of a group,
-    so no task ranks a whole group, and taking the first ``rank`` rows of a
-    group afterwards is the comparison ``hash <= threshold``.
+    prefix that holds each rank is known from the prefix sizes; only its rows
+    are ranked, after longer prefixes while it holds too many.  So no task ranks
+    a whole group, and taking the first ``rank`` rows of a group afterwards is
+    the comparison ``hash <= threshold``.
     """
-    running = order.buckets.withColumn(
-        "through", F.sum("n").over(Window.partitionBy("grp").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    wanted = targets.filter(F.col("rank") >= 1).select(F.col("grp").alias("g"), "slot", "rank")
-    holding = (
-        running.join(wanted, F.equal_null(F.col("grp"), F.col("g")))
-        .filter((F.col("rank") <= F.col("through")) & (F.col("rank") > F.col("through") - F.col("n")))
-        .select(
-            "g", F.col("bucket").alias("b"), "slot", (F.col("rank") - F.col("through") + F.col("n")).alias("inner_rank")
-        )
-    )
-    holding, small = settle(holding, "holding")
-    if small:
-        holding = F.broadcast(holding)
-    here = F.equal_null(F.col("grp"), F.col("g")) & (F.col("bucket") == F.col("b"))
-    near = order.hashed.join(holding, here, "left_semi")
-    ranked = near.withColumn("rn", F.row_number().over(Window.partitionBy("grp", "bucket").orderBy("h")))
-    return ranked.join(holding, here & (F.col("rn") == F.col("inner_rank"))).select(
-        "grp", "slot", F.col("h").alias("threshold")
+    wanted = targets.filter(F.col("rank") >= 1).select(
+        F.col("grp").alias("g"), "slot", "rank", F.lit("").alias("parent"))
+    digits = FIRST_DIGITS
+    counted = order.prefixes.withColumn("parent", F.lit(""))
+    while True:
+        holding, small = settle(_holding(counted, wanted), "holding")
+        side = F.broadcast(holding) if small else holding
+        # Null-safe on both keys: the hash is never null and needs no null filter.
+        here = F.equal_null(F.col("grp"), F.col("g")) & F.equal_null(F.substring("h", 1, digits), F.col("prefix"))
+        near = order.hashed.join(side, here, "left_semi")
+        if not holding.filter(F.col("n") > ranked_rows).limit(1).count():
+            break
+        counted = near.groupBy(
+            "grp", F.substring("h", 1, digits).alias("parent"),
+            F.substring("h", 1, digits + MORE_DIGITS).alias("prefix"),
+        ).agg(F.count(F.lit(1)).alias("n"))
+        wanted = holding.select("g", "slot", "rank", F.col("prefix").alias("parent"))
+        digits += MORE_DIGITS
+    ranked = near.withColumn("at", F.substring("h", 1, digits)).withColumn(
+        "rn", F.row_number().over(Window.partitionBy("grp", "at").orderBy("h")))
+    place = F.equal_null(F.col("grp"), F.col("g")) & (F.col("at") == F.col("prefix")) & (F.col("rn") == F.col("rank"))
+    return ranked.join(side, place).select("grp", "slot", F.col("h").alias("threshold"))
+
+
+def _holding(counted: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The prefix that holds each wanted rank, and the rank inside it."""
+    # At most 16 ** digits rows per window: prefixes that share group and parent.
+    window = Window.partitionBy("grp", "parent").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    running = counted.withColumn("through", F.sum("n").over(window)).withColumnRenamed("parent", "above")
+    same = F.equal_null(F.col("grp"), F.col("g")) & (F.col("above") == F.col("parent"))
+    before = F.col("through") - F.col("n")
+    return (
+        running.join(wanted, same)
+        .filter((F.col("rank") <= F.col("through")) & (F.col("rank") > before))
+        .select("g", "prefix", "n", "slot", (F.col("rank") - before).alias("rank"))
     )
 
 

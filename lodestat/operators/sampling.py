@@ -109,8 +109,11 @@ def stratified_folds(
         F.array_sort(F.collect_list("threshold")).alias("__limits")  # at most k - 1 per class
     )
     joined = join_fitted(df, limits, F.equal_null(quoted(label), F.col("__grp")))
+    # Plain comparisons share one hash per row; a lambda would hash per threshold.
     h = hash_order(key_cols, seed)
-    passed = F.size(F.filter(F.coalesce(F.col("__limits"), F.array().cast("array<string>")), lambda x: x < h))
+    passed = F.lit(0)
+    for i in range(k - 1):
+        passed = passed + F.coalesce(F.get("__limits", F.lit(i)) < h, F.lit(False)).cast("int")
     return joined.select(*[quoted(c) for c in df.columns], passed.alias(fold_col))
 
 

@@ -93,15 +93,26 @@ def test_split_without_pinning_gives_the_same_rows(spark, monkeypatch):
     assert spread.filter("split = 'test'").select("key").toPandas()["key"].sort_values().tolist() == expected
 
 
-def test_split_ranks_only_boundary_buckets(spark):
-    # No task may rank a whole class: the window partitions hold one bucket.
+@pytest.mark.parametrize("ranked_rows", [1_000_000, 3, 1])
+def test_thresholds_by_longer_prefixes(spark, ranked_rows):
+    # With a low bound the prefix is lengthened until one task ranks few rows.
     df = skewed(spark).select("key", "label")
-    order = ranking.hash_order_of(df, ["key"], 42, "label", hex_digits=2)
-    targets = spark.createDataFrame([("hot", 0, 5000)], "grp string, slot int, rank long")
-    found = ranking.hash_thresholds(order, targets).first()["threshold"]
-    hot = order.hashed.filter("grp = 'hot'")
-    assert hot.filter(F.col("h") <= found).count() == 5000
-    assert order.buckets.filter("grp = 'hot'").agg(F.max("n")).first()[0] < 10_000 / 256 * 3
+    order = ranking.hash_order_of(df, ["key"], 42, "label")
+    targets = spark.createDataFrame(
+        [("hot", 0, 5000), ("hot", 1, 1), ("hot", 2, 10_000), ("c1", 0, 7), ("c1", 1, 8)], "grp string, slot int, rank long")
+    rows = ranking.hash_thresholds(order, targets, ranked_rows).collect()
+    assert len(rows) == 5
+    ranks = {("hot", 0): 5000, ("hot", 1): 1, ("hot", 2): 10_000, ("c1", 0): 7, ("c1", 1): 8}
+    for r in rows:
+        below = order.hashed.filter((F.col("grp") == r["grp"]) & (F.col("h") <= r["threshold"])).count()
+        assert below == ranks[(r["grp"], r["slot"])]
+
+
+def test_first_prefixes_cut_a_hot_class(spark):
+    df = skewed(spark).select("key", "label")
+    order = ranking.hash_order_of(df, ["key"], 42, "label")
+    assert order.total() == 30_000
+    assert order.prefixes.filter("grp = 'hot'").agg(F.max("n")).first()[0] < 30
 
 
 def test_rare_classes(spark):
