@@ -59,6 +59,20 @@ def pca(spark, sf):
     return df.select("vec_id", *[r6(c).alias(f"PC{i + 1}") for i, c in enumerate(parts.columns(vector))])
 
 
+@query("pca_pair", """WITH m AS (SELECT avg(c_acctbal) AS mx, avg(c_nationkey) AS my, var_samp(c_acctbal) AS a,
+  var_samp(c_nationkey) AS c, covar_samp(c_acctbal, c_nationkey) AS b FROM customer),
+e AS (SELECT *, (a + c) / 2 + sqrt((a - c) * (a - c) / 4 + b * b) AS l FROM m),
+v AS (SELECT *, (l - c) / sqrt((l - c) * (l - c) + b * b) AS vx, b / sqrt((l - c) * (l - c) + b * b) AS vy FROM e)
+SELECT c_custkey, round((c_acctbal - mx) * vx + (c_nationkey - my) * vy, 6) AS "PC1",
+  round((c_nationkey - my) * vx - (c_acctbal - mx) * vy, 6) AS "PC2" FROM customer, v""")
+def pca_pair(spark, sf):
+    """Components of two columns, which have a closed form."""
+    df = table(spark, sf, "customer")
+    vector = F.array(F.col("c_acctbal"), F.col("c_nationkey").cast("double"))
+    parts = encoding.fit_components(df, vector, ["c_acctbal", "c_nationkey"], 2)
+    return df.select("c_custkey", *[r6(c).alias(f"PC{i + 1}") for i, c in enumerate(parts.columns(vector))])
+
+
 @query("preprocess_pca")
 def preprocess_pca(spark, sf):
     out = encoding.preprocess_advanced(

@@ -146,21 +146,80 @@ def batch_scoring(spark, sf):
     return scored.select("o_orderkey", "predicted", r6("confidence").alias("confidence"), r6(total).alias("total"))
 
 
-@query("saved_model_accuracy")
+def _tree(df):
+    one = m.forest(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all")
+    return m.fit_classifier(df, "o_orderstatus", ["c_mktsegment", "o_orderpriority"], [], one)
+
+
+_SCORED = _STUMP + """, scored AS (SELECT o_orderkey, predicted, o_orderstatus AS label
+  FROM marked JOIN winners USING (has) JOIN orders_feat USING (o_orderkey)),
+cells AS (SELECT label, predicted, count(*) AS n FROM scored GROUP BY ALL),
+classes AS (SELECT class, sum(s)::BIGINT AS support, sum(p)::BIGINT AS predicted, sum(h)::BIGINT AS hits FROM (
+    SELECT label AS class, n AS s, 0 AS p, CASE WHEN label = predicted THEN n ELSE 0 END AS h FROM cells
+    UNION ALL SELECT predicted, 0, n, 0 FROM cells) GROUP BY class)"""
+
+
+@query("saved_model_accuracy", with_ctes(_SCORED) + """SELECT round(sum(hits)::DOUBLE / sum(support), 6) AS accuracy,
+  round(sum(support * coalesce(2 * hits::DOUBLE / nullif(predicted + support, 0), 0)) / sum(support), 6) AS f1_weighted,
+  sum(support)::BIGINT AS n, CAST(0 AS BIGINT) AS n_unknown FROM classes""")
 def saved_model_accuracy(spark, sf):
-    path = save_classifier(_status_model(orders_feat(spark, sf)), scratch_path(spark, "model"))
-    return evaluate(orders_feat(spark, sf), load_classifier(spark, path))
+    """A model saved, loaded again and evaluated with its own labels."""
+    df = orders_feat(spark, sf)
+    path = save_classifier(_tree(df), scratch_path(spark, "model"))
+    found = evaluate(df, load_classifier(spark, path))
+    return found.select(r6("accuracy").alias("accuracy"), r6("f1_weighted").alias("f1_weighted"), "n", "n_unknown")
 
 
-@query("model_choice")
+@query("model_choice", with_ctes(_SCORED) + "SELECT predicted, count(*) AS n FROM scored GROUP BY 1")
 def model_choice(spark, sf):
     """No model at the local path: the newest run with a model is loaded and scores the table."""
-    path = save_classifier(_status_model(orders_feat(spark, sf)), scratch_path(spark, "run-model"))
+    df = orders_feat(spark, sf)
+    path = save_classifier(_tree(df), scratch_path(spark, "run-model"))
     runs = table(spark, sf, "events").groupBy(F.col("event_type").alias("experiment"), F.col("user_id").cast("string").alias(
         "run_id")).agg(F.max("event_id").alias("end_time")).withColumn("has_model", F.lit(True)).withColumn(
         "model_path", F.lit(path))
     chosen = choose_classifier(spark, scratch_path(spark, "nothing-here"), runs, priority=["purchase", "view"])
-    return score(orders_feat(spark, sf), chosen, ["o_orderkey"]).groupBy("predicted").agg(F.count(F.lit(1)).alias("n"))
+    return score(df, chosen, ["o_orderkey"]).groupBy("predicted").agg(F.count(F.lit(1)).alias("n"))
+
+
+# The same single split, fitted without one fold and scored on it.
+_FOLD_TREES = ORDERS_FEAT + """, folded AS (SELECT o_orderkey, o_orderstatus AS y, c_mktsegment, o_orderpriority,
+  ntile(3) OVER (PARTITION BY o_orderstatus ORDER BY md5(o_orderkey::VARCHAR || '|42')) - 1 AS fold FROM orders_feat),
+flags AS (SELECT o_orderkey, y, fold, 'c_mktsegment' || c_mktsegment AS flag FROM folded
+  UNION ALL SELECT o_orderkey, y, fold, 'o_orderpriority' || o_orderpriority FROM folded),
+fits AS (SELECT DISTINCT fold AS f FROM folded),
+totals AS (SELECT f, y, count(*)::DOUBLE AS n FROM fits JOIN folded ON fold <> f GROUP BY ALL),
+inside AS (SELECT f, flag, y, count(*)::DOUBLE AS a FROM fits JOIN flags ON fold <> f GROUP BY ALL),
+sides AS (SELECT t.f, g.flag, t.y, coalesce(i.a, 0) AS a, t.n - coalesce(i.a, 0) AS b
+  FROM totals t CROSS JOIN (SELECT DISTINCT flag FROM flags) g
+  LEFT JOIN inside i ON i.f = t.f AND i.flag = g.flag AND i.y = t.y),
+gains AS (SELECT f, flag, sum(a * a) / sum(a) + sum(b * b) / sum(b) AS purity FROM sides GROUP BY ALL),
+best AS (SELECT f, max_by(flag, purity) AS flag FROM gains GROUP BY f),
+leaves AS (SELECT f, max_by(y, a) AS with_flag, max_by(y, b) AS without_flag FROM sides JOIN best USING (f, flag) GROUP BY f),
+scored AS (SELECT f, y AS label, CASE WHEN bool_or(flags.flag = best.flag) THEN any_value(with_flag) ELSE any_value(without_flag)
+  END AS predicted FROM flags JOIN best ON fold = f JOIN leaves USING (f) GROUP BY f, o_orderkey, y),
+cells AS (SELECT f, label, predicted, count(*) AS n FROM scored GROUP BY ALL),
+classes AS (SELECT f, class, sum(s)::DOUBLE AS support, sum(p)::DOUBLE AS predicted, sum(h)::DOUBLE AS hits FROM (
+    SELECT f, label AS class, n AS s, 0 AS p, CASE WHEN label = predicted THEN n ELSE 0 END AS h FROM cells
+    UNION ALL SELECT f, predicted, 0, n, 0 FROM cells) GROUP BY ALL),
+scores AS (SELECT f, sum(hits) / sum(support) AS accuracy,
+  sum(support * 2 * hits / (predicted + support)) / sum(support) AS f1_weighted,
+  avg(2 * hits / (predicted + support)) AS f1_macro FROM classes GROUP BY f),
+long AS (SELECT f, 'accuracy' AS scorer, accuracy AS score FROM scores UNION ALL SELECT f, 'f1_weighted', f1_weighted FROM scores
+  UNION ALL SELECT f, 'f1_macro', f1_macro FROM scores)"""
+
+
+@query("grid_search_tree", with_ctes(_FOLD_TREES) + """SELECT combo_id, scorer, round(avg(score), 6) AS mean,
+  round(stddev_pop(score), 6) AS std, count(*) AS folds FROM long CROSS JOIN (SELECT unnest([0, 1])::INT AS combo_id) GROUP BY ALL""")
+def grid_search_tree(spark, sf):
+    """Cross-validated search over two settings that lead to the same single split."""
+    build = lambda **p: m.forest(
+        **{"numTrees": 1, "maxDepth": 1, "bootstrap": False, "featureSubsetStrategy": "all", **p})
+    summary, _ = search(
+        orders_feat(spark, sf), ["o_orderkey"], "o_orderstatus", ["c_mktsegment", "o_orderpriority"], [],
+        m.combinations_of({"minInstancesPerNode": [1, 2]}), build)
+    shown = summary.filter(F.col("scorer").isin("accuracy", "f1_weighted", "f1_macro"))
+    return shown.select("combo_id", "scorer", r6("mean").alias("mean"), r6("std").alias("std"), "folds")
 
 
 @query("drift_report")

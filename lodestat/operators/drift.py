@@ -270,7 +270,10 @@ def windowed_psi(
     baseline: DataFrame, current: DataFrame, ts: str, columns: Sequence[str], width: str = "1 day"
 ) -> DataFrame:
     """Index per time window of ``current`` against the whole fixed baseline."""
-    window_start = F.window(quoted(ts).cast("timestamp"), width)["start"].alias("window_start")
+    stamp = quoted(ts)
+    if not isinstance(current.schema[ts].dataType, (T.TimestampType, T.TimestampNTZType)):
+        stamp = stamp.cast("timestamp")
+    window_start = F.window(stamp, width)["start"].alias("window_start")
     counted = (
         long_values(current, columns, [window_start], digest=True)
         .filter(F.col("value").isNotNull())
