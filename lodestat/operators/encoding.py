@@ -94,8 +94,9 @@ def one_hot_stages(
     """
     stages: list = []
     inputs = list(numeric)
+    categories = fit_categories(df, columns)
+    columns = [c for c in columns if categories[c]]  # a column without any value has no slots
     if columns:
-        categories = fit_categories(df, columns)
         names = [f"__ix{i}" for i in range(len(columns))]
         # One indexer per column: a joint one pads shorter label lists with nulls.
         stages += [

@@ -22,8 +22,6 @@ METRIC_ALIASES: Mapping[str, Sequence[str]] = {
 }
 # Metrics drawn in the radar and bar charts, in order.
 CHART_METRICS = ("test_acc", "test_f1_weighted", "test_f1_macro", "cv_f1_weighted_mean", "accuracy", "f1_weighted")
-# Experiments searched for a model, in order.
-MODEL_EXPERIMENTS = ("student_performance_gridsearch_amplio", "student_performance_experiment_fase2")
 # Stability bounds and the margin of an outstanding model.
 STABLE_BELOW, MODERATE_BELOW, OUTSTANDING_MARGIN = 0.01, 0.05, 0.1
 MEDALS = {1: "🥇", 2: "🥈", 3: "🥉"}
@@ -106,7 +104,7 @@ def latest_run(runs: DataFrame) -> DataFrame:
     ).select("experiment_id", "r.*")
 
 
-def latest_model_run(runs: DataFrame, priority: Sequence[str] = MODEL_EXPERIMENTS) -> DataFrame:
+def latest_model_run(runs: DataFrame, priority: Sequence[str]) -> DataFrame:
     """The newest run that has a model, in the first experiment of the list that has one."""
     order = F.array_position(F.array(*[F.lit(e) for e in priority]), F.col("experiment"))
     return (

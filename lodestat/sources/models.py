@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from lodestat.sources.zones import read_if_exists
 
 
 def save_classifier(classifier: Classifier, path: str) -> str:
-    classifier.model.write().overwrite().save(f"{path}/pipeline")
+    classifier.model.write().overwrite().save(f"{path}/stages")
     spark = SparkSession.active()
     row = [(classifier.label_col, classifier.labels, classifier.features)]
     # The description is written last: its presence marks a complete model.
@@ -27,16 +29,18 @@ def load_classifier(spark: SparkSession, path: str) -> Classifier | None:
     if described is None:
         return None
     row = described.select("label_col", "labels", "features").first()
-    return Classifier(PipelineModel.load(f"{path}/pipeline"), list(row["labels"]), row["label_col"], list(row["features"]))
+    return Classifier(PipelineModel.load(f"{path}/stages"), list(row["labels"]), row["label_col"], list(row["features"]))
 
 
-def choose_classifier(spark: SparkSession, local_path: str, runs: DataFrame, **options) -> Classifier | None:
-    """The model at ``local_path``; without one, that of the newest suitable run.
+def choose_classifier(
+    spark: SparkSession, local_path: str, runs: DataFrame, priority: Sequence[str]
+) -> Classifier | None:
+    """The model at ``local_path``; without one, that of the newest run of the listed experiments.
 
     ``runs`` needs ``experiment, run_id, end_time, has_model, model_path``.
     """
     found = load_classifier(spark, local_path)
     if found is not None:
         return found
-    newest = latest_model_run(runs, **options).select(F.col("model_path")).first()
+    newest = latest_model_run(runs, priority).select(F.col("model_path")).first()
     return load_classifier(spark, newest["model_path"]) if newest else None

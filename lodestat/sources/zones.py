@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from lodestat.functions.text import CSV_NULLS, null_if_token
 from lodestat.operators.fitted import quoted
 
-# Default table names.
-INTERIM_NAME, PROCESSED_NAME = "student_interim", "student_processed"
+# Default table names.
+INTERIM_NAME, PROCESSED_NAME = "clean", "features"
 
 
 def read_csv(

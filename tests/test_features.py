@@ -40,6 +40,12 @@ def test_vector_has_one_slot_per_known_category(spark):
     assert rows == [[1.5, 0, 1, 0, 0, 1], [2.5, 0, 0, 0, 0, 0]]
 
 
+def test_columns_without_values_take_no_slots(spark):
+    frame = spark.createDataFrame([(1.0, "a", None), (2.0, "b", None)], "x double, c string, e string")
+    model = f.feature_model(frame, ["c", "e"], ["x"])
+    assert [r["features"].size for r in model.transform(frame).collect()] == [3, 3]
+
+
 def test_components_match_a_direct_decomposition(spark):
     rng = np.random.default_rng(0)
     data = rng.normal(size=(200, 4)) @ np.diag([5, 2, 1, 0.1]) + 3

@@ -64,7 +64,7 @@ def test_text_run_store(spark, tmp_path):
     (run / "metrics" / "test_acc").write_text("1000 0.5 0\n2000 0.75 1\n")
     (run / "metrics" / "f1_weighted").write_text("1000 0.25 0\n")
     (run / "params" / "n_estimators").write_text("20")
-    (run / "tags" / "mlflow.runName").write_text("rf_1")
+    (run / "tags" / "run.name").write_text("rf_1")
     root = str(tmp_path)
     metrics = runstore.read_metrics(spark, root)
     assert t.runs_pivot(metrics, ["test_acc", "f1_weighted"]).collect() == [("77", "abc", 0.75, 0.25)]
