@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestat.llm import licenses, quality
+from lodestat.llm import licenses, quality, repeats, simhash
 from lodestat.llm.common import table
 
 
@@ -19,9 +20,23 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "row.doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_hosts": quality_hosts,
     "op4_license_scan": license_scan,
+    "op8_repeated_passages": repeated_passages,
+    "op10_simhash_components": simhash_components,
 }
 
 ORACLES: dict[str, str] = {}
