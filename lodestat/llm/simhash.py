@@ -235,7 +235,7 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.pmod(F.xxhash64("choice", F.col("fp").bitwiseAND(F.col("mask"))), F.lit(groups)).cast("int").alias("part"),
         F.col("choice").cast("short").alias("choice"), "fp")
 
-    def search(_key, table: pa.Table) -> pa.Table:
+    def search(table: pa.Table) -> pa.Table:
         fps = table.column("fp").to_numpy().view(np.uint64)
         choice = table.column("choice").to_numpy()
         a, b = [], []
