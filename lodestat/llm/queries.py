@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import licenses, quality, repeats, simhash
+from lodestat.llm import licenses, packing, quality, repeats, simhash
 from lodestat.llm.common import table
 
 
@@ -27,6 +27,17 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
@@ -35,6 +46,7 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_hosts": quality_hosts,
     "op4_license_scan": license_scan,
+    "op6_packed_sequences": packed_sequences,
     "op8_repeated_passages": repeated_passages,
     "op10_simhash_components": simhash_components,
 }
