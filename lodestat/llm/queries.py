@@ -4,13 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import licenses, packing, quality, repeats, simhash
+from lodestat.llm import decontaminate, licenses, packing, quality, repeats, simhash, toxicity
 from lodestat.llm.common import table
 
 
+def remainder(column: str, by: int) -> Column:
+    """crc32 of the value as text, modulo ``by``."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(by))
+
+
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "matched", "coverage", "first_word", "changed")
+
+
 def quality_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -27,6 +37,13 @@ def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(*toxicity.training_texts(docs, labels.where(remainder("doc_id", 5) != 0)))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -44,10 +61,12 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_leaks": benchmark_leaks,
     "op2_quality_hosts": quality_hosts,
     "op4_license_scan": license_scan,
     "op6_packed_sequences": packed_sequences,
     "op8_repeated_passages": repeated_passages,
+    "op9_toxic_documents": toxic_documents,
     "op10_simhash_components": simhash_components,
 }
 
