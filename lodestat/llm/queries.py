@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import decontaminate, licenses, packing, quality, repeats, simhash, toxicity
+from lodestat.llm import decontaminate, extract, hostrank, langid, licenses, packing, quality, repeats, simhash, toxicity
 from lodestat.llm.common import table
 
 
@@ -26,6 +26,21 @@ def quality_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostrank.judge_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    network = langid.train(langid.training_rows(docs.where(~held_out)))
+    return langid.identify(docs, network).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -63,8 +78,11 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": benchmark_leaks,
     "op2_quality_hosts": quality_hosts,
+    "op3_url_verdicts": url_verdicts,
     "op4_license_scan": license_scan,
+    "op5_languages": languages,
     "op6_packed_sequences": packed_sequences,
+    "op7_main_texts": main_texts,
     "op8_repeated_passages": repeated_passages,
     "op9_toxic_documents": toxic_documents,
     "op10_simhash_components": simhash_components,
