@@ -236,9 +236,13 @@ def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                    sequence: int = SEQUENCE) -> DataFrame:
     """Every piece of every document with its place; ``ids`` too unless only their checksum is wanted."""
     pieces = token_pieces(docs, tokenizer, text_col, [id_col], sequence).select(
-        F.col(f"row.`{id_col}`").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
-        *(["ids"] if with_ids else []))
-    return pack(materialize(pieces, "pieces"), ["doc_id", "start", "ids_crc32", "doc_tokens"], sequence)
+        F.monotonically_increasing_id().alias("piece"), F.col(f"row.`{id_col}`").alias("doc_id"), "start", "length",
+        F.crc32("ids").alias("ids_crc32"), "doc_tokens", *(["ids"] if with_ids else []))
+    pieces = materialize(pieces, "pieces")  # so a piece keeps its number
+    placed = pack(pieces.drop("ids"), ["piece"], sequence)
+    if with_ids:  # the ids take no part in the ranking
+        placed = placed.join(pieces.select("piece", "ids"), "piece")
+    return placed.drop("piece")
 
 
 def padding(filled: int, sequence: int = SEQUENCE) -> int:

@@ -436,3 +436,19 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = T.StructType([texts.schema["row"], T.StructField("n_bytes", T.LongType()),
                         T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("kept", T.BinaryType())])
     return by_block.cogroup(windows.groupBy("block")).applyInArrow(_cut, out)
+
+
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the repeated bytes cut out of the texts; rows of which nothing is left go, rows empty before stay.
+
+    Bytes of a character that was cut in half are dropped.  ``chars_col``, if there is one, counts the text anew.
+    """
+    cut = cut_repeats(docs, id_col, text_col, docs.columns).where((F.octet_length("kept") > 0) | (F.col("n_bytes") == 0))
+    text = F.col("kept").cast("string")
+    text = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
+    text = F.when(F.col(f"row.`{text_col}`").isNull(), F.lit(None)).otherwise(text)
+    fields = {c: F.col(f"row.`{c}`") for c in docs.columns}
+    fields[text_col] = text
+    if chars_col in fields:
+        fields[chars_col] = F.when(text.isNull(), fields[chars_col]).otherwise(F.length(text).cast(docs.schema[chars_col].dataType))
+    return cut.select(*[value.alias(name) for name, value in fields.items()])

@@ -228,3 +228,17 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(compute, f"doc_id {kind}, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text is predicted toxic; rows are dropped where they are read."""
+    if model is None:
+        return docs
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = model.scorer()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col))
+            yield batch.filter(pa.array([scorer(t.as_py()) < 0.5 for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
