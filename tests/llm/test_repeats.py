@@ -40,7 +40,9 @@ def test_equal_brute_force(spark):
     for i in range(60):
         parts = [rng.choice(passages) if rng.random() < 0.6 else "".join(rng.choice("xyz ü") for _ in range(rng.randint(0, 120))) for _ in range(rng.randint(0, 6))]
         docs.append((i, "".join(parts)))
-    docs += [(100, "ab" * 200), (101, "ab" * 100), (102, "a" * 49), (103, "a" * 50), (104, "a" * 51), (105, "xab" + "ab" * 30), (106, None), (107, "")]
+    docs += [(100, "ab" * 200), (101, "ab" * 100), (102, "a" * 49), (103, "a" * 50), (104, "a" * 51), (105, "xab" + "ab" * 30), (106, None), (107, ""),
+             (108, "line of words that is repeated with a period of some seventy bytes or so. " * 20), (109, "y" + "line of words that is repeated with a period of some seventy bytes or so. " * 7),
+             (110, "zz" + "abcabc" * 60 + "q" * 60 + "abcabc" * 30), (111, "abcabc" * 20 + "r" + "abcabc" * 12 + "q" * 70)]
     df = spark.createDataFrame(docs, "doc_id long, text string")
     expected = [(i, len((t or "").encode()), *b) for (i, t), b in zip(docs, brute(docs), strict=True)]
     assert run(df) == sorted(expected)
