@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import decontaminate, extract, hostrank, langid, licenses, packing, quality, repeats, simhash, toxicity
+from lodestat.llm import decontaminate, extract, hostrank, langid, licenses, oracles, packing, quality, repeats, simhash, toxicity
 from lodestat.llm.common import table
 
 
@@ -88,4 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash_components": simhash_components,
 }
 
-ORACLES: dict[str, str] = {}
+#: The others train models, hash bytes or tokenise, which SQL cannot express; tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op2_quality_hosts": oracles.quality_sql(),
+    "op3_url_verdicts": oracles.url_sql(),
+    "op4_license_scan": oracles.license_sql(),
+}
