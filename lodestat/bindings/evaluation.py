@@ -87,11 +87,24 @@ def ordinal_metrics(spark, sf):
 
 @query("prediction_shift", with_ctes(PREDICTIONS) + f"""SELECT prediction AS class,
   count(*) FILTER (o_orderdate < '{CUT}'::TIMESTAMP) AS n_baseline,
-  count(*) FILTER (o_orderdate >= '{CUT}'::TIMESTAMP) AS n_current FROM predictions GROUP BY 1""")
+  count(*) FILTER (o_orderdate >= '{CUT}'::TIMESTAMP) AS n_current,
+  round(n_baseline / sum(n_baseline) OVER (), 6) AS share_baseline, round(n_current / sum(n_current) OVER (), 6) AS share_current
+FROM predictions GROUP BY 1""")
 def prediction_shift(spark, sf):
     df = predictions(spark, sf)
     cut = F.lit(CUT).cast("timestamp_ntz")
-    return e.prediction_shift(df.filter(F.col("o_orderdate") < cut), df.filter(F.col("o_orderdate") >= cut))
+    shift = e.prediction_shift(df.filter(F.col("o_orderdate") < cut), df.filter(F.col("o_orderdate") >= cut))
+    return shift.withColumns({c: r6(c) for c in ("share_baseline", "share_current")})
+
+
+@query("report_missing_predictions", with_ctes(PREDICTIONS) + """, p AS (
+  SELECT label, CASE WHEN o_orderkey % 5 <> 0 THEN prediction END AS prediction FROM predictions WHERE label IS NOT NULL)
+SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*)::DOUBLE AS n FROM p""")
+def report_missing_predictions(spark, sf):
+    """A fifth of the rows has no prediction; they count as wrong."""
+    df = predictions(spark, sf).withColumn("prediction", F.when(F.col("o_orderkey") % 5 != 0, F.col("prediction")))
+    metrics = e.summary_metrics(e.confusion_counts(df))
+    return metrics.select(r6("accuracy").alias("accuracy"), F.col("n").cast("double").alias("n"))
 
 
 @query("overfit_gap", with_ctes(PREDICTIONS) + """, quotas AS (

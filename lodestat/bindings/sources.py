@@ -26,6 +26,27 @@ def scan_csv(spark, sf):
     )
 
 
+@query("scan_csv_text", "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents")
+def scan_csv_text(spark, sf):
+    """Texts with line breaks and quotes, read by column names in another order than the file's."""
+    path = write_csv(table(spark, sf, "documents").select("doc_id", "text", "lang"), scratch_path(spark, "texts-csv"))
+    back = read_csv(spark, path, ["lang", "text", "doc_id"], null_tokens=())
+    return back.select(F.col("doc_id").cast("bigint"), "lang", F.md5("text").alias("text_md5"))
+
+
+@query("fingerprint_borders", """WITH t AS (SELECT CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus || '|' ELSE o_orderstatus END AS a,
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE '|' || o_orderpriority END AS b FROM orders),
+u AS (SELECT coalesce(replace(replace(a, '\\', '\\\\'), '|', '\\|'), '\\N') AS a, coalesce(replace(replace(b, '\\', '\\\\'), '|', '\\|'), '\\N') AS b FROM t)
+SELECT count(*) AS n_rows, count(*) * 2 AS n_elements,
+  CAST(sum(('0x' || substr(md5(a || '|' || b), 1, 12))::BIGINT) AS VARCHAR) AS digest FROM u""")
+def fingerprint_borders(spark, sf):
+    """Fields that hold the separator, and NULLs, do not run into each other."""
+    orders = table(spark, sf, "orders")
+    a = F.when(F.col("o_orderkey") % 3 == 0, F.concat("o_orderstatus", F.lit("|"))).otherwise(F.col("o_orderstatus"))
+    b = F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("|"), "o_orderpriority"))
+    return table_fingerprint(orders.select(a.alias("a"), b.alias("b")))
+
+
 @query("scan_optional", """SELECT 'part' AS name, true AS found, count(*) AS n FROM part
 UNION ALL SELECT 'missing', false, CAST(0 AS BIGINT)""")
 def scan_optional(spark, sf):

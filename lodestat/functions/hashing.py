@@ -16,10 +16,19 @@ from lodestat.functions.numbers import is_floating, present
 
 
 def hash_order(key_cols: Sequence[str], seed: int | str) -> Column:
-    parts = [F.col(f"`{c}`").cast("string") for c in key_cols]
+    parts = [field_text(F.col(f"`{c}`").cast("string")) for c in key_cols]
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
+def field_text(value: Column) -> Column:
+    r"""A text that can be joined with ``|``: backslashes and bars are escaped, NULL is ``\N``.
+
+    No two rows of such fields have the same joined text, NULLs and borders included.
+    """
+    escaped = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return F.coalesce(escaped, F.lit("\\N"))
+
+
 def hash_choice(hashed: Column, n: int) -> Column:
     """0-based pseudo-random choice among ``n`` values."""
     return F.pmod(F.conv(F.substring(hashed, 17, 12), 16, 10).cast("bigint"), F.lit(n)).cast("int")

@@ -31,7 +31,8 @@ def value_text(name: str, dtype: T.DataType) -> Column:
 def cell_text(name: str, dtype: T.DataType, digest: bool) -> Column:
     value = value_text(name, dtype)
     if digest and isinstance(dtype, T.StringType):
-        value = F.when(F.length(value) > LONG_TEXT, F.sha2(value, 256)).otherwise(value)
+        # The mark makes a digest longer than any text that stays as it is, so the two never meet.
+        value = F.when(F.length(value) > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2(value, 256))).otherwise(value)
     return value.alias(name)
 
 

@@ -15,7 +15,7 @@ from lodestat.operators.cleaning import text_columns
 from lodestat.operators.counts import long_values
 from lodestat.operators.fitted import join_fitted, quoted
 from lodestat.operators.imputing import fit_modes
-from lodestat.operators.ranking import hash_order_of
+from lodestat.operators.ranking import SortKey, global_rank, hash_order_of
 from lodestat.operators.sampling import exact_share, sample_ranks, within
 from lodestat.operators.typing import small_cardinalities
 
@@ -129,7 +129,8 @@ def metric_drop(baseline: Column, current: Column) -> Column:
 
 
 def alert_level(drop: Column) -> Column:
-    return F.when(drop > DROP_RED, "red").when(drop > DROP_AMBER, "amber").otherwise("ok")
+    """``unknown`` without a drop to judge."""
+    return F.when(drop > DROP_RED, "red").when(drop > DROP_AMBER, "amber").when(drop.isNotNull(), "ok").otherwise("unknown")
 
 
 def feature_shares(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -150,7 +151,7 @@ def drift_record(metrics: DataFrame, indexes: DataFrame, filtered: bool) -> Data
     ``metrics`` is one row with ``acc_baseline, acc_current, f1_baseline,
     f1_current``; ``indexes`` has one row per column.
     """
-    entries = indexes.filter(F.col("psi").isNotNull()).agg(
+    entries = indexes.agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "psi")))).alias("psi")
     )
     acc_drop = metric_drop(F.col("acc_baseline"), F.col("acc_current"))
@@ -197,7 +198,8 @@ class DriftPlan:
     share: float = 0.3
 
 
-def _draw_values(df: DataFrame, change: Draw) -> list[str]:
+def _draw_values(df: DataFrame, change: Draw) -> list[str] | None:
+    """The values to draw from; None when there are too many to list."""
     present_values = df.select(quoted(change.column).cast("string").alias("v")).filter(F.col("v").isNotNull())
     if change.smallest is not None:
         rows = present_values.distinct().orderBy("v").limit(change.smallest).collect()
@@ -207,7 +209,7 @@ def _draw_values(df: DataFrame, change: Draw) -> list[str]:
         return sorted(r["v"] for r in liked)
     few = small_cardinalities(df, [change.column], 200)
     if change.column not in few:
-        raise ValueError(f"{change.column} has too many values to draw from; name the preferred ones")
+        return None
     return sorted(r["v"] for r in present_values.distinct().collect())
 
 
@@ -239,6 +241,7 @@ def inject_drift(df: DataFrame, key_cols: Sequence[str], plan: DriftPlan, seed:
     filled = _columns_with_values(df, others + forced)
     modes = fit_modes(df, filled)
     out = []
+    drawn_rows = df
     for name in df.columns:
         dtype: T.DataType = df.schema[name].dataType
         col = quoted(name)
@@ -249,14 +252,21 @@ def inject_drift(df: DataFrame, key_cols: Sequence[str], plan: DriftPlan, seed:
             col = F.when(stretch(change), value).otherwise(col)
         elif isinstance(change, Draw):
             values = _draw_values(df, change)
-            if values:
+            if values is None:  # the drawn rank finds its value by a join
+                ranked = global_rank(df.select(col.cast("string").alias(f"__drawn_{name}")).filter(col.isNotNull()).distinct(),
+                                     [SortKey(f"__drawn_{name}")], f"__place_{name}")
+                pick = hash_choice(hash_order([*key_cols], f"{seed}|{name}"), ranked.count())
+                drawn_rows = drawn_rows.withColumn(f"__pick_{name}", F.when(stretch(change), pick + 1))
+                drawn_rows = drawn_rows.join(ranked, F.col(f"__pick_{name}") == quoted(f"__place_{name}"), "left")
+                col = F.coalesce(quoted(f"__drawn_{name}").cast(dtype), col)
+            elif values:
                 pick = hash_choice(hash_order([*key_cols], f"{seed}|{name}"), len(values))
                 drawn = F.element_at(F.array(*[F.lit(v) for v in values]), pick + 1).cast(dtype)
                 col = F.when(stretch(change), drawn).otherwise(col)
         elif name in modes and name in others:
             col = F.when(first(n_drift), F.lit(modes[name]).cast(dtype)).otherwise(col)
         out.append(col.alias(name))
-    return df.select(*out)
+    return drawn_rows.select(*out)
 
 
 def _columns_with_values(df: DataFrame, names: Sequence[str]) -> list[str]:

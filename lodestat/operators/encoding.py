@@ -17,8 +17,9 @@ from lodestat.operators.counts import value_counts, value_text
 from lodestat.operators.fitted import join_fitted, quoted
 from lodestat.operators.ranking import SortKey, global_rank
 
-# A one-hot block wider than this is almost surely an identifier column.
-MAX_CATEGORIES = 10_000
+
+# Unknown labels an error message spells out; it always says how many there are.
+SHOWN_LABELS = 1000
 
 
 # ---------------------------------------------------------------- scaling
@@ -51,22 +52,23 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
 
 
 # ---------------------------------------------------------------- one-hot
-def fit_categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+def fit_categories(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
     """Sorted categories per column from one grouped count.
 
-    The list becomes columns or vector slots, so it must be short: more than
-    ``limit`` values in any column is an error, found without fetching them.
+    The lists become columns, vector slots or model labels, so they are values of the
+    plan.  With a ``limit``, a column with more values is an error, found without
+    fetching them.
     """
     if not columns:
         return {}
     values = value_counts(df, columns).filter(F.col("value").isNotNull()).select("column", "value")
-    rows = values.limit(limit * len(columns) + 1).collect()
+    if limit is not None:
+        sizes = values.groupBy("column").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
+        if wide := sorted(r["column"] for r in sizes.collect()):  # one row per column
+            raise ValueError(f"too many categories for one-hot encoding (limit {limit}): {wide}")
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in values.toLocalIterator():
         found[r["column"]].append(r["value"])
-    wide = [c for c, v in found.items() if len(v) > limit]
-    if wide or len(rows) > limit * len(columns):
-        raise ValueError(f"too many categories for one-hot encoding (limit {limit}): {wide or list(columns)}")
     return {c: sorted(v) for c, v in found.items()}
 
 
@@ -224,10 +226,13 @@ def encode_ordinal(
     if check:
         unknown = (
             df.select(F.coalesce(shown, F.lit("none")).alias("v")).filter(~F.col("v").isin(*ordered))
-            .distinct().orderBy("v").limit(20).collect()
+            .distinct()
         )
-        if unknown:
-            raise ValueError(f"labels outside the ordinal scale: {[r['v'] for r in unknown]}")
+        n = unknown.count()
+        if n:
+            names = [r["v"] for r in unknown.orderBy("v").limit(SHOWN_LABELS).collect()]
+            more = f" and {n - len(names)} more" if n > len(names) else ""
+            raise ValueError(f"{n} labels outside the ordinal scale: {names}{more}")
     return df.withColumn(out, code)
 
 

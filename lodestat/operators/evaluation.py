@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestat.functions.numbers import half_even_class, ratio
@@ -17,9 +17,12 @@ from lodestat.operators.fitted import quoted, settle
 
 def confusion_counts(df: DataFrame, label: str = "label", prediction: str = "prediction",
                      ids: Sequence[str] = ()) -> DataFrame:
-    """``(*ids, label, prediction, n)``, NULL labels or predictions left out."""
+    """``(*ids, label, prediction, n)``; a missing prediction is a class of its own that is never right.
+
+    Rows without a label have no truth to compare with and are left out.
+    """
     return (
-        df.filter(quoted(label).isNotNull() & quoted(prediction).isNotNull())
+        df.filter(quoted(label).isNotNull())
         .groupBy(*ids, quoted(label).alias("label"), quoted(prediction).alias("prediction"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -38,7 +41,7 @@ def class_report(counts: DataFrame, ids: Sequence[str] = ()) -> DataFrame:
         F.struct(F.col("prediction").alias("class"), F.lit(0).cast("bigint").alias("support"),
                  n.alias("predicted"), F.lit(0).cast("bigint").alias("hits")),
     )))
-    sums = sides.groupBy(*ids, "class").agg(
+    sums = sides.filter(F.col("class").isNotNull()).groupBy(*ids, "class").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("hits").alias("hits")
     )
     return sums.select(
@@ -125,25 +128,29 @@ def ordinal_metrics(df: DataFrame, label: str, prediction: str, n_classes: int)
     """
     error = F.abs(quoted(label) - quoted(prediction))
     cells = (
-        df.filter(quoted(label).isNotNull() & quoted(prediction).isNotNull())
+        df.filter(quoted(label).isNotNull())
         .groupBy(quoted(label).cast("int").alias("label"),
                  half_even_class(quoted(prediction), n_classes).alias("prediction"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(error).alias("error"))
     )
     cells, _ = settle(cells, "cells")
-    mae = cells.agg(ratio(F.sum("error"), F.sum("n")).alias("mae"))
+    # A missing prediction has no distance, but counts as a wrong class.
+    mae = cells.agg(ratio(F.sum("error"), F.sum(F.when(F.col("prediction").isNotNull(), F.col("n")))).alias("mae"))
     return summary_metrics(cells.select("label", "prediction", "n")).select(
         mae.scalar().alias("mae"), "accuracy", "precision_weighted", "recall_weighted", "f1_weighted", "n"
     )
 
 
 def prediction_shift(baseline: DataFrame, current: DataFrame, prediction: str = "prediction") -> DataFrame:
-    """Predicted-class counts of two versions side by side; a missing class is 0."""
+    """Predicted-class counts and shares of two versions side by side; a missing class is 0."""
     side = lambda df, flag: df.select(quoted(prediction).alias("class"), F.lit(flag).alias("side"))
     both = side(baseline, 0).unionAll(side(current, 1))
-    return both.groupBy("class").agg(
+    counts = both.groupBy("class").agg(
         F.count_if(F.col("side") == 0).alias("n_baseline"), F.count_if(F.col("side") == 1).alias("n_current")
     )
+    # One row per class from here on; the window is over classes, not rows.
+    share = lambda n: ratio(F.col(n), F.sum(n).over(Window.partitionBy()))
+    return counts.withColumns({"share_baseline": share("n_baseline"), "share_current": share("n_current")})
 
 
 def overfit_gap(df: DataFrame, split_col: str, label: str = "label", prediction: str = "prediction") -> DataFrame:

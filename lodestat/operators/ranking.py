@@ -75,6 +75,8 @@ def rank_within(
 # Leading hash digits counted first, and digits added while a prefix holds more
 # rows than one task should rank.
 FIRST_DIGITS, MORE_DIGITS, RANKED_ROWS = 3, 4, 1_000_000
+HASH_DIGITS = 32
+SHARED_KEY = "rows with one key lie on both sides of the wanted number of rows: give key columns that identify a row"
 
 
 @dataclass(frozen=True)
@@ -125,18 +127,26 @@ def hash_thresholds(order: HashOrder, targets: DataFrame, ranked_rows: int = RAN
         # Null-safe on both keys: the hash is never null and needs no null filter.
         here = F.equal_null(F.col("grp"), F.col("g")) & F.equal_null(F.substring("h", 1, digits), F.col("prefix"))
         near = order.hashed.join(side, here, "left_semi")
-        if not holding.filter(F.col("n") > ranked_rows).limit(1).count():
+        # Beyond all digits a prefix is one hash, and its rows share a key.
+        if digits >= HASH_DIGITS or not holding.filter(F.col("n") > ranked_rows).limit(1).count():
             break
         counted = near.groupBy(
             "grp", F.substring("h", 1, digits).alias("parent"),
             F.substring("h", 1, digits + MORE_DIGITS).alias("prefix"),
         ).agg(F.count(F.lit(1)).alias("n"))
         wanted = holding.select("g", "slot", "rank", F.col("prefix").alias("parent"))
-        digits += MORE_DIGITS
-    ranked = near.withColumn("at", F.substring("h", 1, digits)).withColumn(
-        "rn", F.row_number().over(Window.partitionBy("grp", "at").orderBy("h")))
-    place = F.equal_null(F.col("grp"), F.col("g")) & (F.col("at") == F.col("prefix")) & (F.col("rn") == F.col("rank"))
-    return ranked.join(side, place).select("grp", "slot", F.col("h").alias("threshold"))
+        digits = min(digits + MORE_DIGITS, HASH_DIGITS)
+    # Equal hashes are counted first, so a key with many rows is one row here.
+    alike = near.groupBy("grp", F.substring("h", 1, digits).alias("at"), "h").agg(F.count(F.lit(1)).alias("same"))
+    through = F.sum("same").over(Window.partitionBy("grp", "at").orderBy("h"))
+    ranked = alike.withColumn("through", through)
+    place = (
+        F.equal_null(F.col("grp"), F.col("g")) & (F.col("at") == F.col("prefix"))
+        & (F.col("rank") <= F.col("through")) & (F.col("rank") > F.col("through") - F.col("same"))
+    )
+    # A quota that ends among rows of one key cannot be met by a comparison of keys.
+    threshold = F.when(F.col("rank") < F.col("through"), F.raise_error(F.lit(SHARED_KEY))).otherwise(F.col("h"))
+    return ranked.join(side, place).select("grp", "slot", threshold.alias("threshold"))
 
 
 def _holding(counted: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Membership is a comparison of the row's hash with a fitted threshold, so it
 depends on the key and seed only and applying it never shuffles the table.
-``key_cols`` must identify rows; rows sharing a key land on the same side.
+``key_cols`` must identify rows; rows sharing a key land on the same side, and a
+quota that would part them is an error.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def stratified_split(
     order = hash_order_of(df, key_cols, seed, label)
     quotas = class_quotas(settle(order.sizes(), "sizes")[0], test_share)
     if rare == "raise":
-        lonely = [r["grp"] for r in quotas.filter("n < 2").orderBy("grp").limit(10).collect()]
+        lonely = [r["grp"] for r in quotas.filter("n < 2").orderBy("grp").collect()]  # one row per class
         if lonely:
             raise ValueError(f"classes with fewer than 2 rows cannot be split: {lonely}")
     targets = quotas.filter("n >= 2").select("grp", F.lit(0).alias("slot"), F.col("quota").alias("rank"))

@@ -137,7 +137,9 @@ def score_envelope(df: DataFrame, request: str, prediction: str, stamp: Column |
     )
     return per_class.groupBy("request").agg(
         F.sum("n").alias("total"),
-        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("class", "n"))))).alias("predictions"),
+        # A missing class has no name in the map; it still counts in the total.
+        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
+            F.when(F.col("class").isNotNull(), F.struct("class", "n")))))).alias("predictions"),
     ).withColumn("timestamp", stamp if stamp is not None else F.current_timestamp())
 
 

@@ -17,6 +17,9 @@ DEFAULTS = {
 }
 
 
+_local_roots: dict[str, str] = {}
+
+
 def build_session(app_name: str = "lodestat", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -35,11 +38,11 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="lodestat-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    # A session may refuse to change this setting, so the folder is remembered here.
+    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="lodestat-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestat.functions.hashing import field_text
 from lodestat.operators.counts import value_text
 from lodestat.operators.fitted import quoted
 
@@ -14,7 +15,7 @@ from lodestat.operators.fitted import quoted
 def row_number_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """48 bits of the row's md5 as a number."""
     names = list(columns) if columns is not None else df.columns
-    parts = [F.coalesce(value_text(c, df.schema[c].dataType), F.lit("\\N")) for c in names]
+    parts = [field_text(value_text(c, df.schema[c].dataType)) for c in names]
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 12), 16, 10).cast("decimal(38,0)")
 
 

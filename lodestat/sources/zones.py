@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodestat.functions.text import CSV_NULLS, null_if_token
 from lodestat.operators.fitted import quoted
@@ -19,18 +18,19 @@ INTERIM_NAME, PROCESSED_NAME = "clean", "features"
 
 def read_csv(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-    null_tokens: Sequence[str] = CSV_NULLS, multiline: bool = False,
+    null_tokens: Sequence[str] = CSV_NULLS, multiline: bool = True,
 ) -> DataFrame:
     """Read a CSV with header, every column as text, null tokens as NULL.
 
-    Types are decided later by the typing operator.  ``multiline`` allows line
-    breaks inside quotes but makes a file one task, so it is off by default.
+    Types are decided later by the typing operator.  ``columns`` are found by their
+    names in the header, in whatever order the file has them.  Line breaks inside
+    quotes belong to the value; a file is then one task, so where no value has one,
+    ``multiline=False`` lets several tasks share a large file.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    if columns is not None:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     raw = reader.csv(path)
-    return raw.select(*[null_if_token(quoted(c), tuple(null_tokens)).alias(c) for c in raw.columns])
+    names = raw.columns if columns is None else list(columns)
+    return raw.select(*[null_if_token(quoted(c), tuple(null_tokens)).alias(c) for c in names])
 
 
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
