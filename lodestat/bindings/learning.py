@@ -88,6 +88,20 @@ def tree_scoring(spark, sf):
     return scored.select("o_orderkey", "predicted", r6("confidence").alias("confidence"), r6(total).alias("total"))
 
 
+@query("score_dirty", with_ctes(_STUMP) + "SELECT o_orderkey, predicted, round(confidence, 6) AS confidence FROM marked JOIN winners USING (has)")
+def score_dirty(spark, sf):
+    """Records in capitals, padded and under an alias get the class of the clean record."""
+    df = orders_feat(spark, sf)
+    one = m.forest(numTrees=1, maxDepth=1, bootstrap=False, featureSubsetStrategy="all")
+    step = m.CleanStep(["c_mktsegment", "o_orderpriority"], [], {"o_orderpriority": ["priority"]})
+    fitted = m.fit_classifier(df, "o_orderstatus", ["c_mktsegment", "o_orderpriority"], [], one, step)
+    path = save_classifier(fitted, scratch_path(spark, "model"))
+    dirty = df.select("o_orderkey", F.concat(F.lit("  "), F.upper("c_mktsegment"), F.lit(" ")).alias("c_mktsegment"),
+                      F.concat(F.initcap("o_orderpriority"), F.lit("\t")).alias("priority"))
+    scored = score(dirty, load_classifier(spark, path), ["o_orderkey"])
+    return scored.select("o_orderkey", "predicted", r6("confidence").alias("confidence"))
+
+
 @query("tree_ordinal", with_ctes(ORDERS_FEAT) + """, coded AS (
   SELECT o_orderkey, c_mktsegment, 5 - substr(o_orderpriority, 1, 1)::INT AS y FROM orders_feat),
 gains AS (SELECT s.v, sum(y) FILTER (c_mktsegment = s.v) ** 2::DOUBLE / count(*) FILTER (c_mktsegment = s.v)

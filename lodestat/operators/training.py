@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.functions.numbers import half_even_class
+from lodestat.functions.text import clean_numeric_text, number_from_text
+from lodestat.operators.cleaning import clean_categoricals, resolve_aliases, text_columns
 from lodestat.operators.encoding import encode_ordinal, fit_categories, one_hot_stages
 from lodestat.operators.evaluation import summary_metrics
 from lodestat.operators.fitted import quoted
@@ -57,17 +59,39 @@ def linear_svc(n_rows: int, C: float = 1.0, **params) -> OneVsRest:
     return OneVsRest(classifier=LinearSVC(regParam=1.0 / (C * max(n_rows, 1)), **params))
 
 
+@dataclass(frozen=True)
+class CleanStep:
+    """What raw records go through before they are encoded, in training and in scoring alike.
+
+    Aliases resolve to the feature's name, categories are trimmed, single-spaced and
+    lower-cased, and numbers sent as text are parsed.
+    """
+
+    categorical: list[str]
+    numeric: list[str] = field(default_factory=list)
+    aliases: dict[str, list[str]] = field(default_factory=dict)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        named = clean_categoricals(resolve_aliases(df, self.aliases), self.categorical)
+        texts = set(text_columns(named)) & set(self.numeric)
+        return named.withColumns({c: number_from_text(clean_numeric_text(quoted(c))) for c in sorted(texts)})
+
+
 @dataclass(frozen=True)
 class Classifier:
-    """A fitted pipeline with the labels it was fitted on, in code order."""
+    """A fitted pipeline with the labels it was fitted on, in code order, and the clean step its records need."""
 
     model: PipelineModel
     labels: list[str]
     label_col: str
     features: list[str] = field(default_factory=list)
+    clean: CleanStep | None = None
+
+    def prepare(self, df: DataFrame) -> DataFrame:
+        return self.clean.apply(df) if self.clean else df
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(df)
+        return self.model.transform(self.prepare(df))
 
 
 def index_labels(df: DataFrame, label: str, labels: Sequence[str], out: str = "label") -> DataFrame:
@@ -78,12 +102,13 @@ def index_labels(df: DataFrame, label: str, labels: Sequence[str], out: str = "l
 
 def fit_classifier(
     df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str] = (),
-    estimator: Estimator | None = None,
+    estimator: Estimator | None = None, clean: CleanStep | None = None,
 ) -> Classifier:
+    df = clean.apply(df) if clean else df
     labels = fit_categories(df, [label])[label]
     stages = one_hot_stages(df, categorical, numeric)
     model = Pipeline(stages=[*stages, estimator or forest()]).fit(index_labels(df, label, labels))
-    return Classifier(model, labels, label, [*categorical, *numeric])
+    return Classifier(model, labels, label, [*categorical, *numeric], clean)
 
 
 def fit_ordinal(
@@ -113,8 +138,9 @@ def prepare(
 ) -> DataFrame:
     """``(features, label, fold)``: encoded once for every fit.
 
-    A category absent from the other folds is a constant column there, which no
-    tree or weight uses, so one encoding for all folds gives the same models.
+    A category absent from the other folds is a constant column there.  No tree
+    splits on it, but it takes part in the draw of feature subsets, so scores may
+    differ a little from those of an encoding fitted per fold.
     """
     folded = stratified_folds(df, key_cols, label_id, folds, seed)
     encoded = Pipeline(stages=list(stages)).fit(folded).transform(folded)

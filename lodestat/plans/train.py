@@ -9,14 +9,14 @@ from pyspark.ml import Estimator, Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.operators.cleaning import drop_invalid_features, drop_missing_target
+from lodestat.operators.cleaning import drop_invalid_features, drop_missing_target, resolve_aliases
 from lodestat.operators.encoding import encode_ordinal, fit_categories, one_hot_stages
 from lodestat.operators.evaluation import confusion_counts, ordinal_metrics, summary_metrics
 from lodestat.operators.fitted import quoted
 from lodestat.operators.runs import cv_summary, top_models
 from lodestat.operators.sampling import stratified_split
 from lodestat.operators.training import (
-    Classifier, fit_classifier, fit_ordinal, forest, grid_search, index_labels, ordinal_forest, prepare, score_rows,
+    Classifier, CleanStep, fit_classifier, fit_ordinal, forest, grid_search, index_labels, ordinal_forest, prepare, score_rows,
 )
 from lodestat.session import materialize
 
@@ -46,13 +46,20 @@ def holdout_counts(classifier: Classifier, rows: DataFrame) -> DataFrame:
 def train(
     df: DataFrame, key_cols: Sequence[str], label: str, categorical: Sequence[str], numeric: Sequence[str] = (),
     estimator: Estimator | None = None, seed: int = 42, clean: bool = False,
+    aliases: Mapping[str, Sequence[str]] | None = None,
 ) -> Training:
-    """Split, fit on the training part, evaluate on the test part."""
+    """Split, fit on the training part, evaluate on the test part.
+
+    ``clean`` drops rows with a missing target or feature and normalises the features; the
+    classifier keeps that step, with the ``aliases``, for the records it will score.
+    """
+    step = CleanStep(list(categorical), list(numeric), {k: list(v) for k, v in (aliases or {}).items()}) if clean else None
+    df = resolve_aliases(df, step.aliases) if step else df
     rows = _needed(drop_invalid_features(drop_missing_target(df, label), label) if clean else df,
                    key_cols, label, categorical, numeric)
     # Fitting passes over the rows many times: the split table is written once.
     split = materialize(stratified_split(rows, key_cols, label, seed=seed), "split")
-    classifier = fit_classifier(split.filter("split = 'train'"), label, categorical, numeric, estimator or forest())
+    classifier = fit_classifier(split.filter("split = 'train'"), label, categorical, numeric, estimator or forest(), step)
     counts = holdout_counts(classifier, split.filter("split = 'test'"))
     return Training(classifier, counts, summary_metrics(counts))
 
