@@ -31,16 +31,19 @@ def power_of_two(n: int) -> int:
 
 
 def in_blocks(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], int], limit: int) -> Iterator[pa.Table]:
-    """Tables of about ``limit`` bytes made of consecutive Arrow batches."""
+    """Tables of about ``limit`` bytes: small Arrow batches together, large ones in slices."""
     held, weight = [], 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        held.append(batch)
-        weight += size(batch)
-        if weight >= limit:
-            yield pa.Table.from_batches(held)
-            held, weight = [], 0
+        whole = size(batch)
+        rows = max(1, batch.num_rows * limit // max(1, whole))
+        for at in range(0, batch.num_rows, rows):
+            held.append(batch.slice(at, rows))
+            weight += whole * held[-1].num_rows // batch.num_rows
+            if weight >= limit:
+                yield pa.Table.from_batches(held)
+                held, weight = [], 0
     if held:
         yield pa.Table.from_batches(held)
 

@@ -33,9 +33,9 @@ from lodestat.session import materialize
 SEQUENCE = 2048
 END = 1
 #: Text tokenised at a time.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 #: Word pieces whose ids a task remembers from one batch to the next; beyond, it starts anew.
-KNOWN = 300_000
+KNOWN = 200_000
 #: Ranks of a length are counted in so many parts.
 BUCKETS = 512
 
