@@ -51,6 +51,8 @@ UNITS = {
     "temperature": "degree degrees celsius fahrenheit kelvin",
 }
 _DIMENSION = {u: d for d, units in UNITS.items() for u in units.split()}
+#: Words that a task remembers; beyond, it starts anew.
+KNOWN = 300_000
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*%?")
 _GLUED = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_]+)")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -64,12 +66,32 @@ _NUM, _NAME = 0x9AE16A3B2F90404F, 0xC949C7DEFD8E4B55
 
 
 class Lexicon(dict):
-    """What is known of a raw word: (canonical code, slot value, kind, ends a sentence, unit code).
+    """Raw words as rows of a table: canonical code, slot value, unit code, kind, whether a sentence ends.
 
     Kinds: 0 nothing left of the word, 1 literal, 2 number, 3 possible name, 4 number with its unit.
     """
 
-    def __missing__(self, word: str) -> tuple[int, int, int, bool, int]:
+    def __init__(self) -> None:
+        super().__init__()
+        self.codes, self.kinds = np.zeros((1024, 3), np.uint64), np.zeros((1024, 2), np.int8)
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        if len(self) > KNOWN:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def __missing__(self, word: str) -> int:
+        at = len(self)
+        if at == len(self.codes):
+            self.codes, self.kinds = (np.concatenate([x, np.zeros_like(x)]) for x in (self.codes, self.kinds))
+        code, value, kind, ends, unit = self.describe(word)
+        self.codes[at] = code, value, unit
+        self.kinds[at] = kind, ends
+        self[word] = at
+        return at
+
+    @staticmethod
+    def describe(word: str) -> tuple[int, int, int, bool, int]:
         core = _EDGE.sub("", word)
         ends = word.rstrip("\"')]»”’*#$%&|")[-1:] in (".", "!", "?", ":", ";")
         low = core.lower()
@@ -82,22 +104,18 @@ class Lexicon(dict):
         else:
             unit = _code(f"<{_DIMENSION[low]}>") if low in _DIMENSION else 0
             name = len(core) > 1 and core[0].isupper() and core[1:].islower()
-            found = (_code(low), _code(low), 3 if name else 1, ends, unit)
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = found
+            code = _code(low)
+            found = (code, code, 3 if name else 1, ends, unit)
         return found
 
 
 def canonical(text: str | None, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     """Codes and slot values (0 for a literal) of the text's words."""
-    known = [lexicon[w] for w in (text or "").split()]
-    if not known:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    code, value, kind, ends, unit = (np.array(c) for c in zip(*known, strict=True))
-    code, value, unit = code.astype(np.uint64), value.astype(np.uint64), unit.astype(np.uint64)
+    words = lexicon.rows((text or "").split())
+    code, value, unit = lexicon.codes[words].T.copy()
+    kind, ends = lexicon.kinds[words].T
     start = np.ones(len(code), bool)
-    start[1:] = ends[:-1]
+    start[1:] = ends[:-1] != 0
     there = kind > 0
     code, value, kind, unit, start = code[there], value[there], kind[there], unit[there], start[there]
     name = (kind == 3) & ~start
