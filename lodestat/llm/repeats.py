@@ -161,14 +161,20 @@ def _runs(*sorted_columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _places(data: bytes) -> np.ndarray:
+    """Rows (place, step, count)."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(12, -1).T).view(np.uint32).reshape(-1, 3).astype(np.int64)
+
+
 def _pairs(begin: np.ndarray, n: int) -> list[tuple[int, int]]:
     """(from, to) of runs that start at ``begin`` and fill ``n`` places."""
     return list(zip(begin.tolist(), [*begin[1:].tolist(), n], strict=True)) if len(begin) else []
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """Byte planes of integers, so that the usual zero bytes stand together and compress."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+    """Byte planes of integers, or of rows of them, so that the usual zero bytes stand together and compress."""
+    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T).tobytes()
 
 
 def _from_planes(data: bytes, kind) -> np.ndarray:
@@ -176,6 +182,33 @@ def _from_planes(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
+def _progressions(group: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places as progressions: the first of each, and rows (place, step, count).
+
+    ``group`` holds the starts of groups of equal items, ``at`` their places, rising within a
+    group.  A text that repeats itself has one item at many evenly spaced places.
+    """
+    head = np.zeros(len(at), bool)
+    head[group] = True
+    step = np.diff(at, prepend=0)
+    new = head.copy()
+    new[1:] |= ~head[1:] & ~head[:-1] & (step[1:] != step[:-1])
+    first = np.flatnonzero(new)
+    count = np.diff(np.append(first, len(at)))
+    steps = np.where(count > 1, step[np.minimum(first + 1, max(0, len(at) - 1))], 0) if len(at) else step[first]
+    return first, np.column_stack([at[first], steps, count]).astype(np.uint32)
+
+
+def _expand(start: np.ndarray, stop: np.ndarray, step: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of progressions; those that touch their next are one span from the start."""
+    joined = step <= stop - start
+    stop = np.where(joined, stop + step * (count - 1), stop)
+    many = np.where(joined, 1, count)
+    turn = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    moved = turn * np.repeat(step, many)
+    return np.repeat(start, many) + moved, np.repeat(stop, many) + moved
+
+
 def _slices(hashes: np.ndarray, digits: int) -> list[tuple[int, int, int]]:
     """(digit, from, to) of sorted hashes, by their leading bits."""
     digit = (hashes >> np.uint64(64 - digits.bit_length() + 1)).astype(np.int64) if digits > 1 else np.zeros(len(hashes), np.int64)
@@ -276,7 +309,7 @@ def _send_stretches(digits: int):
         mine = np.flatnonzero(shared[np.searchsorted(head, block.head)])
         first, last, who, key = block.first[mine], block.last[mine], block.who[mine], block.head[mine]
         whole = block.hash(first, last + DEPTH)
-        order = np.lexsort((who, whole, key))
+        order = np.lexsort((first, who, whole, key))
         first, last, who, key, whole = (x[order] for x in (first, last, who, key, whole))
         begin = _runs(key, whole)
         least = np.repeat(who[begin], np.diff(np.append(begin, len(who))))
@@ -285,10 +318,11 @@ def _send_stretches(digits: int):
         if gone.any():
             rows.append(_span_row(number, number % digits, _REMOVED, *_merge(first[gone], last[gone] + DEPTH)))
         first, last, who, key, whole = (x[~gone] for x in (first, last, who, key, whole))
-        ids = block.ids[who]
+        chosen, places = _progressions(_runs(key, whole, who), first)
+        more, key, whole, ids = (last - first)[chosen], key[chosen], whole[chosen], block.ids[who[chosen]]
         for d, a, b in _slices(key, digits):
             rows.append((d, number, _ENTRIES, _planes(key[a:b]), _planes(whole[a:b]), _planes(ids[a:b]),
-                         _planes(first[a:b].astype(np.uint32)), _planes((last - first)[a:b].astype(np.uint8))))
+                         _planes(places[a:b]), _planes(more[a:b].astype(np.uint8))))
         return _rows(rows)
     return send
 
@@ -300,12 +334,13 @@ def _judge_stretches(table: pa.Table) -> pa.Table:
     entries = [x for k, *x in zip(kinds, *columns, strict=True) if k == _ENTRIES]
     if not entries:
         return _rows(rows)
-    key, whole, ids, first, more = (
+    key, whole, ids, more = (
         np.concatenate([_from_planes(x[i], t) for x in entries])
-        for i, t in ((1, np.uint64), (2, np.uint64), (3, np.int64), (4, np.uint32), (5, np.uint8)))
-    source = np.repeat([x[0] for x in entries], [len(x[4]) // 4 for x in entries])
+        for i, t in ((1, np.uint64), (2, np.uint64), (3, np.int64), (5, np.uint8)))
+    places = np.concatenate([_places(x[4]) for x in entries])
+    source = np.repeat([x[0] for x in entries], [len(x[5]) for x in entries])
     order = np.lexsort((ids, whole, key))
-    key, whole, ids, first, more, source = (x[order] for x in (key, whole, ids, first, more, source))
+    key, whole, ids, places, more, source = (x[order] for x in (key, whole, ids, places, more, source))
     begin = _runs(key, whole)
     size = np.diff(np.append(begin, len(key)))
     gone = ids > np.repeat(ids[begin], size)
@@ -313,14 +348,19 @@ def _judge_stretches(table: pa.Table) -> pa.Table:
     head_size = np.diff(np.append(head_begin, len(key)))
     kinds_of_head = np.add.reduceat(np.isin(np.arange(len(key)), begin, assume_unique=True).astype(np.int64), head_begin)
     ask = ~gone & np.repeat(kinds_of_head > 1, head_size)
-    start, stop = first.astype(np.int64), first.astype(np.int64) + more
+    start, step, count = places.T
+    stop = start + more  # the last window of the stretch
     for kind, chosen in ((_REMOVED, gone), (_ASK, ask)):
         at = np.flatnonzero(chosen)
         at = at[np.argsort(source[at], kind="stable")]
         begin = _runs(source[at])
         for a, b in _pairs(begin, len(at)):
             own = at[a:b]
-            spans = _merge(start[own], stop[own] + DEPTH) if kind == _REMOVED else (start[own], stop[own])
+            if kind == _REMOVED:
+                spans = _merge(*_expand(start[own], stop[own] + DEPTH, step[own], count[own]))
+            else:  # windows, so spans that touch are those whose first follows the last
+                first, after = _expand(start[own], stop[own] + 1, step[own], count[own])
+                spans = first, after - 1
             rows.append(_span_row(int(source[own[0]]), -1, kind, *spans))
     return _rows(rows)
 
@@ -348,16 +388,18 @@ def _send_windows(digits: int):
             place = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
             key, more = block.hash(place, place + DEPTH), (other(place, place + DEPTH) >> np.uint64(32)).astype(np.uint32)
             who = block.owners(place)
-            order = np.lexsort((who, more, key))
+            order = np.lexsort((place, who, more, key))
             place, key, more, who = (x[order] for x in (place, key, more, who))
             begin = _runs(key, more)
             gone = who > np.repeat(who[begin], np.diff(np.append(begin, len(who))))
             if gone.any():
                 rows.append(_span_row(number, number % digits, _REMOVED, *_merge(place[gone], place[gone] + DEPTH)))
-            place, key, more, ids = place[~gone], key[~gone], more[~gone], block.ids[who[~gone]]
+            place, key, more, who = place[~gone], key[~gone], more[~gone], who[~gone]
+            chosen, places = _progressions(_runs(key, more, who), place)
+            key, more, ids = key[chosen], more[chosen], block.ids[who[chosen]]
             for d, a, b in _slices(key, digits):
                 rows.append((d, number, _ENTRIES, _planes(key[a:b]), _planes(more[a:b]), _planes(ids[a:b]),
-                             _planes(place[a:b].astype(np.uint32)), None))
+                             _planes(places[a:b]), None))
         return _rows(rows)
     return send
 
@@ -369,20 +411,20 @@ def _judge_windows(table: pa.Table) -> pa.Table:
     entries = [x for k, *x in zip(kinds, *columns, strict=True) if k == _ENTRIES]
     if not entries:
         return _rows(rows)
-    key, more, ids, place = (
-        np.concatenate([_from_planes(x[i], t) for x in entries])
-        for i, t in ((1, np.uint64), (2, np.uint32), (3, np.int64), (4, np.uint32)))
-    source = np.repeat([x[0] for x in entries], [len(x[4]) // 4 for x in entries])
+    key, more, ids = (
+        np.concatenate([_from_planes(x[i], t) for x in entries]) for i, t in ((1, np.uint64), (2, np.uint32), (3, np.int64)))
+    places = np.concatenate([_places(x[4]) for x in entries])
+    source = np.repeat([x[0] for x in entries], [len(x[2]) // 4 for x in entries])
     order = np.lexsort((ids, more, key))
-    key, more, ids, place, source = (x[order] for x in (key, more, ids, place, source))
+    key, more, ids, places, source = (x[order] for x in (key, more, ids, places, source))
     begin = _runs(key, more)
     gone = ids > np.repeat(ids[begin], np.diff(np.append(begin, len(key))))
     at = np.flatnonzero(gone)
     at = at[np.argsort(source[at], kind="stable")]
     begin = _runs(source[at])
     for a, b in _pairs(begin, len(at)):
-        own = place[at[a:b]].astype(np.int64)
-        rows.append(_span_row(int(source[at[a]]), -1, _REMOVED, *_merge(own, own + DEPTH)))
+        start, step, count = places[at[a:b]].T
+        rows.append(_span_row(int(source[at[a]]), -1, _REMOVED, *_merge(*_expand(start, start + DEPTH, step, count))))
     return _rows(rows)
 
 
