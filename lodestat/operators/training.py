@@ -97,7 +97,8 @@ class Classifier:
 def index_labels(df: DataFrame, label: str, labels: Sequence[str], out: str = "label") -> DataFrame:
     """Alphabetical label codes with class metadata; rows without a known label are left out."""
     indexer = StringIndexerModel.from_labels(list(labels), inputCol="__label", outputCol=out, handleInvalid="skip")
-    return indexer.transform(df.withColumn("__label", quoted(label).cast("string"))).drop("__label")
+    named = df.withColumn("__label", quoted(label).cast("string"))
+    return indexer.transform(named.drop(out)).drop("__label")  # a column of that name gives way to the codes
 
 
 def fit_classifier(
