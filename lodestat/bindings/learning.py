@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestat.bindings.drift import DAYS, event_sides
+from lodestat.bindings.drift import DAYS, event_sides, with_outages
 from lodestat.bindings.registry import (
     FEATURES, NUMERIC, ORDERS_FEAT, PRIORITIES, docs_labeled, orders_feat, query, r6, table, union_all, with_ctes,
 )
@@ -288,7 +288,7 @@ def stream_routing(spark, sf):
 def stream_psi_by_day(spark, sf):
     """All days of the event stream against the first week."""
     baseline, _ = event_sides(spark, sf)
-    stream = event_stream(spark, sf).filter("NOT (event_type = 'error' AND dayofmonth(ts) % 3 = 0)").select(
+    stream = with_outages(event_stream(spark, sf)).select(
         "ts", "event_type", (F.col("user_id") % 12).cast("string").alias("user_group"))
     columns = ["event_type", "user_group"]
     out = scratch_path(spark, "windows")
