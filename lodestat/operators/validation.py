@@ -63,6 +63,7 @@ class Text:
     field: str
     shortest: int = 2
     longest: int = 50
+    blank_message: str = MSG_BLANK
 
     def errors(self) -> list[Column]:
         col = quoted(self.field)
@@ -73,7 +74,7 @@ class Text:
         return [
             _error(short, self.field, MSG_SHORT.format(field=self.field, limit=self.shortest), TYPE_SHORT),
             _error(long, self.field, MSG_LONG.format(field=self.field, limit=self.longest), TYPE_LONG),
-            _error(blank, self.field, MSG_BLANK.format(field=self.field), TYPE_BLANK),
+            _error(blank, self.field, self.blank_message.format(field=self.field), TYPE_BLANK),
         ]
 
 

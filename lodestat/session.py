@@ -42,7 +42,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     # A session may refuse to change this setting, so the folder is remembered here.
-    return _local_roots.setdefault(context.applicationId, tempfile.mkdtemp(prefix="lodestat-"))
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="lodestat-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
