@@ -147,7 +147,8 @@ class Block:
         begin = np.flatnonzero(new)
         self.first = window[begin]
         self.last = window[np.append(begin[1:], len(window)) - 1]
-        self.head = exact[at[begin]]
+        # The least of many hashes is a small one; mixed again, heads spread evenly over the digits.
+        self.head = _mixed(exact[at[begin]] + np.uint64(1))
         self.who = self.owners(self.first)
 
 
