@@ -25,13 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import in_blocks, rows_with
 
 PER_LANGUAGE = 400
 TRAIN_BYTES = 1024
+#: Places in a text, from its begin, that training may use (prediction reads all of it).
+TRAIN_CHARS = 8_000
+#: Documents are chosen by a hash into so many turns, with this many times as many candidates as are wanted.
+TURNS = 1 << 40
+SPARE = 2
 HIDDEN = 8
 STEPS = 64
 UPDATES = 400
@@ -218,15 +223,19 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """At most ``PER_LANGUAGE`` texts with letters of each language, chosen by a hash of the id."""
     rows = rows_with(docs, id=id_col, text=text_col, lang=lang_col).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    keys = rows.select("lang", "id", F.xxhash64("id").alias("turn"))
-    # Each bucket's first rows suffice for the first of all, so no language is ranked in one task.
-    parted = keys.withColumn("bucket", F.pmod("turn", F.lit(64)))
-    turn = F.row_number().over(Window.partitionBy("lang", "bucket").orderBy("turn", "id"))
-    parted = parted.withColumn("n", turn).where(F.col("n") <= PER_LANGUAGE)
-    first = parted.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("turn", "id"))).where(F.col("n") <= PER_LANGUAGE)
-    chosen = first.select(F.col("id").alias("of")).distinct()
-    found = rows.join(chosen, F.col("id") == F.col("of")).select("lang", F.substring("text", 1, 20_000).alias("text"), "id")
-    return [(r["lang"], r["text"]) for r in sorted(found.collect(), key=lambda r: (r["id"], r["lang"], r["text"]))]
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
+    # A share of each language by hash, so that about SPARE times the wanted rows come to the driver, without a shuffle of texts.
+    turn = F.pmod(F.xxhash64("id"), F.lit(TURNS))
+    limit = F.lit(0)
+    for lang, n in sizes.items():
+        limit = F.when(F.col("lang") == lang, F.lit(min(TURNS, TURNS * SPARE * PER_LANGUAGE // n + 1))).otherwise(limit)
+    found = rows.where(turn < limit).select("lang", turn.alias("turn"), "id", F.substring("text", 1, TRAIN_CHARS).alias("text")).collect()
+    taken, out = dict.fromkeys(sizes, 0), []
+    for r in sorted(found, key=lambda r: (r["turn"], str(r["id"]), r["text"])):
+        if taken[r["lang"]] < PER_LANGUAGE:
+            taken[r["lang"]] += 1
+            out.append((r["lang"], r["text"]))
+    return out
 
 
 def identify(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
