@@ -4,15 +4,22 @@ Words are canonicalised: numbers, names (capitalised words inside a sentence) an
 (after a number, by dimension) become typed placeholders, other words their lower-case
 letters and digits.  Every window of ``WINDOW`` canonical words is hashed; windows of the
 documents are hash-joined with those of the benchmark items.  A question whose numbers or
-names were changed still has the same templates.
+names were changed still has the same templates.  A capitalised word that begins a sentence
+may be a name or not, so windows are hashed in both readings of each such word, on both sides.
+
+An item that has no window of ``LITERAL`` literal words, as it is short or dense in numbers,
+is one window as a whole, whatever its literals; documents are read in windows of such
+lengths too.  Beyond ``WINDOW`` words these have two readings only, all words that begin
+sentences as names and none.  If a whole window has no literal word, only equal values match.
 
 Matches on one diagonal (document position minus item position) are one occurrence.  Its
 slots must be consistent: the document may hold other values than the item, but where the
-item repeats a value the document must repeat its own.  An item leaks into a document when
+item repeats a value the document must repeat its own.  Windows that read no beginning of a
+sentence as a name are judged, and counted, alone first; the others help where these do not
+suffice or, being inconsistent, are left out.  An item leaks into a document when
 consistent windows cover enough of it.
 
-Null and empty texts have no windows, and neither has an item of fewer than ``WINDOW``
-words.  Equal items are each reported.  A document row is known by id and text hash, so
+Null and empty texts have no windows.  Equal items are each reported.  A document row is known by id and text hash, so
 rows sharing an id are judged each by its text.  Empty tables give an empty result;
 further columns are ignored.
 """
@@ -25,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import power_of_two, rows_with
@@ -36,6 +43,8 @@ LITERAL = 4
 #: Share of an item's windows, or number of them, that a document must show.
 COVERAGE = 0.4
 LONG_RUN = 12
+#: Windows of a text whose readings are made at a time.
+READ = 1 << 14
 #: Benchmark windows up to which documents are filtered by a bit map before the join, and the join is a broadcast.
 SMALL = 400_000
 
@@ -63,6 +72,7 @@ def _code(token: str) -> int:
 
 
 _NUM, _NAME = 0x9AE16A3B2F90404F, 0xC949C7DEFD8E4B55
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Lexicon(dict):
@@ -111,6 +121,11 @@ class Lexicon(dict):
 
 def canonical(text: str | None, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
     """Codes and slot values (0 for a literal) of the text's words."""
+    return readable(text, lexicon)[:2]
+
+
+def readable(text: str | None, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes and slot values (0 for a literal) of the text's words, and which literals may be names, their code then the value."""
     words = lexicon.rows((text or "").split())
     code, value, unit = lexicon.codes[words].T.copy()
     kind, ends = lexicon.kinds[words].T
@@ -124,30 +139,105 @@ def canonical(text: str | None, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarra
     measured[1:] = (kind[:-1] == 2) & (unit[1:] != 0)
     code[measured] = unit[measured]
     value[~(name | measured | (kind == 2) | (kind == 4))] = 0
-    return code, value
+    return code, value, (kind == 3) & start & ~measured
+
+
+def _totals(code: np.ndarray, size: int, total: int = 0) -> np.ndarray:
+    n = len(code) - size + 1
+    totals = np.full(n, total, np.uint64)
+    for m in range(size):
+        totals = totals * _STEP + code[m: m + n]
+    return totals
+
+
+def _mixed(total: np.ndarray) -> np.ndarray:
+    total = total ^ (total >> np.uint64(31))
+    total = total * np.uint64(0xBF58476D1CE4E5B9)
+    return total ^ (total >> np.uint64(29))
+
+
+def _literals(value: np.ndarray) -> np.ndarray:
+    before = np.concatenate([[0], np.cumsum(value == 0)])
+    return before[WINDOW:] - before[:-WINDOW]
 
 
 def window_hashes(code: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the windows with enough literal words."""
-    n = len(code) - WINDOW + 1
-    if n <= 0:
+    if len(code) < WINDOW:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    total, literal = np.zeros(n, np.uint64), np.zeros(n, np.int64)
-    for m in range(WINDOW):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + code[m: m + n]
-        literal += value[m: m + n] == 0
-    total ^= total >> np.uint64(31)
-    total *= np.uint64(0xBF58476D1CE4E5B9)
-    total ^= total >> np.uint64(29)
-    at = np.flatnonzero(literal >= LITERAL)
-    return at, total[at]
+    at = np.flatnonzero(_literals(value) >= LITERAL)
+    return at, _mixed(_totals(code, WINDOW)[at])
+
+
+def _readings(at: np.ndarray, total: np.ndarray, spare: np.ndarray, code: np.ndarray, maybe: np.ndarray,
+              size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Further readings of windows of ``size`` (up to ``WINDOW``) words: places, totals and a bit for each word read as a name.
+
+    Of the words that may be names, every choice of at most ``spare`` is read so.
+    """
+    places, totals, left, masks = at[:0], total[:0], spare[:0], np.empty(0, np.uint8)
+    index = np.full(len(code), -1)
+    index[at] = np.arange(len(at))
+    names = np.flatnonzero(maybe)
+    change, power = np.uint64(_NAME) - code, 1
+    for m in reversed(range(size)):
+        by = change * np.uint64(power)
+        own = index[names[names >= m] - m]
+        own = own[own >= 0]
+        own = own[spare[own] > 0]
+        more = np.flatnonzero(maybe[places + m] & (left > 0))
+        new = [(at[own], total[own], spare[own], np.zeros(len(own), np.uint8)), (places[more], totals[more], left[more], masks[more])]
+        new = [(a, t + by[a + m], s - 1, k | np.uint8(1 << m)) for a, t, s, k in new if len(a)]
+        if new:
+            places, totals, left, masks = (np.concatenate(x) for x in zip((places, totals, left, masks), *new, strict=True))
+        power = power * int(_STEP) & (1 << 64) - 1
+    return places, totals, masks
+
+
+def all_readings(code: np.ndarray, value: np.ndarray, maybe: np.ndarray, size: int = 0) -> Iterator[tuple[np.ndarray, ...]]:
+    """Places, hashes and words read as names (a bit each, or 1 for all) of windows in their readings, some windows at a time.
+
+    With a ``size``, the windows of so many words whatever their literals; else the usual ones.
+    """
+    long = size or WINDOW
+    if len(code) < long:
+        return
+    totals = _totals(code, long, _code(f"<whole {size}>") if size else 0)
+    every = np.arange(len(totals)) if size else np.flatnonzero(_literals(value) >= LITERAL)
+    spare = np.full(len(totals), long) if size else _literals(value) - LITERAL
+    if long > WINDOW:
+        named = np.where(maybe, np.uint64(_NAME), code)
+        others = _totals(named, long, _code(f"<whole {size}>"))
+    for begin in range(0, len(every), READ):
+        at = every[begin: begin + READ]
+        yield at, _mixed(totals[at]), np.zeros(len(at), np.uint8)
+        if not maybe[at[0]: at[-1] + long].any():
+            continue
+        if long > WINDOW:
+            at = at[others[at] != totals[at]]
+            yield at, _mixed(others[at]), np.ones(len(at), np.uint8)
+        else:
+            # Places count from the first window, so that the work depends on these windows only.
+            first, last = at[0], at[-1] + long
+            place, found, mask = _readings(at - first, totals[at], spare[at], code[first:last], maybe[first:last], long)
+            yield place + first, _mixed(found), mask
+
+
+def _slots(code: np.ndarray, value: np.ndarray, maybe: np.ndarray, place: np.ndarray, mask: np.ndarray, size: int) -> np.ndarray:
+    """Rows of the windows' slot values in their readings."""
+    at = place[:, None] + np.arange(size)
+    named = (mask[:, None] >> np.arange(size, dtype=np.uint8) & 1).astype(bool) if size <= WINDOW else maybe[at] & (mask[:, None] != 0)
+    return np.where(named, code[at], value[at])
 
 
-_WINDOWS = "id {kind}, print long, at int, windows int, hash long, slots array<long>"
+_WINDOWS = "id {kind}, print long, at int, windows int, hash long, slots array<long>, named boolean, size int"
 
 
-def windows(rows: DataFrame, wanted: np.ndarray | None = None, bits: int = 0) -> DataFrame:
-    """One row per window of ``rows`` (``id``, ``text``); with a bit map, only windows whose hash is marked in it."""
+def windows(rows: DataFrame, wanted: np.ndarray | None = None, bits: int = 0, sizes: tuple[int, ...] | None = None) -> DataFrame:
+    """One row per window and reading of ``rows`` (``id``, ``text``); with a bit map, only windows whose hash is marked in it.
+
+    ``sizes``: also the windows of so many words, whatever their literals.  None: of a row without usual windows the whole text.
+    """
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
@@ -156,30 +246,35 @@ def windows(rows: DataFrame, wanted: np.ndarray | None = None, bits: int = 0) ->
             marked = np.zeros(bits, bool)
             marked[wanted] = True
         for batch in batches:
-            owner, at, many, hashes, slots, prints = [], [], [], [], [], []
+            columns, slots = [], []
             for i, text in enumerate(batch.column(1)):
                 text = text.as_py()
-                code, value = canonical(text, lexicon)
-                place, found = window_hashes(code, value)
-                total = len(place)
-                if marked is not None and total:
-                    keep = marked[(found & np.uint64(bits - 1)).astype(np.int64)]
-                    place, found = place[keep], found[keep]
-                if len(place):
-                    owner.append(np.full(len(place), i))
-                    prints.append(np.full(len(place), xxhash.xxh64_intdigest(text.encode(), 42), np.uint64))
-                    at.append(place)
-                    many.append(np.full(len(place), total))
-                    hashes.append(found)
-                    slots.append(value[place[:, None] + np.arange(WINDOW)])
-            if owner:
-                flat = np.concatenate(slots).view(np.int64).ravel()
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(prints).view(np.int64)),
-                    pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(many).astype(np.int32)),
-                    pa.array(np.concatenate(hashes).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, WINDOW, dtype=np.int32)), pa.array(flat)),
-                ], ["id", "print", "at", "windows", "hash", "slots"])
+                code, value, maybe = readable(text, lexicon)
+                total = int((_literals(value) >= LITERAL).sum()) if len(code) >= WINDOW else 0
+                whole = sizes if sizes is not None else () if total else (len(code),) if len(code) else ()
+                mark = None
+                for size in (*((0,) if total else ()), *whole):
+                    for place, found, mask in all_readings(code, value, maybe, size):
+                        if marked is not None:
+                            keep = marked[(found & np.uint64(bits - 1)).astype(np.int64)]
+                            place, found, mask = place[keep], found[keep], mask[keep]
+                        if not len(place):
+                            continue
+                        if mark is None:
+                            mark = np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).view(np.int64)
+                        many = len(place)
+                        columns.append((np.full(many, i), np.full(many, mark), place, np.full(many, 1 if size else total),
+                                        found.view(np.int64), mask != 0, np.full(many, size)))
+                        slots.append(_slots(code, value, maybe, place, mask, size or WINDOW))
+            if columns:
+                owner, mark, place, many, found, named, size = (pa.array(np.concatenate(c)) for c in zip(*columns, strict=True))
+                ends = np.cumsum(np.concatenate([np.full(len(x), x.shape[1]) for x in slots]))
+                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+                flat = np.concatenate([x.ravel() for x in slots]).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(owner), mark, place.cast(pa.int32()), many.cast(pa.int32()), found,
+                     pa.ListArray.from_arrays(offsets, pa.array(flat)), named, size.cast(pa.int32())],
+                    ["id", "print", "at", "windows", "hash", "slots", "named", "size"])
 
     return rows.mapInArrow(compute, _WINDOWS.format(kind=rows.schema["id"].dataType.simpleString()))
 
@@ -190,30 +285,53 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     ``coverage`` of the item, ``first_word`` of the occurrence among the document's canonical words, ``changed`` slots."""
     items = windows(rows_with(benchmark, id=item_col, text=item_text).where("text IS NOT NULL")).select(
         F.col("id").alias("item_id"), F.col("print").alias("item_print"), F.col("at").alias("item_at"),
-        F.col("windows").alias("item_windows"), F.col("hash").alias("item_hash"), F.col("slots").alias("item_slots"))
+        F.col("windows").alias("item_windows"), F.col("hash").alias("item_hash"), F.col("slots").alias("item_slots"), "size",
+        F.col("named").alias("item_named"), F.expr("size > 0 AND forall(slots, x -> x != 0)").alias("exact"))
     size = items.count()
+    sizes = tuple(sorted(r["size"] for r in items.where("size > 0").select("size").distinct().collect()))  # lengths of whole items
+    items = items.drop("size")
     rows = rows_with(docs, id=id_col, text=text_col).where("text IS NOT NULL")
     if size <= SMALL:  # checked, so the marks and the broadcast are bounded
         bits = power_of_two(max(1 << 20, 32 * size))
         marks = items.select(F.expr(f"item_hash & {bits - 1}L").alias("m")).distinct().collect()
-        found = windows(rows, np.array([m["m"] for m in marks], np.int64), bits)
+        found = windows(rows, np.array([m["m"] for m in marks], np.int64), bits, sizes)
         items = F.broadcast(items)
     else:
-        found = windows(rows)
+        found = windows(rows, sizes=sizes)
     hits = found.join(items, F.col("hash") == F.col("item_hash"))
     # Slots of the window as (item's value, document's value), for placeholders only.
     pairs = F.expr("filter(arrays_zip(item_slots, slots), x -> x.item_slots != 0)")
-    hits = hits.select("id", "print", "item_id", "item_print", "item_windows", "item_at", "at", (F.col("at") - F.col("item_at")).alias("diagonal"), pairs.alias("pairs"))
+    hits = hits.select("id", "print", "item_id", "item_print", "item_windows", "item_at", "at", (F.col("at") - F.col("item_at")).alias("diagonal"),
+                       pairs.alias("pairs"), F.expr("named OR item_named").alias("named"), "exact")
+    hits = hits.where("NOT exact OR forall(pairs, x -> x.item_slots = x.slots)")
+
+    def of(rows: Column) -> Column:
+        ats, first = F.collect_set(F.when(rows, F.col("item_at"))), F.min(F.when(rows, F.col("at")))
+        pairs = F.array_distinct(F.flatten(F.collect_set(F.when(rows, F.col("pairs")))))
+        return F.struct(ats.alias("ats"), first.alias("first"), pairs.alias("pairs"))
+
+    def consistent(run: str) -> Column:
+        return F.size(f"{run}.pairs") == F.size(F.array_distinct(F.transform(f"{run}.pairs", lambda x: x["item_slots"])))
+
     runs = hits.groupBy("id", "print", "item_id", "item_print", "item_windows", "diagonal").agg(
-        F.collect_set("item_at").alias("ats"), F.min("at").alias("first"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["item_slots"])))
-    changed = F.size(F.filter("pairs", lambda x: x["item_slots"] != x["slots"]))
-    kept = runs.where(consistent).groupBy("id", "print", "item_id", "item_print", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("matched"), F.min("first").alias("first_word"),
-        F.max(changed).alias("changed"))
-    kept = kept.withColumn("coverage", F.col("matched") / F.col("item_windows"))
-    return kept.where((F.col("coverage") >= COVERAGE) | (F.col("matched") >= LONG_RUN)).select(
-        F.col("id").alias("doc_id"), "print", "item_id", "matched", "coverage", "first_word", "changed")
+        of(F.lit(True)).alias("all"), of(~F.col("named")).alias("plain"))
+    runs = runs.withColumns({
+        "all": F.when(consistent("all"), F.col("all")).when(consistent("plain"), F.col("plain")),
+        "plain": F.when(consistent("plain"), F.col("plain"))})
+
+    def occurrence(run: str) -> Column:
+        matched = F.size(F.array_distinct(F.flatten(F.collect_list(f"{run}.ats"))))
+        changed = F.max(F.size(F.filter(f"{run}.pairs", lambda x: x["item_slots"] != x["slots"])))
+        return F.struct(matched.alias("matched"), (matched / F.col("item_windows")).alias("coverage"),
+                        F.min(f"{run}.first").alias("first_word"), changed.alias("changed"))
+
+    def enough(of: str) -> Column:
+        return (F.col(f"{of}.coverage") >= COVERAGE) | (F.col(f"{of}.matched") >= LONG_RUN)
+
+    kept = runs.groupBy("id", "print", "item_id", "item_print", "item_windows").agg(
+        occurrence("all").alias("all"), occurrence("plain").alias("plain"))
+    kept = kept.withColumn("run", F.when(enough("plain"), F.col("plain")).when(enough("all"), F.col("all"))).where("run IS NOT NULL")
+    return kept.select(F.col("id").alias("doc_id"), "print", "item_id", "run.*")
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -88,3 +88,21 @@ def test_edges(spark, edge_docs, no_docs):
     kept = decontaminate.remove_leaks(edge_docs, items)
     assert kept.columns == edge_docs.columns and kept.count() == 9
     assert decontaminate.leaks(no_docs, items).count() == 0 and decontaminate.leaks(edge_docs, items.where("1 = 0")).count() == 0
+
+
+def test_items_without_a_window_are_found_whole(spark):
+    dense, short = "Compute 12 + 7 * 3 - 4 / 2 and 9 * 8", "What is 12 plus 7?"
+    texts = ["so: " + dense, "Compute 5 + 6 * 1 - 2 / 3 and 4 * 7 now", "He asked. What is 3 plus 9? Nobody knew.", "compute 12 or not and so on", "all of 1 2 3 4", "as 1 2 3 5 4"]
+    docs, items = tables(spark, texts, [dense, short, "1 2 3 4"])
+    found = {(r["doc_id"], r["item_id"]): r["changed"] for r in decontaminate.leaks(docs, items).collect()}
+    assert {k: v > 0 for k, v in found.items()} == {(0, 0): False, (1, 0): True, (2, 1): True, (4, 2): False}
+
+
+def test_names_that_begin_sentences_may_be_changed(spark):
+    item = "Alice has 3 apples in her small basket. Bob gives her many more apples today. Alice eats some of them with her friend. How many apples are left there now?"
+    renamed = item.replace("Alice", "Carol").replace("Bob", "Dave")
+    mixed = "today " + renamed.replace("How", "how")  # one beginning renamed, another in lower case
+    broken = renamed.replace("Carol eats", "Erwin eats")
+    docs, items = tables(spark, [item, renamed, mixed, item.upper(), broken], [item])
+    found = {r["doc_id"]: (r["coverage"], r["changed"]) for r in decontaminate.leaks(docs, items).collect()}
+    assert set(found) == {0, 1, 2, 3} and found[0] == (1.0, 0) and found[1][0] > 0.8 and found[1][1] == 2 and found[3][1] == 0
