@@ -28,7 +28,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import power_of_two, rows_with
@@ -253,13 +253,18 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return sent.groupBy("part").applyInArrow(search, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    radius: int = RADIUS) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id`` (the smallest id linked, directly or not) of every row."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``fp`` of every row; of every distinct ``fp`` the ``least`` id and the ``root`` of its component."""
     marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     rooted = components(links(distinct.select("fp"), radius))
-    joined = distinct.join(rooted, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return marked, distinct.join(rooted, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    radius: int = RADIUS) -> DataFrame:
+    """``doc_id``, ``fp`` and ``component_id`` (the smallest id linked, directly or not) of every row."""
+    marked, joined = _rooted(docs, id_col, text_col, shingle, radius)
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     named = joined.join(ids, "root").select(F.col("fp").alias("of"), "component_id")
     return marked.join(named, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
@@ -267,13 +272,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
-    """``docs`` without all but one row of each component: its smallest id, of rows sharing that id one.
+    """``docs`` without all but one row of each component: the one of smallest id, then text hash, then hash of the row.
 
-    Rows without an id are not compared and stay.
+    Rows with one id and unlike texts are of different components.  Rows without an id are not compared and stay.
     """
-    found = near_duplicates(docs.where(F.col(f"`{id_col}`").isNotNull()), id_col, text_col, shingle, radius)
-    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
-    joined = docs.join(chosen, F.col(f"`{id_col}`") == F.col("__chosen"))
-    one = Window.partitionBy("__chosen").orderBy(F.xxhash64(f"`{text_col}`"), F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
-    joined = joined.withColumn("__turn", F.row_number().over(one)).where("__turn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return joined.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    of = F.col(f"`{id_col}`")
+    rows = docs.where(of.isNotNull()).withColumns({
+        "__print": F.xxhash64(f"`{text_col}`"), "__row": F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))})
+    keyed = rows.withColumn("__key", F.struct(of.alias("id"), F.col("__print").alias("print"), F.col("__row").alias("row")))
+    _, rooted = _rooted(keyed, "__key", text_col, shingle, radius)
+    chosen = rooted.groupBy("root").agg(F.min("least").alias("key")).select(*[F.col(f"key.{c}").alias(f"__of_{c}") for c in ("id", "print", "row")])
+    # Equal rows are reduced where they are read; the join then finds the rows dealt out by its own key.
+    single = rows.dropDuplicates([id_col, "__print", "__row"])
+    same = (of == F.col("__of_id")) & (F.col("__print") == F.col("__of_print")) & (F.col("__row") == F.col("__of_row"))
+    kept = single.join(chosen, same, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.unionByName(docs.where(of.isNull()))

@@ -95,3 +95,13 @@ def test_edges(edge_docs, no_docs):
     assert kept.columns == edge_docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=lambda x: (x is None, x)) == [1, 3, 6, 8, 9, None, None]
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.keep_one(no_docs).count() == 0
+
+
+def test_keep_one_chooses_rows_not_ids(spark):
+    """Unlike texts that share an id are of different components, and one row of each stays."""
+    rng = random.Random(11)
+    a, b, c = (" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 3 + str(rng.randrange(900)) for _ in range(300)) for _ in range(3))
+    near = a.upper()  # of one fingerprint with a
+    rows = [(2, a, "x"), (3, near, "x"), (3, b, "x"), (5, a, "y"), (7, b, "y"), (7, c, "y"), (7, c, "y"), (7, c, "z")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == sorted([(2, a), (3, b), (7, c)])
