@@ -4,11 +4,15 @@ The page is read as a stream of parser events.  Lines are the pieces of text bet
 boundaries; a line's ratio is its characters over the tags it took.  The ratios are
 smoothed with a Gaussian along the page, so that a short paragraph between long ones keeps
 their company, and split into two clusters by a threshold.  The regions that hold lines of
-the upper cluster are the content: the articles or main elements that the page marks, else
-the container with most of the content.  A chosen region is returned whole.
+the upper cluster are the content: the articles or main elements that the page marks (all of
+them if none holds such lines), else every container with a line that is in the upper
+cluster by its own ratio, and what lies between them in that cluster.  Chosen regions and
+containers are returned whole.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
-are known by element, role, or words of their class and id, and are never content.
+are known by element, role, or words of their class and id, and are never content.  Words
+after "no", "has" and the like say what a part lacks or holds, not what it is.  An article
+inside a sidebar or comments is left out unless it is longer than the text outside.
 
 A null or empty page has an empty text, as has a page of nothing but such parts.  Repeated
 rows are read each by itself, long pages whole; further columns are ignored.
@@ -47,6 +51,8 @@ NAMES = frozenset(
 #: Parts inside which an article element is a card or a comment, not the page's article.
 KEPT_OUT = frozenset("aside comment comments disqus respond related recommended recommendations sidebar widget widgets".split())
 REGIONS = frozenset(("article", "main"))
+#: After one of these, a class name speaks of other parts.
+MODIFIERS = frozenset("no not non without with has have hide".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: An element of one of these is closed by the next one of the same kind.
 CLOSED_BY_NEXT = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -56,8 +62,9 @@ CLOSED_BY_NEXT = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "
 class _Reader(HTMLParser):
     """Lines of a page: text, tags, whether it is skipped, region and container."""
 
-    def __init__(self) -> None:
+    def __init__(self, rescue: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self.rescue, self.left_out = rescue, False
         self.open: list[tuple[str, bool, bool, int, int]] = []  # tag, skipped, kept out, region, container
         self.lines: list[tuple[str, int, bool, int, int]] = []
         self.parts: list[str] = []
@@ -84,11 +91,11 @@ class _Reader(HTMLParser):
         if tag in CLOSED_BY_NEXT or (tag not in INLINE and self.open and self.open[-1][0] == "p"):
             self._close_open(tag)
         if tag in REGIONS or tag == "body":
-            self._leave_unclosed()
+            self._leave_unclosed(tag)
         skipped, out, region, container = self._state()
         values = {k: v or "" for k, v in attrs}
         role = values.get("role", "").lower()
-        words = {w.lower() for k in ("class", "id") for w in _WORDS.findall(values.get(k, ""))}
+        words = {w for k in ("class", "id") for name in values.get(k, "").split() for w in _own_words(name)}
         if tag not in ("html", "body", "main"):
             marked = words & NAMES
             if tag == "header" or "header" in words or "masthead" in words:
@@ -133,28 +140,48 @@ class _Reader(HTMLParser):
             if name not in INLINE:
                 return
 
-    def _leave_unclosed(self) -> None:
-        """An article that begins inside an unclosed menu, advert or notice is not part of it."""
+    def _leave_unclosed(self, tag: str) -> None:
+        """An article that begins inside an unclosed menu, advert or notice is not part of it, nor is a main element of anything."""
         for i, (_, skipped, out, _, _) in enumerate(self.open):
-            if skipped and not out:
+            if skipped and (not out or self.rescue or tag == "main"):
                 del self.open[i:]
                 return
+            self.left_out = self.left_out or skipped
+
+
+def _own_words(name: str) -> list[str]:
+    """The words of a class name or id, up to one after which it speaks of other parts."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    return words[: next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))]
+
+
+def _open_text(lines: list[tuple[str, int, bool, int, int]], marked: bool = False) -> int:
+    return sum(len(x[0]) for x in lines if not x[2] and (x[3] or not marked))
 
 
 def read_lines(html: str) -> list[tuple[str, int, bool, int, int]]:
+    lines, left_out = _read(html, False)
+    if left_out and not _open_text(lines, True):
+        rescued, _ = _read(html, True)
+        if _open_text(rescued, True) > _open_text(lines):
+            return rescued
+    return lines
+
+
+def _read(html: str, rescue: bool) -> tuple[list[tuple[str, int, bool, int, int]], bool]:
     tail = html.rfind("<")
     if tail >= 0 and ">" not in html[tail:] and re.match(r"<[/!?a-zA-Z]", html[tail:]):
         html = html[:tail]  # the page breaks off inside a tag
-    reader = _Reader()
+    reader = _Reader(rescue)
     try:
         reader.feed(html)
         reader.close()
     except AssertionError:  # an unknown marked section; its opening is then read as a comment
-        reader = _Reader()
+        reader = _Reader(rescue)
         reader.feed(html.replace("<![", "<!-["))
         reader.close()
     reader.flush()
-    return reader.lines
+    return reader.lines, reader.left_out
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -188,7 +215,8 @@ def main_text(html: str | None) -> str:
     if not open_lines.any():
         return ""
     ratio = smoothed(length / tags)
-    content = open_lines & (ratio >= threshold(ratio))
+    border = threshold(ratio)
+    content = open_lines & (ratio >= border)
     if not content.any():
         content = open_lines
     region, container = np.array([x[3] for x in lines]), np.array([x[4] for x in lines])
@@ -196,16 +224,19 @@ def main_text(html: str | None) -> str:
     if marked.any():
         chosen = np.unique(region[content & marked])
         if not len(chosen):  # short articles beside longer stray text
-            sizes = {r: length[marked & (region == r)].sum() for r in np.unique(region[marked])}
-            chosen = [max(sizes, key=sizes.get)]
+            chosen = np.unique(region[marked])
         picked = marked & np.isin(region, chosen)
     else:
-        sizes = {c: length[content & (container == c)].sum() for c in np.unique(container[content])}
-        best = max(sizes, key=lambda c: (sizes[c], -c))
-        inside = np.flatnonzero(content & (container == best))
+        own = content & (length / tags >= border)  # not only by the company of lines outside
+        own = own if own.any() else content
+        chosen = np.unique(container[own])
+        inside = np.flatnonzero(own)
         picked = np.zeros(len(lines), bool)
-        picked[inside[0]: inside[-1] + 1] = True
-        picked = open_lines & (picked | (container == best))
+        picked[inside[0]: inside[-1] + 1] = content[inside[0]: inside[-1] + 1]
+        for c in chosen:
+            inside = np.flatnonzero(content & (container == c))
+            picked[inside[0]: inside[-1] + 1] = True
+        picked = open_lines & (picked | np.isin(container, chosen))
     return " ".join(x[0] for x, keep in zip(lines, picked, strict=True) if keep)
 
 

@@ -56,3 +56,21 @@ def test_edges(spark):
     out = extract.extract(df).collect()
     assert sorted(r["n_chars"] for r in out) == [0, 0, 0, len(BODY) * 2000]
     assert extract.extract(df.where("1 = 0")).count() == 0
+
+
+def test_all_containers_with_content_are_returned():
+    sections = "".join(f"<div class=section><p>{x} {BODY}</p></div>" for x in ("One.", "Two, and it is the longest of the three.", "Three."))
+    links = "".join(f"<div><a href=/{i}>link {i}</a></div>" for i in range(12))
+    assert extract.main_text(f"<div>{links}</div><div id=post>{sections}</div><div>{links}</div>") == (
+        f"One. {BODY} Two, and it is the longest of the three. {BODY} Three. {BODY}")
+
+
+@pytest.mark.parametrize("wrapper", ["main no-sidebar", "has-widgets", "noSidebar", "page with_comments", "widget", "sidebar-layout"])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_a_wrapper_of_the_article_is_not_skipped(wrapper, tag):
+    assert extract.main_text(f"<p>Top</p><div class='{wrapper}'><{tag}><p>{BODY}</p></{tag}></div>") == BODY
+
+
+def test_cards_in_a_sidebar_stay_out():
+    card = "<div class=sidebar><article><p>A card of another page.</p></article></div>"
+    assert extract.main_text(f"<article><p>{BODY}</p></article>{card}") == BODY == extract.main_text(f"<div><p>{BODY}</p></div>{card}")
