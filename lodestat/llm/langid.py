@@ -6,7 +6,7 @@ probabilities.  A document's probabilities are the mean of its letters' position
 network is trained in numpy by backpropagation through time.
 
 Training takes a bounded sample of labelled documents on the driver: for each language
-``PER_LANGUAGE`` documents, the smallest by a hash of the id, of each ``TRAIN_BYTES`` bytes
+``PER_LANGUAGE`` documents, the smallest by a hash of id and text, of each ``TRAIN_BYTES`` bytes
 from several places.  The number of languages is that of the distinct labels.
 
 Prediction reads whole texts.  They are laid end to end in lanes of ``LANE`` bytes, each
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import in_blocks, rows_with
@@ -220,22 +220,22 @@ def train(rows: list[tuple[str, str]], updates: int = UPDATES) -> Network:
 
 
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """At most ``PER_LANGUAGE`` texts with letters of each language, chosen by a hash of the id."""
+    """At most ``PER_LANGUAGE`` texts with letters of each language, chosen by a hash of id and text."""
     rows = rows_with(docs, id=id_col, text=text_col, lang=lang_col).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
-    # A share of each language by hash, so that about SPARE times the wanted rows come to the driver, without a shuffle of texts.
-    turn = F.pmod(F.xxhash64("id"), F.lit(TURNS))
+    # Equal rows have one key, and so have copies without an id: they count, and are chosen, once.
+    rows = rows.withColumn("key", F.xxhash64("id", "text"))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}  # one row per language
+    # A share of each language by hash, about SPARE times the wanted rows, so that only those are shuffled.
+    turn = F.pmod(F.xxhash64("key"), F.lit(TURNS))
     limit = F.lit(0)
     for lang, n in sizes.items():
         limit = F.when(F.col("lang") == lang, F.lit(min(TURNS, TURNS * SPARE * PER_LANGUAGE // n + 1))).otherwise(limit)
-    found = rows.where(turn < limit).select("lang", turn.alias("turn"), "id", F.substring("text", 1, TRAIN_CHARS).alias("text")).collect()
-    taken, out = dict.fromkeys(sizes, 0), []
-    for r in sorted(found, key=lambda r: (r["turn"], str(r["id"]), r["text"])):
-        if taken[r["lang"]] < PER_LANGUAGE:
-            taken[r["lang"]] += 1
-            out.append((r["lang"], r["text"]))
-    return out
+    part = rows.where(turn < limit).select("lang", turn.alias("turn"), "key", F.substring("text", 1, TRAIN_CHARS).alias("text"))
+    part = part.groupBy("lang", "turn", "key").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "key"))
+    found = part.withColumn("place", place).where(F.col("place") <= PER_LANGUAGE).collect()
+    return [(r["lang"], r["text"]) for r in sorted(found, key=lambda r: (r["turn"], r["key"], r["lang"]))]
 
 
 def identify(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

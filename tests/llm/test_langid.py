@@ -84,3 +84,13 @@ def test_query_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
     rows = QUERIES["op5_languages"](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.95
+
+
+def test_rows_without_an_id_do_not_fill_the_sample(spark, monkeypatch):
+    rows = [(None, "the same text", "en")] * 3000 + [(None, f"without id {i}", "en") for i in range(1500)] + [(i, f"number {i}", "en") for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    fetched, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: fetched.append(collect(self)) or fetched[-1])
+    texts = [t for _, t in langid.training_rows(docs)]
+    assert len(texts) == len(set(texts)) == langid.PER_LANGUAGE and max(map(len, fetched)) <= langid.PER_LANGUAGE
+    assert 0.3 < sum(t.startswith("number") for t in texts) / len(texts) < 0.7
