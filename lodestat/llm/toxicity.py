@@ -205,9 +205,8 @@ def training_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         part = marked.where(F.col("label") == value).orderBy(F.xxhash64("of"), "of").limit(TRAIN_DOCS)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = rows_with(docs, id=id_col, text=text_col).where("text IS NOT NULL").join(F.broadcast(chosen), F.col("id") == F.col("of"))
-    rows = texts.select("label", F.substring("text", 1, TRAIN_CHARS).alias("text"), "id").collect()
-    # Repeated rows of one id could exceed the bound; the first of each is taken.
-    rows = {r["id"]: r for r in sorted(rows, key=lambda r: (r["id"], r["text"]), reverse=True)}.values()
+    # Rows that repeat an id, however many, are reduced to the least text before any come to the driver.
+    rows = texts.groupBy("id", "label").agg(F.min(F.substring("text", 1, TRAIN_CHARS)).alias("text")).collect()
     rows = sorted(rows, key=lambda r: r["id"])
     return [r["text"] for r in rows if r["label"] == 1], [r["text"] for r in rows if r["label"] == 0]
 

@@ -69,3 +69,13 @@ def test_query_on_held_out_rows(spark):
     right = sum(r["predicted"] == r["toxic"] for r in rows)
     caught = sum(r["predicted"] for r in rows if r["toxic"]) / max(1, sum(r["toxic"] for r in rows))
     assert right / len(rows) > 0.94 and caught > 0.7
+
+
+def test_rows_that_repeat_an_id_stay_on_the_executors(spark, monkeypatch):
+    docs = spark.createDataFrame([(i if i < 20 else 7, f"text {i:04d}") for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    fetched, collect = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: fetched.append(collect(self)) or fetched[-1])
+    toxic, ordinary = toxicity.training_texts(docs, labels)
+    assert max(map(len, fetched)) <= 20
+    assert toxic == [f"text {i:04d}" for i in range(1, 20, 2)] and ordinary == [f"text {i:04d}" for i in range(0, 20, 2)]
