@@ -17,7 +17,9 @@ with different stretches, and only from each stretch's smallest document.  A win
 goes if its group holds a smaller document: equal groups are exactly the repeated windows.
 Bytes are compared as 64-bit and longer polynomial hashes.
 
-*As a Spark job.*  Documents are dealt into blocks by a hash of id and text.  A block sorts
+*As a Spark job.*  Documents are dealt into blocks by a hash of id, text and the row's number,
+so that equal rows, however many, fill many blocks.  The input should be a written table: its
+rows need the same numbers when a lost task reads them again.  A block sorts
 its own suffixes and sends each digit's slice as one row of packed arrays, a head or
 stretch once per block however often it occurs there; so a passage in every document
 reaches a task once per block.  Every digit has one group, its size a matter of the
@@ -110,6 +112,7 @@ class Block:
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
         self.ids = np.array([2**63 - 1 if ids[i] is None else ids[i] for i in self.order], np.int64)
         self.sizes = np.array([len(texts[i]) for i in self.order], np.int64)
+        assert self.sizes.sum() < 1 << 32, "places within a block are sent as 32-bit numbers"
         self.stops = np.cumsum(self.sizes)
         self.starts = self.stops - self.sizes
         self.data = np.frombuffer(b"".join(texts[i] for i in self.order), np.uint8)
@@ -455,6 +458,11 @@ def _cut(texts: pa.Table, replies: pa.Table) -> pa.Table:
                      "spans": pa.array(spans, pa.list_(pa.int64())), "kept": pa.array(kept, pa.binary())})
 
 
+def dealt(texts: DataFrame, blocks: int) -> DataFrame:
+    """``texts`` with a ``block``; rows equal in id and text are spread as well, as any block may hold rows of any id."""
+    return texts.withColumn("block", spread("id", F.xxhash64("text"), F.monotonically_increasing_id(), over=blocks))
+
+
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """Every row without the bytes covered by windows of ``DEPTH`` bytes that also start in a document of smaller id.
 
@@ -469,7 +477,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
         carried.alias("row"))
-    texts = texts.withColumn("block", spread("id", F.xxhash64("text"), over=blocks))
+    texts = dealt(texts, blocks)
     by_block = texts.groupBy("block")
     heads = by_block.applyInArrow(_send_heads(digits), _ENTRY).groupBy("part").applyInArrow(_judge_heads, _ENTRY)
     stretches = by_block.cogroup(heads.groupBy("block")).applyInArrow(_send_stretches(digits), _ENTRY)

@@ -87,3 +87,15 @@ def test_query_equals_brute_force(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     found = {r["doc_id"]: (r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in QUERIES["op8_repeated_passages"](spark, sf).collect()}
     assert found == {i: (b[0], b[1], hashlib.sha256(b[2]).hexdigest()) for (i, _), b in zip(docs, brute(docs), strict=True)}
+
+
+def test_equal_rows_are_spread_over_the_blocks(spark):
+    """A repeated row, and copies without an id, fill no single block; each is cut alike and none is lost."""
+    text = " ".join(f"word{i * i % 97}x{i}" for i in range(60))
+    rows = [(1, text[:300])] + [(2, text)] * 500 + [(None, text)] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    numbers = repeats.dealt(docs.withColumnRenamed("doc_id", "id"), 64).groupBy("id").agg({"block": "approx_count_distinct"})
+    assert all(r[1] > 40 for r in numbers.where("id = 2 OR id IS NULL").collect()) and numbers.count() == 3
+    cut = repeats.cut_repeats(docs).groupBy("row.doc_id", "kept").count().collect()
+    assert {(r["doc_id"], bytes(r["kept"]), r["count"]) for r in cut} == {
+        (1, text[:300].encode(), 1), (2, text[300:].encode(), 500), (None, b"", 500)}
