@@ -2,8 +2,8 @@
 
 Every document is tokenised and cut into pieces of the sequence length and a rest.
 The histogram of piece lengths, at most ``SEQUENCE`` numbers however large the corpus, is
-all that the packing looks at: lengths are placed longest first, each time into the packs
-with the least room that still suffices, and packs of the same make-up are one pattern
+all that the packing looks at: lengths are placed longest first, each time into the shortest
+packs, those with the most room, and packs of the same make-up are one pattern
 with a count.  A pattern says how many packs hold which lengths, so the pieces of a length,
 counted off by rank, find their pack, and their place in it, by a join on length and rank.
 
@@ -149,14 +149,14 @@ def token_pieces(docs: DataFrame, tokenizer: str, text_col: str = "text", keep:
 def pack_histogram(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[int, list[tuple[int, int]]]]:
     """Patterns: (number of packs, [(length, copies in each pack), ...]).
 
-    Only counts of patterns are kept.  A length takes one copy per pack in the fullest packs
+    Only counts of patterns are kept.  A length takes one copy per pack in the shortest packs
     that have room, or as many as fit if there are more pieces than packs; a pattern of
     which only some packs are used is split in two.  So a length adds few patterns.
     """
     by_room: dict[int, list[list]] = {}
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
-        for room in [r for r in sorted(by_room) if r >= length]:
+        for room in [r for r in sorted(by_room, reverse=True) if r >= length]:
             kept, waiting = [], by_room.pop(room)
             for count, made in waiting:
                 copies = room // length

@@ -99,3 +99,8 @@ def test_edges(edge_docs, no_docs):
     assert sum(r["start"] == 0 for r in rows) == 12 and all(r["sequence_id"] is not None for r in rows)
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == len(rows)
     assert packing.pack_documents(no_docs, tokenizer_path()).count() == 0
+
+
+def test_the_shortest_pack_comes_first():
+    patterns = packing.pack_histogram({70: 1, 60: 1, 20: 1}, 100)
+    assert sorted(made for _, made in patterns) == [[(60, 1), (20, 1)], [(70, 1)]]
