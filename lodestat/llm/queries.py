@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import decontaminate, extract, hostrank, langid, licenses, oracles, packing, quality, repeats, simhash, toxicity
+from lodestat.llm import decontaminate, extract, hostrank, langid, licenses, oracles, packing, quality, repeats, runs, simhash, toxicity
 from lodestat.llm.common import table
 
 
@@ -75,6 +77,31 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+def repeated_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The order of a document's words in the query: of every tenth id, a tail repeats its beginning."""
+    if doc_id is None:
+        return None
+    g, turn = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if turn:
+        return None
+    begin = g % n
+    places = np.arange(n)
+    places[begin:] = begin + (places[begin:] - begin) % (1 + (n - begin) // (3 + g % 8))
+    return places
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), reorder=repeated_tail)
+    by_length = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    found = found.withColumn("longest", F.array_max(by_length))
+    length, start, period = F.col("longest.length"), -F.col("longest.start"), -F.col("longest.period")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.expr("1000 * longest.length DIV -longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": benchmark_leaks,
     "op2_quality_hosts": quality_hosts,
@@ -86,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeated_passages": repeated_passages,
     "op9_toxic_documents": toxic_documents,
     "op10_simhash_components": simhash_components,
+    "op11_periodic_runs": periodic_runs,
 }
 
 #: The others train models, hash bytes or tokenise, which SQL cannot express; tests hold them against brute force.
