@@ -113,3 +113,48 @@ v AS (SELECT host, coalesce(t.rank, 0) AS trust, coalesce(d.rank, 0) AS distrust
 SELECT page_id, host, path, rule,
        coalesce(rule_verdict, CASE WHEN distrust >= {hostrank.MIN_DISTRUST} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict
 FROM r LEFT JOIN v USING (host)"""
+
+
+NEGATIVES_SQL = """
+WITH points AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, p.vec_id AS vec_id, a.label = p.label AS same,
+         CAST(list_dot_product(a.v, p.v) AS BIGINT) AS score
+  FROM points a JOIN points p ON a.vec_id <> p.vec_id
+  WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id
+WHERE NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 5
+"""
+
+
+PASSAGES_SQL = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(generate_series(1, len(words))) AS i FROM docs),
+windows AS (
+  SELECT doc_id, i, words[i] AS word,
+         CASE WHEN i + 49 <= len(words) THEN array_to_string(words[i:i + 49], ' ') END AS content
+  FROM places),
+least AS (SELECT content, min(doc_id) AS first_doc FROM windows WHERE content IS NOT NULL GROUP BY content),
+marked AS (
+  SELECT doc_id, i, word, max(CASE WHEN first_doc < doc_id THEN 1 ELSE 0 END)
+         OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM windows LEFT JOIN least USING (content)),
+kept AS (
+  SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

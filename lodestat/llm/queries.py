@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestat.llm import decontaminate, extract, hostrank, langid, licenses, oracles, packing, quality, repeats, runs, simhash, toxicity
+from lodestat.llm import decontaminate, extract, hostrank, langid, licenses, negatives, oracles, packing, passages, quality, repeats, runs, simhash, toxicity
 from lodestat.llm.common import table
 
 
@@ -102,6 +102,17 @@ def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def word_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = passages.cut_passages(table(spark, sf_dir, "documents"))
+    return cut.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_leaks": benchmark_leaks,
     "op2_quality_hosts": quality_hosts,
@@ -114,6 +125,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxic_documents": toxic_documents,
     "op10_simhash_components": simhash_components,
     "op11_periodic_runs": periodic_runs,
+    "op12_word_passages": word_passages,
+    "op13_hard_negatives": hard_negatives,
 }
 
 #: The others train models, hash bytes or tokenise, which SQL cannot express; tests hold them against brute force.
@@ -121,4 +134,6 @@ ORACLES: dict[str, str] = {
     "op2_quality_hosts": oracles.quality_sql(),
     "op3_url_verdicts": oracles.url_sql(),
     "op4_license_scan": oracles.license_sql(),
+    "op12_word_passages": oracles.PASSAGES_SQL,
+    "op13_hard_negatives": oracles.NEGATIVES_SQL,
 }
