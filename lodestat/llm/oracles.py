@@ -118,10 +118,10 @@ FROM r LEFT JOIN v USING (host)"""
 NEGATIVES_SQL = """
 WITH points AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scores AS (
   SELECT a.vec_id AS anchor_id, p.vec_id AS vec_id, a.label = p.label AS same,
          CAST(list_dot_product(a.v, p.v) AS BIGINT) AS score
