@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from lodestat.bindings.drift import DAYS, event_sides, with_outages
@@ -10,8 +11,12 @@ from lodestat.bindings.registry import (
 )
 from lodestat.bindings.validation import ERRORS, RECORD_COLUMNS, RULES, records
 from lodestat.operators import training as m
+from lodestat.operators.calibration import calibrate
 from lodestat.operators.drift import Draw, DriftPlan, Force, inject_drift
 from lodestat.operators.evaluation import class_report
+from lodestat.operators.kernels import PolynomialMap, RbfMap
+from lodestat.operators.outofbag import fit_out_of_bag, tree_weight
+from lodestat.operators.sampling import stratified_folds
 from lodestat.operators.scoring import evaluate, score
 from lodestat.plans.drift import drift_report
 from lodestat.plans.train import refit, search, search_ordinal, train, train_ordinal
@@ -127,7 +132,114 @@ def gbt_classifier(spark, sf):
 @query("svc_classifier")
 def svc_classifier(spark, sf):
     df = docs_labeled(spark, sf).filter("quality IS NOT NULL").withColumn("target", F.col("quality").cast("string"))
-    return train(df, ["doc_id"], "target", ["lang", "source"], ["n_chars"], m.linear_svc(df.count(), 10, maxIter=5)).metrics
+    return train(df, ["doc_id"], "target", ["lang", "source"], ["n_chars"], m.support_vectors(C=10, components=64, maxIter=5)).metrics
+
+
+# One round of one-split trees: for each class the flag that parts it best, a Newton step on both sides, softmax.
+_ROUND = ORDERS_FEAT + ", " + _FLAGS + """,
+folded AS (SELECT o_orderkey, o_orderstatus, ntile(3) OVER (PARTITION BY o_orderstatus ORDER BY md5(o_orderkey::VARCHAR || '|42')) - 1 AS fold
+  FROM orders_feat),
+fit AS (SELECT * FROM folded WHERE {rows}),
+share AS (SELECT o_orderstatus AS y, count(*)::DOUBLE AS n_y, sum(count(*)) OVER ()::DOUBLE AS n FROM fit GROUP BY 1),
+inside AS (SELECT flag_name, f.o_orderstatus AS y, count(*)::DOUBLE AS a_y FROM flags JOIN fit f USING (o_orderkey) GROUP BY ALL),
+size AS (SELECT flag_name, sum(a_y) AS a FROM inside GROUP BY 1),
+split AS (SELECT s.y, z.flag_name, n, n_y, a, coalesce(a_y, 0) AS a_y FROM share s CROSS JOIN size z
+  LEFT JOIN inside i ON i.flag_name = z.flag_name AND i.y = s.y),
+best AS (SELECT y, n_y / n AS p, a_y / a AS with_flag, (n_y - a_y) / (n - a) AS without_flag, flag_name FROM split
+  QUALIFY row_number() OVER (PARTITION BY y ORDER BY a_y * a_y / a + (n_y - a_y) ** 2 / (n - a) DESC) = 1),
+marked AS (SELECT o_orderkey, y, bool_or(flags.flag_name = best.flag_name) AS has, any_value(p) AS p,
+  any_value(with_flag) AS with_flag, any_value(without_flag) AS without_flag FROM flags CROSS JOIN best GROUP BY o_orderkey, y),
+margins AS (SELECT o_orderkey, y, has, ln(p) + 0.1 * 2 / 3 * (CASE WHEN has THEN with_flag ELSE without_flag END - p) / (p * (1 - p)) AS margin
+  FROM marked)"""
+
+
+def _one_round(df):
+    return m.fit_classifier(df, "o_orderstatus", ["c_mktsegment", "o_orderpriority"], [], m.boosting(maxIter=1, maxDepth=1))
+
+
+@query("boosting_round", with_ctes(_ROUND.format(rows="true")) + """, shares AS (
+  SELECT o_orderkey, y, exp(margin) / sum(exp(margin)) OVER (PARTITION BY o_orderkey) AS p FROM margins)
+SELECT o_orderkey, max_by(y, p) AS predicted, round(max(p), 6) AS confidence, round(sum(p), 6) AS total FROM shares GROUP BY 1""")
+def boosting_round(spark, sf):
+    """The first round of the softmax model, applied to every row."""
+    df = orders_feat(spark, sf)
+    scored = score(df, _one_round(df), ["o_orderkey"])
+    total = F.aggregate(F.map_values("all_probabilities"), F.lit(0.0), lambda a, x: a + x)
+    return scored.select("o_orderkey", "predicted", r6("confidence").alias("confidence"), r6(total).alias("total"))
+
+
+@query("calibrated_confidence", with_ctes(_ROUND.format(rows="fold <> 0")) + """, held AS (
+  SELECT y, has, any_value(margin) AS margin, count(*)::DOUBLE AS n, count(*) FILTER (o_orderstatus = y)::DOUBLE AS hits
+  FROM margins JOIN folded USING (o_orderkey) WHERE fold = 0 GROUP BY y, has),
+steps AS (SELECT y, has, CASE WHEN coalesce(hits / n < lag(hits / n) OVER w, false) OR coalesce(hits / n > lead(hits / n) OVER w, false)
+  THEN sum(hits) OVER (PARTITION BY y) / sum(n) OVER (PARTITION BY y) ELSE hits / n END AS step FROM held WINDOW w AS (PARTITION BY y ORDER BY margin)),
+shares AS (SELECT o_orderkey, y, margin, step / sum(step) OVER (PARTITION BY o_orderkey) AS p FROM margins JOIN steps USING (y, has))
+SELECT o_orderkey, max_by(y, margin) AS predicted, round(max_by(p, margin), 6) AS confidence FROM shares GROUP BY 1""")
+def calibrated_confidence(spark, sf):
+    """Margins of a model fitted without one fold, calibrated on that fold by pooling neighbours out of order."""
+    folded = materialize(stratified_folds(orders_feat(spark, sf), ["o_orderkey"], "o_orderstatus", 3), "folded")
+    fitted = calibrate(_one_round(folded.filter("fold <> 0")), folded.filter("fold = 0"))
+    return score(folded, fitted, ["o_orderkey"]).select("o_orderkey", "predicted", r6("confidence").alias("confidence"))
+
+
+_BAGS = ORDERS_FEAT + ", " + _FLAGS + """,
+limits AS (SELECT list_transform(range(0, 16), lambda k: list_sum(list_transform(range(0, k + 1), lambda j: exp(-1) / factorial(j::INT)))) AS l),
+draws AS (SELECT o_orderkey, o_orderstatus, t, len(list_filter(l, lambda c: c <= ('0x' || substr(md5(o_orderkey::VARCHAR || '|888|' || t::VARCHAR), 1, 12))::BIGINT
+    / 281474976710656.0::DOUBLE)) AS w FROM orders_feat CROSS JOIN (SELECT unnest(range(0, 4)) AS t) CROSS JOIN limits)"""
+
+
+@query("poisson_weights", with_ctes(_BAGS) + "SELECT t::INT AS tree, w::INT AS weight, count(*) AS n FROM draws GROUP BY 1, 2")
+def poisson_weights(spark, sf):
+    """How often rows are in the samples of four trees."""
+    df = orders_feat(spark, sf).select("o_orderkey")
+    weights = df.select(F.array(*[tree_weight(["o_orderkey"], 888, t) for t in range(4)]).alias("w")).select(F.posexplode("w").alias("tree", "weight"))
+    return weights.groupBy("tree", "weight").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("out_of_bag_score", with_ctes(_BAGS) + """,
+total AS (SELECT t, o_orderstatus AS y, sum(w)::DOUBLE AS n FROM draws GROUP BY ALL),
+inside AS (SELECT t, flag_name, d.o_orderstatus AS y, sum(w)::DOUBLE AS a FROM draws d JOIN flags USING (o_orderkey) GROUP BY ALL),
+sides AS (SELECT x.t, g.flag_name, x.y, coalesce(a, 0) AS a, n - coalesce(a, 0) AS b FROM total x CROSS JOIN (SELECT DISTINCT flag_name FROM flags) g
+  LEFT JOIN inside i ON i.t = x.t AND i.flag_name = g.flag_name AND i.y = x.y),
+best AS (SELECT t, flag_name FROM sides GROUP BY t, flag_name
+  QUALIFY row_number() OVER (PARTITION BY t ORDER BY sum(a * a) / sum(a) + sum(b * b) / sum(b) DESC) = 1),
+parted AS (SELECT t, y, a, b, max_by(y, a) OVER (PARTITION BY t) = max_by(y, b) OVER (PARTITION BY t) AS same FROM sides JOIN best USING (t, flag_name)),
+leaves AS (SELECT t, y, CASE WHEN same THEN (a + b) / sum(a + b) OVER (PARTITION BY t) ELSE a / sum(a) OVER (PARTITION BY t) END AS pa,
+  CASE WHEN same THEN (a + b) / sum(a + b) OVER (PARTITION BY t) ELSE b / sum(b) OVER (PARTITION BY t) END AS pb FROM parted),
+marked AS (SELECT o_orderkey, t, bool_or(flags.flag_name = best.flag_name) AS has FROM flags CROSS JOIN best GROUP BY ALL),
+votes AS (SELECT o_orderkey, any_value(d.o_orderstatus) AS label, y, sum(CASE WHEN has THEN pa ELSE pb END) AS v
+  FROM draws d JOIN marked USING (o_orderkey, t) JOIN leaves USING (t) WHERE w = 0 GROUP BY o_orderkey, y),
+shown AS (SELECT o_orderkey, any_value(label) AS label, max_by(y, v) AS predicted FROM votes GROUP BY 1)
+SELECT count(*) AS n, (SELECT count(*) FROM orders_feat) - count(*) AS n_without,
+  round(count(*) FILTER (label = predicted)::DOUBLE / count(*), 6) AS accuracy FROM shown""")
+def out_of_bag_score(spark, sf):
+    """Every row scored by those of four one-split trees whose sample lacks it.
+
+    A split whose sides have the same best class is taken back.
+    """
+    found = fit_out_of_bag(orders_feat(spark, sf), ["o_orderkey"], "o_orderstatus", ["c_mktsegment", "o_orderpriority"], seed=888,
+                           numTrees=4, maxDepth=1, featureSubsetStrategy="all")
+    return found.metrics.select("n", "n_without", r6("accuracy").alias("accuracy"))
+
+
+@query("kernel_features", """WITH pairs AS (SELECT a.vec_id, a.embedding AS x, b.embedding AS y FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1)
+SELECT vec_id, round(exp(-0.5 * list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i]::DOUBLE - y[i]) ** 2))), 6) AS rbf,
+  true AS rbf_near, round((0.5 * list_sum(list_transform(range(1, len(x) + 1), lambda i: x[i]::DOUBLE * y[i]))) ** 2, 6) AS poly, true AS poly_near FROM pairs""")
+def kernel_features(spark, sf):
+    """Kernels of neighbouring vectors, and whether the mapped vectors' inner products come near them."""
+    df = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
+    df = df.withColumn("features", array_to_vector("e"))
+    width = df.select(F.max(F.size("e")).alias("w")).first()["w"]
+    common = {"inputCol": "features", "gamma": 0.5, "width": width, "components": 4096}
+    mapped = PolynomialMap(outputCol="p", degree=2, **common).transform(RbfMap(outputCol="r", **common).transform(df))
+    mapped = materialize(mapped.select("vec_id", "e", vector_to_array("r").alias("r"), vector_to_array("p").alias("p")), "mapped")
+    other = mapped.select((F.col("vec_id") - 1).alias("vec_id"), *[F.col(c).alias(f"{c}2") for c in "erp"])
+    pairs = mapped.join(other, "vec_id")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
+    far = F.aggregate(F.zip_with("e", "e2", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x)
+    rbf, poly = F.exp(-0.5 * far), F.pow(0.5 * dot("e", "e2"), 2)
+    return pairs.select("vec_id", r6(rbf).alias("rbf"), (F.abs(dot("r", "r2") - rbf) < 0.1).alias("rbf_near"),
+                        r6(poly).alias("poly"), (F.abs(dot("p", "p2") - poly) < 0.1).alias("poly_near"))
 
 
 @query("grid_search")

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from lodestat.functions.numbers import present
 from lodestat.functions.text import strip
 from lodestat.operators.counts import value_counts, value_text
-from lodestat.operators.fitted import join_fitted, quoted
+from lodestat.operators.fitted import join_fitted, quoted, settle
 from lodestat.operators.ranking import SortKey, global_rank
 
 
 # Unknown labels an error message spells out; it always says how many there are.
 SHOWN_LABELS = 1000
+# Categories of a column that may become columns, vector slots or model labels; larger sets of labels go by ``label_map``.
+CATEGORY_LIMIT = 10_000
 
 
 # ---------------------------------------------------------------- scaling
@@ -52,16 +54,17 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> Scaler:
 
 
 # ---------------------------------------------------------------- one-hot
-def fit_categories(df: DataFrame, columns: Sequence[str], limit: int | None = None) -> dict[str, list[str]]:
+def fit_categories(df: DataFrame, columns: Sequence[str], limit: int | None = CATEGORY_LIMIT) -> dict[str, list[str]]:
     """Sorted categories per column from one grouped count.
 
     The lists become columns, vector slots or model labels, so they are values of the
-    plan.  With a ``limit``, a column with more values is an error, found without
-    fetching them.
+    plan.  A column with more than ``limit`` values is an error, found without fetching
+    them; None lifts the limit.
     """
     if not columns:
         return {}
     values = value_counts(df, columns).filter(F.col("value").isNotNull()).select("column", "value")
+    values, _ = settle(values, "categories")
     if limit is not None:
         sizes = values.groupBy("column").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
         if wide := sorted(r["column"] for r in sizes.collect()):  # one row per column
@@ -87,16 +90,17 @@ def one_hot_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
 
 
 def one_hot_stages(
-    df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = (), output: str = "features"
+    df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = (), output: str = "features",
+    categories: dict[str, list[str]] | None = None,
 ) -> list:
     """Pipeline stages that turn categories into one sparse vector.
 
-    The category lists are fitted here, with the size check; indexer and encoder
-    are then pure projections.
+    The category lists are fitted here, with the size check, unless they are given;
+    indexer and encoder are then pure projections.
     """
     stages: list = []
     inputs = list(numeric)
-    categories = fit_categories(df, columns)
+    categories = fit_categories(df, columns) if categories is None else categories
     columns = [c for c in columns if categories[c]]  # a column without any value has no slots
     if columns:
         names = [f"__ix{i}" for i in range(len(columns))]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import OneVsRestModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +15,11 @@ from lodestat.operators.training import Classifier, index_labels
 from lodestat.operators.validation import require_columns
 
 
-# The margin of a boosted model is half the log odds of its class.
-MARGIN_SCALE = 2.0
-
-
 def score(df: DataFrame, classifier: Classifier, keep: Sequence[str] | None = None) -> DataFrame:
     """Add the class, its probability and the map of all class probabilities.
 
     Records are cleaned as the training rows were; the kept columns stay as they were
-    sent.  Boosting and support vectors have one margin per class: its logistic value,
-    in shares of the sum over classes, stands for a probability.
+    sent.  A model with margins only has no probabilities until it is calibrated.
     """
     kept = list(keep) if keep is not None else df.columns
     prepared = classifier.prepare(df.withColumn("__sent", F.struct(*[quoted(c) for c in kept])))
@@ -34,15 +28,8 @@ def score(df: DataFrame, classifier: Classifier, keep: Sequence[str] | None = No
     names = F.array(*[F.lit(x) for x in classifier.labels])
     code = F.col("prediction").cast("int")
     columns = [F.col("__sent").getField(c).alias(c) for c in kept] + [F.element_at(names, code + 1).alias("predicted")]
-    shares = None
     if "probability" in scored.columns:
         shares = vector_to_array("probability")
-    elif isinstance(classifier.model.stages[-1], OneVsRestModel) and "rawPrediction" in scored.columns:
-        scored = scored.withColumn("__margins", F.transform(
-            vector_to_array("rawPrediction"), lambda m: 1 / (1 + F.exp(-MARGIN_SCALE * m))))
-        total = F.aggregate("__margins", F.lit(0.0), lambda a, x: a + x)
-        shares = F.transform("__margins", lambda x: x / F.nullif(total, F.lit(0.0)))
-    if shares is not None:
         columns += [
             F.element_at(shares, code + 1).alias("confidence"),
             F.map_from_arrays(names, shares).alias("all_probabilities"),

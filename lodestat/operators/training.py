@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -18,11 +18,14 @@ from pyspark.sql import functions as F
 
 from lodestat.functions.numbers import half_even_class
 from lodestat.functions.text import clean_numeric_text, number_from_text
+from lodestat.operators.boosting import SoftmaxBoosting
 from lodestat.operators.cleaning import clean_categoricals, resolve_aliases, text_columns
 from lodestat.operators.encoding import encode_ordinal, fit_categories, one_hot_stages
 from lodestat.operators.evaluation import summary_metrics
 from lodestat.operators.fitted import quoted
+from lodestat.operators.kernels import KernelMargins
 from lodestat.operators.sampling import stratified_folds
+from lodestat.session import materialize
 
 # Forest settings of the chosen classifier and of the ordinal regressor.
 FOREST = {"numTrees": 20, "maxDepth": 20, "impurity": "gini", "featureSubsetStrategy": "sqrt",
@@ -33,8 +36,8 @@ ORDINAL_FOREST = {"numTrees": 120, "maxDepth": 12, "impurity": "variance", "feat
 # no counterpart in the distributed trees and is left out.
 FOREST_GRID = {"numTrees": [16, 18, 20, 22, 24, 26], "maxDepth": [16, 18, 20, 22, 24], "minInstancesPerNode": [1, 2],
                "featureSubsetStrategy": ["sqrt"], "impurity": ["gini"]}
-BOOST_GRID = {"stepSize": [0.1, 0.2], "maxDepth": [3, 5, 7], "maxIter": [50, 100]}
-SVC_GRID = {"C": [0.1, 1, 10]}
+BOOST_GRID = {"maxIter": [50, 100], "stepSize": [0.05, 0.1, 0.2], "maxDepth": [3, 5]}
+SVC_GRID = {"C": [0.1, 1, 10], "kernel": ["rbf", "poly"], "gamma": ["scale", "auto"]}
 ORDINAL_GRID = {"numTrees": [40, 60, 80, 100, 120, 140, 160, 180, 200, 220], "maxDepth": [8, 12, 16, 20, 24, 28],
                 "minInstancesPerNode": [1, 2, 3, 4], "featureSubsetStrategy": ["sqrt", "log2"]}
 # Scorers of the grid search, the one that picks the winner first.
@@ -49,14 +52,19 @@ def ordinal_forest(**params) -> RandomForestRegressor:
     return RandomForestRegressor(**{**ORDINAL_FOREST, **params})
 
 
-def boosting(**params) -> OneVsRest:
-    """Gradient boosting for several classes: one binary booster per class."""
-    return OneVsRest(classifier=GBTClassifier(**{"seed": 888, **params}))
+def boosting(**params) -> SoftmaxBoosting:
+    """Gradient boosting for several classes, as one softmax model."""
+    return SoftmaxBoosting(**params)
 
 
-def linear_svc(n_rows: int, C: float = 1.0, **params) -> OneVsRest:
-    """Linear support vectors, one per class; ``C`` becomes a penalty per row."""
-    return OneVsRest(classifier=LinearSVC(regParam=1.0 / (C * max(n_rows, 1)), **params))
+def support_vectors(**params) -> KernelMargins:
+    """Support vectors, one margin per class, behind the feature map of a kernel."""
+    return KernelMargins(**params)
+
+
+def gives_margins_only(estimator: Estimator) -> bool:
+    """Whether models of the estimator have margins but no probabilities, unless they are calibrated."""
+    return isinstance(estimator, KernelMargins)
 
 
 @dataclass(frozen=True)
@@ -101,28 +109,44 @@ def index_labels(df: DataFrame, label: str, labels: Sequence[str], out: str = "l
     return indexer.transform(named.drop(out)).drop("__label")  # a column of that name gives way to the codes
 
 
+def _flat(model: PipelineModel) -> PipelineModel:
+    """Stages that are pipelines themselves are taken apart, so that the whole is saved as Spark's own stages where it can be."""
+    stages = []
+    for stage in model.stages:
+        stages += _flat(stage).stages if isinstance(stage, PipelineModel) else [stage]
+    return PipelineModel(stages)
+
+
+def _columns(df: DataFrame, label: str, features: Sequence[str], written: bool) -> DataFrame:
+    """The columns of the fit, written once: several passes read them."""
+    rows = df.select(*[quoted(c) for c in dict.fromkeys([label, *features])])
+    return rows if written else materialize(rows, "training")
+
+
 def fit_classifier(
     df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str] = (),
-    estimator: Estimator | None = None, clean: CleanStep | None = None,
+    estimator: Estimator | None = None, clean: CleanStep | None = None, written: bool = False,
 ) -> Classifier:
-    df = clean.apply(df) if clean else df
-    labels = fit_categories(df, [label])[label]
-    stages = one_hot_stages(df, categorical, numeric)
-    model = Pipeline(stages=[*stages, estimator or forest()]).fit(index_labels(df, label, labels))
-    return Classifier(model, labels, label, [*categorical, *numeric], clean)
+    """Encode and fit.  ``written`` says that ``df`` is a plain table already, not a plan to be computed anew by each pass."""
+    features = [*categorical, *numeric]
+    rows = _columns(clean.apply(df) if clean else df, label, features, written and not clean)
+    categories = fit_categories(rows, [*dict.fromkeys([label, *categorical])])
+    labels = categories[label]
+    stages = one_hot_stages(rows, categorical, numeric, categories=categories)
+    model = Pipeline(stages=[*stages, estimator or forest()]).fit(index_labels(rows, label, labels))
+    return Classifier(_flat(model), labels, label, features, clean)
 
 
 def fit_ordinal(
     df: DataFrame, label: str, ordered: Sequence[str], categorical: Sequence[str], numeric: Sequence[str] = (),
-    estimator: Estimator | None = None,
+    estimator: Estimator | None = None, written: bool = False,
 ) -> Classifier:
     """A regressor on the position of the label in its fixed order."""
-    stages = one_hot_stages(df, categorical, numeric)
-    coded = encode_ordinal(df, label, ordered, "label").filter(F.col("label").isNotNull())
-    return Classifier(
-        Pipeline(stages=[*stages, estimator or ordinal_forest()]).fit(coded), list(ordered), label,
-        [*categorical, *numeric],
-    )
+    features = [*categorical, *numeric]
+    rows = _columns(df, label, features, written)
+    stages = one_hot_stages(rows, categorical, numeric)
+    coded = encode_ordinal(rows, label, ordered, "label").filter(F.col("label").isNotNull())
+    return Classifier(Pipeline(stages=[*stages, estimator or ordinal_forest()]).fit(coded), list(ordered), label, features)
 
 
 # ---------------------------------------------------------------- grid search

@@ -9,18 +9,24 @@ from pyspark.ml import Estimator, Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestat.operators.calibration import calibrate
 from lodestat.operators.cleaning import drop_invalid_features, drop_missing_target, resolve_aliases
 from lodestat.operators.encoding import encode_ordinal, fit_categories, one_hot_stages
 from lodestat.operators.evaluation import confusion_counts, ordinal_metrics, summary_metrics
 from lodestat.operators.fitted import quoted
 from lodestat.operators.runs import cv_summary, top_models
-from lodestat.operators.sampling import stratified_split
+from lodestat.operators.sampling import stratified_folds, stratified_split
 from lodestat.operators.training import (
-    Classifier, CleanStep, fit_classifier, fit_ordinal, forest, grid_search, index_labels, ordinal_forest, prepare, score_rows,
+    Classifier, CleanStep, fit_classifier, fit_ordinal, forest, gives_margins_only, grid_search, index_labels, ordinal_forest, prepare,
+    score_rows,
 )
 from lodestat.session import materialize
 
 
+# One fold of the training part calibrates.
+CALIBRATION_FOLDS = 5
+
+
 @dataclass(frozen=True)
 class Training:
     classifier: Classifier
@@ -52,6 +58,7 @@ def train(
 
     ``clean`` drops rows with a missing target or feature and normalises the features; the
     classifier keeps that step, with the ``aliases``, for the records it will score.
+    A model with margins only is fitted on four fifths of the training part and calibrated on the fifth.
     """
     step = CleanStep(list(categorical), list(numeric), {k: list(v) for k, v in (aliases or {}).items()}) if clean else None
     df = resolve_aliases(df, step.aliases) if step else df
@@ -59,7 +66,13 @@ def train(
                    key_cols, label, categorical, numeric)
     # Fitting passes over the rows many times: the split table is written once.
     split = materialize(stratified_split(rows, key_cols, label, seed=seed), "split")
-    classifier = fit_classifier(split.filter("split = 'train'"), label, categorical, numeric, estimator or forest(), step)
+    training, estimator = split.filter("split = 'train'"), estimator or forest()
+    if gives_margins_only(estimator):
+        folded = materialize(stratified_folds(training, key_cols, label, CALIBRATION_FOLDS, seed), "folds")
+        classifier = fit_classifier(folded.filter("fold <> 0"), label, categorical, numeric, estimator, step, written=True)
+        classifier = calibrate(classifier, folded.filter("fold = 0"))
+    else:
+        classifier = fit_classifier(training, label, categorical, numeric, estimator, step, written=True)
     counts = holdout_counts(classifier, split.filter("split = 'test'"))
     return Training(classifier, counts, summary_metrics(counts))
 
@@ -72,7 +85,7 @@ def train_ordinal(
     split = materialize(
         stratified_split(_needed(df, key_cols, label, categorical, numeric), key_cols, label, seed=seed), "split")
     classifier = fit_ordinal(
-        split.filter("split = 'train'"), label, ordered, categorical, numeric, estimator or ordinal_forest()
+        split.filter("split = 'train'"), label, ordered, categorical, numeric, estimator or ordinal_forest(), written=True
     )
     test = encode_ordinal(split.filter("split = 'test'"), label, ordered, "label", check=False)
     return classifier, ordinal_metrics(classifier.predict(test), "label", "prediction", len(ordered))
@@ -117,8 +130,9 @@ def refit(
     Returns ``(combo_id, <metrics>)``; used for the winners of a search and for
     grids that compare all combinations on the test rows.
     """
+    df = materialize(_needed(df, key_cols, label, categorical, numeric), "refit")
     labels = fit_categories(df, [label])[label]
-    split = stratified_split(_needed(df, key_cols, label, categorical, numeric), key_cols, label, seed=seed)
+    split = materialize(stratified_split(df, key_cols, label, seed=seed), "split")
     coded = index_labels(split, label, labels, "label_id")
     stages = one_hot_stages(df, categorical, numeric)
     data = Pipeline(stages=stages).fit(coded).transform(coded).select(

@@ -104,12 +104,14 @@ def test_grid_sizes():
     assert len(m.combinations_of(m.BOOST_GRID)) == 12
 
 
-@pytest.mark.parametrize("build", [lambda: m.boosting(maxIter=2, maxDepth=2), lambda: m.linear_svc(900, 1.0, maxIter=5)])
-def test_one_vs_rest(rows, build):
+@pytest.mark.parametrize("build", [lambda: m.boosting(maxIter=2, maxDepth=2), lambda: m.support_vectors(components=32, maxIter=5)])
+def test_other_learners(rows, build):
     out = train(rows, ["key"], "Performance", ["time"], ["hours"], build())
     assert out.metrics.first()["accuracy"] > 0.6
     scored = score(rows, out.classifier, ["key"])
-    assert scored.columns == ["key", "predicted"]
+    assert scored.columns == ["key", "predicted", "confidence", "all_probabilities"] and scored.count() == 900
+    total = F.aggregate(F.map_values("all_probabilities"), F.lit(0.0), lambda a, x: a + x)
+    assert scored.filter((F.abs(total - 1) > 1e-9) | ~F.col("confidence").between(0, 1) | ~F.col("predicted").isin(*ORDER)).count() == 0
 
 
 def test_drift_report(rows, trained):
