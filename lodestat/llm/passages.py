@@ -18,7 +18,7 @@ Stretches and windows are verified by 96 bits of hash over their words.
 
 *As a Spark job.*  Documents are dealt into blocks by a hash of id, text and the row's number, so
 that equal rows fill many blocks; the input should be a written table, whose rows have the same
-numbers when a lost task reads them again.  A text of over ``PIECE_BYTES`` is cut into pieces that
+numbers when a lost task reads them again.  A long text is cut into pieces that
 overlap by a window less one word: every window lies in one piece, and symbols depend on words
 inside a window only.  In every round a block sends each distinct key once, however often it
 occurs there, as packed arrays, and gets a bit for each key back.  So a passage in every
@@ -32,7 +32,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,53 +42,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestat.llm.common import power_of_two, spread, total_bytes
+from lodestat.llm import exchange
+from lodestat.llm.common import total_bytes
+from lodestat.llm.exchange import ANCHORS, NAMES, STRETCHES, WINDOWS, Keys, Layout, Replies, SpanHash, bits, covered, from_bits, mixed, named, rows_of, send, state
 
 WINDOW = 50
 #: Rounds of naming before each census; symbols of later rounds seldom lie inside a window with their context.
 CENSUS = (2, 4)
-BLOCK_BYTES = 4 << 20
-PIECE_BYTES = 4 << 20
-#: Bytes of text for each digit value of a round.
-DIGIT_BYTES = 8 << 20
-_NO_ID = 2**63 - 1
-_ENTRY = "part int, block int, kind int, a binary, b binary, c binary"
-_NAMES, _STRETCHES, _ANCHORS, _WINDOWS, _STATE = range(5)
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-# --- hashes ---------------------------------------------------------------------------------------------------
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(32))
-    h = h * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(29)
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
 def _named(a: np.ndarray, b: np.ndarray, kind: int) -> np.ndarray:
-    return _mixed(a * np.uint64(0xD1342543DE82EF95) + _mixed(b + np.uint64(kind)))
-
-
-class Stretches:
-    """Hashes of any stretches of ``values``, from prefix sums of weighted values."""
-
-    def __init__(self, values: np.ndarray, base: int) -> None:
-        n = len(values)
-        self.scale = self._powers(base, n + 1)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * self._powers(pow(base, -1, 1 << 64), n), out=self.sums[1:])
-
-    @staticmethod
-    def _powers(base: int, n: int) -> np.ndarray:
-        factors = np.full(n, np.uint64(base))
-        factors[:1] = 1
-        return np.cumprod(factors, dtype=np.uint64)
-
-    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return _mixed((self.sums[stop] - self.sums[start]) * self.scale[start] + (stop - start).astype(np.uint64))
+    return mixed(a * np.uint64(0xD1342543DE82EF95) + mixed(b + np.uint64(kind)))
 
 
 # --- naming ---------------------------------------------------------------------------------------------------
@@ -129,7 +94,7 @@ class Symbols:
     def pairs_named(self, turn: int) -> Symbols:
         if not len(self.name):
             return self
-        right = (_mixed(self.name + np.uint64(0x632BE59BD9B4E019 + turn)) & np.uint64(1)).astype(bool)
+        right = (mixed(self.name + np.uint64(0x632BE59BD9B4E019 + turn)) & np.uint64(1)).astype(bool)
         pair = np.zeros(len(self.name) + 1, bool)  # of the symbol and its next
         pair[:-2] = ~right[:-1] & right[1:]
         pair[:-2] &= self.document[1:] == self.document[:-1]
@@ -155,49 +120,35 @@ def levels(words: Symbols, census: Sequence[int]) -> list[Symbols]:
 # --- a block --------------------------------------------------------------------------------------------------
 
 
-def _begin(*sorted_columns: np.ndarray) -> np.ndarray:
-    """Start of each run of equal rows."""
-    new = np.zeros(len(sorted_columns[0]), bool)
-    new[:1] = True
-    for c in sorted_columns:
-        new[1:] |= c[1:] != c[:-1]
-    return np.flatnonzero(new)
-
-
-class Block:
-    """The words of the documents (or pieces) of a block, one after the other, in one order in every round."""
+class Block(Layout):
+    """The words of the documents (or pieces) of a block, one after the other."""
 
     def __init__(self, table: pa.Table) -> None:
-        self.order = pc.sort_indices(table.select(["number", "piece"]), [("number", "ascending"), ("piece", "ascending")])
-        table = table.select(["id", "block", "text"]).take(self.order)
-        self.number = table.column("block")[0].as_py()
-        self.ids = pc.fill_null(table.column("id"), _NO_ID).to_numpy()
-        lists = pc.ascii_split_whitespace(table.column("text").combine_chunks())
+        super().__init__(table)
+        lists = pc.ascii_split_whitespace(self.table.column("text").combine_chunks().cast(pa.string()))
         flat = lists.flatten()
         full = np.asarray(pc.greater(pc.binary_length(flat), 0))
         offsets = np.asarray(lists.offsets).astype(np.int64) - lists.offsets[0].as_py()
-        self.sizes = np.diff(np.concatenate([[0], np.cumsum(full)])[offsets])
+        self.place(np.diff(np.concatenate([[0], np.cumsum(full)])[offsets]))
         self.words = flat.filter(pa.array(full))
-        self.end = np.cumsum(self.sizes)
-        self.begin = self.end - self.sizes
-        self.n = int(self.sizes.sum())
         self.document = np.repeat(np.arange(len(self.sizes)), self.sizes)
         coded = self.words.dictionary_encode()
         digest = b"".join([xxhash.xxh3_128_digest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()])
         digest = np.frombuffer(digest, np.uint64).reshape(-1, 2)[coded.indices.to_numpy()]
-        self.name, self.other = _mixed(digest[:, 0]), digest[:, 1]
+        self.name, self.other = mixed(digest[:, 0]), digest[:, 1]
 
     def whole(self) -> np.ndarray:
         """Which places begin a window."""
-        place = np.arange(self.n)
-        return place + WINDOW <= self.end[self.document]
+        return np.arange(self.n) + WINDOW <= self.end[self.document]
 
     def symbols(self) -> Symbols:
         place = np.arange(self.n)
         return Symbols(self.name, self.document, self.begin, self.end, place, place + 1)
 
-    def hashes(self) -> tuple[Stretches, Stretches]:
-        return Stretches(self.name, 0xD1342543DE82EF95), Stretches(self.other, 0xAF251AF3B0F025B5)
+    def spans(self, start: np.ndarray, stop: np.ndarray, document: np.ndarray) -> Keys:
+        """Keys of the given stretches of words, with their documents' ids."""
+        one, two = SpanHash(self.name, 0xD1342543DE82EF95), SpanHash(self.other, 0xAF251AF3B0F025B5)
+        return Keys(one(start, stop), (two(start, stop) >> np.uint64(32)).astype(np.uint32), self.ids[document])
 
 
 def _windows_of(symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +200,7 @@ def _hung(block: Block, all_levels: list[Symbols], live: np.ndarray) -> tuple[np
         low = np.searchsorted(symbols.low, window[left])
         high = np.searchsorted(symbols.high, window[left] + WINDOW, side="right")
         mine = left[high > low]
-        at = _least(_mixed(symbols.name), low[high > low], high[high > low])
+        at = _least(mixed(symbols.name), low[high > low], high[high > low])
         where[mine] = at * (len(all_levels) + 1) + height
         name[mine] = _named(symbols.name[at], np.full(len(at), height, np.uint64), 3)
         left = left[high <= low]
@@ -260,242 +211,85 @@ def _hung(block: Block, all_levels: list[Symbols], live: np.ndarray) -> tuple[np
     return window[begin], window[last], name[begin]
 
 
-# --- what blocks send and get ---------------------------------------------------------------------------------
-
-
-class Keys:
-    """Distinct keys of a block in order: a hash, a check, and the smallest and largest of a value.
-
-    ``of`` is the place of each given row's key among them.
-    """
-
-    def __init__(self, key: np.ndarray, check: np.ndarray, value: np.ndarray) -> None:
-        order = np.lexsort((value, check, key))
-        begin = _begin(key[order], check[order])
-        self.key, self.check = key[order][begin], check[order][begin]
-        end = np.append(begin, len(order))[1:]
-        self.least, self.most = value[order][begin], value[order][end - 1]
-        self.of = np.empty(len(key), np.int64)
-        self.of[order] = np.repeat(np.arange(len(begin)), end - begin)
-
-    def slices(self, digits: int) -> list[tuple[int, int, int]]:
-        """(digit, from, to): the leading bits of the key deal it out."""
-        if not len(self.key):
-            return []
-        digit = (self.key >> np.uint64(65 - digits.bit_length())).astype(np.int64) if digits > 1 else np.zeros(len(self.key), np.int64)
-        begin = _begin(digit)
-        return list(zip(digit[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(digit)], strict=True))
-
-
-def _planes(values: np.ndarray) -> bytes:
-    """Byte planes, so that the usual zero bytes of integers stand together and compress."""
-    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
-
-
-def _from_planes(data: bytes, kind) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-def _rows(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.int32()] * 3 + [pa.binary()] * 3
-    columns = list(zip(*rows, strict=True)) or [()] * 6
-    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=["part", "block", "kind", "a", "b", "c"])
-
-
-def _bits(flags: np.ndarray) -> bytes:
-    return np.packbits(flags).tobytes()
-
-
-def _from_bits(data: bytes, n: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
-
-
-def _below(key: np.ndarray, digits: int) -> np.ndarray:
-    """The 32 bits of a key after its digit."""
-    return ((key >> np.uint64(33 - digits.bit_length())) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-
-
-def _send(block: int, kind: int, keys: Keys, digits: int) -> list[tuple]:
-    out = []
-    for digit, a, b in keys.slices(digits):
-        low = _planes(_below(keys.key[a:b], digits))
-        if kind == _NAMES:  # is a name in several documents of the block?
-            out.append((digit, block, kind, low, _bits(keys.least[a:b] != keys.most[a:b]), None))
-        elif kind == _ANCHORS:  # has a symbol several stretches in the block, else which one?
-            out.append((digit, block, kind, low, _bits(keys.least[a:b] != keys.most[a:b]), _planes(keys.least[a:b])))
-        else:  # the smallest document with the stretch or window
-            check = np.ascontiguousarray(keys.key[a:b]), keys.check[a:b]
-            out.append((digit, block, kind, _planes(check[0]), _planes(check[1]), _planes(keys.least[a:b])))
-    return out
-
-
-def _state(block: int, digits: int, live: np.ndarray, gone: np.ndarray) -> tuple:
-    return block % digits, block, _STATE, _bits(live), _bits(gone), None
-
-
-def _judge(table: pa.Table) -> pa.Table:
-    """A bit for every key a block sent: names and symbols that several have, stretches and windows that a smaller document has."""
-    rows = []
-    all_kinds = np.asarray(table.column("kind"))
-    for kind in np.unique(all_kinds).tolist():
-        own = table.filter(pa.array(all_kinds == kind))
-        blocks, parts = own.column("block").to_pylist(), own.column("part").to_pylist()
-        a, b, c = (own.column(x).to_pylist() for x in "abc")
-        if kind == _STATE:
-            rows += [(-1, x, kind, y, z, None) for x, y, z in zip(blocks, a, b, strict=True)]
-            continue
-        key = [_from_planes(x, np.uint32 if kind in (_NAMES, _ANCHORS) else np.uint64) for x in a]
-        sizes = [len(x) for x in key]
-        key = np.concatenate(key)
-        if kind in (_NAMES, _ANCHORS):
-            several = np.concatenate([_from_bits(x, n) for x, n in zip(b, sizes, strict=True)])
-            if kind == _NAMES:  # entries of one name come from different blocks, and so from different documents or pieces
-                order = np.argsort(key, kind="stable")
-                begin = _begin(key[order])
-                many = np.diff(np.append(begin, len(key)))
-                found = (many > 1) | np.logical_or.reduceat(several[order], begin)
-            else:
-                which = np.concatenate([_from_planes(x, np.uint64) for x in c])
-                order = np.lexsort((which, key))
-                begin = _begin(key[order])
-                many = np.diff(np.append(begin, len(key)))
-                which = which[order]
-                found = (which[begin] != which[begin + many - 1]) | np.logical_or.reduceat(several[order], begin)
-            verdict = np.empty(len(key), bool)
-            verdict[order] = np.repeat(found, many)
-        else:
-            check = np.concatenate([_from_planes(x, np.uint32) for x in b])
-            ids = np.concatenate([_from_planes(x, np.int64) for x in c])
-            order = np.lexsort((ids, check, key))
-            begin = _begin(key[order], check[order])
-            least = np.repeat(ids[order][begin], np.diff(np.append(begin, len(key))))
-            verdict = np.empty(len(key), bool)
-            verdict[order] = ids[order] > least
-        at = 0
-        for block, part, n in zip(blocks, parts, sizes, strict=True):
-            bits = verdict[at: at + n]
-            at += n
-            if bits.any():
-                rows.append((part, block, kind, _bits(bits), None, None))
-    return _rows(rows)
-
-
-class Replies:
-    """What came back to a block."""
-
-    def __init__(self, table: pa.Table) -> None:
-        self.rows = {(k, p): (a, b) for k, p, a, b in zip(*(table.column(c).to_pylist() for c in ("kind", "part", "a", "b")), strict=True)}
-
-    def state(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        live, gone = self.rows[_STATE, -1]
-        return _from_bits(live, n), _from_bits(gone, n)
-
-    def bits(self, kind: int, keys: Keys, digits: int) -> np.ndarray:
-        out = np.zeros(len(keys.key), bool)
-        for digit, a, b in keys.slices(digits):
-            if (kind, digit) in self.rows:
-                out[a:b] = _from_bits(self.rows[kind, digit][0], b - a)
-        return out
-
-
 # --- the rounds -----------------------------------------------------------------------------------------------
 
 
 def _names(block: Block, symbols: Symbols, live: np.ndarray) -> tuple[np.ndarray, Keys]:
     """The symbols inside live windows, and their names with the documents that have them."""
     at = _in_live(symbols, live)
-    return at, Keys(symbols.name[at], np.zeros(len(at), np.uint32), block.ids[symbols.document[at]])
+    return at, named(symbols.name[at], block.ids[symbols.document[at]])
 
 
 def _after_census(block: Block, symbols: Symbols, live: np.ndarray, replies: Replies, digits: int) -> np.ndarray:
     at, keys = _names(block, symbols, live)
-    shared = replies.bits(_NAMES, keys, digits)
-    return _without(live, symbols, at[~shared[keys.of]])
+    return _without(live, symbols, at[~replies.bits(NAMES, keys, digits)[keys.of]])
 
 
-def _stretches(block: Block, all_levels: list[Symbols], live: np.ndarray) -> tuple[np.ndarray, np.ndarray, Keys, Keys]:
+def _stretches(block: Block, live: np.ndarray, known: list[Symbols]) -> tuple[np.ndarray, np.ndarray, Keys, Keys]:
     """First and last window of the stretches, their keys, and the symbols they hang on with the stretches' hashes."""
-    first, last, name = _hung(block, all_levels, live)
-    one, two = block.hashes()
-    key, check = one(first, last + WINDOW), (two(first, last + WINDOW) >> np.uint64(32)).astype(np.uint32)
-    return first, last, Keys(key, check, block.ids[block.document[first]]), Keys(name, np.zeros(len(name), np.uint32), key)
-
-
-def _covered(n: int, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    change = np.zeros(n + 1, np.int64)
-    np.add.at(change, first, 1)
-    np.add.at(change, stop, -1)
-    return np.cumsum(change)[:-1] > 0
+    first, last, name = _hung(block, known, live)
+    keys = block.spans(first, last + WINDOW, block.document[first])
+    return first, last, keys, named(name, keys.key[keys.of])
 
 
 def _window_keys(block: Block, asked: np.ndarray) -> tuple[np.ndarray, Keys]:
-    one, two = block.hashes()
     at = np.flatnonzero(asked)
-    key, check = one(at, at + WINDOW), (two(at, at + WINDOW) >> np.uint64(32)).astype(np.uint32)
-    return at, Keys(key, check, block.ids[block.document[at]])
+    return at, block.spans(at, at + WINDOW, block.document[at])
+
+
+def _dropped(block: Block, at: np.ndarray, keys: Keys, there: np.ndarray) -> np.ndarray:
+    """Which rows go: a smaller document has the key, in this block or, as the reply says, elsewhere."""
+    return (block.ids[block.document[at]] > keys.least[keys.of]) | there[keys.of]
 
 
 def _first_round(digits: int):
-    def send(texts: pa.Table) -> pa.Table:
+    def names(texts: pa.Table) -> pa.Table:
         block = Block(texts)
         live, (low, *_) = block.whole(), levels(block.symbols(), CENSUS[:1])
-        _, keys = _names(block, low, live)
-        return _rows([_state(block.number, digits, live, np.zeros(block.n, bool)), *_send(block.number, _NAMES, keys, digits)])
-    return send
+        return rows_of([state(block.number, digits, live), *send(block.number, NAMES, _names(block, low, live)[1], digits)])
+    return names
 
 
 def _next_round(turn: int, digits: int):
     """After the census ``turn`` - 1: the names of the next level."""
-    def send(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        if not texts.num_rows:
-            return _rows([])
-        block, replies = Block(texts), Replies(answers)
-        live, gone = replies.state(block.n)
+    def names(texts: pa.Table, replies: Replies) -> pa.Table:
+        block = Block(texts)
+        (live,) = replies.state(block.n)
         known = levels(block.symbols(), CENSUS[: turn + 1])
         live = _after_census(block, known[turn - 1], live, replies, digits)
-        _, keys = _names(block, known[turn], live)
-        return _rows([_state(block.number, digits, live, gone), *_send(block.number, _NAMES, keys, digits)])
-    return send
+        return rows_of([state(block.number, digits, live), *send(block.number, NAMES, _names(block, known[turn], live)[1], digits)])
+    return names
 
 
 def _stretch_round(digits: int):
-    def send(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        if not texts.num_rows:
-            return _rows([])
-        block, replies = Block(texts), Replies(answers)
-        live, gone = replies.state(block.n)
+    def stretches(texts: pa.Table, replies: Replies) -> pa.Table:
+        block = Block(texts)
+        (live,) = replies.state(block.n)
         known = levels(block.symbols(), CENSUS)
         live = _after_census(block, known[-1], live, replies, digits)
-        _, _, keys, hung = _stretches(block, known, live)
-        return _rows([_state(block.number, digits, live, gone), *_send(block.number, _STRETCHES, keys, digits),
-                      *_send(block.number, _ANCHORS, hung, digits)])
-    return send
+        _, _, keys, hung = _stretches(block, live, known)
+        return rows_of([state(block.number, digits, live), *send(block.number, STRETCHES, keys, digits), *send(block.number, ANCHORS, hung, digits)])
+    return stretches
 
 
 def _window_round(digits: int):
-    def send(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        if not texts.num_rows:
-            return _rows([])
-        block, replies = Block(texts), Replies(answers)
-        live, _ = replies.state(block.n)
-        first, last, keys, hung = _stretches(block, levels(block.symbols(), CENSUS), live)
-        own = block.ids[block.document[first]]
-        dropped = (own > keys.least[keys.of]) | replies.bits(_STRETCHES, keys, digits)[keys.of]
-        gone = _covered(block.n, first[dropped], last[dropped] + WINDOW)
-        ask = ~dropped & replies.bits(_ANCHORS, hung, digits)[hung.of]
-        asked = _covered(block.n, first[ask], last[ask] + 1)
-        _, keys = _window_keys(block, asked)
-        return _rows([_state(block.number, digits, asked, gone), *_send(block.number, _WINDOWS, keys, digits)])
-    return send
-
-
-def _removed(block: Block, answers: pa.Table, digits: int) -> np.ndarray:
-    replies = Replies(answers)
+    def windows(texts: pa.Table, replies: Replies) -> pa.Table:
+        block = Block(texts)
+        (live,) = replies.state(block.n)
+        first, last, keys, hung = _stretches(block, live, levels(block.symbols(), CENSUS))
+        dropped = _dropped(block, first, keys, replies.bits(STRETCHES, keys, digits))
+        ask = ~dropped & replies.bits(ANCHORS, hung, digits)[hung.of]
+        asked = covered(block.n, first[ask], last[ask] + 1)
+        gone = covered(block.n, first[dropped], last[dropped] + WINDOW)
+        return rows_of([state(block.number, digits, asked, gone), *send(block.number, WINDOWS, _window_keys(block, asked)[1], digits)])
+    return windows
+
+
+def _removed(block: Block, replies: Replies, digits: int) -> np.ndarray:
     asked, gone = replies.state(block.n)
     at, keys = _window_keys(block, asked)
-    own = block.ids[block.document[at]]
-    dropped = (own > keys.least[keys.of]) | replies.bits(_WINDOWS, keys, digits)[keys.of]
-    return gone | _covered(block.n, at[dropped], at[dropped] + WINDOW)
+    dropped = at[_dropped(block, at, keys, replies.bits(WINDOWS, keys, digits))]
+    return gone | covered(block.n, dropped, dropped + WINDOW)
 
 
 _CUT = ["number", "piece", "row", "gone", "words", "n_words", "n_removed"]
@@ -512,14 +306,14 @@ def _cut(digits: int, split: bool):
             kinds = [pa.int64(), pa.int32(), row, pa.binary(), pa.string(), pa.int64(), pa.int64()]
             return pa.table([pa.array([], k) for k in kinds], names=_CUT)
         block = Block(texts)
-        gone = _removed(block, answers, digits)
+        gone = _removed(block, Replies(answers), digits)
         keep = ~gone | split
         offsets = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], block.end])].astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), block.words.filter(pa.array(keep)))
         lost = np.concatenate([[0], np.cumsum(gone)])
-        bits = [_bits(gone[a:b]) if split else None for a, b in zip(block.begin.tolist(), block.end.tolist(), strict=True)]
+        marks = [bits(gone[a:b]) if split else None for a, b in zip(block.begin.tolist(), block.end.tolist(), strict=True)]
         texts = texts.select(["number", "piece", "row"]).take(block.order)
-        return pa.table([*texts.columns, pa.array(bits, pa.binary()), pc.binary_join(lists, " "), pa.array(block.sizes),
+        return pa.table([*texts.columns, pa.array(marks, pa.binary()), pc.binary_join(lists, " "), pa.array(block.sizes),
                          pa.array(lost[block.end] - lost[block.begin])], names=_CUT)
     return cut
 
@@ -529,45 +323,28 @@ def _joined(table: pa.Table) -> pa.Table:
     order = np.argsort(np.asarray(table.column("piece")))
     words, gone = [], np.zeros(0, bool)
     for k in order.tolist():
-        own = table.column("words")[k].as_py().split(" ")
-        bits = _from_bits(table.column("gone")[k].as_py(), len(own))
+        own = table.column("words")[k].as_py()
+        own = own.split(" ") if own else []
+        marks = from_bits(table.column("gone")[k].as_py(), len(own))
         shared = min(WINDOW - 1, len(words)) if k != order[0] else 0
-        gone[len(gone) - shared:] |= bits[:shared]
+        gone[len(gone) - shared:] |= marks[:shared]
         words += own[shared:]
-        gone = np.concatenate([gone, bits[shared:]])
+        gone = np.concatenate([gone, marks[shared:]])
     kept = [words[i] for i in np.flatnonzero(~gone).tolist()]
     return pa.table({"row": table.column("row").take(pa.array(order[:1])), "n_words": pa.array([len(words)], pa.int64()),
                      "n_removed": pa.array([int(gone.sum())], pa.int64()), "kept": pa.array([" ".join(kept)])})
 
 
-def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Long texts in pieces that overlap by a window less one word; the row's columns go with the first."""
-    names = ["number", "id", "row", "text", "piece", "pieces"]
-    for batch in batches:
-        number, ids, row, text = batch.columns
-        size = pc.binary_length(text).to_numpy()
-        long = np.flatnonzero(size > PIECE_BYTES)
-        short = pa.array(np.flatnonzero(size <= PIECE_BYTES))
-        one = pa.array(np.ones(len(short), np.int32))
-        if len(short):
-            yield pa.RecordBatch.from_arrays([number.take(short), ids.take(short), row.take(short), text.take(short),
-                                              pa.array(np.zeros(len(short), np.int32)), one], names)
-        for i in long.tolist():
-            data = text[i].as_py().encode()
-            cuts, ahead, start = [], [], None
-            for word in _WORD.finditer(data):
-                if start is None:
-                    start = word.start()
-                ahead.append(word.start())
-                if len(ahead) >= WINDOW and word.end() - start > PIECE_BYTES:
-                    cuts.append((start, word.end()))
-                    start = ahead[-(WINDOW - 1)]
-                ahead = ahead[-WINDOW:]
-            cuts.append((start or 0, len(data)))
-            for k, (a, b) in enumerate(cuts):
-                yield pa.RecordBatch.from_arrays(
-                    [number.slice(i, 1), ids.slice(i, 1), row.slice(i, 1) if k == 0 else pa.nulls(1, row.type), pa.array([data[a:b].decode()]),
-                     pa.array([k], pa.int32()), pa.array([len(cuts)], pa.int32())], names)
+def _cuts(data: bytes, size: int) -> list[tuple[int, int]]:
+    """Begin and end of the pieces of a long text, which overlap by a window less one word."""
+    cuts, ahead, start = [], [], 0
+    for word in _WORD.finditer(data):
+        ahead.append(word.start())
+        if len(ahead) >= WINDOW and word.end() - start > size:
+            cuts.append((start, word.end()))
+            start = ahead[-(WINDOW - 1)]
+        ahead = ahead[-WINDOW:]
+    return [*cuts, (start, len(data))]
 
 
 def cut_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -576,32 +353,18 @@ def cut_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Returns ``row`` (a struct of the id and the columns in ``keep``), ``n_words``, ``n_removed`` and
     ``kept``, the words left with one space between.  Ids are integers.
     """
-    size = total_bytes(docs, text_col)
-    blocks = power_of_two(max(64, size // BLOCK_BYTES))
-    digits = min(power_of_two(max(64, size // DIGIT_BYTES)), 1 << 31)
     carried = F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([id_col, *keep])])
     rows = docs.select(F.monotonically_increasing_id().alias("number"), F.col(f"`{id_col}`").cast("long").alias("id"),
-                       carried.alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    texts = T.StructType([*rows.schema.fields, T.StructField("piece", T.IntegerType()), T.StructField("pieces", T.IntegerType())])
-    texts.fields[2] = T.StructField("row", rows.schema["row"].dataType, True)
-    pieces = rows.mapInArrow(_in_pieces, texts)
-    # Pieces have blocks of their own, so that they can be put together without the other texts.
-    block = spread("id", F.xxhash64("text"), "number", "piece", over=blocks)
-    pieces = pieces.withColumn("block", F.when(F.col("pieces") > 1, block + blocks).otherwise(block))
-    by_block = pieces.groupBy("block")
-
-    def judged(sent: DataFrame) -> DataFrame:
-        return sent.groupBy("part").applyInArrow(_judge, _ENTRY)
-
-    answers = judged(by_block.applyInArrow(_first_round(digits), _ENTRY))
+                       carried.alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"))
+    texts, digits = exchange.dealt(rows, total_bytes(docs, text_col), _cuts)
+    by_block = texts.groupBy("block")
     later = [_next_round(turn, digits) for turn in range(1, len(CENSUS))] + [_stretch_round(digits), _window_round(digits)]
-    for send in later:
-        answers = judged(by_block.cogroup(answers.groupBy("block")).applyInArrow(send, _ENTRY))
-    answers = answers.groupBy("block")
-    out = T.StructType([texts["number"], texts["piece"], texts["row"], T.StructField("gone", T.BinaryType()), T.StructField("words", T.StringType()),
+    answers = exchange.rounds(by_block, _first_round(digits), later).groupBy("block")
+    row = texts.schema["row"]
+    out = T.StructType([texts.schema["number"], texts.schema["piece"], row, T.StructField("gone", T.BinaryType()), T.StructField("words", T.StringType()),
                         T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    result = T.StructType([texts["row"], out["n_words"], out["n_removed"], T.StructField("kept", T.StringType())])
+    result = T.StructType([row, out["n_words"], out["n_removed"], T.StructField("kept", T.StringType())])
     whole = by_block.cogroup(answers).applyInArrow(_cut(digits, False), out)
-    split = pieces.where("pieces > 1").groupBy("block").cogroup(answers).applyInArrow(_cut(digits, True), out)
+    split = texts.where("pieces > 1").groupBy("block").cogroup(answers).applyInArrow(_cut(digits, True), out)
     return whole.select("row", "n_words", "n_removed", F.col("words").alias("kept")).unionByName(
         split.groupBy("number").applyInArrow(_joined, result))

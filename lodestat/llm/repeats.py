@@ -15,16 +15,16 @@ little.  Second digit: the whole stretch.  A stretch also found in a smaller doc
 removed with all its windows.  Last digit: the windows themselves, sent only for heads
 with different stretches, and only from each stretch's smallest document.  A window then
 goes if its group holds a smaller document: equal groups are exactly the repeated windows.
-Bytes are compared as 64-bit and longer polynomial hashes.
+Bytes are compared as hashes: 32 bits and the digit at the head, 96 bits at the stretch and the window.
 
-*As a Spark job.*  Documents are dealt into blocks by a hash of id, text and the row's number,
-so that equal rows, however many, fill many blocks.  The input should be a written table: its
-rows need the same numbers when a lost task reads them again.  A block sorts
-its own suffixes and sends each digit's slice as one row of packed arrays, a head or
-stretch once per block however often it occurs there; so a passage in every document
-reaches a task once per block.  Every digit has one group, its size a matter of the
-corpus size over the number of digits.  Verdicts return to the blocks as bit sets and
-spans.  The texts are shuffled once; all passes read that exchange.
+*As a Spark job.*  See ``exchange``: documents are dealt into blocks, a block sends each distinct
+head, stretch or window once, and gets a bit for each back.  Stretches are dealt out by their own
+hash, so a phrase that is in every document in unlike surroundings fills no task; that its head
+has several stretches shows in one row per block.  A text of over a piece's bytes is cut into
+pieces that overlap by a window less one byte.  A block's bytes are hashed in slices, so
+it needs some tens of bytes of memory for each of a slice, and about twenty for each of its own.
+The texts are shuffled once; all passes read that exchange.  The input should be a written
+table: its rows need the same numbers when a lost task reads them again.
 
 A null text counts as empty.  A null id is larger than any id: such a document never
 makes another one lose bytes.  Rows with one id are one document and do not remove each
@@ -37,430 +37,196 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestat.llm.common import power_of_two, spread, total_bytes
+from lodestat.llm import exchange
+from lodestat.llm.common import total_bytes
+from lodestat.llm.exchange import (
+    ANCHORS, NAMES, STRETCHES, WINDOWS, Keys, Layout, Replies, SpanHash, covered, mixed, named, rows_of, send, spans_of, state,
+)
 
 DEPTH = 50
 HEAD = 30
-BLOCK_BYTES = 4 << 20
-#: Bytes of text for each digit value of a pass.
-DIGIT_BYTES = 8 << 20
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_ENTRY = "part int, block int, kind int, a binary, b binary, c binary, d binary, e binary"
-
-
-# --- hashes of substrings -----------------------------------------------------------------------------------------
+#: Bytes of a block that are hashed at a time.
+SLICE_BYTES = 1 << 18
 
 
 def _byte_values(seed: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64 - 1, 256, dtype=np.uint64)
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power_table(base: int, n: int) -> np.ndarray:
-    """1, base, base^2, ... modulo 2^64."""
-    if base not in _powers or len(_powers[base]) < n:
-        factors = np.full(max(n, BLOCK_BYTES), np.uint64(base))
-        factors[0] = 1
-        _powers[base] = np.cumprod(factors, dtype=np.uint64)
-    return _powers[base][:n]
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(32))
-    h = h * _MULTIPLIER
-    h ^= h >> np.uint64(29)
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(32))
-
-
-class Substrings:
-    """Hashes of any substrings of ``data`` from prefix sums of weighted byte values."""
-
-    def __init__(self, data: np.ndarray, seed: int, base: int) -> None:
-        n = len(data)
-        inverse = pow(base, -1, 1 << 64)
-        self.scale = _power_table(base, n + 1)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_byte_values(seed)[data] * _power_table(inverse, n + 1)[:n], out=self.sums[1:])
-
-    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        return _mixed((self.sums[stop] - self.sums[start]) * self.scale[start] + (stop - start).astype(np.uint64))
-
-    def all(self, length: int) -> np.ndarray:
-        n = len(self.sums) - length
-        return _mixed((self.sums[length:] - self.sums[:n]) * self.scale[:n] + np.uint64(length)) if n > 0 else np.empty(0, np.uint64)
-
-
-# --- a block of documents -----------------------------------------------------------------------------------------
-
-
-class Block:
-    """The documents of a block one after the other, with their stretches.
-
-    ``rank`` orders documents by id within the block; equal ids share a rank.
-    """
+class Block(Layout):
+    """The documents (or pieces) of a block, one after the other."""
 
     def __init__(self, table: pa.Table) -> None:
-        ids = [None if x is None else x for x in table.column("id").to_pylist()]
-        texts = [x or b"" for x in table.column("text").to_pylist()]
-        self.order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
-        self.ids = np.array([2**63 - 1 if ids[i] is None else ids[i] for i in self.order], np.int64)
-        self.sizes = np.array([len(texts[i]) for i in self.order], np.int64)
-        assert self.sizes.sum() < 1 << 32, "places within a block are sent as 32-bit numbers"
-        self.stops = np.cumsum(self.sizes)
-        self.starts = self.stops - self.sizes
-        self.data = np.frombuffer(b"".join(texts[i] for i in self.order), np.uint8)
-        self.rank = np.searchsorted(self.ids, self.ids)
-        self.hash = Substrings(self.data, 8, 0xD1342543DE82EF95)
+        super().__init__(table)
+        text = self.table.column("text").combine_chunks()
+        self.place(pc.binary_length(text).to_numpy().astype(np.int64))
+        self.data = np.frombuffer(b"".join(text.to_pylist()), np.uint8)
 
     def owners(self, positions: np.ndarray) -> np.ndarray:
-        """Rank of the document at each position."""
-        return self.rank[np.searchsorted(self.stops, positions, side="right")]
-
-    def stretches(self) -> None:
-        """``first`` and ``last`` window start of each stretch, ``head`` hash, ``who`` (rank of the document)."""
-        n, wide = len(self.data), DEPTH - HEAD + 1
-        none = np.empty(0, np.int64)
-        self.first, self.last, self.who, self.head = none, none, none, np.empty(0, np.uint64)
-        if n < DEPTH:
-            return
-        exact = self.hash.all(HEAD)
-        low = exact & ~np.uint64(63)
-        have = 1
-        while have * 2 <= wide:  # least hash, with its offset in the low bits, of 1, 2, 4, ... substrings
-            low = np.minimum(low[:-have], low[have:] + np.uint64(have))
-            have *= 2
-        if rest := wide - have:
-            low = np.minimum(low[:-rest], low[rest:] + np.uint64(rest))
-        whole = np.zeros(n, bool)
-        for a, b in zip(self.starts.tolist(), self.stops.tolist(), strict=True):
-            whole[a: max(a, b - DEPTH + 1)] = True
-        window = np.flatnonzero(whole[: len(low)])
-        if not len(window):
-            return
-        at = window + (low[window] & np.uint64(63)).astype(np.int64)
-        new = np.ones(len(window), bool)
-        new[1:] = (at[1:] != at[:-1]) | (window[1:] != window[:-1] + 1)
+        """The id of the document at each position."""
+        return self.ids[np.searchsorted(self.end, positions, side="right")]
+
+    def stretches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and last window of each stretch, and the hash of its head."""
+        base = 0xD1342543DE82EF95
+        found = []
+        for a in range(0, max(0, self.n - DEPTH + 1), SLICE_BYTES):
+            b = min(a + SLICE_BYTES, self.n - DEPTH + 1)  # windows from a to b
+            hashes = SpanHash(self.data[a: b + DEPTH - 1], base, _byte_values(8))
+            place = np.arange(b - a + DEPTH - HEAD)
+            exact = hashes(place, place + HEAD)
+            low, wide, have = exact & ~np.uint64(63), DEPTH - HEAD + 1, 1
+            while have * 2 <= wide:  # least hash, with its offset in the low bits, of 1, 2, 4, ... substrings
+                low = np.minimum(low[:-have], low[have:] + np.uint64(have))
+                have *= 2
+            if rest := wide - have:
+                low = np.minimum(low[:-rest], low[rest:] + np.uint64(rest))
+            window = np.arange(b - a)
+            at = window + (low & np.uint64(63)).astype(np.int64)
+            # Only windows that lie in one document; a stretch ends with its document.
+            owner = np.searchsorted(self.end, window + a, side="right")
+            window = np.flatnonzero(window + a + DEPTH <= self.end[owner])
+            if not len(window):
+                continue
+            head, owner = at[window], owner[window]
+            new = np.ones(len(window), bool)
+            new[1:] = (head[1:] != head[:-1]) | (owner[1:] != owner[:-1])
+            begin = np.flatnonzero(new)
+            last = np.append(begin, len(window))[1:] - 1
+            found.append((window[begin] + a, window[last] + a, exact[head[begin]], head[begin] + a))
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        first, last, head, at = (np.concatenate(x) for x in zip(*found, strict=True))
+        new = np.ones(len(first), bool)  # a stretch may go on in the next slice
+        new[1:] = (at[1:] != at[:-1]) | (first[1:] != last[:-1] + 1)
         begin = np.flatnonzero(new)
-        self.first = window[begin]
-        self.last = window[np.append(begin[1:], len(window)) - 1]
         # The least of many hashes is a small one; mixed again, heads spread evenly over the digits.
-        self.head = _mixed(exact[at[begin]] + np.uint64(1))
-        self.who = self.owners(self.first)
+        return first[begin], last[np.append(begin, len(first))[1:] - 1], mixed(head[begin] + np.uint64(1))
 
+    def spans(self, start: np.ndarray, stop: np.ndarray) -> Keys:
+        """Keys of the given stretches of bytes, with their documents' ids."""
+        key = SpanHash(self.data, 0xAF251AF3B0F025B5, _byte_values(9))(start, stop)
+        check = (SpanHash(self.data, 0xD1342543DE82EF95, _byte_values(8))(start, stop) >> np.uint64(32)).astype(np.uint32)
+        return Keys(key, check, self.owners(start))
 
-def _runs(*sorted_columns: np.ndarray) -> np.ndarray:
-    """Start of each run of equal rows."""
-    new = np.zeros(len(sorted_columns[0]), bool)
-    if len(new):
-        new[0] = True
-    for c in sorted_columns:
-        new[1:] |= c[1:] != c[:-1]
-    return np.flatnonzero(new)
 
+def _window_keys(block: Block, asked: np.ndarray) -> tuple[np.ndarray, Keys]:
+    at = np.flatnonzero(asked)
+    return at, block.spans(at, at + DEPTH)
 
-def _places(data: bytes) -> np.ndarray:
-    """Rows (place, step, count)."""
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(12, -1).T).view(np.uint32).reshape(-1, 3).astype(np.int64)
 
+def _shared(block: Block, shared: np.ndarray, stretches: tuple) -> tuple[np.ndarray, np.ndarray, Keys, Keys]:
+    """First and last window of the stretches at shared heads, their keys, and the heads with the stretches' hashes."""
+    first, last, head = (x[shared] for x in stretches)
+    keys = block.spans(first, last + DEPTH)
+    return first, last, keys, named(head, keys.key[keys.of])
 
-def _pairs(begin: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """(from, to) of runs that start at ``begin`` and fill ``n`` places."""
-    return list(zip(begin.tolist(), [*begin[1:].tolist(), n], strict=True)) if len(begin) else []
 
+def _dropped(block: Block, at: np.ndarray, keys: Keys, there: np.ndarray) -> np.ndarray:
+    """Which rows go: a smaller document has the key, in this block or, as the reply says, elsewhere."""
+    return (block.owners(at) > keys.least[keys.of]) | there[keys.of]
 
-def _planes(values: np.ndarray) -> bytes:
-    """Byte planes of integers, or of rows of them, so that the usual zero bytes stand together and compress."""
-    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
-    return np.ascontiguousarray(np.ascontiguousarray(values).view(np.uint8).reshape(-1, width).T).tobytes()
-
-
-def _from_planes(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
-def _progressions(group: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places as progressions: the first of each, and rows (place, step, count).
-
-    ``group`` holds the starts of groups of equal items, ``at`` their places, rising within a
-    group.  A text that repeats itself has one item at many evenly spaced places.
-    """
-    head = np.zeros(len(at), bool)
-    head[group] = True
-    step = np.diff(at, prepend=0)
-    new = head.copy()
-    new[1:] |= ~head[1:] & ~head[:-1] & (step[1:] != step[:-1])
-    first = np.flatnonzero(new)
-    count = np.diff(np.append(first, len(at)))
-    steps = np.where(count > 1, step[np.minimum(first + 1, max(0, len(at) - 1))], 0) if len(at) else step[first]
-    return first, np.column_stack([at[first], steps, count]).astype(np.uint32)
-
-
-def _expand(start: np.ndarray, stop: np.ndarray, step: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The spans of progressions; those that touch their next are one span from the start."""
-    joined = step <= stop - start
-    stop = np.where(joined, stop + step * (count - 1), stop)
-    many = np.where(joined, 1, count)
-    turn = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    moved = turn * np.repeat(step, many)
-    return np.repeat(start, many) + moved, np.repeat(stop, many) + moved
-
-
-def _slices(hashes: np.ndarray, digits: int) -> list[tuple[int, int, int]]:
-    """(digit, from, to) of sorted hashes, by their leading bits."""
-    digit = (hashes >> np.uint64(64 - digits.bit_length() + 1)).astype(np.int64) if digits > 1 else np.zeros(len(hashes), np.int64)
-    begin = _runs(digit)
-    return [(int(digit[a]), a, b) for a, b in _pairs(begin, len(hashes))]
-
-
-def _rows(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.int32()] * 3 + [pa.binary()] * 5
-    columns = list(zip(*rows, strict=True)) or [()] * 8
-    return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-                    names=["part", "block", "kind", "a", "b", "c", "d", "e"])
 
+# --- the passes ---------------------------------------------------------------------------------------------------
 
-def _merge(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The union of spans, as disjoint spans in order."""
-    order = np.argsort(start, kind="stable")
-    start, stop = start[order], np.maximum.accumulate(stop[order]) if len(order) else stop
-    if not len(start):
-        return start, stop
-    new = np.ones(len(start), bool)
-    new[1:] = start[1:] > stop[:-1]
-    begin = np.flatnonzero(new)
-    return start[begin], stop[np.append(begin[1:], len(start)) - 1]
 
+def _send_heads(digits: int):
+    def heads(texts: pa.Table) -> pa.Table:
+        block = Block(texts)
+        first, _, head = block.stretches()
+        return rows_of(send(block.number, NAMES, named(head, block.owners(first)), digits))
+    return heads
 
-def _span_row(block: int, part: int, kind: int, start: np.ndarray, stop: np.ndarray) -> tuple:
-    return part, block, kind, _planes(start.astype(np.int64)), _planes(stop.astype(np.int64)), None, None, None
 
+def _send_stretches(digits: int):
+    def stretches(texts: pa.Table, replies: Replies) -> pa.Table:
+        block = Block(texts)
+        found = block.stretches()
+        heads = named(found[2], block.owners(found[0]))
+        shared = replies.bits(NAMES, heads, digits)[heads.of]
+        _, _, keys, hung = _shared(block, shared, found)
+        return rows_of([state(block.number, digits, shared), *send(block.number, STRETCHES, keys, digits), *send(block.number, ANCHORS, hung, digits)])
+    return stretches
 
-# Kinds of rows after the first pass.
-_ENTRIES, _REMOVED, _ASK = 0, 1, 2
 
+def _send_windows(digits: int):
+    def windows(texts: pa.Table, replies: Replies) -> pa.Table:
+        block = Block(texts)
+        found = block.stretches()
+        first, last, keys, hung = _shared(block, replies.state(len(found[0]))[0], found)
+        dropped = _dropped(block, first, keys, replies.bits(STRETCHES, keys, digits))
+        ask = ~dropped & replies.bits(ANCHORS, hung, digits)[hung.of]
+        asked = covered(block.n, first[ask], last[ask] + 1)
+        gone = covered(block.n, first[dropped], last[dropped] + DEPTH)
+        return rows_of([state(block.number, digits, asked, gone), *send(block.number, WINDOWS, _window_keys(block, asked)[1], digits)])
+    return windows
 
-def _unique_heads(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct heads, and whether each is in several of the block's documents."""
-    order = np.argsort(block.head, kind="stable")
-    head, who = block.head[order], block.who[order]
-    begin = _runs(head)
-    if not len(begin):
-        return head, np.empty(0, bool)
-    return head[begin], np.minimum.reduceat(who, begin) != np.maximum.reduceat(who, begin)
 
+def _removed(block: Block, replies: Replies, digits: int) -> np.ndarray:
+    asked, gone = replies.state(block.n)
+    at, keys = _window_keys(block, asked)
+    dropped = at[_dropped(block, at, keys, replies.bits(WINDOWS, keys, digits))]
+    return gone | covered(block.n, dropped, dropped + DEPTH)
 
-def _number(table: pa.Table, name: str) -> int:
-    return table.column(name)[0].as_py()
 
+_CUT = ["number", "piece", "row", "n_bytes", "spans", "kept"]
 
-# --- the passes ---------------------------------------------------------------------------------------------------
 
+def _without(data: bytes, spans: list[int]) -> bytes:
+    left, done = [], 0
+    for a, b in zip(spans[::2], spans[1::2], strict=True):
+        left.append(data[done:a])
+        done = b
+    return b"".join([*left, data[done:]])
 
-def _send_heads(digits: int):
-    def send(table: pa.Table) -> pa.Table:
-        block = Block(table)
-        block.stretches()
-        head, several = _unique_heads(block)
-        below = np.uint64(32 - digits.bit_length() + 1)
-        number = _number(table, "block")
-        return _rows([(d, number, 0, _planes(((head[a:b] >> below) & np.uint64(0xFFFFFFFF)).astype(np.uint32)),
-                       np.packbits(several[a:b]).tobytes(), None, None, None) for d, a, b in _slices(head, digits)])
-    return send
-
-
-def _judge_heads(table: pa.Table) -> pa.Table:
-    """For every block: which of its heads in this digit are in several documents."""
-    low = [_from_planes(x, np.uint32) for x in table.column("a").to_pylist()]
-    several = [np.unpackbits(np.frombuffer(s, np.uint8), count=len(x)).astype(bool)
-               for s, x in zip(table.column("b").to_pylist(), low, strict=True)]
-    every, flags = np.concatenate(low), np.concatenate(several)
-    order = np.argsort(every, kind="stable")
-    begin = _runs(every[order])
-    size = np.diff(np.append(begin, len(every)))
-    shared = (size > 1) | np.logical_or.reduceat(flags[order], begin)
-    verdict = np.empty(len(every), bool)
-    verdict[order] = np.repeat(shared, size)
-    rows, at, digit = [], 0, _number(table, "part")
-    for block, x in zip(table.column("block").to_pylist(), low, strict=True):
-        own = verdict[at: at + len(x)]
-        at += len(x)
-        if own.any():
-            rows.append((digit, block, 0, np.packbits(own).tobytes(), None, None, None, None))
-    return _rows(rows)
 
+def _cut(digits: int, split: bool):
+    """The documents of a block with the removed spans (start, stop in the text's bytes) and the bytes that are left.
 
-def _send_stretches(digits: int):
-    def send(texts: pa.Table, replies: pa.Table) -> pa.Table:
-        if not texts.num_rows or not replies.num_rows:
-            return _rows([])
+    Of the pieces of long texts (``split``) all bytes, as the neighbouring piece may remove some.
+    """
+    def cut(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        if not texts.num_rows or (texts.column("pieces")[0].as_py() > 1) != split:
+            kinds = [pa.int64(), pa.int32(), texts.schema.field("row").type, pa.int64(), pa.list_(pa.int64()), pa.binary()]
+            return pa.table([pa.array([], k) for k in kinds], names=_CUT)
         block = Block(texts)
-        block.stretches()
-        number = _number(texts, "block")
-        head, _ = _unique_heads(block)
-        shared = np.zeros(len(head), bool)
-        bits = dict(zip(replies.column("part").to_pylist(), replies.column("a").to_pylist(), strict=True))
-        for d, a, b in _slices(head, digits):
-            if d in bits:
-                shared[a:b] = np.unpackbits(np.frombuffer(bits[d], np.uint8), count=b - a).astype(bool)
-        mine = np.flatnonzero(shared[np.searchsorted(head, block.head)])
-        first, last, who, key = block.first[mine], block.last[mine], block.who[mine], block.head[mine]
-        whole = block.hash(first, last + DEPTH)
-        order = np.lexsort((first, who, whole, key))
-        first, last, who, key, whole = (x[order] for x in (first, last, who, key, whole))
-        begin = _runs(key, whole)
-        least = np.repeat(who[begin], np.diff(np.append(begin, len(who))))
-        rows = []
-        gone = who > least  # a smaller document of this very block has the stretch
-        if gone.any():
-            rows.append(_span_row(number, number % digits, _REMOVED, *_merge(first[gone], last[gone] + DEPTH)))
-        first, last, who, key, whole = (x[~gone] for x in (first, last, who, key, whole))
-        chosen, places = _progressions(_runs(key, whole, who), first)
-        more, key, whole, ids = (last - first)[chosen], key[chosen], whole[chosen], block.ids[who[chosen]]
-        for d, a, b in _slices(key, digits):
-            rows.append((d, number, _ENTRIES, _planes(key[a:b]), _planes(whole[a:b]), _planes(ids[a:b]),
-                         _planes(places[a:b]), _planes(more[a:b].astype(np.uint8))))
-        return _rows(rows)
-    return send
-
-
-def _judge_stretches(table: pa.Table) -> pa.Table:
-    kinds = table.column("kind").to_pylist()
-    columns = [table.column(n).to_pylist() for n in ("block", "a", "b", "c", "d", "e")]
-    rows = [(-1, x[0], _REMOVED, x[1], x[2], None, None, None) for k, *x in zip(kinds, *columns, strict=True) if k == _REMOVED]
-    entries = [x for k, *x in zip(kinds, *columns, strict=True) if k == _ENTRIES]
-    if not entries:
-        return _rows(rows)
-    key, whole, ids, more = (
-        np.concatenate([_from_planes(x[i], t) for x in entries])
-        for i, t in ((1, np.uint64), (2, np.uint64), (3, np.int64), (5, np.uint8)))
-    places = np.concatenate([_places(x[4]) for x in entries])
-    source = np.repeat([x[0] for x in entries], [len(x[5]) for x in entries])
-    order = np.lexsort((ids, whole, key))
-    key, whole, ids, places, more, source = (x[order] for x in (key, whole, ids, places, more, source))
-    begin = _runs(key, whole)
-    size = np.diff(np.append(begin, len(key)))
-    gone = ids > np.repeat(ids[begin], size)
-    head_begin = _runs(key)
-    head_size = np.diff(np.append(head_begin, len(key)))
-    kinds_of_head = np.add.reduceat(np.isin(np.arange(len(key)), begin, assume_unique=True).astype(np.int64), head_begin)
-    ask = ~gone & np.repeat(kinds_of_head > 1, head_size)
-    start, step, count = places.T
-    stop = start + more  # the last window of the stretch
-    for kind, chosen in ((_REMOVED, gone), (_ASK, ask)):
-        at = np.flatnonzero(chosen)
-        at = at[np.argsort(source[at], kind="stable")]
-        begin = _runs(source[at])
-        for a, b in _pairs(begin, len(at)):
-            own = at[a:b]
-            if kind == _REMOVED:
-                spans = _merge(*_expand(start[own], stop[own] + DEPTH, step[own], count[own]))
-            else:  # windows, so spans that touch are those whose first follows the last
-                first, after = _expand(start[own], stop[own] + 1, step[own], count[own])
-                spans = first, after - 1
-            rows.append(_span_row(int(source[own[0]]), -1, kind, *spans))
-    return _rows(rows)
-
-
-def _spans(replies: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    chosen = [(a, b) for k, a, b in zip(*(replies.column(n).to_pylist() for n in ("kind", "a", "b")), strict=True) if k == kind]
-    none = [np.empty(0, np.int64)]
-    return tuple(np.concatenate(none + [_from_planes(x[i], np.int64) for x in chosen]) for i in (0, 1))
-
-
-def _send_windows(digits: int):
-    def send(texts: pa.Table, replies: pa.Table) -> pa.Table:
-        if not texts.num_rows or not replies.num_rows:
-            return _rows([])
-        number = _number(texts, "block")
-        rows = []
-        start, stop = _merge(*_spans(replies, _REMOVED))
-        if len(start):
-            rows.append(_span_row(number, number % digits, _REMOVED, start, stop))
-        first, last = _spans(replies, _ASK)
-        if len(first):
-            block = Block(texts)
-            other = Substrings(block.data, 9, 0xAF251AF3B0F025B5)
-            many = last - first + 1
-            place = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(many.sum())
-            key, more = block.hash(place, place + DEPTH), (other(place, place + DEPTH) >> np.uint64(32)).astype(np.uint32)
-            who = block.owners(place)
-            order = np.lexsort((place, who, more, key))
-            place, key, more, who = (x[order] for x in (place, key, more, who))
-            begin = _runs(key, more)
-            gone = who > np.repeat(who[begin], np.diff(np.append(begin, len(who))))
-            if gone.any():
-                rows.append(_span_row(number, number % digits, _REMOVED, *_merge(place[gone], place[gone] + DEPTH)))
-            place, key, more, who = place[~gone], key[~gone], more[~gone], who[~gone]
-            chosen, places = _progressions(_runs(key, more, who), place)
-            key, more, ids = key[chosen], more[chosen], block.ids[who[chosen]]
-            for d, a, b in _slices(key, digits):
-                rows.append((d, number, _ENTRIES, _planes(key[a:b]), _planes(more[a:b]), _planes(ids[a:b]),
-                             _planes(places[a:b]), None))
-        return _rows(rows)
-    return send
-
-
-def _judge_windows(table: pa.Table) -> pa.Table:
-    kinds = table.column("kind").to_pylist()
-    columns = [table.column(n).to_pylist() for n in ("block", "a", "b", "c", "d")]
-    rows = [(-1, x[0], _REMOVED, x[1], x[2], None, None, None) for k, *x in zip(kinds, *columns, strict=True) if k == _REMOVED]
-    entries = [x for k, *x in zip(kinds, *columns, strict=True) if k == _ENTRIES]
-    if not entries:
-        return _rows(rows)
-    key, more, ids = (
-        np.concatenate([_from_planes(x[i], t) for x in entries]) for i, t in ((1, np.uint64), (2, np.uint32), (3, np.int64)))
-    places = np.concatenate([_places(x[4]) for x in entries])
-    source = np.repeat([x[0] for x in entries], [len(x[2]) // 4 for x in entries])
-    order = np.lexsort((ids, more, key))
-    key, more, ids, places, source = (x[order] for x in (key, more, ids, places, source))
-    begin = _runs(key, more)
-    gone = ids > np.repeat(ids[begin], np.diff(np.append(begin, len(key))))
-    at = np.flatnonzero(gone)
-    at = at[np.argsort(source[at], kind="stable")]
-    begin = _runs(source[at])
-    for a, b in _pairs(begin, len(at)):
-        start, step, count = places[at[a:b]].T
-        rows.append(_span_row(int(source[at[a]]), -1, _REMOVED, *_merge(*_expand(start, start + DEPTH, step, count))))
-    return _rows(rows)
-
-
-def _cut(texts: pa.Table, replies: pa.Table) -> pa.Table:
-    """The documents of a block with the removed spans (start, stop in the text's bytes) and the bytes that are left."""
-    if not texts.num_rows:
-        return pa.table({"row": texts.column("row"), "n_bytes": pa.array([], pa.int64()),
-                         "spans": pa.array([], pa.list_(pa.int64())), "kept": pa.array([], pa.binary())})
-    ids, texts_of = texts.column("id").to_pylist(), [x or b"" for x in texts.column("text").to_pylist()]
-    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts_of[i]))
-    start, stop = _merge(*_spans(replies, _REMOVED)) if replies.num_rows else (np.empty(0, np.int64),) * 2
-    spans, kept, begin = [], [], 0
-    for i in order:
-        data = texts_of[i]
-        a, b = np.searchsorted(stop, begin, side="right"), np.searchsorted(start, begin + len(data), side="left")
-        own, left, done = [], [], 0
-        for s, e in zip(start[a:b].tolist(), stop[a:b].tolist(), strict=True):
-            s, e = max(s - begin, 0), min(e - begin, len(data))
-            own += [s, e]
-            left.append(data[done:s])
-            done = e
-        left.append(data[done:])
-        spans.append(own)
-        kept.append(b"".join(left))
-        begin += len(data)
-    return pa.table({"row": texts.column("row").take(pa.array(order)), "n_bytes": pa.array([len(texts_of[i]) for i in order], pa.int64()),
-                     "spans": pa.array(spans, pa.list_(pa.int64())), "kept": pa.array(kept, pa.binary())})
-
-
-def dealt(texts: DataFrame, blocks: int) -> DataFrame:
-    """``texts`` with a ``block``; rows equal in id and text are spread as well, as any block may hold rows of any id."""
-    return texts.withColumn("block", spread("id", F.xxhash64("text"), F.monotonically_increasing_id(), over=blocks))
+        gone = _removed(block, Replies(answers), digits)
+        spans, kept = [], []
+        for a, b, data in zip(block.begin.tolist(), block.end.tolist(), block.table.column("text").to_pylist(), strict=True):
+            spans.append(spans_of(gone[a:b]).tolist())
+            kept.append(data if split else _without(data, spans[-1]))
+        own = texts.select(["number", "piece", "row"]).take(block.order)
+        return pa.table([*own.columns, pa.array(block.sizes), pa.array(spans, pa.list_(pa.int64())), pa.array(kept, pa.binary())], names=_CUT)
+    return cut
+
+
+def _joined(table: pa.Table) -> pa.Table:
+    """The pieces of one document put together; a byte goes if either piece that has it removes it."""
+    order = np.argsort(np.asarray(table.column("piece"))).tolist()
+    parts, first, stop, size = [], [], [], 0
+    for k in order:
+        own = table.column("kept")[k].as_py()
+        shared = DEPTH - 1 if parts else 0
+        spans = np.array(table.column("spans")[k].as_py(), np.int64) + size - shared
+        first.append(spans[::2])
+        stop.append(spans[1::2])
+        parts.append(own[shared:])
+        size += len(own) - shared
+    spans = spans_of(covered(size, np.concatenate(first), np.concatenate(stop))).tolist()
+    return pa.table({"row": table.column("row").take(pa.array(order[:1])), "n_bytes": pa.array([size], pa.int64()),
+                     "spans": pa.array([spans], pa.list_(pa.int64())), "kept": pa.array([_without(b"".join(parts), spans)], pa.binary())})
+
+
+def _cuts(data: bytes, size: int) -> list[tuple[int, int]]:
+    """Begin and end of the pieces of a long text, which overlap by a window less one byte."""
+    size = max(size, 2 * DEPTH)
+    begin = range(0, max(1, len(data) - DEPTH + 1), size - DEPTH + 1)
+    return [(a, min(a + size, len(data))) for a in begin]
 
 
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
@@ -470,23 +236,18 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (start and stop of each removed run, in turn) and ``kept``, the remaining bytes.
     Ids are integers.
     """
-    size = total_bytes(docs, text_col)
-    blocks = power_of_two(max(64, size // BLOCK_BYTES))
-    digits = min(power_of_two(max(64, size // DIGIT_BYTES)), 1 << 31)
     carried = F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys([id_col, *keep])])
-    texts = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
-        carried.alias("row"))
-    texts = dealt(texts, blocks)
+    rows = docs.select(F.monotonically_increasing_id().alias("number"), F.col(f"`{id_col}`").cast("long").alias("id"),
+                       carried.alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"))
+    texts, digits = exchange.dealt(rows, total_bytes(docs, text_col), _cuts)
     by_block = texts.groupBy("block")
-    heads = by_block.applyInArrow(_send_heads(digits), _ENTRY).groupBy("part").applyInArrow(_judge_heads, _ENTRY)
-    stretches = by_block.cogroup(heads.groupBy("block")).applyInArrow(_send_stretches(digits), _ENTRY)
-    stretches = stretches.groupBy("part").applyInArrow(_judge_stretches, _ENTRY)
-    windows = by_block.cogroup(stretches.groupBy("block")).applyInArrow(_send_windows(digits), _ENTRY)
-    windows = windows.groupBy("part").applyInArrow(_judge_windows, _ENTRY)
-    out = T.StructType([texts.schema["row"], T.StructField("n_bytes", T.LongType()),
-                        T.StructField("spans", T.ArrayType(T.LongType())), T.StructField("kept", T.BinaryType())])
-    return by_block.cogroup(windows.groupBy("block")).applyInArrow(_cut, out)
+    answers = exchange.rounds(by_block, _send_heads(digits), [_send_stretches(digits), _send_windows(digits)]).groupBy("block")
+    result = T.StructType([texts.schema["row"], T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType())),
+                           T.StructField("kept", T.BinaryType())])
+    out = T.StructType([texts.schema["number"], texts.schema["piece"], *result.fields])
+    whole = by_block.cogroup(answers).applyInArrow(_cut(digits, False), out)
+    split = texts.where("pieces > 1").groupBy("block").cogroup(answers).applyInArrow(_cut(digits, True), out)
+    return whole.select(*result.names).unionByName(split.groupBy("number").applyInArrow(_joined, result))
 
 
 def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:

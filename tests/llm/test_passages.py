@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from lodestat.llm import passages
+from lodestat.llm import exchange, passages
 from lodestat.llm.queries import ORACLES, QUERIES
 
 W = passages.WINDOW
@@ -66,9 +66,9 @@ def test_equal_brute_force(spark):
 
 def test_small_blocks_and_pieces_give_the_same(spark, monkeypatch):
     docs = sample(2, 30) + EXTREMES
-    monkeypatch.setattr(passages, "BLOCK_BYTES", 200)
-    monkeypatch.setattr(passages, "DIGIT_BYTES", 100)
-    monkeypatch.setattr(passages, "PIECE_BYTES", 300)
+    monkeypatch.setattr(exchange, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(exchange, "DIGIT_BYTES", 100)
+    monkeypatch.setattr(exchange, "PIECE_BYTES", 300)
     assert run(frame(spark, docs)) == expected(docs)
 
 
@@ -93,7 +93,7 @@ def test_symbols_inside_a_passage_are_those_of_every_copy():
     seen = []
     for _ in range(6):
         before, after = rng.integers(0, 6, rng.integers(0, 30)), rng.integers(0, 6, rng.integers(0, 30))
-        words = passages._mixed(np.concatenate([before, passage, after]).astype(np.uint64))
+        words = exchange.mixed(np.concatenate([before, passage, after]).astype(np.uint64))
         n, at = len(words), np.arange(len(words))
         first = passages.Symbols(words, np.zeros(n, np.int64), np.array([0]), np.array([n]), at, at + 1)
         found = []

@@ -1,7 +1,11 @@
 import hashlib
 import random
 
-from lodestat.llm import repeats
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from lodestat.llm import exchange, repeats
 from lodestat.llm.queries import QUERIES
 
 DEPTH = 50
@@ -53,8 +57,11 @@ def test_small_blocks_give_the_same(spark, monkeypatch):
     shared = "".join(rng.choice("abcdef ") for _ in range(400))
     docs = [(i, shared[a:a + 150] + str(i) + shared[b:b + 90]) for i, (a, b) in enumerate((rng.randrange(250), rng.randrange(300)) for _ in range(80))]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    monkeypatch.setattr(repeats, "BLOCK_BYTES", 64)
-    monkeypatch.setattr(repeats, "DIGIT_BYTES", 16)
+    monkeypatch.setattr(exchange, "BLOCK_BYTES", 64)
+    monkeypatch.setattr(exchange, "DIGIT_BYTES", 16)
+    assert run(df) == sorted((i, len(t.encode()), *b) for (i, t), b in zip(docs, brute(docs), strict=True))
+    monkeypatch.setattr(exchange, "PIECE_BYTES", 100)
+    monkeypatch.setattr(repeats, "SLICE_BYTES", 37)
     assert run(df) == sorted((i, len(t.encode()), *b) for (i, t), b in zip(docs, brute(docs), strict=True))
 
 
@@ -94,8 +101,51 @@ def test_equal_rows_are_spread_over_the_blocks(spark):
     text = " ".join(f"word{i * i % 97}x{i}" for i in range(60))
     rows = [(1, text[:300])] + [(2, text)] * 500 + [(None, text)] * 500
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    numbers = repeats.dealt(docs.withColumnRenamed("doc_id", "id"), 64).groupBy("id").agg({"block": "approx_count_distinct"})
+    rows = docs.select(F.col("doc_id").alias("id"), "text", F.monotonically_increasing_id().alias("number"))
+    numbers = rows.select("id", exchange.block_of(F.lit(0), 64).alias("block")).groupBy("id").agg({"block": "approx_count_distinct"})
     assert all(r[1] > 40 for r in numbers.where("id = 2 OR id IS NULL").collect()) and numbers.count() == 3
     cut = repeats.cut_repeats(docs).groupBy("row.doc_id", "kept").count().collect()
     assert {(r["doc_id"], bytes(r["kept"]), r["count"]) for r in cut} == {
         (1, text[:300].encode(), 1), (2, text[300:].encode(), 500), (None, b"", 500)}
+
+
+def test_a_phrase_in_unlike_surroundings_is_dealt_out():
+    """Stretches go by their own hash: a head with a stretch of its own in every document fills no digit."""
+    phrase = "the very same phrase of about forty letters"
+    rows = [f"{i * 7919:020d}{phrase}{i * 104729:020d}" for i in range(400)]
+    table = pa.table({"number": np.arange(400), "id": np.arange(400), "text": [r.encode() for r in rows],
+                      "piece": np.zeros(400, np.int32), "block": np.zeros(400, np.int32)})
+    block = repeats.Block(table)
+    found = block.stretches()
+    _, _, keys, hung = repeats._shared(block, np.ones(len(found[0]), bool), found)
+    hot = np.bincount(hung.of).max()
+    assert hot == 400  # one head has a stretch in every document
+    sent = [b - a for _, a, b in keys.slices(64)]
+    assert len(sent) == 64 and max(sent) < 4 * sum(sent) / 64
+
+
+def test_a_long_text_needs_little_memory():
+    """Tens of bytes for each of a slice, about twenty for each of a block."""
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    text = rng.integers(97, 123, 4 << 20, dtype=np.uint8).tobytes()
+    table = pa.table({"number": [0], "id": [1], "text": [text], "piece": np.zeros(1, np.int32), "block": np.zeros(1, np.int32)})
+    tracemalloc.start()
+    block = repeats.Block(table)
+    first, last, _ = block.stretches()
+    block.spans(first, last + repeats.DEPTH)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(text)
+
+
+def test_a_text_of_tens_of_megabytes(spark):
+    line = " ".join(str(i * i % 999_983) for i in range(2_000_000))[: 12 << 20]
+    docs = spark.createDataFrame([(1, "x" * 60 + line[5 << 20: (5 << 20) + 1000]), (2, line)], "doc_id long, text string")
+    rows = {r["row"]["doc_id"]: r for r in repeats.cut_repeats(docs).collect()}
+    kept = bytes(rows[2]["kept"])
+    assert rows[2]["n_bytes"] == len(line) and len(kept) <= len(line) - 1000
+    spans = rows[2]["spans"]
+    inside = [(a, b) for a, b in zip(spans[::2], spans[1::2]) if a <= 5 << 20 < b]
+    assert inside and inside[0][1] >= (5 << 20) + 1000
