@@ -9,7 +9,8 @@ may be a name or not, so windows are hashed in both readings of each such word,
 
 An item that has no window of ``LITERAL`` literal words, as it is short or dense in numbers,
 is one window as a whole, whatever its literals; documents are read in windows of such
-lengths too.  Beyond ``WINDOW`` words these have two readings only, all words that begin
+lengths too.  Items of fewer than ``WHOLE`` words are not looked for, as their words meet by chance
+in any text; ``short_items`` lists them.  Beyond ``WINDOW`` words these have two readings only, all words that begin
 sentences as names and none.  If a whole window has no literal word, only equal values match.
 
 Matches on one diagonal (document position minus item position) are one occurrence.  Its
@@ -21,7 +22,7 @@ consistent windows cover enough of it.
 
 Null and empty texts have no windows.  Equal items are each reported.  A document row is known by id and text hash, so
 rows sharing an id are judged each by its text.  Empty tables give an empty result;
-further columns are ignored.
+further columns are ignored.  Very long texts are read in portions of windows; a text's words are held as numbers.
 """
 
 from __future__ import annotations
@@ -31,21 +32,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import power_of_two, rows_with
+from lodestat.operators.fitted import join_fitted
+from lodestat.session import materialize
 
 WINDOW = 8
 #: Words of a window that must not be placeholders.
 LITERAL = 4
+#: Words of an item that is one window as a whole, at least.
+WHOLE = 5
 #: Share of an item's windows, or number of them, that a document must show.
 COVERAGE = 0.4
 LONG_RUN = 12
-#: Windows of a text whose readings are made at a time.
+#: Windows whose readings are made at a time, and words of documents that are read at once.
 READ = 1 << 14
-#: Benchmark windows up to which documents are filtered by a bit map before the join, and the join is a broadcast.
+GROUP_WORDS = 1 << 15
+#: Benchmark windows in one bit map, by which documents are filtered before the join; more are taken in several parts.
+MARKED = 2_000_000
+#: Benchmark windows up to which the join is a broadcast.
 SMALL = 400_000
 
 # Units by dimension.
@@ -65,6 +74,9 @@ KNOWN = 300_000
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*%?")
 _GLUED = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_]+)")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_CLOSING = "\"')]»”’*#$%&|"
+_ENDS = (".", "!", "?", ":", ";")
 
 
 def _code(token: str) -> int:
@@ -102,8 +114,15 @@ class Lexicon(dict):
 
     @staticmethod
     def describe(word: str) -> tuple[int, int, int, bool, int]:
+        core = word.strip(_SIGNS)
+        if core.isalpha():  # the usual word needs no patterns
+            low = core.lower()
+            code = _code(low)
+            ends = not word[-1].isalpha() and word.rstrip(_CLOSING)[-1:] in _ENDS
+            name = len(core) > 1 and core[0].isupper() and core[1:].islower()
+            return code, code, 3 if name else 1, ends, _code(f"<{_DIMENSION[low]}>") if low in _DIMENSION else 0
         core = _EDGE.sub("", word)
-        ends = word.rstrip("\"')]»”’*#$%&|")[-1:] in (".", "!", "?", ":", ";")
+        ends = word.rstrip(_CLOSING)[-1:] in _ENDS
         low = core.lower()
         if not core:
             found = (0, 0, 0, ends, 0)
@@ -126,20 +145,30 @@ def canonical(text: str | None, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarra
 
 def readable(text: str | None, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes and slot values (0 for a literal) of the text's words, and which literals may be names, their code then the value."""
-    words = lexicon.rows((text or "").split())
+    return read_all([text], lexicon)[:3]
+
+
+def read_all(texts: list[str | None], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``readable``, one text after the other, and how many words each has."""
+    parts = [(text or "").split() for text in texts]
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    words = lexicon.rows([word for part in parts for word in part])
     code, value, unit = lexicon.codes[words].T.copy()
     kind, ends = lexicon.kinds[words].T
-    start = np.ones(len(code), bool)
-    start[1:] = ends[:-1] != 0
+    first = np.zeros(len(code) + 1, bool)
+    first[np.cumsum(sizes) - sizes] = True  # the place after the last word stands for empty texts at the end
+    start = first[:-1].copy()
+    start[1:] |= ends[:-1] != 0
     there = kind > 0
+    owner = np.repeat(np.arange(len(sizes)), sizes)[there]
     code, value, kind, unit, start = code[there], value[there], kind[there], unit[there], start[there]
     name = (kind == 3) & ~start
     code[name] = _NAME
     measured = np.zeros(len(code), bool)
-    measured[1:] = (kind[:-1] == 2) & (unit[1:] != 0)
+    measured[1:] = (kind[:-1] == 2) & (unit[1:] != 0) & (owner[1:] == owner[:-1])
     code[measured] = unit[measured]
     value[~(name | measured | (kind == 2) | (kind == 4))] = 0
-    return code, value, (kind == 3) & start & ~measured
+    return code, value, (kind == 3) & start & ~measured, np.bincount(owner, minlength=len(sizes))
 
 
 def _totals(code: np.ndarray, size: int, total: int = 0) -> np.ndarray:
@@ -194,16 +223,15 @@ def _readings(at: np.ndarray, total: np.ndarray, spare: np.ndarray, code: np.nda
     return places, totals, masks
 
 
-def all_readings(code: np.ndarray, value: np.ndarray, maybe: np.ndarray, size: int = 0) -> Iterator[tuple[np.ndarray, ...]]:
+def all_readings(code: np.ndarray, value: np.ndarray, maybe: np.ndarray, every: np.ndarray, size: int = 0) -> Iterator[tuple[np.ndarray, ...]]:
     """Places, hashes and words read as names (a bit each, or 1 for all) of windows in their readings, some windows at a time.
 
-    With a ``size``, the windows of so many words whatever their literals; else the usual ones.
+    The windows are those that begin at ``every``: with a ``size``, of so many words whatever their literals, else the usual ones.
     """
     long = size or WINDOW
-    if len(code) < long:
+    if not len(every):
         return
     totals = _totals(code, long, _code(f"<whole {size}>") if size else 0)
-    every = np.arange(len(totals)) if size else np.flatnonzero(_literals(value) >= LITERAL)
     spare = np.full(len(totals), long) if size else _literals(value) - LITERAL
     if long > WINDOW:
         named = np.where(maybe, np.uint64(_NAME), code)
@@ -233,52 +261,103 @@ def _slots(code: np.ndarray, value: np.ndarray, maybe: np.ndarray, place: np.nda
 _WINDOWS = "id {kind}, print long, at int, windows int, hash long, slots array<long>, named boolean, size int"
 
 
-def windows(rows: DataFrame, wanted: np.ndarray | None = None, bits: int = 0, sizes: tuple[int, ...] | None = None) -> DataFrame:
+def _usual(code: np.ndarray, value: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Begins of the windows that lie in one text (``end`` is that of each word's text) and have enough literal words."""
+    if len(code) < WINDOW:
+        return np.empty(0, np.int64)
+    return np.flatnonzero((_literals(value) >= LITERAL) & (np.arange(len(code) - WINDOW + 1) + WINDOW <= end[: len(code) - WINDOW + 1]))
+
+
+def _of_size(end: np.ndarray, size: int) -> np.ndarray:
+    """Begins of all windows of ``size`` words that lie in one text."""
+    return np.flatnonzero(np.arange(len(end)) + size <= end)
+
+
+def windows(rows: DataFrame, marks: bytes | None = None, sizes: tuple[int, ...] | None = None) -> DataFrame:
     """One row per window and reading of ``rows`` (``id``, ``text``); with a bit map, only windows whose hash is marked in it.
 
-    ``sizes``: also the windows of so many words, whatever their literals.  None: of a row without usual windows the whole text.
+    ``sizes``: also the windows of so many words, whatever their literals.  None: of a row without usual windows the whole
+    text, if it has ``WHOLE`` words.
     """
 
+    def group(ids: pa.Array, texts: list[str], lexicon: Lexicon) -> pa.RecordBatch | None:
+        code, value, maybe, many = read_all(texts, lexicon)
+        stop = np.cumsum(many)
+        owner = np.repeat(np.arange(len(many)), many)
+        end = stop[owner]
+        usual = _usual(code, value, end)
+        total = np.bincount(owner[usual], minlength=len(many))
+        asked = [(0, usual)]
+        if sizes is None:
+            alone = np.flatnonzero((total == 0) & (many >= WHOLE))
+            asked += [(n, (stop - many)[alone[many[alone] == n]]) for n in np.unique(many[alone]).tolist()]
+        else:
+            asked += [(n, _of_size(end, n)) for n in sizes]
+        columns, slots = [], []
+        for size, every in asked:
+            for place, found, mask in all_readings(code, value, maybe, every, size):
+                if marks is not None:
+                    keep = _marked(marks, found)
+                    place, found, mask = place[keep], found[keep], mask[keep]
+                if len(place):
+                    i = owner[place]
+                    columns.append((i, place - (stop - many)[i], total[i] if not size else np.ones(len(i), np.int64), found.view(np.int64), mask != 0,
+                                    np.full(len(i), size)))
+                    slots.append(_slots(code, value, maybe, place, mask, size or WINDOW))
+        if not columns:
+            return None
+        i, place, many, found, named, size = (np.concatenate(c) for c in zip(*columns, strict=True))
+        marked = {k: xxhash.xxh64_intdigest(texts[k].encode(), 42) for k in np.unique(i).tolist()}
+        mark = np.array([marked[k] for k in i.tolist()], np.uint64).view(np.int64)
+        ends = np.cumsum(np.concatenate([np.full(len(x), x.shape[1]) for x in slots]))
+        flat = np.concatenate([x.ravel() for x in slots]).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(i)), pa.array(mark), pa.array(place.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(found),
+             pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(flat)), pa.array(named),
+             pa.array(size.astype(np.int32))], ["id", "print", "at", "windows", "hash", "slots", "named", "size"])
+
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon()
-        marked = None
-        if wanted is not None:
-            marked = np.zeros(bits, bool)
-            marked[wanted] = True
         for batch in batches:
-            columns, slots = [], []
-            for i, text in enumerate(batch.column(1)):
-                text = text.as_py()
-                code, value, maybe = readable(text, lexicon)
-                total = int((_literals(value) >= LITERAL).sum()) if len(code) >= WINDOW else 0
-                whole = sizes if sizes is not None else () if total else (len(code),) if len(code) else ()
-                mark = None
-                for size in (*((0,) if total else ()), *whole):
-                    for place, found, mask in all_readings(code, value, maybe, size):
-                        if marked is not None:
-                            keep = marked[(found & np.uint64(bits - 1)).astype(np.int64)]
-                            place, found, mask = place[keep], found[keep], mask[keep]
-                        if not len(place):
-                            continue
-                        if mark is None:
-                            mark = np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).view(np.int64)
-                        many = len(place)
-                        columns.append((np.full(many, i), np.full(many, mark), place, np.full(many, 1 if size else total),
-                                        found.view(np.int64), mask != 0, np.full(many, size)))
-                        slots.append(_slots(code, value, maybe, place, mask, size or WINDOW))
-            if columns:
-                owner, mark, place, many, found, named, size = (pa.array(np.concatenate(c)) for c in zip(*columns, strict=True))
-                ends = np.cumsum(np.concatenate([np.full(len(x), x.shape[1]) for x in slots]))
-                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-                flat = np.concatenate([x.ravel() for x in slots]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(owner), mark, place.cast(pa.int32()), many.cast(pa.int32()), found,
-                     pa.ListArray.from_arrays(offsets, pa.array(flat)), named, size.cast(pa.int32())],
-                    ["id", "print", "at", "windows", "hash", "slots", "named", "size"])
+            size = pc.binary_length(batch.column(1)).to_numpy()
+            cut = np.flatnonzero(np.diff(np.cumsum(size) // (GROUP_WORDS * 6), prepend=-1))  # about six bytes a word
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), batch.num_rows], strict=True):
+                part = batch.slice(a, b - a)
+                found = group(part.column(0), part.column(1).to_pylist(), lexicon)
+                if found is not None:
+                    yield found
 
     return rows.mapInArrow(compute, _WINDOWS.format(kind=rows.schema["id"].dataType.simpleString()))
 
 
+def _marked(marks: bytes, found: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set in the map, whose length is a power of two."""
+    place = found & np.uint64(len(marks) * 8 - 1)
+    return (np.frombuffer(marks, np.uint8)[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _bit_map(hashes: np.ndarray) -> bytes:
+    bits = power_of_two(max(1 << 20, 32 * len(hashes)))
+    marks = np.zeros(bits // 8, np.uint8)
+    place = hashes.view(np.uint64) & np.uint64(bits - 1)
+    np.bitwise_or.at(marks, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+    return marks.tobytes()
+
+
+def short_items(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """``item_id`` and ``words`` of the items that are not looked for: null, or of fewer than ``WHOLE`` words without a usual window."""
+    rows = rows_with(benchmark, id=item_col, text=item_text)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon()
+        for batch in batches:
+            many = read_all(batch.column(1).to_pylist(), lexicon)[3]
+            at = pa.array(np.flatnonzero(many < WHOLE))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), pa.array(many).take(at)], ["item_id", "words"])
+
+    return rows.mapInArrow(judge, f"item_id {rows.schema['id'].dataType.simpleString()}, words long")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text: str = "text") -> DataFrame:
     """One row per document and leaked item: ``doc_id``, ``print`` (XXH64 of the text), ``item_id``, ``matched`` windows,
@@ -287,18 +366,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         F.col("id").alias("item_id"), F.col("print").alias("item_print"), F.col("at").alias("item_at"),
         F.col("windows").alias("item_windows"), F.col("hash").alias("item_hash"), F.col("slots").alias("item_slots"), "size",
         F.col("named").alias("item_named"), F.expr("size > 0 AND forall(slots, x -> x != 0)").alias("exact"))
+    items = materialize(items, "items")
     size = items.count()
     sizes = tuple(sorted(r["size"] for r in items.where("size > 0").select("size").distinct().collect()))  # lengths of whole items
-    items = items.drop("size")
     rows = rows_with(docs, id=id_col, text=text_col).where("text IS NOT NULL")
-    if size <= SMALL:  # checked, so the marks and the broadcast are bounded
-        bits = power_of_two(max(1 << 20, 32 * size))
-        marks = items.select(F.expr(f"item_hash & {bits - 1}L").alias("m")).distinct().collect()
-        found = windows(rows, np.array([m["m"] for m in marks], np.int64), bits, sizes)
-        items = F.broadcast(items)
-    else:
-        found = windows(rows, sizes=sizes)
-    hits = found.join(items, F.col("hash") == F.col("item_hash"))
+    found = None
+    parts = max(1, -(-size // MARKED))
+    for part in range(parts):  # each reads the documents; one part holds every usual benchmark
+        hashes = items.where(F.pmod(F.xxhash64("item_hash"), F.lit(parts)) == part).select("item_hash").distinct().toArrow()
+        own = windows(rows, _bit_map(hashes.column(0).to_numpy()), sizes)
+        found = own if found is None else found.unionByName(own)
+    if parts > 1:
+        found = found.distinct()  # a window may be marked by chance in several parts
+    found = found.drop("size")
+    items = items.drop("size")
+    hits = found.join(F.broadcast(items) if size <= SMALL else items, F.col("hash") == F.col("item_hash"))
     # Slots of the window as (item's value, document's value), for placeholders only.
     pairs = F.expr("filter(arrays_zip(item_slots, slots), x -> x.item_slots != 0)")
     hits = hits.select("id", "print", "item_id", "item_print", "item_windows", "item_at", "at", (F.col("at") - F.col("item_at")).alias("diagonal"),
@@ -338,4 +420,5 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """``docs`` without the rows into which an item leaks."""
     bad = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__of"), F.col("print").alias("__print")).distinct()
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("__of")) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col("__print"))
-    return docs.join(bad, same, "left_anti")
+    # The leaks are broadcast once their number and size are checked; a larger table is joined by shuffle.
+    return join_fitted(docs, bad, same, "left_anti")

@@ -92,8 +92,8 @@ def test_edges(spark, edge_docs, no_docs):
 
 def test_items_without_a_window_are_found_whole(spark):
     dense, short = "Compute 12 + 7 * 3 - 4 / 2 and 9 * 8", "What is 12 plus 7?"
-    texts = ["so: " + dense, "Compute 5 + 6 * 1 - 2 / 3 and 4 * 7 now", "He asked. What is 3 plus 9? Nobody knew.", "compute 12 or not and so on", "all of 1 2 3 4", "as 1 2 3 5 4"]
-    docs, items = tables(spark, texts, [dense, short, "1 2 3 4"])
+    texts = ["so: " + dense, "Compute 5 + 6 * 1 - 2 / 3 and 4 * 7 now", "He asked. What is 3 plus 9? Nobody knew.", "compute 12 or not and so on", "all of 1 2 3 4 9", "as 1 2 3 5 4 9"]
+    docs, items = tables(spark, texts, [dense, short, "1 2 3 4 9"])
     found = {(r["doc_id"], r["item_id"]): r["changed"] for r in decontaminate.leaks(docs, items).collect()}
     assert {k: v > 0 for k, v in found.items()} == {(0, 0): False, (1, 0): True, (2, 1): True, (4, 2): False}
 
@@ -106,3 +106,28 @@ def test_names_that_begin_sentences_may_be_changed(spark):
     docs, items = tables(spark, [item, renamed, mixed, item.upper(), broken], [item])
     found = {r["doc_id"]: (r["coverage"], r["changed"]) for r in decontaminate.leaks(docs, items).collect()}
     assert set(found) == {0, 1, 2, 3} and found[0] == (1.0, 0) and found[1][0] > 0.8 and found[1][1] == 2 and found[3][1] == 0
+
+
+def test_items_of_a_few_words_leak_into_nothing(spark):
+    texts = ["Nobody said yes to it", "and that is all, he said", "Yes", "12", "a b c d"]
+    docs, items = tables(spark, texts, ["Yes", "That is all", "12", "a b c d", "", QUESTION])
+    assert decontaminate.leaks(docs, items).count() == 0 and decontaminate.remove_leaks(docs, items).count() == 5
+    assert {(r["item_id"], r["words"]) for r in decontaminate.short_items(items).collect()} == {(0, 1), (1, 3), (2, 1), (3, 4), (4, 0)}
+
+
+def test_groups_of_texts_give_the_same(spark, monkeypatch):
+    texts = [CHANGED, "x", None, QUESTION, "", "What is 3 plus 9?", CHANGED + " " + QUESTION, "2 kg", "Kg"]
+    docs, items = tables(spark, texts, [QUESTION, "What is 12 plus 7?"])
+    whole = sorted(map(tuple, decontaminate.leaks(docs.coalesce(1), items).collect()))
+    monkeypatch.setattr(decontaminate, "GROUP_WORDS", 1)
+    monkeypatch.setattr(decontaminate, "MARKED", 3)
+    assert sorted(map(tuple, decontaminate.leaks(docs, items).collect())) == whole and len(whole) == 4
+
+
+def test_usual_words_are_described_as_by_the_patterns(monkeypatch):
+    words = ["word", "Word.", "'Name'", "ÉTÉ,", "x", "X!", "km", "(Km)", "end?\"", "été:", "_a_", "don't", "ab1", "#tag", "a-b", "Straße;", "\u0301a", "Don\u2019t", "a\u2019"]
+    quick = [decontaminate.Lexicon.describe(w) for w in words]
+    monkeypatch.setattr(decontaminate, "_SIGNS", "\x00")
+    slow = [decontaminate.Lexicon.describe(w if not w.isalpha() else "\x00" + w) for w in words]
+    assert [q[:3] + q[4:] for q in quick] == [q[:3] + q[4:] for q in slow]
+    assert [q[3] for q, w in zip(quick, words, strict=True)] == [s[3] for s in slow]
