@@ -7,15 +7,17 @@ network is trained in numpy by backpropagation through time.
 
 Training takes a bounded sample of labelled documents on the driver: for each language
 ``PER_LANGUAGE`` documents, the smallest by a hash of id and text, of each ``TRAIN_BYTES`` bytes
-from several places.  The number of languages is that of the distinct labels.
+from places all over the text.  The number of languages is that of the distinct labels.
 
-Prediction reads whole texts.  They are laid end to end in lanes of ``LANE`` bytes, each
-lane with a margin of its neighbours' bytes to warm the states up, and thousands of lanes
-are stepped together; gates are piecewise linear, so that a step is a few matrix and
-vector operations.
+Prediction reads whole texts.  A text is cut into lanes of ``LANE`` bytes, each with a margin of
+the same text's bytes to warm the states up, and thousands of lanes are stepped together; gates
+are piecewise linear, so that a step is a few matrix and vector operations.  Where a lane's
+text has not begun yet the state is held at zero, so a text is read alike among any others.
 
-A null text, or one without a letter, is ``und`` with score 0.  Repeated rows are
-predicted alike; further columns are ignored; without labelled documents everything is ``und``.
+A null text, or one without a letter, is ``und`` with score 0.  Scores are rounded to
+``DIGITS`` digits, within which sums in another order agree; of equal probabilities the
+first language counts.  Repeated rows are predicted alike.  Very long texts are more lanes, stepped
+some at a time.  Further columns are ignored; without labelled documents everything is ``und``.
 """
 
 from __future__ import annotations
@@ -25,15 +27,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestat.llm.common import in_blocks, rows_with
 
 PER_LANGUAGE = 400
 TRAIN_BYTES = 1024
-#: Places in a text, from its begin, that training may use (prediction reads all of it).
-TRAIN_CHARS = 8_000
+#: Training takes so many passages of so many characters from all over a longer text.
+PASSAGES = 16
+PASSAGE_CHARS = 256
 #: Documents are chosen by a hash into so many turns, with this many times as many candidates as are wanted.
 TURNS = 1 << 40
 SPARE = 2
@@ -44,6 +47,10 @@ BATCH = 192
 RATE = 0.02
 LANE = 256
 MARGIN = 16
+#: Stands for "no byte"; lanes stepped together.
+NOTHING = 256
+LANES = 2048
+DIGITS = 5
 #: Bytes predicted at a time.
 BATCH_BYTES = 2 << 20
 UNKNOWN = "und"
@@ -65,6 +72,12 @@ class Direction:
         self.state = (rng.normal(0, 0.5, (hidden, 2 * hidden)) / np.sqrt(hidden)).astype(np.float32)
         self.input[:, :hidden] += 0.5  # gates start open for memory
 
+    def held(self) -> np.ndarray:
+        """The input vectors with one more that holds a zero state at zero: a shut gate and no candidate."""
+        none = np.zeros((1, self.input.shape[1]), self.input.dtype)
+        none[0, : none.shape[1] // 2] = -100
+        return np.concatenate([self.input, none])
+
 
 class Network:
     def __init__(self, languages: list[str], seed: int = 5, hidden: int = HIDDEN) -> None:
@@ -86,8 +99,9 @@ class Network:
         states = np.empty((steps, lanes, n), np.float32)
         h = np.zeros((lanes, n), np.float32)
         kept = []
+        table = unit.input if keep else unit.held()
         for t in range(steps):
-            raw = unit.input[data[t]]
+            raw = table[data[t]]
             raw += h @ unit.state
             z, c = raw[:, :n], raw[:, n:]
             if keep:
@@ -162,20 +176,33 @@ class Network:
                 w -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-6)).astype(np.float32)
         return loss
 
-    def position_probabilities(self, data: np.ndarray) -> np.ndarray:
-        """Language probabilities at every byte of ``data``."""
-        total = len(data)
-        lanes = -(-total // LANE)
-        padded = np.full(lanes * LANE + 2 * MARGIN, 32, np.uint8)
-        padded[MARGIN: MARGIN + total] = data
-        wide = np.lib.stride_tricks.sliding_window_view(padded, LANE + 2 * MARGIN)[::LANE].T
-        out = np.empty((LANE, lanes, len(self.languages)), np.float32)
-        for a in range(0, lanes, 2048):
-            part = np.ascontiguousarray(wide[:, a: a + 2048])
-            ahead = self._walk(self.ahead, part[: LANE + MARGIN], False)[0][MARGIN:]
-            back = self._walk(self.back, part[MARGIN:][::-1], False)[0][::-1][:LANE]
-            out[:, a: a + 2048] = self.probabilities(part, ahead, back)
-        return out.transpose(1, 0, 2).reshape(-1, len(self.languages))[:total]
+    def pooled(self, parts: list[bytes]) -> np.ndarray:
+        """Mean language probabilities at the letters of each text."""
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        lanes = -(-sizes // LANE)
+        room = lanes * LANE + 2 * MARGIN
+        begin = np.cumsum(room) - room
+        data = np.full(int(room.sum()), NOTHING, np.uint16)
+        inside = np.arange(int(sizes.sum())) + np.repeat(begin + MARGIN - (np.cumsum(sizes) - sizes), sizes)
+        data[inside] = np.frombuffer(b"".join(parts), np.uint8)
+        owner = np.repeat(np.arange(len(parts)), lanes)
+        turn = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        start = begin[owner] + turn * LANE
+        used = np.minimum(LANE, sizes[owner] - turn * LANE)
+        sums, letters = np.zeros((len(owner), len(self.languages))), np.zeros(len(owner))
+        order = np.argsort(-used, kind="stable")  # lanes of one length together, so that few steps are idle
+        for at in range(0, len(order), LANES):
+            own = order[at: at + LANES]
+            steps = int(used[own[0]])
+            part = data[start[own] + np.arange(steps + 2 * MARGIN)[:, None]]
+            ahead = self._walk(self.ahead, part[: steps + MARGIN], False)[0][MARGIN:]
+            back = self._walk(self.back, part[MARGIN:][::-1], False)[0][::-1][:steps]
+            core = part[MARGIN: MARGIN + steps]
+            letter = ((core >= 128) & (core < NOTHING)) | ((core >= 97) & (core <= 122))
+            sums[own] = np.einsum("slk,sl->lk", self.probabilities(core, ahead, back), letter.astype(np.float32))
+            letters[own] = letter.sum(axis=0)
+        first = np.cumsum(lanes) - lanes
+        return np.add.reduceat(sums, first, axis=0) / np.maximum(np.add.reduceat(letters, first), 1)[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and probability of each text."""
@@ -184,12 +211,7 @@ class Network:
         chosen = [i for i, k in enumerate(known) if k]
         if not chosen or not self.languages:
             return names, scores
-        parts = [b" " + texts[i].lower().encode("utf-8", "replace") + b" " for i in chosen]
-        data = np.frombuffer(b"".join(parts), np.uint8)
-        p = self.position_probabilities(data)
-        letter = (data >= 128) | ((data >= 97) & (data <= 122))
-        begin = np.cumsum([0, *map(len, parts)])[:-1]
-        mean = np.add.reduceat(p * letter[:, None], begin, axis=0) / np.maximum(np.add.reduceat(letter, begin, dtype=np.int64), 1)[:, None]
+        mean = self.pooled([b" " + texts[i].lower().encode("utf-8", "replace") + b" " for i in chosen]).round(DIGITS)
         best = mean.argmax(axis=1)
         for row, i in enumerate(chosen):
             names[i] = self.languages[best[row]]
@@ -219,6 +241,14 @@ def train(rows: list[tuple[str, str]], updates: int = UPDATES) -> Network:
     return network
 
 
+def passages(text: str) -> Column:
+    """The text, or of a longer one passages from all over it, the first and the last included."""
+    size = F.length(text)
+    at = F.transform(F.sequence(F.lit(0), F.lit(PASSAGES - 1)), lambda i: F.substring(
+        text, 1 + F.floor(i * (size - PASSAGE_CHARS) / (PASSAGES - 1)).cast("int"), F.lit(PASSAGE_CHARS)))
+    return F.when(size <= PASSAGES * PASSAGE_CHARS, F.col(text)).otherwise(F.array_join(at, " "))
+
+
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
     """At most ``PER_LANGUAGE`` texts with letters of each language, chosen by a hash of id and text."""
     rows = rows_with(docs, id=id_col, text=text_col, lang=lang_col).where(
@@ -231,7 +261,7 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     limit = F.lit(0)
     for lang, n in sizes.items():
         limit = F.when(F.col("lang") == lang, F.lit(min(TURNS, TURNS * SPARE * PER_LANGUAGE // n + 1))).otherwise(limit)
-    part = rows.where(turn < limit).select("lang", turn.alias("turn"), "key", F.substring("text", 1, TRAIN_CHARS).alias("text"))
+    part = rows.where(turn < limit).select("lang", turn.alias("turn"), "key", passages("text").alias("text"))
     part = part.groupBy("lang", "turn", "key").agg(F.min("text").alias("text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "key"))
     found = part.withColumn("place", place).where(F.col("place") <= PER_LANGUAGE).collect()

@@ -51,12 +51,36 @@ def test_learns_and_pools_whole_texts():
 
 def test_lanes_do_not_matter(monkeypatch):
     network = small()
-    text = " ".join(t for _, t in corpus(4, 20)).encode()
-    data = np.frombuffer(text, np.uint8)
-    whole = network.position_probabilities(data)
-    assert whole.shape == (len(data), 3) and np.allclose(whole.sum(axis=1), 1, atol=1e-4)
+    texts = [t for _, t in corpus(4, 20)] + [" ".join(t for _, t in corpus(5, 4))]
+    names, scores = network.predict(texts)
+    monkeypatch.setattr(langid, "LANES", 3)
+    assert network.predict(texts)[0] == names and np.allclose(network.predict(texts)[1], scores, atol=2e-5)
     monkeypatch.setattr(langid, "LANE", 1024)
-    assert (whole.argmax(axis=1) == network.position_probabilities(data).argmax(axis=1)).mean() > 0.97
+    longer = network.predict(texts)
+    assert np.mean([a == b for a, b in zip(names, longer[0], strict=True)]) > 0.97 and np.abs(longer[1] - scores).max() < 0.05
+
+
+def test_any_text_among_any_neighbours_is_read_as_alone():
+    network = small()
+    rng = random.Random(7)
+    for words in (1, 5, 20, 50, 300):
+        for lang, parts in PARTS.items():
+            text = " ".join("".join(rng.choice(parts) for _ in range(2)) for _ in range(words))
+            alone = network.predict([text])
+            for other in PARTS.values():
+                near = " ".join("".join(rng.choice(other) for _ in range(2)) for _ in range(rng.randint(1, 200)))
+                names, scores = network.predict([near, text, near, None, text])
+                assert names[1] == names[4] == alone[0][0] and np.allclose([scores[1], scores[4]], alone[1][0], atol=1.1e-5)
+
+
+def test_training_reads_all_over_a_long_text(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PASSAGE_CHARS", 4)
+    text = "".join(f"{i:03d}-" for i in range(100))
+    (row,) = spark.createDataFrame([(text,)], "text string").select(langid.passages("text").alias("t")).collect()
+    found = row["t"].split(" ")
+    assert len(found) == 16 and found[0] == "000-" and found[-1] == "099-" and all(f in text for f in found)
+    (row,) = spark.createDataFrame([("short",)], "text string").select(langid.passages("text").alias("t")).collect()
+    assert row["t"] == "short"
 
 
 def test_unknown():
