@@ -31,7 +31,7 @@ NO_ID = 2**63 - 1
 #: Kinds of rows: is a name in several documents?  has a smaller document this stretch or window?  has a symbol several stretches?
 NAMES, STRETCHES, ANCHORS, WINDOWS, STATE = range(5)
 _ENTRY = "part int, block int, kind int, a binary, b binary, c binary"
-_LOW = 12  # bits of the lower table of powers
+_LOW = 14  # bits of the lower table of powers
 
 
 # --- hashes ---------------------------------------------------------------------------------------------------
@@ -81,6 +81,15 @@ class SpanHash:
     def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mixed((self.sums[stop] - self.sums[start]) * self.scale(start) + (stop - start).astype(np.uint64))
 
+    def all(self, length: int) -> np.ndarray:
+        """Of every span of ``length`` values."""
+        n = max(0, len(self.sums) - length)
+        found = self.sums[length:] - self.sums[:n]
+        for at, powers in self.scale.first(n):
+            found[at: at + len(powers)] *= powers
+        found += np.uint64(length)
+        return mixed(found)
+
 
 # --- packed arrays --------------------------------------------------------------------------------------------
 

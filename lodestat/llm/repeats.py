@@ -77,9 +77,7 @@ class Block(Layout):
         found = []
         for a in range(0, max(0, self.n - DEPTH + 1), SLICE_BYTES):
             b = min(a + SLICE_BYTES, self.n - DEPTH + 1)  # windows from a to b
-            hashes = SpanHash(self.data[a: b + DEPTH - 1], base, _byte_values(8))
-            place = np.arange(b - a + DEPTH - HEAD)
-            exact = hashes(place, place + HEAD)
+            exact = SpanHash(self.data[a: b + DEPTH - 1], base, _byte_values(8)).all(HEAD)
             low, wide, have = exact & ~np.uint64(63), DEPTH - HEAD + 1, 1
             while have * 2 <= wide:  # least hash, with its offset in the low bits, of 1, 2, 4, ... substrings
                 low = np.minimum(low[:-have], low[have:] + np.uint64(have))
@@ -89,7 +87,8 @@ class Block(Layout):
             window = np.arange(b - a)
             at = window + (low & np.uint64(63)).astype(np.int64)
             # Only windows that lie in one document; a stretch ends with its document.
-            owner = np.searchsorted(self.end, window + a, side="right")
+            near = np.arange(np.searchsorted(self.end, a, side="right"), np.searchsorted(self.end, b - 1, side="right") + 1)
+            owner = np.repeat(near, np.minimum(self.end[near], b) - np.maximum(self.begin[near], a))
             window = np.flatnonzero(window + a + DEPTH <= self.end[owner])
             if not len(window):
                 continue
