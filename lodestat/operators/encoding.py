@@ -16,10 +16,14 @@ from lodestat.functions.text import strip
 from lodestat.operators.counts import value_counts, value_text
 from lodestat.operators.fitted import join_fitted, quoted, settle
 from lodestat.operators.ranking import SortKey, global_rank
+from lodestat.operators.wide import Sketch, dense_rows, sparse_rows
+from lodestat.session import materialize
 
 
 # Unknown labels an error message spells out; it always says how many there are.
 SHOWN_LABELS = 1000
+# Columns up to which components are taken from the whole covariance matrix.
+DENSE_WIDTH = 256
 # Categories of a column that may become columns, vector slots or model labels; larger sets of labels go by ``label_map``.
 CATEGORY_LIMIT = 10_000
 
@@ -139,16 +143,21 @@ class Components:
 
 
 def fit_components(df: DataFrame, vector: Column, names: Sequence[str], k: int) -> Components:
-    """Fit on an array column of doubles.
+    """Fit on an array column of doubles, all of one length.
 
-    The covariance is summed in the executors; only the matrix (columns squared)
-    reaches the driver.
+    Up to ``DENSE_WIDTH`` columns the covariance is summed in the executors and taken apart on
+    the driver (columns squared, then cubed); wider rows go through the randomised search,
+    of which the driver holds ``k`` columns and a few more.
     """
     width = len(names)
     k = min(k, width)
+    if width > DENSE_WIDTH:
+        return _searched(dense_rows(df, vector, width), names, k)
     frame = df.select(vector.alias("v")).filter(F.col("v").isNotNull())
-    means_row = frame.select(*[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(width)]).first()
-    means = [float(m) for m in means_row]
+    means_row = frame.select(F.count_if(F.size("v") != width).alias("wrong"), *[F.avg(F.get("v", F.lit(i))).alias(f"m{i}") for i in range(width)]).first()
+    if means_row["wrong"]:
+        raise ValueError(f"{means_row['wrong']} vectors have another length than {width}")
+    means = [float(means_row[f"m{i}"]) for i in range(width)]
     model: PCAModel = PCA(k=k, inputCol="x", outputCol="y").fit(frame.select(array_to_vector("v").alias("x")))
     matrix = model.pc.toArray()
     loadings = []
@@ -159,6 +168,21 @@ def fit_components(df: DataFrame, vector: Column, names: Sequence[str], k: int)
     return Components(list(names), means, loadings, [float(x) for x in model.explainedVariance.toArray()])
 
 
+def _searched(rows: DataFrame, names: Sequence[str], k: int) -> Components:
+    mean, directions, shares = Sketch(materialize(rows, "sparse"), len(names), k).fit()
+    return Components(list(names), mean.tolist(), [directions[:, j].tolist() for j in range(directions.shape[1])], shares.tolist())
+
+
+def fit_sparse_components(df: DataFrame, scaler: Scaler, numeric: Sequence[str], categories: dict[str, list[str]], k: int) -> Components:
+    """Components of scaled numbers and one-hot flags without making the flags' columns: a row is its few set places."""
+    flags, at = [], len(numeric)
+    for name, values in categories.items():
+        flags.append((value_text(name, df.schema[name].dataType), values, at))
+        at += len(values)
+    names = [*numeric, *[f"{c}_{v}" for c, values in categories.items() for v in values]]
+    return _searched(sparse_rows(df, [scaler.column(df, c) for c in numeric], flags), names, min(k, len(names)))
+
+
 # ---------------------------------------------------------------- feature tables
 def preprocess_advanced(
     df: DataFrame,
@@ -181,7 +205,10 @@ def preprocess_advanced(
         return matrix
     names = [c for c in matrix.columns if c not in keep]
     vector = F.array(*[quoted(c).cast("double") for c in names])
-    components = fit_components(matrix, vector, names, n_components)
+    if len(names) > DENSE_WIDTH:
+        components = fit_sparse_components(df, scaler, numeric, categories, n_components)
+    else:
+        components = fit_components(matrix, vector, names, n_components)
     return matrix.select("*", *components.columns())
 
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestat.functions.numbers import present
-from lodestat.operators.counts import value_counts
-from lodestat.operators.fitted import quoted
+from lodestat.operators.counts import LONG_TEXT, long_values
+from lodestat.operators.fitted import join_fitted, quoted, settle
 from lodestat.operators.ranking import exact_quantiles
 from lodestat.operators.typing import CATEGORY_MAX, Roles, split_num_cat
 
@@ -29,27 +29,46 @@ def fit_medians(df: DataFrame, columns: Sequence[str], accuracy: int | None = No
     return {c: row[f"m{i}"] for i, c in enumerate(columns)}
 
 
+# Counters of a column in the first pass over its values.
+MODE_BUCKETS = 1 << 16
+
+
 def fit_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, object]:
     """Most frequent value per column, the smallest one on ties.
 
-    Starts from grouped counts, so a free-text column never builds its value map
-    in one task.  A column without any value has no mode and is an error.
+    Values are dealt into ``MODE_BUCKETS`` counters by hash: a counter is an upper bound for
+    each of its values.  The best value of the fullest counter is counted exactly, and only
+    counters that reach that count can hold a better one; the values of these are counted, long
+    texts by digest, and of the values that tie the smallest is looked up.  So what is
+    shuffled depends neither on the texts' length nor, where a value stands out, on
+    how many other values there are.  A column without any value has no mode and is an error.
     """
     if not columns:
         return {}
     types = {f.name: f.dataType for f in df.schema.fields}
-    # Numbers tie-break by value, texts by code point: keep both orders.
+    cells = long_values(df, columns, digest=True).filter(F.col("value").isNotNull())
+    cells = cells.withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(MODE_BUCKETS)).cast("int"))
+    buckets, _ = settle(cells.groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("most")), "buckets", MODE_BUCKETS)
+
+    def counted(within: DataFrame) -> DataFrame:
+        return join_fitted(cells, within, ["column", "bucket"], "left_semi").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    fullest = buckets.groupBy("column").agg(F.max_by("bucket", F.struct("most", "bucket")).alias("bucket"))
+    floor = counted(fullest).groupBy("column").agg(F.max("n").alias("floor"))
+    chosen = buckets.join(floor, "column").filter(F.col("most") >= F.col("floor")).select("column", "bucket")
+    counts = counted(settle(chosen, "chosen", MODE_BUCKETS)[0])
+    best = counts.groupBy("column").agg(F.max("n").alias("best"))
+    ties = counts.join(best, "column").filter(F.col("n") == F.col("best")).select("column", "value")
+    # Numbers tie-break by value, texts by code point; a digest stands for its text only here.
+    texts = long_values(df, columns)
+    known = F.when(F.length("value") > LONG_TEXT, F.concat(F.lit("sha256:"), F.sha2("value", 256))).otherwise(F.col("value"))
+    is_text = F.col("column").isin(*[c for c in columns if isinstance(types[c], T.StringType)])
+    texts = texts.filter(F.col("value").isNotNull()).select("column", F.when(is_text, known).otherwise(F.col("value")).alias("known"), "value")
     numeric = [c for c in columns if isinstance(types[c], T.NumericType)]
-    rows = (
-        value_counts(df, columns)
-        .filter(F.col("value").isNotNull())
-        .withColumn("size", F.when(F.col("column").isin(*numeric), F.col("value").try_cast("double")) if numeric
-                    else F.lit(None).cast("double"))
-        .groupBy("column")
-        .agg(F.min_by("value", F.struct(-F.col("n"), "size", "value")).alias("mode"))
-        .collect()
-    )
-    modes = {r["column"]: r["mode"] for r in rows}
+    size = F.when(F.col("column").isin(*numeric), F.col("value").try_cast("double")) if numeric else F.lit(None).cast("double")
+    tied = join_fitted(texts, ties.withColumnRenamed("value", "known"), ["column", "known"], "left_semi")
+    rows = tied.withColumn("size", size).groupBy("column").agg(F.min(F.struct("size", "value")).alias("mode")).collect()  # one row per column
+    modes = {r["column"]: r["mode"]["value"] for r in rows}
     empty = [c for c in columns if c not in modes]
     if empty:
         raise ValueError(f"columns without any value have no mode: {empty}")

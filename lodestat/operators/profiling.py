@@ -15,6 +15,7 @@ from lodestat.operators.counts import position_of, value_counts, value_text
 from lodestat.operators.fitted import quoted
 from lodestat.operators.ranking import exact_quantiles
 from lodestat.operators.typing import Roles, small_cardinalities, small_value_counts, split_num_cat
+from lodestat.operators.wide import correlations
 
 # Names taken as the target, in order of preference.
 TARGET_NAMES = ("Performance", "performance", "target", "label", "Target", "Label")
@@ -322,15 +323,25 @@ def numeric_notes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _fold(df.agg(*stats), entries, ["n", "mean", "sd", "skew", "shape"])
 
 
+#: Columns up to which every pair is an aggregate of its own.
+PAIRED_COLUMNS = 40
+
+
 def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(i, j, column_a, column_b, r)`` for every pair ``i < j``; missing values drop pairwise.
 
     A first pass finds means and gaps.  Pairs of complete columns then need one
-    sum of centred products each, which stays small generated code however many
-    pairs there are; pairs with gaps use the correlation aggregate.  A constant
-    column has no correlation.  Fewer than two columns give no rows.
+    sum of centred products each, which stays small generated code; pairs with gaps
+    use the correlation aggregate.  Beyond ``PAIRED_COLUMNS`` columns that would be
+    thousands of aggregates: blocks of columns are multiplied instead, in a plan of a
+    few steps.  A constant column has no correlation.  Fewer than two columns give no rows.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
+    if len(names) > PAIRED_COLUMNS:
+        values = df.select(*[_value(df, c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+        shown = F.array(*[F.lit(c) for c in names])
+        return correlations(values).select(
+            "i", "j", F.get(shown, F.col("i")).alias("column_a"), F.get(shown, F.col("j")).alias("column_b"), "r")
     pairs = list(combinations(range(len(names)), 2))
     schema = "i int, j int, column_a string, column_b string, r double"
     if not pairs:

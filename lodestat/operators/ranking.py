@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from lodestat.functions.numbers import present
 from lodestat.operators.fitted import PIN_ROWS, join_fitted, pin, quoted, settle
 from lodestat.session import materialize
 
+
 @dataclass(frozen=True)
 class SortKey:
     name: str
@@ -165,7 +168,8 @@ def _holding(counted: DataFrame, wanted: DataFrame) -> DataFrame:
 
 # A rank interval holding at most this many rows is finished by counting its values.
 FINISH_ROWS = 200_000
-_ACCURACY = 10_000
+# Bits of a value that one pass over the rows decides.
+DIGIT = 16
 
 
 def exact_quantiles(
@@ -173,15 +177,18 @@ def exact_quantiles(
 ) -> dict[str, dict[float, float | None]]:
     """Exact interpolated quantiles of several columns.
 
-    A single exact percentile aggregate keeps every distinct value of the table
-    in one task.  Here each pass brackets the wanted ranks between two sketch
-    quantiles with a guaranteed rank error, counts the rows below the bracket,
-    and repeats inside it until few rows are left; those are counted by value.
+    A single exact percentile aggregate keeps every distinct value of the table in one
+    task.  Here a value is a 64-bit key in its order, and a pass counts the next
+    ``DIGIT`` bits of all keys that still share a wanted rank's leading bits, for all
+    columns and ranks together; after at most four passes the key is known.  A rank with
+    few rows left is finished by counting their values.  Where passes are needed, the
+    columns are written once, so that the source is read twice in all.
     """
     if not columns:
         return {}
     types = {f.name: f.dataType for f in df.schema.fields}
-    values = {c: present(c, types[c]).cast("double") for c in columns}
+    # -0.0 and 0.0 are one value.
+    values = {c: present(c, types[c]).cast("double") + F.lit(0.0) for c in columns}
     counts = df.agg(*[F.count(values[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     out: dict[str, dict[float, float | None]] = {c: dict.fromkeys(probabilities) for c in columns}
     wanted: dict[tuple[str, int, int], _Bracket] = {}
@@ -192,12 +199,12 @@ def exact_quantiles(
             at = p * (n - 1)
             places[(c, p)] = (c, math.floor(at), math.ceil(at)), at - math.floor(at)
             wanted[places[(c, p)][0]] = _Bracket(None, None, 0, n)
-    while True:
-        wide = {k: b for k, b in wanted.items() if b.rows > finish_rows and (b.low is None or b.low != b.high)}
-        if not wide:
-            break
-        wanted.update(_narrow(df, values, wide))
-    ends = _finish(df, values, wanted)
+    if any(b.rows > finish_rows for b in wanted.values()):
+        rows = materialize(df.select(*[values[c].alias(f"x{i}") for i, c in enumerate(columns)]), "quantiles")
+        values = {c: F.col(f"x{i}") for i, c in enumerate(columns)}
+        ends = _select(rows, values, wanted, finish_rows)
+    else:
+        ends = _finish(df, values, wanted)
     for (c, p), (key, part) in places.items():
         low, high = ends[key]
         out[c][p] = low if low == high else low + (high - low) * part
@@ -218,69 +225,84 @@ class _Bracket:
             return value
         return F.when((value >= F.lit(self.low)) & (value <= F.lit(self.high)), value)
 
-    def holds(self, first: int, last: int) -> bool:
-        return self.before <= first and last < self.before + self.rows
-
-
-def _narrow(df: DataFrame, values: dict[str, Column], wide: dict) -> dict:
-    # One sketch per distinct bracket, asked for the ends of all its ranks.
-    shared: dict[tuple[str, _Bracket], list] = {}
-    for key, bracket in wide.items():
-        shared.setdefault((key[0], bracket), []).append(key)
-    margin = 2.0 / _ACCURACY
-    sketches = []
-    for i, ((c, b), keys) in enumerate(shared.items()):
-        ends = []
-        for _, first, last in keys:
-            ends += [max((first - b.before) / b.rows - margin, 0.0), min((last - b.before + 1) / b.rows + margin, 1.0)]
-        sketches.append(F.percentile_approx(b.keep(values[c]), ends, _ACCURACY).alias(f"s{i}"))
-    found = df.agg(*sketches).first()
-    tight: dict = {}
-    counters = []
-    for i, ((c, _), keys) in enumerate(shared.items()):
-        for j, key in enumerate(keys):
-            low, high = found[f"s{i}"][2 * j : 2 * j + 2]
-            at = len(tight)
-            tight[key] = (low, high)
-            value = values[c]
-            counters += [
-                F.count_if(value < F.lit(low)).alias(f"b{at}"),
-                F.count_if((value >= F.lit(low)) & (value <= F.lit(high))).alias(f"i{at}"),
-            ]
-    row = df.agg(*counters).first()
-    result = {}
-    for at, (key, (low, high)) in enumerate(tight.items()):
-        candidate = _Bracket(low, high, row[f"b{at}"], row[f"i{at}"])
-        if candidate.holds(key[1], key[2]) and (candidate.rows < wide[key].rows or low == high):
-            result[key] = candidate
-        else:  # no progress by rank: halve the value range
-            result[key] = _halve(df, values[key[0]], key, wide[key])
-    return result
 
+@dataclass(frozen=True)
+class _Prefix:
+    """The keys of column number ``column`` that begin with the ``bits`` leading bits ``prefix``: those before, those with it."""
+
+    column: int
+    prefix: int
+    bits: int
+    before: int
+    rows: int
 
-def _halve(df: DataFrame, value: Column, key: tuple[str, int, int], bracket: _Bracket) -> _Bracket:
-    if bracket.low is None:
-        ends = df.agg(F.min(value).alias("a"), F.max(value).alias("b")).first()
-        return _Bracket(ends["a"], ends["b"], 0, bracket.rows)
-    middle = bracket.low / 2 + bracket.high / 2
-    middle = min(max(middle, bracket.low), math.nextafter(bracket.high, -math.inf))
-    low_part = (value >= F.lit(bracket.low)) & (value <= F.lit(middle))
-    row = df.agg(F.count_if(low_part).alias("n"), F.max(F.when(low_part, value)).alias("a"),
-                 F.min(F.when((value > F.lit(middle)) & (value <= F.lit(bracket.high)), value)).alias("b")).first()
-    lower = _Bracket(bracket.low, row["a"], bracket.before, row["n"])
-    upper = _Bracket(row["b"], bracket.high, bracket.before + row["n"], bracket.rows - row["n"])
-    if lower.rows and lower.holds(key[1], key[2]):
-        return lower
-    if upper.rows and upper.holds(key[1], key[2]):
-        return upper
-    # The two ranks lie on either side of the middle: only their values matter.
-    return _Bracket(row["a"], row["b"], *_between(df, value, row["a"], row["b"]))
-
-
-def _between(df: DataFrame, value: Column, low: float, high: float) -> tuple[int, int]:
-    row = df.agg(F.count_if(value < F.lit(low)).alias("b"),
-                 F.count_if((value >= F.lit(low)) & (value <= F.lit(high))).alias("i")).first()
-    return row["b"], row["i"]
+    def bracket(self) -> _Bracket:
+        rest = 64 - self.bits
+        return _Bracket(_value_of(self.prefix << rest), _value_of((self.prefix << rest) + (1 << rest) - 1), self.before, self.rows)
+
+
+_SIGN = 1 << 63
+
+
+def order_keys(values: np.ndarray) -> np.ndarray:
+    """64-bit keys that are ordered as the doubles are."""
+    raw = values.view(np.uint64)
+    return np.where(raw >> np.uint64(63) == 1, ~raw, raw | np.uint64(_SIGN))
+
+
+def _value_of(key: int) -> float:
+    """The double of a key; beyond the infinities there are none, so those stand for what would be a NaN."""
+    raw = key ^ _SIGN if key & _SIGN else key ^ (1 << 64) - 1
+    value = float(np.array([raw], np.uint64).view(np.float64)[0])
+    return (math.inf if key & _SIGN else -math.inf) if math.isnan(value) else value
+
+
+def _digits(rows: DataFrame, prefixes: Sequence[_Prefix]) -> dict[int, list[tuple[int, int]]]:
+    """For every prefix the counted next digits, in order."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros(1 << DIGIT, np.int64) for _ in prefixes]
+        for batch in batches:
+            keys = {}
+            for slot, p in enumerate(prefixes):
+                if p.column not in keys:
+                    values = batch.column(p.column).drop_null().to_numpy(zero_copy_only=False)
+                    keys[p.column] = order_keys(values)
+                key = keys[p.column]
+                if p.bits:
+                    key = key[key >> np.uint64(64 - p.bits) == np.uint64(p.prefix)]
+                digit = (key >> np.uint64(64 - p.bits - DIGIT)) & np.uint64((1 << DIGIT) - 1)
+                totals[slot] += np.bincount(digit.astype(np.int64), minlength=1 << DIGIT)
+        for slot, total in enumerate(totals):
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), slot, np.int32)), pa.array(at.astype(np.int32)), pa.array(total[at])],
+                                             ["slot", "digit", "n"])
+
+    counted = rows.mapInArrow(count, "slot int, digit int, n long").groupBy("slot", "digit").agg(F.sum("n").alias("n"))
+    found: dict[int, list[tuple[int, int]]] = {}
+    for r in counted.orderBy("slot", "digit").toLocalIterator():  # at most 2 ** DIGIT rows for each prefix
+        found.setdefault(r["slot"], []).append((r["digit"], r["n"]))
+    return found
+
+
+def _select(rows: DataFrame, values: dict[str, Column], wanted: dict, finish_rows: int) -> dict:
+    """The values at the wanted ranks: digits are decided until few rows are left, which are counted by value."""
+    names = list(values)
+    # A pair of ranks may part on the way, so each rank is followed by itself.
+    ranks = {(c, rank): _Prefix(names.index(c), 0, 0, 0, b.rows) for (c, first, last), b in wanted.items() for rank in (first, last)}
+    while wide := {p for p in ranks.values() if p.rows > finish_rows and p.bits < 64}:
+        prefixes = sorted(wide, key=lambda p: (p.column, p.prefix))
+        found = _digits(rows, prefixes)
+        for key, p in ranks.items():
+            if p not in wide:
+                continue
+            before = p.before
+            for digit, n in found[prefixes.index(p)]:
+                if key[1] < before + n:
+                    ranks[key] = _Prefix(p.column, p.prefix << DIGIT | digit, p.bits + DIGIT, before, n)
+                    break
+                before += n
+    ends = _finish(rows, values, {(c, rank, rank): p.bracket() for (c, rank), p in ranks.items()})
+    return {(c, first, last): (ends[(c, first, first)][0], ends[(c, last, last)][0]) for c, first, last in wanted}
 
 
 def _finish(df: DataFrame, values: dict[str, Column], brackets: dict) -> dict:
