@@ -51,3 +51,11 @@ def in_blocks(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch]
 def spread(*columns: str | Column, over: int) -> Column:
     """A bucket from 0 to ``over`` - 1 that depends on the given values only."""
     return F.pmod(F.xxhash64(*columns), F.lit(over)).cast("int")
+
+
+def passages(text: str, many: int, chars: int) -> Column:
+    """The text, or of a longer one ``many`` passages of ``chars`` characters from all over it, the first and the last included."""
+    size = F.length(text)
+    at = F.transform(F.sequence(F.lit(0), F.lit(many - 1)), lambda i: F.substring(
+        text, 1 + F.floor(i * (size - chars) / (many - 1)).cast("int"), F.lit(chars)))
+    return F.when(size <= many * chars, F.col(text)).otherwise(F.array_join(at, " "))

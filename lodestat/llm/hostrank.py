@@ -6,15 +6,16 @@ starts at hosts whose pages the rules allow and follows links, distrust starts a
 whose pages the rules block and follows links backwards, as who links to a blocked host is
 suspect.  A host's seed is the share of its pages with such a verdict.  A host is blocked
 when its distrust is at least ``MIN_DISTRUST`` and exceeds its trust; a host that neither
-reaches is allowed.
+reaches is allowed; equal trust and distrust allow.
 
 Edges are distinct pairs of hosts with the number of links, so the iteration works on
-hosts, not pages; each step is a join and a sum, and the ranks are written to the shared
-folder every few steps.
+hosts, not pages; each step is a join and a sum of what the last step moved, and the ranks
+are written to the shared folder every few steps.  Steps end when what still moves is less
+than ``RESIDUAL`` of the seeds, so a chain of links is followed as far as it matters.
 
 A url that is null or has no ``://`` has an empty host and path, no rule, and is allowed.
 Null pages have no links.  Repeated rows each count as a page.  An empty table gives an
-empty result; further columns are ignored.
+empty result; further columns are ignored.  A very long page is searched for links as a whole, in its row.
 """
 
 from __future__ import annotations
@@ -36,9 +37,10 @@ RULES = (
     ("block", "net/fr/"),
 )
 DAMPING = 0.85
-STEPS = 8
-#: Ranks are written out after so many steps.
-CUT_EVERY = 4
+#: Part of the seeds that may still be on its way at the end.
+RESIDUAL = 1e-6
+#: Ranks are written out, and the rest is looked at, after so many steps.
+CUT_EVERY = 6
 #: In parts of what a host gets whose own pages are all blocked.
 MIN_DISTRUST = 0.5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,7 +75,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(seeds: DataFrame, edges: DataFrame, steps: int = STEPS) -> DataFrame:
+def propagate(seeds: DataFrame, edges: DataFrame, residual: float = RESIDUAL) -> DataFrame:
     """``host`` and ``rank``: a random walk from the seeds (``host``, ``seed``) along ``a`` to ``b``, damped.
 
     ``rank`` is a seed's own value plus damped shares of the ranks that link to it.  A host
@@ -83,15 +85,19 @@ def propagate(seeds: DataFrame, edges: DataFrame, steps: int = STEPS) -> DataFra
     weighted = edges.join(out.withColumnRenamed("a", "of"), F.col("a") == F.col("of")).select(
         "a", "b", (F.col("links") / F.col("all")).alias("share"))
     weighted = materialize(weighted, "edges")
-    ranks = seeds.select("host", F.col("seed").alias("rank"))
-    if weighted.isEmpty():
-        return ranks
-    for step in range(steps):
-        sent = ranks.join(weighted, F.col("host") == F.col("a")).select(F.col("b").alias("host"), (F.col("rank") * F.col("share") * DAMPING).alias("rank"))
-        ranks = sent.unionByName(seeds.select("host", F.col("seed").alias("rank"))).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if (step + 1) % CUT_EVERY == 0:
-            ranks = materialize(ranks, "ranks")
-    return ranks
+    ranks = seeds.select("host", F.col("seed").alias("rank"), F.col("seed").alias("moved"))
+    start = seeds.agg(F.sum("seed")).first()[0] or 0.0
+    if not start or weighted.isEmpty():
+        return ranks.drop("moved")
+    while True:  # what moves shrinks by the damping at least, so this ends
+        for _ in range(CUT_EVERY):
+            sent = ranks.where("moved > 0").join(weighted, F.col("host") == F.col("a")).select(
+                F.col("b").alias("host"), F.lit(0.0).alias("rank"), (F.col("moved") * F.col("share") * DAMPING).alias("moved"))
+            known = ranks.select("host", "rank", F.lit(0.0).alias("moved")).unionByName(sent)
+            ranks = known.groupBy("host").agg((F.sum("rank") + F.sum("moved")).alias("rank"), F.sum("moved").alias("moved"))
+        ranks = materialize(ranks, "ranks")
+        if (ranks.agg(F.sum("moved")).first()[0] or 0.0) <= residual * start:
+            return ranks.drop("moved")
 
 
 def judge_hosts(ruled: DataFrame, edges: DataFrame) -> DataFrame:

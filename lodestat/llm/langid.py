@@ -27,10 +27,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import in_blocks, rows_with
+from lodestat.llm.common import in_blocks, passages, rows_with
 
 PER_LANGUAGE = 400
 TRAIN_BYTES = 1024
@@ -241,14 +241,6 @@ def train(rows: list[tuple[str, str]], updates: int = UPDATES) -> Network:
     return network
 
 
-def passages(text: str) -> Column:
-    """The text, or of a longer one passages from all over it, the first and the last included."""
-    size = F.length(text)
-    at = F.transform(F.sequence(F.lit(0), F.lit(PASSAGES - 1)), lambda i: F.substring(
-        text, 1 + F.floor(i * (size - PASSAGE_CHARS) / (PASSAGES - 1)).cast("int"), F.lit(PASSAGE_CHARS)))
-    return F.when(size <= PASSAGES * PASSAGE_CHARS, F.col(text)).otherwise(F.array_join(at, " "))
-
-
 def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
     """At most ``PER_LANGUAGE`` texts with letters of each language, chosen by a hash of id and text."""
     rows = rows_with(docs, id=id_col, text=text_col, lang=lang_col).where(
@@ -261,7 +253,7 @@ def training_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     limit = F.lit(0)
     for lang, n in sizes.items():
         limit = F.when(F.col("lang") == lang, F.lit(min(TURNS, TURNS * SPARE * PER_LANGUAGE // n + 1))).otherwise(limit)
-    part = rows.where(turn < limit).select("lang", turn.alias("turn"), "key", passages("text").alias("text"))
+    part = rows.where(turn < limit).select("lang", turn.alias("turn"), "key", passages("text", PASSAGES, PASSAGE_CHARS).alias("text"))
     part = part.groupBy("lang", "turn", "key").agg(F.min("text").alias("text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "key"))
     found = part.withColumn("place", place).where(F.col("place") <= PER_LANGUAGE).collect()

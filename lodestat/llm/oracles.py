@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from lodestat.llm import hostrank, licenses, quality
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,14 +83,12 @@ FROM d LEFT JOIN base USING (rid) LEFT JOIN found USING (rid)"""
 
 
 def _ranks(name: str, seeds: str, source: str, target: str) -> str:
-    """Chained tables ``name0`` .. ``nameN`` of ranks along ``source`` to ``target``."""
-    out = [f"{name}0 AS (SELECT host, seed AS rank FROM {seeds})"]
-    for step in range(1, hostrank.STEPS + 1):
-        out.append(
-            f"{name}{step} AS MATERIALIZED (SELECT host, sum(rank) AS rank FROM (SELECT e.{target} AS host, rank * (e.links / sum_links) * {hostrank.DAMPING} AS rank "
-            f"FROM {name}{step - 1} JOIN (SELECT *, sum(links) OVER (PARTITION BY {source}) AS sum_links FROM e) e ON host = e.{source} "
-            f"UNION ALL SELECT host, seed FROM {seeds}) GROUP BY host)")
-    return ",\n".join(out)
+    """Table ``name`` of ranks along ``source`` to ``target``, after so many steps that less than the residual is on its way."""
+    steps = math.ceil(math.log(hostrank.RESIDUAL) / math.log(hostrank.DAMPING))
+    return (
+        f"{name}_moved AS (SELECT host, seed AS moved, 0 AS step FROM {seeds} UNION ALL SELECT e.{target}, "
+        f"sum(moved * (e.links / sum_links) * {hostrank.DAMPING}), step + 1 FROM {name}_moved JOIN (SELECT *, sum(links) OVER (PARTITION BY {source}) AS sum_links "
+        f"FROM e) e ON host = e.{source} WHERE step < {steps} GROUP BY e.{target}, step),\n{name} AS (SELECT host, sum(moved) AS rank FROM {name}_moved GROUP BY host)")
 
 
 def url_sql() -> str:
@@ -98,7 +98,7 @@ def url_sql() -> str:
         best.append((f"(host = '{host}' OR host LIKE '%.{host}') AND starts_with(path, '/{path}')", rule, verdict))
     case = lambda i: "CASE " + " ".join(f"WHEN {b[0]} THEN '{b[i]}'" for b in best) + " END"
     return f"""
-WITH u AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
+WITH RECURSIVE u AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
                   coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 r AS (SELECT page_id, html, host, path, {case(1)} AS rule, {case(2)} AS rule_verdict FROM u),
 l AS (SELECT host AS a, translate(unnest(regexp_extract_all(coalesce(html, ''), '(?i)href\\s*=\\s*["'']?\\s*(?:https?:)?//([^/?#"''\\s>]+)', 1)), '{_UPPER}', '{_LOWER}') AS b
@@ -109,7 +109,7 @@ s AS (SELECT host, count(*) FILTER (rule_verdict = 'allow') / count(*) AS good,
 sg AS (SELECT host, good AS seed FROM s WHERE good > 0), sb AS (SELECT host, bad AS seed FROM s WHERE bad > 0),
 {_ranks('t', 'sg', 'a', 'b')},
 {_ranks('d', 'sb', 'b', 'a')},
-v AS (SELECT host, coalesce(t.rank, 0) AS trust, coalesce(d.rank, 0) AS distrust FROM t{hostrank.STEPS} t FULL JOIN d{hostrank.STEPS} d USING (host))
+v AS (SELECT host, coalesce(t.rank, 0) AS trust, coalesce(d.rank, 0) AS distrust FROM t FULL JOIN d USING (host))
 SELECT page_id, host, path, rule,
        coalesce(rule_verdict, CASE WHEN distrust >= {hostrank.MIN_DISTRUST} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict
 FROM r LEFT JOIN v USING (host)"""

@@ -7,14 +7,15 @@ distance.  A document's evidence is made of its largest window distances, and ca
 thresholds (a logistic curve fitted to training documents) turn evidence into a score.
 
 Training works on a bounded sample of labelled documents (``TRAIN_DOCS`` of each label, the
-smallest by a hash of the id) on the driver.  Toxic documents are mostly ordinary text, so
-their passages are first picked around words that toxic documents use far more often, and
-then, in each round, around the windows that the dictionaries of the last round found most
-toxic.  Half of the sample trains the dictionaries, the other half calibrates, as documents
-that a dictionary has seen would look more extreme than new ones.
-
-Scoring is one pass over whole texts.  A null or empty text has no windows and the score of
-no evidence.  Repeated rows are scored alike; further columns of the input are ignored.
+smallest by a hash of the id) on the driver, of a long text on passages from all over it.
+Toxic documents are mostly ordinary text, so the passages that train the toxic dictionary
+are picked around words that toxic documents use far more often; its other content is that
+of the ordinary one.  Half of the sample trains the dictionaries, the other half calibrates, as
+documents that a dictionary has seen would look more extreme than new ones.
+
+Scoring is one pass over whole texts, whatever their length, word by word.  A null or empty
+text has no windows and the score of no evidence.  Repeated rows are scored alike.  An id that
+is labelled both ways teaches nothing.  Further columns of the input are ignored.
 Without labelled documents of both kinds every score is 0.
 """
 
@@ -30,12 +31,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import rows_with
+from lodestat.llm.common import passages, rows_with
 
 #: Labelled documents of each label that training may use.
 TRAIN_DOCS = 3000
-#: Text of a training document, in characters, from its begin, that training may use (scoring reads all of it).
-TRAIN_CHARS = 20_000
+#: Training takes so many passages of so many characters from all over a longer text (scoring reads all of it).
+PASSAGES, PASSAGE_CHARS = 20, 1000
 ORDINARY_BYTES = 12 << 10
 TOXIC_BYTES = 4 << 10
 LEVEL = 3
@@ -199,14 +200,15 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model | None:
 def training_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
                    label_id: str = "doc_id") -> tuple[list[str], list[str]]:
     """At most ``TRAIN_DOCS`` texts of each label, chosen by a hash of the id."""
-    marked = rows_with(labels, of=label_id, label=label_col).where("label IS NOT NULL AND of IS NOT NULL").dropDuplicates(["of"])
+    marked = rows_with(labels, of=label_id, label=label_col).where("label IS NOT NULL AND of IS NOT NULL")
+    marked = marked.groupBy("of").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
     chosen = None
     for value in (0, 1):
         part = marked.where(F.col("label") == value).orderBy(F.xxhash64("of"), "of").limit(TRAIN_DOCS)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = rows_with(docs, id=id_col, text=text_col).where("text IS NOT NULL").join(F.broadcast(chosen), F.col("id") == F.col("of"))
     # Rows that repeat an id, however many, are reduced to the least text before any come to the driver.
-    rows = texts.groupBy("id", "label").agg(F.min(F.substring("text", 1, TRAIN_CHARS)).alias("text")).collect()
+    rows = texts.groupBy("id", "label").agg(F.min(passages("text", PASSAGES, PASSAGE_CHARS)).alias("text")).collect()
     rows = sorted(rows, key=lambda r: r["id"])
     return [r["text"] for r in rows if r["label"] == 1], [r["text"] for r in rows if r["label"] == 0]
 

@@ -1,13 +1,14 @@
 import pytest
 
 from lodestat.llm import hostrank
+from lodestat.llm.queries import ORACLES
 
 
 def page(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 
 
-def brute_ranks(seeds, edges, steps=hostrank.STEPS):
+def brute_ranks(seeds, edges, steps=300):
     ranks = dict(seeds)
     for _ in range(steps):
         moved = dict(seeds)
@@ -39,7 +40,31 @@ def test_ranks_equal_brute_force(spark):
     seeds = {"a": 1.0, "d": 0.25}
     found = hostrank.propagate(spark.createDataFrame(list(seeds.items()), "host string, seed double"),
                                spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "a string, b string, links long"))
-    assert {r["host"]: r["rank"] for r in found.collect()} == pytest.approx(brute_ranks(seeds, edges))
+    assert {r["host"]: r["rank"] for r in found.collect()} == pytest.approx(brute_ranks(seeds, edges), rel=1e-5)
+
+
+def test_a_long_chain_is_followed_to_its_end(spark):
+    chain = spark.createDataFrame([(f"h{i:02d}", f"h{i + 1:02d}", 1) for i in range(40)], "a string, b string, links long")
+    ranks = {r["host"]: r["rank"] for r in hostrank.propagate(spark.createDataFrame([("h00", 1.0)], "host string, seed double"), chain).collect()}
+    assert ranks == {f"h{i:02d}": pytest.approx(hostrank.DAMPING**i) for i in range(41)}
+
+
+def test_equals_sql_where_pages_link(spark, db):
+    """A ring, a chain and a blocked host at its end; the given pages link to no other hosts."""
+    hosts = [f"{c}.org" for c in "abcdefgh"]
+    rows = [(i, f"http://{h}/", f'<a href="http://{n}/">x</a> <a href=http://bad.net/>y</a>') for i, (h, n) in enumerate(zip(hosts, hosts[1:] + hosts[:1]))]
+    rows += [(100 + i, f"http://bad.net/{'es' if i else 'de'}/{i}", f"<a href='//{hosts[i]}/'>z</a>") for i in range(4)] + [(200, "http://fine.com/", "<a href='http://a.org'>")]
+    pages = page(spark, rows)
+    db.register("pages", pages.toPandas())
+    expected = sorted(db.execute(ORACLES["op3_url_verdicts"]).fetchall())
+    found = hostrank.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict").collect()
+    assert sorted(map(tuple, found)) == expected and {r[4] for r in expected} == {"allow", "block"}
+
+
+def test_a_very_long_page(spark):
+    html = "<p>text</p>" * 400_000 + "<a href='http://bad.net/'>x</a>"
+    out = hostrank.judge_urls(page(spark, [(1, "http://s.org/", html), (2, "http://bad.net/es/", "")])).collect()
+    assert {r["page_id"]: r["verdict"] for r in out} == {1: "block", 2: "block"}
 
 
 def test_links_to_blocked_hosts_spread_distrust(spark):

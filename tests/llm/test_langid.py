@@ -3,6 +3,7 @@ import random
 import numpy as np
 
 from lodestat.llm import langid
+from lodestat.llm.common import passages
 from lodestat.llm.queries import QUERIES
 
 PARTS = {"aa": ["the", "ing", "ou", "er"], "bb": ["ich", "ung", "der", "ß"], "cc": ["que", "é", "eau", "tre"]}
@@ -73,13 +74,12 @@ def test_any_text_among_any_neighbours_is_read_as_alone():
                 assert names[1] == names[4] == alone[0][0] and np.allclose([scores[1], scores[4]], alone[1][0], atol=1.1e-5)
 
 
-def test_training_reads_all_over_a_long_text(spark, monkeypatch):
-    monkeypatch.setattr(langid, "PASSAGE_CHARS", 4)
+def test_training_reads_all_over_a_long_text(spark):
     text = "".join(f"{i:03d}-" for i in range(100))
-    (row,) = spark.createDataFrame([(text,)], "text string").select(langid.passages("text").alias("t")).collect()
+    (row,) = spark.createDataFrame([(text,)], "text string").select(passages("text", 16, 4).alias("t")).collect()
     found = row["t"].split(" ")
     assert len(found) == 16 and found[0] == "000-" and found[-1] == "099-" and all(f in text for f in found)
-    (row,) = spark.createDataFrame([("short",)], "text string").select(langid.passages("text").alias("t")).collect()
+    (row,) = spark.createDataFrame([("short",)], "text string").select(passages("text", 16, 4).alias("t")).collect()
     assert row["t"] == "short"
 
 

@@ -79,3 +79,11 @@ def test_rows_that_repeat_an_id_stay_on_the_executors(spark, monkeypatch):
     toxic, ordinary = toxicity.training_texts(docs, labels)
     assert max(map(len, fetched)) <= 20
     assert toxic == [f"text {i:04d}" for i in range(1, 20, 2)] and ordinary == [f"text {i:04d}" for i in range(0, 20, 2)]
+
+
+def test_an_id_labelled_both_ways_teaches_nothing(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(4)], "doc_id long, text string")
+    labels = [(0, 1), (1, 0), (2, 1), (2, 0), (3, 1), (3, 1)]
+    for order in (labels, labels[::-1]):
+        found = toxicity.training_texts(docs, spark.createDataFrame(order, "doc_id long, toxic int"))
+        assert found == (["text 0", "text 3"], ["text 1"])
