@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from lodestat.llm.common import power_of_two, spread
 
 #: Bytes of text in a block, and in one piece of a long text.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 PIECE_BYTES = 1 << 20
 #: Bytes of text for each digit value of a round.
 DIGIT_BYTES = 8 << 20

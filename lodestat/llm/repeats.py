@@ -254,12 +254,13 @@ def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", c
 
     Bytes of a character that was cut in half are dropped.  ``chars_col``, if there is one, counts the text anew.
     """
-    cut = cut_repeats(docs, id_col, text_col, docs.columns).where((F.octet_length("kept") > 0) | (F.col("n_bytes") == 0))
+    others = [c for c in docs.columns if c != text_col]
+    marked = docs.withColumn("__lacks", F.col(f"`{text_col}`").isNull())  # the text itself travels once
+    cut = cut_repeats(marked, id_col, text_col, [*others, "__lacks"]).where((F.octet_length("kept") > 0) | (F.col("n_bytes") == 0))
     text = F.col("kept").cast("string")
     text = F.when(F.is_valid_utf8(text), text).otherwise(F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit("")))
-    text = F.when(F.col(f"row.`{text_col}`").isNull(), F.lit(None)).otherwise(text)
-    fields = {c: F.col(f"row.`{c}`") for c in docs.columns}
-    fields[text_col] = text
+    text = F.when(F.col("row.__lacks"), F.lit(None)).otherwise(text)
+    fields = {c: F.col(f"row.`{c}`") if c != text_col else text for c in docs.columns}
     if chars_col in fields:
         fields[chars_col] = F.when(text.isNull(), fields[chars_col]).otherwise(F.length(text).cast(docs.schema[chars_col].dataType))
     return cut.select(*[value.alias(name) for name, value in fields.items()])
