@@ -221,3 +221,28 @@ def exact_quantiles(spark, sf):
     row = [(price[0.1], price[0.5], price[0.99], found["l_quantity"][0.5])]
     df = spark.createDataFrame(row, "p10 double, p50 double, p99 double, q50 double")
     return df.select(*[r6(x).alias(x) for x in df.columns])
+
+
+@query("quantiles_by_digits", """SELECT round(quantile_cont(l_extendedprice, 0.1), 6) AS p10, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50,
+  round(quantile_cont(l_extendedprice, 0.99), 6) AS p99, round(quantile_cont(-l_discount, 0.25), 6) AS d25 FROM lineitem""")
+def quantiles_by_digits(spark, sf):
+    """The digits of the keys are decided pass by pass until a thousand rows are left."""
+    from lodestat.operators.ranking import exact_quantiles as quantiles
+
+    df = table(spark, sf, "lineitem").select("l_extendedprice", (-F.col("l_discount")).alias("d"))
+    found = quantiles(df, ["l_extendedprice", "d"], [0.1, 0.25, 0.5, 0.99], finish_rows=1000)
+    price = found["l_extendedprice"]
+    out = spark.createDataFrame([(price[0.1], price[0.5], price[0.99], found["d"][0.25])], "p10 double, p50 double, p99 double, d25 double")
+    return out.select(*[r6(x).alias(x) for x in out.columns])
+
+
+@query("modes_of_text", """WITH t AS (SELECT md5(text) AS text, source, n_chars FROM documents),
+long AS (SELECT 'text' AS "column", text AS value, text AS shown, count(*) AS n FROM t WHERE text IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT 'source', source, source, count(*) FROM t WHERE source IS NOT NULL GROUP BY ALL)
+SELECT "column", max(n) AS n FROM long GROUP BY 1""")
+def modes_of_text(spark, sf):
+    """How often the mode of whole texts, and of a short column, occurs."""
+    df = table(spark, sf, "documents").select("text", "source")
+    modes = imputing.fit_modes(df, ["text", "source"])
+    parts = [df.filter(F.col(c) == F.lit(modes[c])).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("column"), "n") for c in modes]
+    return parts[0].unionByName(parts[1])

@@ -23,6 +23,7 @@ from lodestat.plans.train import refit, search, search_ordinal, train, train_ord
 from lodestat.session import materialize, scratch_path
 from lodestat.sources.models import choose_classifier, load_classifier, save_classifier
 from lodestat.streaming.drift import count_windows, monitor
+from lodestat.streaming.requests import sized_requests
 from lodestat.streaming.scoring import score_stream
 
 SMALL_FOREST = {"numTrees": 5, "maxDepth": 5}
@@ -395,6 +396,32 @@ def stream_routing(spark, sf):
     return sinks.groupBy("sink", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("n_errors"))
 
 
+_REQUESTS = """sent AS (SELECT user_id, event_id, ts, CASE WHEN ts - lag(ts) OVER w > INTERVAL 10 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS new
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS turn FROM sent),
+sized AS (SELECT *, count(*) OVER (PARTITION BY user_id, turn) AS n FROM numbered)"""
+
+
+@query("stream_requests", with_ctes(_REQUESTS) + "SELECT n, count(*) AS n_rows, count(*) FILTER (n > 1)::BIGINT AS n_rejected FROM sized GROUP BY n")
+def stream_requests(spark, sf):
+    """Events as requests, a user's rows with no gap over ten minutes; the size of each is joined back to its rows, stream to stream."""
+    source, out = scratch_path(spark, "requests"), scratch_path(spark, "sized")
+    events = table(spark, sf, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    events.coalesce(1).write.mode("append").parquet(source)
+    # A last row far ahead closes all requests before it.
+    events.limit(1).select(F.lit(-1).cast("bigint").alias("user_id"), F.lit(-1).cast("bigint").alias("event_id"), F.expr("ts + INTERVAL 50 YEAR").alias("ts")).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    sized = sized_requests(stream, "user_id", "ts", "10 minutes", "1 hour", "30 days")
+
+    def write(batch, number):
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    sized.writeStream.outputMode("append").option("checkpointLocation", scratch_path(spark, "stream")).foreachBatch(write).trigger(
+        availableNow=True).start().awaitTermination()
+    found = spark.read.parquet(out).filter("user_id >= 0")
+    return found.groupBy(F.col("__n").alias("n")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("__n") > 1).alias("n_rejected"))
+
+
 @query("stream_psi_by_day", with_ctes(DAYS) + """SELECT day::VARCHAR AS day, "column", round(sum((a - e) * ln(a / e)), 6) AS psi
   FROM shares GROUP BY 1, 2""")
 def stream_psi_by_day(spark, sf):

@@ -242,3 +242,14 @@ def profile_clean(spark, sf):
 
     df = orders_feat(spark, sf).select("c_mktsegment", "o_orderstatus", "o_totalprice")
     return p.target_distribution(prepare_variant(df, "clean"), "c_mktsegment")
+
+
+@query("correlation_wide", """WITH e AS (SELECT vec_id, embedding, unnest(range(0, 63)) AS i FROM embeddings),
+pairs AS (SELECT i::INT AS i, unnest(range(i + 1, 64))::INT AS j, vec_id, embedding FROM e)
+SELECT i, j, round(corr(CASE WHEN (vec_id + i) % 7 <> 0 THEN embedding[i + 1]::DOUBLE END,
+  CASE WHEN (vec_id + j) % 7 <> 0 THEN embedding[j + 1]::DOUBLE END), 6) AS r FROM pairs GROUP BY i, j""")
+def correlation_wide(spark, sf):
+    """All pairs of 64 columns with gaps, by blocks of columns."""
+    df = table(spark, sf, "embeddings")
+    wide = df.select(*[F.when((F.col("vec_id") + i) % 7 != 0, F.get("embedding", F.lit(i)).cast("double")).alias(f"e{i}") for i in range(64)])
+    return p.correlation(wide).select("i", "j", r6("r").alias("r"))

@@ -9,7 +9,8 @@ from lodestat.operators.evaluation import confusion_counts, summary_metrics
 from lodestat.operators.profiling import schema_table
 from lodestat.session import scratch_path
 from lodestat.sources.fingerprint import column_record, table_fingerprint
-from lodestat.sources.runstore import append_records, metric_records, read_records
+from lodestat.sources.runstore import append_records, log_run, metric_records, read_records
+from lodestat.sources.snapshots import SnapshotTable
 from lodestat.sources.zones import Zones, read_csv, read_if_exists, write_csv
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -118,3 +119,30 @@ def head_rows(spark, sf):
     from lodestat.operators.profiling import head
 
     return head(table(spark, sf, "part"), ["p_partkey"])
+
+
+@query("snapshot_rewrite", """SELECT 1 AS version, c_custkey, c_mktsegment FROM customer
+UNION ALL SELECT 3, c_custkey, lower(c_mktsegment) FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT 3, -s_suppkey, 'supplier' FROM supplier""")
+def snapshot_rewrite(spark, sf):
+    """A table rewritten from itself, then extended, beside its first version."""
+    zones = Zones(scratch_path(spark, "zones"))
+    zones.save_interim(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "customer")
+    now = zones.load_interim(spark, "customer")
+    zones.save_interim(now.filter(F.col("c_custkey") % 2 == 0).withColumn("c_mktsegment", F.lower("c_mktsegment")), "customer")
+    own = SnapshotTable(zones.path("interim", "customer"))
+    own.append(table(spark, sf, "supplier").select((-F.col("s_suppkey")).alias("c_custkey"), F.lit("supplier").alias("c_mktsegment")))
+    versions = [own.load(spark, v).select(F.lit(v).alias("version"), "c_custkey", "c_mktsegment") for v in (1, 3)]
+    return versions[0].unionByName(versions[1])
+
+
+@query("logged_run", """SELECT 'metric' AS kind, 'n_rows' AS name, count(*)::VARCHAR AS value FROM orders
+UNION ALL SELECT 'metric', 'n_keys', count(DISTINCT o_custkey)::VARCHAR FROM orders
+UNION ALL SELECT 'param', 'depth', '3' FROM region WHERE r_regionkey = 0 UNION ALL SELECT 'tag', 'owner', r_name FROM region WHERE r_regionkey = 0""")
+def logged_run(spark, sf):
+    """A run's metrics, parameters and tags, appended together and read back."""
+    path = scratch_path(spark, "records")
+    metrics = table(spark, sf, "orders").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("o_custkey").alias("n_keys"))
+    owner = table(spark, sf, "region").filter("r_regionkey = 0").first()["r_name"]
+    log_run(spark, path, "orders", "run", metrics, {"depth": 3, "unset": None}, {"owner": owner})
+    return read_records(spark, path).select("kind", "name", "value")

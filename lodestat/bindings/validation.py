@@ -98,3 +98,16 @@ def score_envelope(spark, sf):
     df = predictions(spark, sf).withColumn("request", F.col("o_orderkey") % 97)
     stamp = df.agg(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd")).scalar()
     return v.score_envelope(df, "request", "prediction", stamp)
+
+
+@query("required_columns", """SELECT 'o_orderkey' AS "column", true AS present, count(o_orderkey) AS n FROM orders
+UNION ALL SELECT 'lang', false, NULL UNION ALL SELECT 'o_orderstatus', true, count(o_orderstatus) FROM orders""")
+def required_columns(spark, sf):
+    """The expected columns of a table; a scoring call refuses a table that lacks one."""
+    df = table(spark, sf, "orders")
+    expected = ["o_orderkey", "lang", "o_orderstatus"]
+    try:
+        v.require_columns(df, expected)
+    except ValueError:
+        return v.column_report(df, expected)
+    raise AssertionError("a missing column went unnoticed")

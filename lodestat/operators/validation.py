@@ -112,6 +112,15 @@ def require_columns(df: DataFrame, expected: Sequence[str]) -> None:
         raise ValueError(f"missing required columns: {missing}")
 
 
+def column_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """Whether each expected column is there, and how many rows have a value in it (NULL when it is not)."""
+    there = [c for c in expected if c in df.columns]
+    counts = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(there)], F.count(F.lit(1)).alias("all"))
+    cells = [F.struct(F.lit(c).alias("column"), F.lit(c in there).alias("present"),
+                      (F.col(f"n{there.index(c)}") if c in there else F.lit(None).cast("bigint")).alias("n")) for c in expected]
+    return counts.select(F.inline(F.array(*cells)))
+
+
 def batch_limits(
     df: DataFrame, request: str, shortest: int = REQUEST_MIN, longest: int = REQUEST_MAX,
     requests: DataFrame | None = None,
