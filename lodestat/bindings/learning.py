@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from lodestat.bindings.drift import DAYS, event_sides, with_outages
+from lodestat.bindings.features import SPLIT
 from lodestat.bindings.registry import (
     FEATURES, NUMERIC, ORDERS_FEAT, PRIORITIES, docs_labeled, orders_feat, query, r6, table, union_all, with_ctes,
 )
@@ -349,6 +350,43 @@ def grid_search_tree(spark, sf):
     return shown.select("combo_id", "scorer", r6("mean").alias("mean"), r6("std").alias("std"), "folds")
 
 
+_HOLDOUT_TREE = SPLIT + """, folded AS (SELECT o_orderkey, o_orderpriority AS y, c_mktsegment, o_orderstatus, CASE split WHEN 'test' THEN 0 ELSE 1 END AS fold
+  FROM split JOIN customer ON o_custkey = c_custkey),
+flags AS (SELECT o_orderkey, y, fold, 'c_mktsegment' || c_mktsegment AS flag FROM folded
+  UNION ALL SELECT o_orderkey, y, fold, 'o_orderstatus' || o_orderstatus FROM folded),
+fits AS (SELECT 0 AS f),""" + _FOLD_TREES[_FOLD_TREES.index("\ntotals AS"):]
+
+
+@query("refit_tree", with_ctes(_HOLDOUT_TREE) + """SELECT combo_id, round(accuracy, 6) AS accuracy, round(f1_weighted, 6) AS f1_weighted,
+  round(f1_macro, 6) AS f1_macro FROM scores CROSS JOIN (SELECT unnest([0, 1])::INT AS combo_id)""")
+def refit_tree(spark, sf):
+    """Two settings that lead to the same single split, fitted on the training part and scored on the holdout."""
+    build = lambda **p: m.forest(
+        **{"numTrees": 1, "maxDepth": 1, "bootstrap": False, "featureSubsetStrategy": "all", **p})
+    out = refit(orders_feat(spark, sf), ["o_orderkey"], "o_orderpriority", ["c_mktsegment", "o_orderstatus"], [],
+                m.combinations_of({"minInstancesPerNode": [1, 2]}), build)
+    return out.select("combo_id", r6("accuracy").alias("accuracy"), r6("f1_weighted").alias("f1_weighted"), r6("f1_macro").alias("f1_macro"))
+
+
+@query("grid_search_ordinal_tree", with_ctes(ORDERS_FEAT) + """, folded AS (SELECT 5 - substr(o_orderpriority, 1, 1)::INT AS y, c_mktsegment AS v,
+  ntile(3) OVER (PARTITION BY o_orderpriority ORDER BY md5(o_orderkey::VARCHAR || '|42')) - 1 AS fold FROM orders_feat),
+fits AS (SELECT DISTINCT fold AS f FROM folded),
+inside AS (SELECT f, v, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s FROM fits JOIN folded ON fold <> f GROUP BY ALL),
+sides AS (SELECT f, v, n, s, sum(n) OVER (PARTITION BY f) - n AS m, sum(s) OVER (PARTITION BY f) - s AS t FROM inside),
+best AS (SELECT f, v, s / n AS with_flag, t / m AS without_flag FROM sides
+  QUALIFY row_number() OVER (PARTITION BY f ORDER BY s * s / n + t * t / m DESC) = 1),
+errors AS (SELECT f, -avg(abs(y - CASE WHEN folded.v = best.v THEN with_flag ELSE without_flag END)) AS score FROM folded JOIN best ON fold = f GROUP BY f)
+SELECT combo_id, 'neg_mae' AS scorer, round(avg(score), 6) AS mean, round(stddev_pop(score), 6) AS std, count(*) AS folds
+FROM errors CROSS JOIN (SELECT unnest([0, 1])::INT AS combo_id) GROUP BY 1""")
+def grid_search_ordinal_tree(spark, sf):
+    """The ordinal search over two settings that lead to the same single split."""
+    one = {"numTrees": 1, "maxDepth": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+    order = [p.lower() for p in reversed(PRIORITIES)]
+    summary, _ = search_ordinal(orders_feat(spark, sf), ["o_orderkey"], "o_orderpriority", order, ["c_mktsegment"], [],
+                                [{**one, "minInstancesPerNode": n} for n in (1, 2)])
+    return summary.select("combo_id", "scorer", r6("mean").alias("mean"), r6("std").alias("std"), "folds")
+
+
 @query("drift_report")
 def drift_report_query(spark, sf):
     """A perturbed copy of the table against the original, with a fitted model."""
