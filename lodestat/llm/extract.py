@@ -1,18 +1,21 @@
 """Main text of web pages by text-to-tag ratio.
 
 The page is read as a stream of parser events.  Lines are the pieces of text between block
-boundaries; a line's ratio is its characters over the tags it took.  The ratios are
-smoothed with a Gaussian along the page, so that a short paragraph between long ones keeps
-their company, and split into two clusters by a threshold.  The regions that hold lines of
-the upper cluster are the content: the articles or main elements that the page marks (all of
-them if none holds such lines), else every container with a line that is in the upper
-cluster by its own ratio, and what lies between them in that cluster.  Chosen regions and
+boundaries; a line's ratio is its characters over the tags it took, on a logarithmic scale.
+The ratios are smoothed with a Gaussian along the page, so that a short paragraph between
+long ones keeps their company.  Marks are evidence, not verdicts: a line inside an article
+or main element counts ``PRIOR`` more, one in a menu, advert or the like as much less.  A
+threshold splits the lines into two clusters, and the regions that hold lines of the upper one are the
+content: marked regions, and for text outside those every container with a line that is in the
+upper cluster by its own ratio, and what lies between them in that cluster.  Chosen regions and
 containers are returned whole.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments
-are known by element, role, or words of their class and id, and are never content.  Words
-after "no", "has" and the like say what a part lacks or holds, not what it is.  An article
-inside a sidebar or comments is left out unless it is longer than the text outside.
+are known by element, role, or words of their class and id, and are never content; inside
+an article or main element only by names made of such words alone, so that a "search-results"
+or "related-work" there is text.  Words after "no", "has" and the like say what a part lacks
+or holds, not what it is.  An article inside a sidebar or comments is left out unless it is
+longer than the text outside.
 
 A null or empty page has an empty text, as has a page of nothing but such parts.  Repeated
 rows are read each by itself, long pages whole; further columns are ignored.
@@ -34,20 +37,24 @@ from lodestat.llm.common import rows_with
 #: Width of the smoothing, in lines, and how many lines it reaches to either side.
 SIGMA = 1.0
 REACH = 3
+#: What a mark for or against a line counts, on the scale of the ratios' logarithm.
+PRIOR = 2.0
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong "
     "sub sup time tt u var wbr img".split())
 SKIPPED = frozenset(
-    "head title script style noscript template nav aside footer form button select textarea iframe svg canvas menu dialog object "
-    "audio video map math datalist".split())
+    "head title script style noscript template nav aside footer form button select textarea iframe svg canvas menu dialog "
+    "audio video datalist".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner cookie cookies consent "
     "gdpr notice notices notification popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside "
     "footer comment comments disqus respond share sharing social related recommended recommendations newsletter subscribe "
     "subscription signup login search pagination pager widget widgets toolbar copyright skip".split())
+#: Words that say nothing of their own beside one of those.
+FILLERS = frozenset("area bar block box button buttons container footer group inner item items link links list message panel row section slot text unit wrap wrapper".split())
 #: Parts inside which an article element is a card or a comment, not the page's article.
 KEPT_OUT = frozenset("aside comment comments disqus respond related recommended recommendations sidebar widget widgets".split())
 REGIONS = frozenset(("article", "main"))
@@ -95,9 +102,10 @@ class _Reader(HTMLParser):
         skipped, out, region, container = self._state()
         values = {k: v or "" for k, v in attrs}
         role = values.get("role", "").lower()
-        words = {w for k in ("class", "id") for name in values.get(k, "").split() for w in _own_words(name)}
+        names = [_own_words(name) for k in ("class", "id") for name in values.get(k, "").split()]
+        words = {w for name in names for w in name}
         if tag not in ("html", "body", "main"):
-            marked = words & NAMES
+            marked = any(_is_chrome(name) for name in names) if region else words & NAMES
             if tag == "header" or "header" in words or "masthead" in words:
                 marked = marked or not region
             hidden = "hidden" in values or "display:none" in values.get("style", "").replace(" ", "").lower()
@@ -155,6 +163,11 @@ def _own_words(name: str) -> list[str]:
     return words[: next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))]
 
 
+def _is_chrome(words: list[str]) -> bool:
+    """Whether a name is made of such words alone."""
+    return any(w in NAMES for w in words) and all(w in NAMES or w in FILLERS for w in words)
+
+
 def _open_text(lines: list[tuple[str, int, bool, int, int]], marked: bool = False) -> int:
     return sum(len(x[0]) for x in lines if not x[2] and (x[3] or not marked))
 
@@ -184,6 +197,10 @@ def _read(html: str, rescue: bool) -> tuple[list[tuple[str, int, bool, int, int]
     return reader.lines, reader.left_out
 
 
+def ratios(length: np.ndarray, tags: np.ndarray) -> np.ndarray:
+    return np.log1p(length / tags)
+
+
 def smoothed(ratios: np.ndarray) -> np.ndarray:
     steps = np.arange(-REACH, REACH + 1)
     kernel = np.exp(-steps**2 / (2 * SIGMA**2))
@@ -214,29 +231,27 @@ def main_text(html: str | None) -> str:
     open_lines = np.array([not x[2] for x in lines])
     if not open_lines.any():
         return ""
-    ratio = smoothed(length / tags)
-    border = threshold(ratio)
-    content = open_lines & (ratio >= border)
+    region, container = np.array([x[3] for x in lines]), np.array([x[4] for x in lines])
+    own = ratios(length, tags)
+    marks = np.where(open_lines, np.where(region > 0, PRIOR, 0.0), -PRIOR)
+    evidence = smoothed(own) + marks
+    border = threshold(evidence)
+    content = open_lines & (evidence >= border)
     if not content.any():
         content = open_lines
-    region, container = np.array([x[3] for x in lines]), np.array([x[4] for x in lines])
     marked = open_lines & (region > 0)
-    if marked.any():
-        chosen = np.unique(region[content & marked])
-        if not len(chosen):  # short articles beside longer stray text
-            chosen = np.unique(region[marked])
-        picked = marked & np.isin(region, chosen)
-    else:
-        own = content & (length / tags >= border)  # not only by the company of lines outside
-        own = own if own.any() else content
-        chosen = np.unique(container[own])
-        inside = np.flatnonzero(own)
-        picked = np.zeros(len(lines), bool)
-        picked[inside[0]: inside[-1] + 1] = content[inside[0]: inside[-1] + 1]
-        for c in chosen:
-            inside = np.flatnonzero(content & (container == c))
-            picked[inside[0]: inside[-1] + 1] = True
-        picked = open_lines & (picked | np.isin(container, chosen))
+    picked = marked & np.isin(region, np.unique(region[content & marked]))
+    # Outside of marks a container is chosen by a line's own ratio, not only by the company of other lines.
+    strong = content & ~marked & (own + marks >= border)
+    strong = strong if strong.any() or picked.any() else content & ~marked
+    if strong.any():
+        inside = np.flatnonzero(strong)
+        between = np.zeros(len(lines), bool)
+        between[inside[0]: inside[-1] + 1] = content[inside[0]: inside[-1] + 1]
+        for c in np.unique(container[strong]):
+            inside = np.flatnonzero(content & ~marked & (container == c))
+            between[inside[0]: inside[-1] + 1] = True
+        picked |= open_lines & ~marked & (between | np.isin(container, np.unique(container[strong])))
     return " ".join(x[0] for x, keep in zip(lines, picked, strict=True) if keep)
 
 
