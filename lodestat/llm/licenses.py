@@ -9,7 +9,8 @@ span of about the template's length; k-grams are compared as texts, not only as
 
 Rows in, rows out: a null text counts as empty (no words, no label, score 0), repeated
 rows give repeated results, an empty table gives an empty result, and further columns
-of the input are ignored.
+of the input are ignored.  Of a very long text all words are read; it is one row, and its
+matches are as many as its text holds.  Equal labels are one; ties cannot change a result.
 """
 
 from __future__ import annotations

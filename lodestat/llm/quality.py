@@ -7,7 +7,8 @@ host verdicts are joined back to the documents.
 
 Rows in, rows out: a null text counts as empty (no words, so the base rule fails),
 a null host is a host of its own, repeated rows are judged each by itself, an empty
-table gives an empty result, and further columns of the input are ignored.
+table gives an empty result, and further columns of the input are ignored.  A very
+long text is counted whole, as arrays of its words in its row; a rate equal to the limit keeps.
 """
 
 from __future__ import annotations

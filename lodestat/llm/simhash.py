@@ -17,7 +17,8 @@ copies, however large, is one row in the search.
 
 A null or wordless text has fingerprint zero and links like any other.  Rows that share an
 id or a whole text are each returned; a null id is never a component's id unless all its
-ids are null.  An empty table gives an empty result; further columns are ignored.
+ids are null.  An empty table gives an empty result; further columns are ignored.  A very long
+text is one list of its words in its task, its shingles are counted some thousands at a time.
 """
 
 from __future__ import annotations
