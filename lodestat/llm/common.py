@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,14 @@ def total_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library keep for later: a worker outlives its task, and idle memory counts like used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim is not None:
+        trim(0)
+
+
 def power_of_two(n: int) -> int:
     return 1 << max(0, n - 1).bit_length()
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import power_of_two, rows_with
+from lodestat.llm.common import give_back, power_of_two, rows_with
 from lodestat.operators.fitted import join_fitted
 from lodestat.session import materialize
 
@@ -70,7 +70,7 @@ UNITS = {
 }
 _DIMENSION = {u: d for d, units in UNITS.items() for u in units.split()}
 #: Words that a task remembers; beyond, it starts anew.
-KNOWN = 300_000
+KNOWN = 100_000
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*%?")
 _GLUED = re.compile(r"([+-]?\d[\d.,]*)([^\W\d_]+)")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -326,6 +326,8 @@ def windows(rows: DataFrame, marks: bytes | None = None, sizes: tuple[int, ...]
                 found = group(part.column(0), part.column(1).to_pylist(), lexicon)
                 if found is not None:
                     yield found
+        del lexicon
+        give_back()
 
     return rows.mapInArrow(compute, _WINDOWS.format(kind=rows.schema["id"].dataType.simpleString()))
 

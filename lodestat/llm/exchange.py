@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestat.llm.common import power_of_two, spread
+from lodestat.llm.common import give_back, power_of_two, spread
 
 #: Bytes of text in a block, and in one piece of a long text.
 BLOCK_BYTES = 2 << 20
@@ -326,5 +326,7 @@ def rounds(by_block, first: Callable, later: list[Callable]) -> DataFrame:
 
 def _asked(step: Callable):
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        return step(texts, Replies(answers)) if texts.num_rows else rows_of([])
+        found = step(texts, Replies(answers)) if texts.num_rows else rows_of([])
+        give_back()
+        return found
     return run

@@ -17,6 +17,7 @@ each by itself.  An empty table gives no sequences.  Further columns can be carr
 
 from __future__ import annotations
 
+import os
 import struct
 from collections.abc import Iterator, Sequence
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestat.llm.common import in_blocks
+from lodestat.llm.common import give_back, in_blocks
 from lodestat.session import materialize
 
 SEQUENCE = 2048
@@ -35,7 +36,7 @@ END = 1
 #: Text tokenised at a time.
 BATCH_BYTES = 2 << 20
 #: Word pieces whose ids a task remembers from one batch to the next; beyond, it starts anew.
-KNOWN = 200_000
+KNOWN = 50_000
 #: Ranks of a length are counted in so many parts.
 BUCKETS = 512
 
@@ -61,6 +62,9 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         import regex
+
+        # A task has one core; the library's own threads would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path)
@@ -139,6 +143,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, text_col: str = "text", keep:
                 "row": block.column("row").take(pa.array(owner)), "start": start, "length": length,
                 "doc_tokens": lengths[owner], "ids": pa.array(data, pa.binary()),
             }).to_batches(max_chunksize=2000)
+        del model
+        give_back()
 
     return rows.mapInArrow(tokenise, out)
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import power_of_two, rows_with
+from lodestat.llm.common import give_back, power_of_two, rows_with
 from lodestat.llm.components import components
 from lodestat.session import materialize
 
@@ -84,6 +84,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             found = [majority(shingle_hashes(t.as_py(), shingle)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], ["doc_id", "fp"])
+        give_back()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(compute, f"doc_id {kind}, fp long")

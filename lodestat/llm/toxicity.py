@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestat.llm.common import passages, rows_with
+from lodestat.llm.common import give_back, passages, rows_with
 
 #: Labelled documents of each label that training may use.
 TRAIN_DOCS = 3000
@@ -47,7 +47,7 @@ THRESHOLDS = (3, 4, 5, 6, 7)
 CARRIER = b"|0123456789=0123456789=01234567|"
 TAIL = CARRIER[:16]
 #: Words whose distance a task remembers; beyond, it starts anew.
-KNOWN = 300_000
+KNOWN = 100_000
 #: Lengths of beginnings of words that count like words.
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -241,5 +241,7 @@ def without_toxic(docs: DataFrame, model: Model | None, text_col: str = "text")
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
             yield batch.filter(pa.array([scorer(t.as_py()) < 0.5 for t in texts], pa.bool_()))
+        del scorer
+        give_back()
 
     return docs.mapInArrow(keep, docs.schema)
