@@ -68,6 +68,11 @@ def softmax_stages(k: int, start: list[float]) -> list:
     ]
 
 
+def _source(c: int, k: int) -> tuple[int, float]:
+    """Whose trees class ``c`` takes, and their sign: of two classes one's gradient is the other's, turned round."""
+    return (1, -1.0) if k == 2 and c == 0 else (c, 1.0)
+
+
 class SoftmaxBoosting(Estimator):
     """Fits the additive softmax model on ``features`` and ``label`` (codes from 0).
 
@@ -102,10 +107,11 @@ class SoftmaxBoosting(Estimator):
         self.losses = [self._loss(current, k)] if self.track else []
         for turn in range(self.maxIter):
             shares = softmax([F.col(f"m{c}") for c in range(k)])
-            with ThreadPool(min(self.parallelism, k)) as pool:
-                fitted = pool.map(inheritable_thread_target(spark)(lambda c: self._one(current, c, shares[c])), range(k))  # noqa: B023
-            for c in range(k):
-                trees[c].append(fitted[c])
+            needed = [c for c in range(k) if _source(c, k)[0] == c]
+            with ThreadPool(min(self.parallelism, len(needed))) as pool:
+                fitted = pool.map(inheritable_thread_target(spark)(lambda c: self._one(current, c, shares[c])), needed)  # noqa: B023
+            for c, tree in zip(needed, fitted, strict=True):
+                trees[c].append(tree)
             since += 1
             current = self._moved(spark, carried, trees, since, scale, k)
             if since == CARRY and turn + 1 < self.maxIter:
@@ -113,7 +119,7 @@ class SoftmaxBoosting(Estimator):
                 since = 0
             if self.track:
                 self.losses.append(self._loss(current, k))
-        models = [additive(spark, trees[c], scale, f"__tree{c}", self.features) for c in range(k)]
+        models = [additive(spark, trees[of], sign * scale, f"__tree{c}", self.features) for c in range(k) for of, sign in [_source(c, k)]]
         return PipelineModel([*models, *softmax_stages(k, start)])
 
     def _one(self, rows: DataFrame, c: int, share: Column) -> DecisionTreeRegressionModel:
@@ -123,7 +129,8 @@ class SoftmaxBoosting(Estimator):
 
     def _moved(self, spark, carried: DataFrame, trees: list, since: int, scale: float, k: int) -> DataFrame:
         for c in range(k):
-            carried = additive(spark, trees[c][-since:], scale, f"t{c}", "features").transform(carried)
+            of, sign = _source(c, k)
+            carried = additive(spark, trees[of][-since:], sign * scale, f"t{c}", "features").transform(carried)
         return carried.select("features", "y", *[(F.col(f"m{c}") + F.col(f"t{c}")).alias(f"m{c}") for c in range(k)])
 
     def _loss(self, rows: DataFrame, k: int) -> float:

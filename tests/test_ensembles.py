@@ -68,6 +68,16 @@ def test_two_classes_and_classes_without_rows(spark):
         SoftmaxBoosting(maxIter=0)
 
 
+def test_two_classes_share_their_trees(rows, monkeypatch):
+    from lodestat.operators import boosting
+
+    two = rows.withColumn("y", F.when(F.col("y") == "top", "top").otherwise("rest"))
+    shared = score(two, m.fit_classifier(two, "y", ["a"], ["x"], m.boosting(maxIter=2, maxDepth=2)), ["key"])
+    monkeypatch.setattr(boosting, "_source", lambda c, k: (c, 1.0))
+    own = score(two, m.fit_classifier(two, "y", ["a"], ["x"], m.boosting(maxIter=2, maxDepth=2)), ["key"])
+    assert same_scores(shared, own)
+
+
 def test_grids_have_the_twelve_combinations():
     assert len(m.combinations_of(m.BOOST_GRID)) == len(m.combinations_of(m.SVC_GRID)) == 12
 
