@@ -89,7 +89,9 @@ def test_csv_by_name_with_line_breaks(spark, tmp_path):
 
 def test_no_silent_caps(spark):
     wide = spark.range(12_000).select(F.col("id").cast("string").alias("c"))
-    assert len(fit_categories(wide, ["c"])["c"]) == 12_000
+    assert len(fit_categories(wide, ["c"], None)["c"]) == 12_000
+    with pytest.raises(ValueError, match="limit 10000"):
+        fit_categories(wide, ["c"])
     with pytest.raises(ValueError, match="limit 100"):
         fit_categories(wide, ["c"], 100)
     with pytest.raises(ValueError, match="39 labels outside"):
