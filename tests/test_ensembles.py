@@ -132,9 +132,9 @@ def hits(rows, estimator):
 
 
 def test_kernels_separate_rings_and_lines_do_not(rings):
-    assert hits(rings, m.support_vectors(kernel="linear")) < 450
-    assert hits(rings, m.support_vectors(kernel="rbf", components=64)) == 600
-    assert hits(rings, m.support_vectors(kernel="poly", degree=2, components=64, gamma=1.0, C=10)) == 600
+    assert hits(rings, m.support_vectors(kernel="linear", maxIter=20)) < 450
+    assert hits(rings, m.support_vectors(kernel="rbf", components=64, maxIter=20)) == 600
+    assert hits(rings, m.support_vectors(kernel="poly", degree=2, components=64, gamma=1.0, C=10, maxIter=20)) == 600
     with pytest.raises(ValueError):
         KernelMargins(kernel="other")
     with pytest.raises(ValueError):
@@ -151,7 +151,7 @@ def test_grid_over_cost_kernel_and_gamma(rings):
 # ---------------------------------------------------------------- calibration
 def test_calibration_lowers_the_brier_score(spark, rows, tmp_path):
     folded = stratified_folds(rows, ["key"], "y", 3)
-    fitted = m.fit_classifier(folded.filter("fold = 1"), "y", ["a"], ["x"], m.support_vectors(components=64))
+    fitted = m.fit_classifier(folded.filter("fold = 1"), "y", ["a"], ["x"], m.support_vectors(components=64, maxIter=20))
     assert score(rows, fitted, ["key"]).columns == ["key", "predicted"]  # margins are no probabilities
     known = calibrate(fitted, folded.filter("fold = 2"))
     fresh = folded.filter("fold = 0")
