@@ -28,6 +28,8 @@ from lodestat.streaming.requests import sized_requests
 from lodestat.streaming.scoring import score_stream
 
 SMALL_FOREST = {"numTrees": 5, "maxDepth": 5}
+#: Rows of a task that carries mapped vectors, 32 KB each.
+MAPPED_ROWS = 1024
 
 
 def vectors(spark, sf):
@@ -230,18 +232,25 @@ SELECT vec_id, round(exp(-0.5 * list_sum(list_transform(range(1, len(x) + 1), la
 def kernel_features(spark, sf):
     """Kernels of neighbouring vectors, and whether the mapped vectors' inner products come near them."""
     df = table(spark, sf, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("e"))
-    df = df.withColumn("features", array_to_vector("e"))
-    width = df.select(F.max(F.size("e")).alias("w")).first()["w"]
-    common = {"inputCol": "features", "gamma": 0.5, "width": width, "components": 4096}
-    mapped = PolynomialMap(outputCol="p", degree=2, **common).transform(RbfMap(outputCol="r", **common).transform(df))
-    mapped = materialize(mapped.select("vec_id", "e", vector_to_array("r").alias("r"), vector_to_array("p").alias("p")), "mapped")
-    other = mapped.select((F.col("vec_id") - 1).alias("vec_id"), *[F.col(c).alias(f"{c}2") for c in "erp"])
-    pairs = mapped.join(other, "vec_id")
+    seen = df.select(F.max(F.size("e")).alias("w"), F.count(F.lit(1)).alias("n")).first()
+    other = df.select((F.col("vec_id") - 1).alias("vec_id"), F.col("e").alias("e2"))
+    # The given vectors are joined and dealt out, then mapped: a mapped one is many times as long and never leaves its task.
+    tasks = -(-max(seen["n"], 1) // MAPPED_ROWS)
+    pairs = df.join(other, "vec_id")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, x: t + x)
     far = F.aggregate(F.zip_with("e", "e2", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x)
-    rbf, poly = F.exp(-0.5 * far), F.pow(0.5 * dot("e", "e2"), 2)
-    return pairs.select("vec_id", r6(rbf).alias("rbf"), (F.abs(dot("r", "r2") - rbf) < 0.1).alias("rbf_near"),
-                        r6(poly).alias("poly"), (F.abs(dot("p", "p2") - poly) < 0.1).alias("poly_near"))
+    pairs = pairs.withColumns({"x": array_to_vector("e"), "x2": array_to_vector("e2"), "rbf": F.exp(-0.5 * far), "poly": F.pow(0.5 * dot("e", "e2"), 2)})
+    common = {"gamma": 0.5, "width": seen["w"], "components": 4096}
+
+    def near(rows, kind, kernel, **own):  # both sides of one map at a time, as each holds a Python worker of its task
+        names, rows = rows.columns, rows.repartition(tasks)
+        for side in ("", "2"):
+            rows = kind(inputCol=f"x{side}", outputCol=f"mapped{side}", **own, **common).transform(rows)
+        inner = dot(vector_to_array("mapped"), vector_to_array("mapped2"))
+        return materialize(rows.select(*names, (F.abs(inner - F.col(kernel)) < 0.1).alias(f"{kernel}_near")), "mapped")
+
+    found = near(near(pairs, RbfMap, "rbf"), PolynomialMap, "poly", degree=2)
+    return found.select("vec_id", r6("rbf").alias("rbf"), "rbf_near", r6("poly").alias("poly"), "poly_near")
 
 
 @query("grid_search")

@@ -3,7 +3,8 @@
 ``RbfMap`` draws random Fourier features, whose inner products approach the Gaussian kernel;
 ``PolynomialMap`` is a tensor sketch, whose inner products approach ``(gamma x.y) ** degree``.
 Both are drawn from their seed alone, so a saved map holds a few numbers and no matrix, and
-every task maps a row alike.  Rows are mapped in Arrow batches with one matrix product.
+every task maps a row alike.  Rows are mapped a few at a time with one matrix product, so a
+task's memory does not grow with its rows.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KERNELS = ("linear", "rbf", "poly")
-#: Rows mapped at once by a task; a batch needs this many times the components as numbers.
-BATCH_ROWS = 4096
+#: Numbers in the vectors that a task maps at once and hands back; 8 bytes each.
+BATCH_NUMBERS = 1 << 19
 
 
 class _Map(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -41,13 +42,14 @@ class _Map(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadabl
         raise NotImplementedError
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        mapped = self.mapper()
+        mapped, at_once = self.mapper(), max(1, BATCH_NUMBERS // self.getOrDefault("components"))
 
         @F.pandas_udf("array<double>")
         def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            # Handed back in parts: a batch's vectors may be many times its rows' size.
             for batch in batches:
-                parts = [mapped(np.stack(batch.iloc[a: a + BATCH_ROWS].to_numpy())) for a in range(0, len(batch), BATCH_ROWS)]
-                yield pd.Series(list(np.concatenate(parts)) if parts else [], dtype=object)
+                for a in range(0, len(batch), at_once):
+                    yield pd.Series(list(mapped(np.stack(batch.iloc[a: a + at_once].to_numpy()))), dtype=object)
 
         return dataset.withColumn(self.getOutputCol(), array_to_vector(apply(vector_to_array(self.getInputCol()))))
 
