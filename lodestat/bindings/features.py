@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestat.bindings.registry import NUMERIC, ORDERS_FEAT, PRIORITIES, orders_feat, query, r6, table, with_ctes
 from lodestat.operators import encoding, sampling
+from lodestat.operators.wide import spread_rows
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 STATUSES = ["F", "O", "P"]
@@ -87,7 +88,7 @@ def pca_wide(spark, sf):
     vector = F.concat(F.array_repeat(F.col("c_acctbal").cast("double") / 1000 * share, 150), F.array_repeat(F.col("c_nationkey").cast("double") * share, 150))
     parts = encoding.fit_components(df, vector, [f"v{i}" for i in range(300)], 2)
     first, second = parts.columns(vector)
-    return df.select("c_custkey", r6(first).alias("PC1"), r6(F.abs(second)).alias("PC2"))
+    return spread_rows(df).select("c_custkey", r6(first).alias("PC1"), r6(F.abs(second)).alias("PC2"))
 
 
 @query("preprocess_pca")

@@ -16,7 +16,7 @@ from lodestat.functions.text import strip
 from lodestat.operators.counts import value_counts, value_text
 from lodestat.operators.fitted import join_fitted, quoted, settle
 from lodestat.operators.ranking import SortKey, global_rank
-from lodestat.operators.wide import Sketch, dense_rows, sparse_rows
+from lodestat.operators.wide import Sketch, dense_rows, sparse_rows, spread_rows
 from lodestat.session import materialize
 
 
@@ -152,7 +152,7 @@ def fit_components(df: DataFrame, vector: Column, names: Sequence[str], k: int)
     width = len(names)
     k = min(k, width)
     if width > DENSE_WIDTH:
-        return _searched(dense_rows(df, vector, width), names, k)
+        return _searched(dense_rows(spread_rows(df), vector, width), names, k)
     frame = df.select(vector.alias("v")).filter(F.col("v").isNotNull())
     means_row = frame.select(F.count_if(F.size("v") != width).alias("wrong"), *[F.avg(F.get("v", F.lit(i))).alias(f"m{i}") for i in range(width)]).first()
     if means_row["wrong"]:
@@ -180,7 +180,7 @@ def fit_sparse_components(df: DataFrame, scaler: Scaler, numeric: Sequence[str],
         flags.append((value_text(name, df.schema[name].dataType), values, at))
         at += len(values)
     names = [*numeric, *[f"{c}_{v}" for c, values in categories.items() for v in values]]
-    return _searched(sparse_rows(df, [scaler.column(df, c) for c in numeric], flags), names, min(k, len(names)))
+    return _searched(sparse_rows(spread_rows(df), [scaler.column(df, c) for c in numeric], flags), names, min(k, len(names)))
 
 
 # ---------------------------------------------------------------- feature tables

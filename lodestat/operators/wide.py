@@ -12,6 +12,7 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,8 +141,8 @@ STILL = 1e-9
 class Sketch:
     """Leading directions of centred rows by a randomised search, which holds a few columns on the driver.
 
-    Rows are given sparse, as ``at`` (places) and ``x`` (values).  A pass multiplies the rows with
-    the present directions and back again: ``A' (A Q) - n m (m' Q)`` is the centred product
+    Rows are given sparse, as ``at`` (places) and ``x`` (values), or with a value for every place,
+    ``at`` being null.  A pass multiplies the rows with the present directions and back again: ``A' (A Q) - n m (m' Q)`` is the centred product
     without ever centring a row.  The passes are repeated until the wanted directions stand still.
     """
 
@@ -154,21 +155,35 @@ class Sketch:
         """Sums over all rows of ``a (a' Q)``; without directions ``(n, sum of squares, sum of a)``."""
         width = self.width
 
+        def dense(x: np.ndarray) -> np.ndarray:
+            if q is None:
+                return np.concatenate([[len(x), np.vdot(x, x)], x.sum(axis=0)])
+            return x.T @ (x @ q)
+
+        def sparse(at: np.ndarray, x: np.ndarray, many: np.ndarray) -> np.ndarray:
+            row = np.repeat(np.arange(len(many)), many)
+            if q is None:
+                return np.concatenate([[len(many), (x * x).sum()], np.bincount(at, x, minlength=width)])
+            own = np.empty((width, q.shape[1]))
+            for j in range(q.shape[1]):
+                product = np.bincount(row, x * q[at, j], minlength=len(many))
+                own[:, j] = np.bincount(at, x * product[row], minlength=width)
+            return own
+
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = None
             for batch in batches:
-                at = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                x = batch.column(1).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
-                many = np.diff(np.asarray(batch.column(0).offsets))
-                row = np.repeat(np.arange(len(many)), many)
-                if q is None:
-                    own = np.concatenate([[len(many), (x * x).sum()], np.bincount(at, x, minlength=width)])
-                else:
-                    product = np.zeros((len(many), q.shape[1]))
-                    np.add.at(product, row, x[:, None] * q[at])
-                    own = np.zeros((width, q.shape[1]))
-                    np.add.at(own, at, x[:, None] * product[row])
-                total = own if total is None else total + own
+                full = batch.column(0).is_null()
+                for rows, whole in ((batch.filter(full), True), (batch.filter(pc.invert(full)), False)):
+                    if not rows.num_rows:
+                        continue
+                    x = rows.column(1).flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+                    if whole:
+                        own = dense(x.reshape(-1, width))
+                    else:
+                        at = rows.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                        own = sparse(at, x, np.diff(np.asarray(rows.column(0).offsets)))
+                    total = own if total is None else total + own
             if total is not None:
                 yield _row(0, total)
 
@@ -198,6 +213,12 @@ class Sketch:
         return mean, best * sign, shares
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """``df`` dealt out while its rows are still narrow, as one small file may hold the rows of very many wide ones."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
+
+
 def sparse_rows(df: DataFrame, numeric: Sequence[Column], flags: Sequence[tuple[Column, Sequence[str], int]]) -> DataFrame:
     """Rows as ``at`` and ``x``: numbers at the first places, then a one at each category's place.
 
@@ -212,8 +233,7 @@ def sparse_rows(df: DataFrame, numeric: Sequence[Column], flags: Sequence[tuple[
 
 
 def dense_rows(df: DataFrame, vector: Column, width: int) -> DataFrame:
-    """Rows of an array column; one of another length is an error, rows without a vector are left out."""
+    """Rows of an array column, a value for every place; one of another length is an error, rows without a vector are left out."""
     rows = df.select(vector.alias("x")).filter(F.col("x").isNotNull())
     wrong = F.raise_error(F.concat(F.lit(f"a vector of {width} numbers was expected, one of "), F.size("x").cast("string"), F.lit(" was found")))
-    at = F.when(F.size("x") == width, F.sequence(F.lit(0), F.lit(width - 1))).otherwise(wrong.cast("array<int>"))
-    return rows.select(at.alias("at"), "x")
+    return rows.select(F.lit(None).cast("array<int>").alias("at"), F.when(F.size("x") == width, F.col("x")).otherwise(wrong.cast("array<double>")).alias("x"))

@@ -26,3 +26,22 @@ def test_mapped_vectors_are_handed_back_in_parts(spark, monkeypatch):
     assert [r["id"] for r in found] == list(range(700))
     expected = whole(np.column_stack([np.arange(700) / 100, np.ones(700)]))[:, :3]
     assert np.array([r["r"] for r in found]) == pytest.approx(expected, abs=1e-9)
+
+
+def test_full_rows_are_multiplied_as_matrices_in_many_tasks(spark, monkeypatch):
+    """Rows with a value for every place give the components of the same rows given by places, and leave their one file."""
+    from lodestat.operators import encoding, wide
+
+    df = spark.range(0, 400, 1, 1).select(F.transform(F.sequence(F.lit(0), F.lit(299)), lambda i: F.sin(F.col("id") * (i % 3 + 1)) * (i % 7)).alias("v"))
+    by_place = df.select(F.sequence(F.lit(0), F.lit(299)).alias("at"), F.col("v").alias("x"))
+    seen = []
+    whole = wide.Sketch.fit
+    monkeypatch.setattr(wide.Sketch, "fit", lambda self: seen.append(self.rows) or whole(self))
+    found = encoding.fit_components(df, F.col("v"), [f"v{i}" for i in range(300)], 3)
+    assert seen[0].filter("at IS NOT NULL").count() == 0
+    assert seen[0].select(F.input_file_name()).distinct().count() > 1
+    mixed = seen[0].limit(0).unionByName(df.select(F.lit(None).cast("array<int>").alias("at"), F.col("v").alias("x")).limit(150)).unionByName(by_place.offset(150))
+    for rows in (by_place, mixed):
+        mean, directions, shares = whole(wide.Sketch(rows, 300, 3))
+        assert mean.tolist() == pytest.approx(found.means, abs=1e-9) and shares.tolist() == pytest.approx(found.explained, abs=1e-9)
+        assert np.abs(directions.T - np.array(found.loadings)).max() < 1e-6
