@@ -44,7 +44,9 @@ def poisson_limits(mean: float = 1.0) -> list[float]:
 def tree_weight(key_cols: Sequence[str], seed: int | str, tree: int) -> Column:
     """How often the row is in the tree's sample: the limits that the row's fraction of the hash range reaches."""
     place = F.conv(F.substring(hash_order(key_cols, f"{seed}|{tree}"), 1, 12), 16, 10).cast("bigint") / F.lit(float(1 << 48))
-    return F.size(F.filter(F.array(*[F.lit(x) for x in poisson_limits()]), lambda x: x <= place))
+    # A lambda over one value, as plain comparisons would hash for each limit.
+    reached = lambda p: sum((F.when(F.lit(x) <= p, 1).otherwise(0) for x in poisson_limits()), F.lit(0))
+    return F.get(F.transform(F.array(place), reached), F.lit(0))
 
 
 def _forest(spark: SparkSession, trees: list[DecisionTreeClassificationModel], n_features: int, n_classes: int) -> RandomForestClassificationModel:
@@ -80,11 +82,13 @@ def fit_out_of_bag(
     labels = fit_categories(rows, [label])[label]
     stages = Pipeline(stages=one_hot_stages(rows, categorical, numeric)).fit(rows)
     coded = index_labels(stages.transform(rows), label, labels)
-    coded = materialize(coded.select(*[quoted(c) for c in key_cols], "features", "label"), "bags")
+    # Written with every tree's weights: a tree reads its own in each of its passes, and the votes read all.
+    weights = [tree_weight(key_cols, seed, t).cast("byte").alias(_weight(t)) for t in range(n_trees)]
+    coded = materialize(coded.select(*[quoted(c) for c in key_cols], "features", "label", *weights), "bags")
     spark = df.sparkSession
 
     def one(t: int) -> DecisionTreeClassificationModel:
-        weighted = index_metadata(coded, len(labels)).withColumn("w", tree_weight(key_cols, seed, t).cast("double")).filter("w > 0")
+        weighted = index_metadata(coded.filter(F.col(_weight(t)) > 0), len(labels)).select("features", "label", F.col(_weight(t)).cast("double").alias("w"))
         tree = RandomForestClassifier(**{**params, "numTrees": 1, "bootstrap": False, "weightCol": "w", "seed": params["seed"] + t})
         return tree.fit(weighted).trees[0]
 
@@ -92,7 +96,7 @@ def fit_out_of_bag(
         trees = pool.map(inheritable_thread_target(spark)(one), range(n_trees))
     votes = coded
     for at in range(0, n_trees, TREES_AT_ONCE):
-        votes = _voted(votes, trees, range(at, min(at + TREES_AT_ONCE, n_trees)), key_cols, seed, len(labels))
+        votes = _voted(votes, trees, range(at, min(at + TREES_AT_ONCE, n_trees)), len(labels))
     shown = F.array(*[F.lit(x) for x in labels])
     best = F.array_position("votes", F.array_max("votes")).cast("int")
     predictions = votes.select(
@@ -112,7 +116,11 @@ def index_metadata(df: DataFrame, n_classes: int) -> DataFrame:
     return df.withColumn("label", F.col("label").alias("label", metadata=nominal))
 
 
-def _voted(df: DataFrame, trees: list, turns: range, key_cols: Sequence[str], seed: int | str, n_classes: int) -> DataFrame:
+def _weight(tree: int) -> str:
+    return f"__w{tree}"
+
+
+def _voted(df: DataFrame, trees: list, turns: range, n_classes: int) -> DataFrame:
     """``votes`` (an array over the classes) and ``bags`` (trees that left the row out) with the given trees added."""
     names = [*[c for c in df.columns if c not in ("votes", "bags")]]
     votes = F.col("votes") if "votes" in df.columns else F.array(*[F.lit(0.0)] * n_classes)
@@ -121,7 +129,7 @@ def _voted(df: DataFrame, trees: list, turns: range, key_cols: Sequence[str], se
     for t in turns:
         tree = trees[t].copy().setProbabilityCol(f"__p{t}").setRawPredictionCol("").setPredictionCol("")
         df = tree.transform(df)
-        out = tree_weight(key_cols, seed, t) == 0
+        out = F.col(_weight(t)) == 0
         df = df.select(*[quoted(c) for c in kept if c in df.columns], *[F.col(f"__v{s}") for s in turns if s < t], F.when(
             out, vector_to_array(f"__p{t}")).alias(f"__v{t}"))
     for t in turns:

@@ -45,3 +45,46 @@ def test_full_rows_are_multiplied_as_matrices_in_many_tasks(spark, monkeypatch):
         mean, directions, shares = whole(wide.Sketch(rows, 300, 3))
         assert mean.tolist() == pytest.approx(found.means, abs=1e-9) and shares.tolist() == pytest.approx(found.explained, abs=1e-9)
         assert np.abs(directions.T - np.array(found.loadings)).max() < 1e-6
+
+
+def test_a_tree_weight_hashes_a_row_once(spark):
+    """Not once for each of the limits it is compared with."""
+    from lodestat.operators.outofbag import poisson_limits, tree_weight
+
+    df = spark.range(2000).select("id", tree_weight(["id"], 5, 3).alias("w"))
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("md5(") == 1 and "md5(" not in text.split("lambdafunction(")[1]
+    from hashlib import md5
+
+    limits = poisson_limits()
+    expected = [sum(x <= int(md5(f"{i}|5|3".encode()).hexdigest()[:12], 16) / 2**48 for x in limits) for i in range(2000)]
+    assert [r["w"] for r in df.orderBy("id").collect()] == expected
+
+
+def test_out_of_bag_weights_are_written_for_all_passes(spark, monkeypatch):
+    from lodestat.operators import outofbag
+
+    written = []
+    keep = outofbag.materialize
+    monkeypatch.setattr(outofbag, "materialize", lambda df, name: written.append(df.columns) or keep(df, name))
+    df = spark.range(300).select(F.col("id").alias("key"), F.concat(F.lit("g"), F.col("id") % 3).alias("a"), F.concat(F.lit("y"), F.col("id") % 2).alias("y"))
+    found = outofbag.fit_out_of_bag(df, ["key"], "y", ["a"], numTrees=3, maxDepth=2, seed=7)
+    assert [c for c in written[1] if c.startswith("__w")] == ["__w0", "__w1", "__w2"]
+    without = sum(F.when(outofbag.tree_weight(["key"], 7, t) == 0, 1).otherwise(0) for t in range(3))
+    expected = {r["key"]: r["n"] for r in df.select("key", without.alias("n")).collect()}
+    assert {r["key"]: r["votes"] for r in found.predictions.collect()} == expected
+
+
+def test_search_asks_a_forest_for_its_prediction_only(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassificationModel as Forest
+
+    from lodestat.operators import training as m
+
+    seen = []
+    whole = Forest.transform
+    monkeypatch.setattr(Forest, "transform", lambda self, df: seen.append(whole(self, df)) or seen[-1])
+    rows = spark.range(120).select(
+        array_to_vector(F.array((F.col("id") % 2).cast("double"))).alias("features"), (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 3).cast("int").alias("fold"))
+    found = m.grid_search(rows, m.forest, m.combinations_of({"numTrees": [2], "maxDepth": [2]}), 3)
+    assert [r["accuracy"] for r in found.collect()] == [1.0] * 6
+    assert len(seen) == 3 and all({"probability", "rawPrediction"}.isdisjoint(df.columns) and "prediction" in df.columns for df in seen)
