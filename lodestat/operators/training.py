@@ -10,7 +10,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -192,6 +192,8 @@ def grid_search(
         def run(job: tuple[int, int]) -> list[tuple]:
             combo_id, fold = job
             model = build(**combos[combo_id]).fit(data.filter(F.col("fold") != fold))
+            if isinstance(model, RandomForestClassificationModel):  # only its prediction is counted
+                model = model.setRawPredictionCol("").setProbabilityCol("")
             scored = model.transform(data)
             shown = half_even_class(F.col("prediction"), n_classes) if n_classes else F.col("prediction").cast("int")
             counts = scored.groupBy(
