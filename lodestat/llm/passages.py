@@ -48,7 +48,7 @@ from lodestat.llm.exchange import ANCHORS, NAMES, STRETCHES, WINDOWS, Keys, Layo
 
 WINDOW = 50
 #: Rounds of naming before each census; symbols of later rounds seldom lie inside a window with their context.
-CENSUS = (2, 4)
+CENSUS = (3,)
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
