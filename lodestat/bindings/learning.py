@@ -24,6 +24,7 @@ from lodestat.plans.train import refit, search, search_ordinal, train, train_ord
 from lodestat.session import materialize, scratch_path
 from lodestat.sources.models import choose_classifier, load_classifier, save_classifier
 from lodestat.streaming.drift import count_windows, monitor
+from lodestat.streaming.replay import BATCH_FILES, write_in_order
 from lodestat.streaming.requests import sized_requests
 from lodestat.streaming.scoring import score_stream
 
@@ -454,10 +455,10 @@ def stream_requests(spark, sf):
     """Events as requests, a user's rows with no gap over ten minutes; the size of each is joined back to its rows, stream to stream."""
     source, out = scratch_path(spark, "requests"), scratch_path(spark, "sized")
     events = table(spark, sf, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"))
-    events.coalesce(1).write.mode("append").parquet(source)
+    files = write_in_order(events, "ts", ["user_id", "event_id"], source)
     # A last row far ahead closes all requests before it.
-    events.limit(1).select(F.lit(-1).cast("bigint").alias("user_id"), F.lit(-1).cast("bigint").alias("event_id"), F.expr("ts + INTERVAL 50 YEAR").alias("ts")).write.mode("append").parquet(source)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    events.limit(1).select(F.lit(-1).cast("bigint").alias("user_id"), F.lit(-1).cast("bigint").alias("event_id"), F.expr("ts + INTERVAL 50 YEAR").alias("ts")).write.parquet(f"{source}/{files:06d}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(f"{source}/*")
     sized = sized_requests(stream, "user_id", "ts", "10 minutes", "1 hour", "30 days")
 
     def write(batch, number):

@@ -88,3 +88,61 @@ def test_search_asks_a_forest_for_its_prediction_only(spark, monkeypatch):
     found = m.grid_search(rows, m.forest, m.combinations_of({"numTrees": [2], "maxDepth": [2]}), 3)
     assert [r["accuracy"] for r in found.collect()] == [1.0] * 6
     assert len(seen) == 3 and all({"probability", "rawPrediction"}.isdisjoint(df.columns) and "prediction" in df.columns for df in seen)
+
+
+def test_requests_are_read_in_batches_of_one_size(spark, monkeypatch, tmp_path):
+    """The stream's batches don't grow with the table, and requests that cross them keep their size and all their rows."""
+    import datetime as dt
+    import random
+
+    from lodestat.bindings import learning
+    from lodestat.streaming import replay
+
+    draw = random.Random(5)
+    start = dt.datetime(2024, 1, 1)
+    times = [start + dt.timedelta(minutes=draw.randrange(3000)) for _ in range(300)]
+    times += [start + dt.timedelta(minutes=9 * n) for n in range(250)] + [start + dt.timedelta(hours=30)] * 100 + [None] * 5
+    users = [draw.randrange(12) for _ in range(300)] + [77] * 250 + [draw.randrange(100, 130) for _ in range(100)] + [3] * 5
+    data = [*zip(times, users, strict=True)]
+    data += [(t, None) for t in times[:20]] + data[:30]  # rows without an id, rows that come twice
+    last = data.pop(0)
+    draw.shuffle(data)
+    data.insert(0, last)
+    spark.createDataFrame([(n, t, u) for n, (t, u) in enumerate(data)], "event_id long, ts timestamp_ntz, user_id long").coalesce(1).write.parquet(
+        f"{tmp_path}/events.parquet")
+
+    sizes, by_user = {}, {}
+    for t, u in data:
+        if t is not None and u is not None:
+            by_user.setdefault(u, []).append(t)
+    for sent in by_user.values():
+        sent.sort()
+        first = 0
+        for n in range(1, len(sent) + 1):
+            if n == len(sent) or sent[n] - sent[n - 1] > dt.timedelta(minutes=10):
+                sizes[n - first] = sizes.get(n - first, 0) + n - first
+                first = n
+
+    monkeypatch.setattr(replay, "FILE_ROWS", 50)
+    monkeypatch.setattr(learning, "BATCH_FILES", 2)
+    monkeypatch.setattr(learning, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    found = learning.stream_requests(spark, str(tmp_path)).collect()
+    assert {r["n"]: r["n_rows"] for r in found} == sizes and max(sizes) >= 250
+    assert all(r["n_rejected"] == (r["n_rows"] if r["n"] > 1 else 0) for r in found)
+    files = spark.read.parquet(f"{tmp_path}/requests", recursiveFileLookup=True).groupBy(F.input_file_name().alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high")).orderBy("file").collect()
+    assert sum(r["n"] for r in files) == len(data) + 1
+    assert len(files) >= 10 and max(r["n"] for r in files) <= 100
+    files = [r for r in files if r["low"]]
+    assert all(a["high"] <= b["low"] for a, b in zip(files, files[1:], strict=False))
+    assert spark.read.parquet(f"{tmp_path}/sized").select("batch").distinct().count() >= 5
+
+
+def test_empty_table_is_streamed(spark, tmp_path):
+    """A table without rows, or with one time only, makes its files as any other."""
+    from lodestat.streaming import replay
+
+    df = spark.range(30).selectExpr("id", "timestamp '2024-01-01' AS ts")
+    assert replay.write_in_order(df.limit(0), "ts", ["id"], f"{tmp_path}/none") == 0
+    assert replay.write_in_order(df, "ts", ["id"], f"{tmp_path}/one") == 1
+    assert spark.read.parquet(f"{tmp_path}/one/000000").count() == 30
